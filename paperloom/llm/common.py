@@ -15,16 +15,16 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``, or a folder under /tmp where it names none (local tests)."""
+    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where a session names none
-    (local tests) a folder under /tmp is set.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back."""
+    context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
