@@ -44,8 +44,9 @@ class Model:
         known = {} if known is None else known
         total = self.bias.copy()
         for w in words_of(text):
-            v = known.get(w, 0)
-            if v == 0:
+            if w in known:
+                v = known[w]
+            else:
                 v = self.weights.get(word_bucket(w))
                 if len(known) < 500_000:
                     known[w] = v

@@ -2,8 +2,10 @@
 
 Concatenated names in hosts and paths are split into words by the most probable (Viterbi)
 segmentation under a unigram model whose counts come from the pages' titles. A multinomial
-naive Bayes scores the words. It learns from the urls that the rules decide, without the
-words that the rules themselves test, and from a list of seed words for both classes.
+naive Bayes scores the words. It learns from all urls, those that hold a seed word of the
+blocked kind as blocked and the others as allowed, and from the seed words themselves. The
+list rules are policy for parts of a site and say nothing about words, so it doesn't learn
+from them.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut_lineage
+
 #: (rule, verdict); a rule is a host, a slash and the start of a path.
 RULES = (
     ("com/", "allow"),
@@ -24,7 +28,7 @@ RULES = (
     ("net/fr/", "block"),
 )
 SEED_BLOCK = (
-    "adult", "bet", "betting", "bonus", "casino", "cash", "cheap", "click", "crack", "deal", "download", "drug", "escort", "farm",
+    "ad", "ads", "adult", "bet", "bets", "betting", "bonus", "casino", "cash", "cheap", "click", "crack", "deal", "download", "drug", "escort", "farm",
     "free", "gamble", "hack", "jackpot", "keygen", "loan", "lottery", "nude", "pharmacy", "pill", "pills", "poker", "porn", "prize",
     "replica", "scam", "sex", "slot", "slots", "spam", "torrent", "viagra", "warez", "win", "winner", "xxx",
 )
@@ -35,7 +39,8 @@ SEED_ALLOW = (
     "travel", "university", "weather", "wiki",
 )
 LONGEST_WORD = 20
-SEED_WEIGHT = 50
+#: Count of a seed word in the unigram model, and in the naive Bayes.
+SEED_WEIGHT, SEED_COUNT = 50, 1
 BLOCK_PRIOR = 0.2
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -145,23 +150,29 @@ def judge(
     base = base.select("_id", "_host", "_path", rule.alias("_rule"), verdict.alias("_verdict"), F.regexp_replace("_path", "[0-9]+", "0").alias("_shape"))
     titles = pages.select(F.regexp_extract(F.col(html_col), r"(?is)<title[^>]*>([^<]*)", 1).alias("_title"))
 
-    part = F.struct
+    urls = base.groupBy("_host", "_shape").agg(F.count(F.lit(1)).alias("_n"))
     sides = F.array(
-        part(F.lit("host").alias("side"), F.col("_host").alias("value")), part(F.lit("path").alias("side"), F.col("_shape").alias("value"))
-    )
-    values = base.groupBy("_host", "_shape", "_verdict").agg(F.count(F.lit(1)).alias("_n"))
-    values = values.select(F.explode(sides).alias("_s"), "_verdict", "_n").groupBy("_s.side", "_s.value").agg(
-        F.sum(F.when(F.col("_verdict") == "block", F.col("_n")).otherwise(0)).alias("_block"),
-        F.sum(F.when(F.col("_verdict") == "allow", F.col("_n")).otherwise(0)).alias("_allow"),
+        F.struct(F.lit("host").alias("side"), F.col("_host").alias("value")),
+        F.struct(F.lit("path").alias("side"), F.col("_shape").alias("value")),
     )
+    values = urls.select(F.explode(sides).alias("_s")).select("_s.side", "_s.value").distinct()
     named = values.withColumn("_name", F.explode(names_in(F.col("value"))))
-    words = named.join(segmented(named, unigrams(titles)), "_name").select("side", "value", "_block", "_allow", F.explode("_words").alias("_word"))
-
-    tested = sorted({w for r, _ in rules for w in r.replace("/", ".").split(".") if w})
+    split = segmented(named, cut_lineage(unigrams(titles)))
+    words = cut_lineage(named.join(split, "_name").select("side", "value", F.explode("_words").alias("_word")))
+
+    bad = words.where(F.col("_word").isin(*SEED_BLOCK)).select("side", "value").distinct()
+    bad_hosts = bad.where("side = 'host'").select(F.col("value").alias("_host"), F.lit(True).alias("_bad_host"))
+    bad_shapes = bad.where("side = 'path'").select(F.col("value").alias("_shape"), F.lit(True).alias("_bad_shape"))
+    taught = urls.join(bad_hosts, "_host", "left").join(bad_shapes, "_shape", "left")
+    blocked = F.col("_bad_host").isNotNull() | F.col("_bad_shape").isNotNull()
+    taught = taught.select(F.explode(sides).alias("_s"), blocked.alias("_bad"), "_n").groupBy("_s.side", "_s.value").agg(
+        F.sum(F.when(F.col("_bad"), F.col("_n")).otherwise(0)).alias("_block"),
+        F.sum(F.when(F.col("_bad"), 0).otherwise(F.col("_n"))).alias("_allow"),
+    )
     seeds = base.sparkSession.createDataFrame(
-        [(w, SEED_WEIGHT, 0) for w in SEED_BLOCK] + [(w, 0, SEED_WEIGHT) for w in SEED_ALLOW], "_word string, _block long, _allow long"
+        [(w, SEED_COUNT, 0) for w in SEED_BLOCK] + [(w, 0, SEED_COUNT) for w in SEED_ALLOW], "_word string, _block long, _allow long"
     )
-    counts = words.where(~F.col("_word").isin(tested)).select("_word", "_block", "_allow").unionByName(seeds)
+    counts = words.join(taught, ["side", "value"]).select("_word", "_block", "_allow").unionByName(seeds)
     counts = counts.groupBy("_word").agg(F.sum("_block").alias("_b"), F.sum("_allow").alias("_a"))
     b, a, kinds = counts.agg(F.sum("_b"), F.sum("_a"), F.count(F.lit(1))).first()
     odds = counts.select("_word", (F.log((F.col("_b") + 1) / (b + kinds)) - F.log((F.col("_a") + 1) / (a + kinds))).alias("_odds"))
