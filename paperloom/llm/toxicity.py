@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic documents are the positives, a sample of all text is the unlabelled set. Linear
-numpy classifiers over hashed words minimise the class-prior-corrected risk
+numpy classifiers over hashed words and word beginnings minimise the class-prior-corrected risk
 prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), and their scores are averaged.
 """
 
@@ -16,17 +16,26 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import cut_lineage, fold
 
 #: Most positive and most unlabelled rows that a fit takes, the first by hash of their id.
-POSITIVE_ROWS, UNLABELLED_ROWS = 4_000, 12_000
-BUCKETS = 1 << 18
-FEATURES = 384
+POSITIVE_ROWS, UNLABELLED_ROWS = 3_000, 6_000
+BUCKETS = 1 << 20
+FEATURES = 600
+#: Lengths of the word beginnings that are features beside the whole word.
+STARTS = (4, 5, 6, 7, 8)
+#: Least log-likelihood ratio (G squared) between the two sets for a feature to be used.
+LEAST_GAIN = 20.0
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_bucket(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
+def _bucket(mark: str) -> int:
+    return zlib.crc32(mark.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
+
+
+def word_buckets(word: str) -> list[int]:
+    """The bucket of the word and those of its beginnings."""
+    return [_bucket(word), *(_bucket(f"^{word[:k]}") for k in STARTS if len(word) > k)]
 
 
 def words_of(text: str | None) -> set[str]:
@@ -35,63 +44,57 @@ def words_of(text: str | None) -> set[str]:
 
 @dataclass
 class Model:
-    """weights: by bucket of a word, one column for each classifier; bias: one for each."""
+    """weights: by bucket, one column for each classifier; bias: one for each.
+
+    A classifier's value is its bias plus the weights of all buckets of a text's distinct words,
+    divided by the square root of their number.
+    """
 
     weights: dict[int, np.ndarray]
     bias: np.ndarray
 
+    def of_word(self, word: str) -> np.ndarray | None:
+        found = [self.weights[b] for b in word_buckets(word) if b in self.weights]
+        return np.sum(found, axis=0) if found else None
+
     def score(self, text: str | None, known: dict | None = None) -> float:
         known = {} if known is None else known
-        total = self.bias.copy()
-        for w in words_of(text):
+        total = np.zeros_like(self.bias)
+        words = words_of(text)
+        for w in words:
             if w in known:
                 v = known[w]
             else:
-                v = self.weights.get(word_bucket(w))
+                v = self.of_word(w)
                 if len(known) < 500_000:
                     known[w] = v
             if v is not None:
                 total += v
+        total = self.bias + total / max(1, len(words)) ** 0.5
         return float((1 / (1 + np.exp(-np.clip(total, -30, 30)))).mean())
 
 
-def fit_arrays(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, classifiers: int = 3, steps: int = 300, seed: int = 11
+def constant_model(share: float) -> Model:
+    return Model({}, np.array([np.log((share + 1e-3) / (1 - share + 1e-3))]))
+
+
+def fit_matrix(
+    p: np.ndarray, u: np.ndarray, buckets: list[int], prior: float, classifiers: int = 3, steps: int = 400, seed: int = 11
 ) -> Model:
-    """Positive and unlabelled documents as arrays of distinct buckets. Features are the buckets
-    that tell the two apart best by document counts."""
-    if not positive or not unlabelled:
-        share = prior if positive or unlabelled else 0.0
-        return Model({}, np.array([np.log((share + 1e-3) / (1 - share + 1e-3))]))
-    n_p, n_u = len(positive), len(unlabelled)
-    in_p = np.bincount(np.concatenate(positive).astype(np.int64), minlength=BUCKETS)
-    in_u = np.bincount(np.concatenate(unlabelled).astype(np.int64), minlength=BUCKETS)
-    ratio = np.log((in_p + 1) / (n_p + 2)) - np.log((in_u + 1) / (n_u + 2))
-    gain = np.abs((in_p / n_p) * ratio)
-    gain[in_p < max(3, n_p // 500)] = 0
-    chosen = np.argsort(-gain, kind="stable")[:FEATURES]
-    chosen = chosen[gain[chosen] > 0]
-    place = np.full(BUCKETS, -1, dtype=np.int64)
-    place[chosen] = np.arange(len(chosen))
-
-    def matrix(rows: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(rows), len(chosen)), dtype=np.float32)
-        for i, r in enumerate(rows):
-            at = place[r.astype(np.int64)]
-            out[i, at[at >= 0]] = 1
-        return out
-
-    p, u = matrix(positive), matrix(unlabelled)
+    """Classifiers, each fitted on four fifths of the positive rows ``p`` and of the unlabelled
+    rows ``u``; their columns stand for ``buckets``."""
+    if not len(p) or not len(u):
+        return constant_model(prior if len(p) or len(u) else 0.0)
     rng = np.random.default_rng(seed)
     all_w, all_b = [], []
     for _ in range(classifiers):
-        own_p = p[rng.permutation(n_p)[: max(1, (4 * n_p) // 5)]]
-        own_u = u[rng.permutation(n_u)[: max(1, (4 * n_u) // 5)]]
+        own_p = p[rng.permutation(len(p))[: max(1, (4 * len(p)) // 5)]]
+        own_u = u[rng.permutation(len(u))[: max(1, (4 * len(u)) // 5)]]
         w, b = _descend(own_p, own_u, prior, steps)
         all_w.append(w)
         all_b.append(b)
     weights = np.stack(all_w, axis=1).astype(np.float64)
-    return Model({int(c): weights[i] for i, c in enumerate(chosen)}, np.array(all_b, dtype=np.float64))
+    return Model({int(c): weights[i] for i, c in enumerate(buckets)}, np.array(all_b, dtype=np.float64))
 
 
 def _descend(p: np.ndarray, u: np.ndarray, prior: float, steps: int, rate: float = 0.08, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -115,6 +118,16 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float, steps: int, rate: float
     return w[:-1], float(w[-1])
 
 
+def _gain(a, c, n_p: int, n_u: int):
+    """G squared of a feature that ``a`` of ``n_p`` positives and ``c`` of ``n_u`` unlabelled have."""
+    share = (a + c) / F.lit(float(n_p + n_u))
+
+    def part(o, n, e):
+        return F.when(o > 0, o * F.log(o / (e * F.lit(float(n))))).otherwise(F.lit(0.0))
+
+    return 2 * (part(a, n_p, share) + part(c, n_u, share) + part(n_p - a, n_p, 1 - share) + part(n_u - c, n_u, 1 - share))
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -123,18 +136,20 @@ def fit(
     text_col: str = "text",
     folds: int = 4,
     held_out: int = 2,
+    features: int = FEATURES,
 ) -> Model:
     """Fits on at most ``POSITIVE_ROWS`` confirmed documents and ``UNLABELLED_ROWS`` of all, none
     of the held-out fold; the prior is the share of positives among the labelled ids there.
 
-    Both samples are bounded, so their ids are broadcast; only distinct word buckets of the
-    sampled texts reach the driver.
+    Both samples are bounded, so their ids are broadcast. Features are the buckets that tell the
+    two sets apart best by document counts; Spark counts them, and only the counts of the chosen
+    ones in the sampled texts reach the driver.
     """
     own = F.coalesce(fold(F.col(id_col), folds), F.lit(held_out)) != held_out
     named = labels.where(own & F.col(label).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label).alias("_y"))
     n, hits = named.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("_y") == 1).cast("long")), F.lit(0))).first()
     if not hits:
-        return fit_arrays([], [], 0.0)
+        return constant_model(0.0)
     prior = float(np.clip(hits / n, 0.005, 0.9))
     hashed = F.xxhash64("_id")
     positive = named.where("_y = 1").select("_id").distinct().orderBy(hashed, "_id").limit(POSITIVE_ROWS).withColumn("_p", F.lit(True))
@@ -143,16 +158,30 @@ def fit(
 
     def buckets(frames):
         for f in frames:
-            yield pd.DataFrame({"_id": f["_id"], "_p": f["_p"], "_w": [sorted({word_bucket(w) for w in words_of(t)}) for t in f["_t"]]})
+            words = [words_of(t) for t in f["_t"]]
+            yield pd.DataFrame({"_id": f["_id"], "_p": f["_p"], "_n": [len(w) for w in words], "_f": [[b for x in sorted(w) for b in word_buckets(x)] for w in words]})
 
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
     kind = docs.schema[id_col].dataType.simpleString()
-    got = texts.join(F.broadcast(sample), "_id").mapInPandas(buckets, f"_id {kind}, _p boolean, _w array<int>")
-    rows = got.orderBy("_id").limit(2 * (POSITIVE_ROWS + UNLABELLED_ROWS)).collect()
-    part = {True: [], False: []}
-    for r in rows:
-        part[r["_p"]].append(np.array(r["_w"], dtype=np.int32))
-    return fit_arrays(part[True], part[False], prior)
+    # a sampled id may stand for several rows; the last bound is theirs
+    got = texts.join(F.broadcast(sample), "_id").mapInPandas(buckets, f"_id {kind}, _p boolean, _n int, _f array<int>")
+    got = cut_lineage(got.orderBy("_id", "_n", "_f").limit(2 * (POSITIVE_ROWS + UNLABELLED_ROWS)))
+    n_p, n_u = got.agg(F.count_if("_p"), F.count_if(~F.col("_p"))).first()
+    held = got.select("_p", F.explode(F.array_distinct("_f")).alias("_b")).groupBy("_b")
+    held = held.agg(F.count_if("_p").alias("_a"), F.count_if(~F.col("_p")).alias("_c")).where("_a >= 3")
+    held = held.select("_b", _gain(F.col("_a").cast("double"), F.col("_c").cast("double"), n_p, max(1, n_u)).alias("_g"))
+    chosen = [r["_b"] for r in held.where(F.col("_g") >= LEAST_GAIN).orderBy(F.desc("_g"), "_b").limit(features).collect()]
+
+    def counted(frames):
+        place = {b: i for i, b in enumerate(chosen)}
+        for f in frames:
+            yield pd.DataFrame({"_p": f["_p"], "_n": f["_n"], "_x": [[place[b] for b in x.tolist() if b in place] for x in f["_f"]]})
+
+    part: dict[bool, list] = {True: [], False: []}
+    for r in got.mapInPandas(counted, "_p boolean, _n int, _x array<int>").collect():
+        part[r["_p"]].append(np.bincount(np.array(r["_x"], dtype=np.int64), minlength=len(chosen)) / max(1, r["_n"]) ** 0.5)
+    p, u = (np.array(part[k], dtype=np.float32).reshape(-1, len(chosen)) for k in (True, False))
+    return fit_matrix(p, u, chosen, prior)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
