@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut_lineage, table
+
 
 @dataclass(frozen=True)
 class Leaf:
@@ -38,45 +40,51 @@ def add_shard(leaves: list[Leaf], weight: float = 1.0) -> list[Leaf]:
     return [*leaves, Leaf(f"grown{n}", f"grown{n}", n, weight)]
 
 
-def _draw(key: Column, name: str, weight: float) -> Column:
-    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(name)), 11) + F.lit(0.5)) / F.lit(float(2**53))
-    return -F.log(u) / F.lit(float(weight))
+def _tree(leaves: list[Leaf]) -> list[tuple[str, float, list]]:
+    """(name, weight, children) of the regions that have weight; a shard's children are its number."""
+    regions: dict[str, dict[str, list[Leaf]]] = {}
+    for x in leaves:
+        if x.weight > 0:
+            regions.setdefault(x.region, {}).setdefault(x.rack, []).append(x)
+    out = []
+    for region, racks in regions.items():
+        own = [
+            (f"{region}/{rack}", math.fsum(x.weight for x in low), [(f"{region}/{rack}/{x.shard}", x.weight, x.shard) for x in low])
+            for rack, low in racks.items()
+        ]
+        out.append((region, math.fsum(w for _, w, _ in own), own))
+    return out
+
+
+def _literal(nodes: list, depth: int) -> Column:
+    below = lambda c: F.lit(c) if depth == 1 else _literal(c, depth - 1)
+    return F.array(
+        *[F.struct(F.lit(n).alias("name"), F.lit(float(w)).alias("weight"), F.lit(i).alias("at"), below(c).alias("below")) for i, (n, w, c) in enumerate(nodes)]
+    )
 
 
-def _level(key: Column, children: dict[str, tuple[float, Column]]) -> Column:
-    """The value of the child with the smallest draw; ties go to the child named first."""
-    names = [n for n, (w, _) in children.items() if w > 0]
-    if len(names) == 1:
-        return children[names[0]][1]
-    draws = F.array(*[F.struct(_draw(key, n, children[n][0]), F.lit(i).alias("i")) for i, n in enumerate(names)])
-    winner = F.array_min(draws)["i"]
-    out = children[names[-1]][1]
-    for i, n in list(enumerate(names))[-2::-1]:
-        out = F.when(winner == i, children[n][1]).otherwise(out)
-    return out
+def _descend(key: Column, children: Column) -> Column:
+    """What lies below the child with the smallest draw; ties go to the child named first."""
+
+    def draw(c: Column) -> Column:
+        u = (F.shiftrightunsigned(F.xxhash64(key, c["name"]), 11) + F.lit(0.5)) / F.lit(float(2**53))
+        return F.struct((-F.log(u) / c["weight"]).alias("draw"), c["at"].alias("at"), c["below"].alias("below"))
+
+    return F.array_min(F.transform(children, draw))["below"]
 
 
 def place(key: Column, leaves: list[Leaf]) -> Column:
     """The shard of ``key`` (any type, hashed as text; nulls share one shard).
 
-    Leaves of weight 0 get no rows. Raises ValueError if no weight is positive.
+    The tree is one literal and each level one step down it, so the expression stays small
+    however many shards there are. Leaves of weight 0 get no rows. Raises ValueError if no
+    weight is positive.
     """
-    if not any(x.weight > 0 for x in leaves):
+    tree = _tree(leaves)
+    if not tree:
         raise ValueError("no shard has a positive weight")
     key = F.coalesce(key.cast("string"), F.lit("\x00"))
-    regions: dict[str, dict[str, list[Leaf]]] = {}
-    for x in leaves:
-        regions.setdefault(x.region, {}).setdefault(x.rack, []).append(x)
-    top = {}
-    for region, racks in regions.items():
-        mid = {}
-        for rack, own in racks.items():
-            low = {f"{region}/{rack}/{x.shard}": (x.weight, F.lit(x.shard)) for x in own if x.weight > 0}
-            if low:
-                mid[f"{region}/{rack}"] = (math.fsum(w for w, _ in low.values()), _level(key, low))
-        if mid:
-            top[region] = (math.fsum(w for w, _ in mid.values()), _level(key, mid))
-    return _level(key, top)
+    return _descend(key, _descend(key, _descend(key, _literal(tree, 3))))
 
 
 def shard_documents(
@@ -101,10 +109,8 @@ def shard_documents(
     rows each) plus its running number in the bucket.
     """
     shards = len(leaves)
-    rows = docs.select(id_col).count()
-    buckets = max(64, math.ceil(rows / shards / rows_per_bucket))
     text = F.col(text_col).cast("string")
-    one = (
+    counted = (
         docs.select(
             F.col(id_col).alias("_id"),
             (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("_size"),
@@ -112,7 +118,12 @@ def shard_documents(
         )
         .groupBy("_id", "_size", "_crc")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_shard", place(F.col("_id"), leaves))
+    )
+    counted = cut_lineage(counted)  # the texts are read once
+    rows = counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    buckets = max(64, math.ceil(rows / shards / rows_per_bucket))
+    one = (
+        counted.withColumn("_shard", place(F.col("_id"), leaves))
         .withColumn("_grown", place(F.col("_id"), add_shard(leaves)))
         .withColumn("_bucket", F.pmod(F.xxhash64("_id", "_size", "_crc", F.lit("bucket")), F.lit(buckets)))
     )
@@ -141,6 +152,4 @@ def shard_documents(
 
 
 def op8_sharding(spark, sf_dir):
-    from .common import table
-
     return shard_documents(table(spark, sf_dir, "documents"), balanced_tree(16))
