@@ -20,7 +20,8 @@ FIT_ROWS = 20_000
 
 
 def with_statistics(df: DataFrame, text_col: str, prefix: str = "_s_") -> tuple[DataFrame, list[str]]:
-    """``df`` with the statistics of every whole text as double columns, and their names."""
+    """``df`` with column ``<prefix>values``, an array of the statistics of every whole text, and
+    their names."""
     t = F.col(f"{prefix}text")
     words = F.col(f"{prefix}words")
     lines = F.col(f"{prefix}lines")
@@ -45,8 +46,10 @@ def with_statistics(df: DataFrame, text_col: str, prefix: str = "_s_") -> tuple[
         .withColumn(f"{prefix}words", F.split(F.trim(f"{prefix}text"), r"[ \t\n\x0B\f\r]+"))
         .withColumn(f"{prefix}lines", F.split(f"{prefix}text", "\n"))
     )
-    out = base.withColumns({f"{prefix}{k}": c.cast("double") for k, c in made.items()})
-    return out.drop(f"{prefix}text", f"{prefix}words", f"{prefix}lines"), names
+    # exploding an array of one element keeps the optimiser from repeating the statistics wherever they are used
+    values = F.array(*[c.cast("double") for c in made.values()])
+    out = base.withColumn(f"{prefix}values", F.explode(F.array(values)))
+    return out.drop(f"{prefix}text", f"{prefix}words", f"{prefix}lines"), list(made)
 
 
 @dataclass
@@ -60,14 +63,24 @@ class RuleModel:
     intercept: float = 0.0
     rules: list[tuple[tuple[tuple[int, float, bool], ...], float]] = field(default_factory=list)
 
-    def column(self) -> Column:
-        total = F.lit(float(self.intercept))
-        for conditions, weight in self.rules:
-            holds = F.lit(True)
-            for f, threshold, above in conditions:
-                c = F.col(self.features[f])
-                holds = holds & ((c > threshold) if above else (c <= threshold))
-            total = total + F.when(holds, F.lit(float(weight))).otherwise(F.lit(0.0))
+    def column(self, values: Column) -> Column:
+        """The score as one expression over the array of statistics. The rules are a literal that is folded over, so that the
+        code Spark generates doesn't grow with their number."""
+        if not self.rules:
+            total = F.lit(float(self.intercept))
+        else:
+            rules = F.array(*[
+                F.struct(
+                    F.lit(float(weight)).alias("weight"),
+                    F.array(*[
+                        F.struct(F.lit(f).alias("feature"), F.lit(float(t)).alias("threshold"), F.lit(bool(up)).alias("above"))
+                        for f, t, up in conditions
+                    ]).alias("conditions"),
+                )
+                for conditions, weight in self.rules
+            ])
+            holds = lambda r: F.forall(r["conditions"], lambda c: (F.get(values, c["feature"]) > c["threshold"]) == c["above"])
+            total = F.aggregate(rules, F.lit(float(self.intercept)), lambda acc, r: acc + F.when(holds(r), r["weight"]).otherwise(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
     def predict(self, x: np.ndarray) -> np.ndarray:
@@ -193,8 +206,9 @@ def fit(
     sample = labelled_sample(labels, label, id_col, folds, held_out, rows)
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(sample), "_id")
     stats, names = with_statistics(own, "_t")
-    got = stats.select("_id", "_y", *names).orderBy("_id", "_y", *names).limit(2 * rows).toPandas()
-    return fit_rules(got[names].to_numpy(np.float64), got["_y"].to_numpy(np.float64), names)
+    got = stats.select("_id", "_y", "_s_values").orderBy("_id", "_y", "_s_values").limit(2 * rows).toPandas()
+    x = np.array(got["_s_values"].tolist(), dtype=np.float64).reshape(-1, len(names))
+    return fit_rules(x, got["_y"].to_numpy(np.float64), names)
 
 
 def score(docs: DataFrame, model: RuleModel, text_col: str = "text", out: str = "score") -> DataFrame:
@@ -203,8 +217,8 @@ def score(docs: DataFrame, model: RuleModel, text_col: str = "text", out: str =
     Null and empty texts are scored by their statistics like any other; repeated rows stay;
     an empty table stays empty. Names that start with ``_s_`` are for the statistics.
     """
-    stats, names = with_statistics(docs, text_col)
-    return stats.withColumn(out, model.column()).drop(*names)
+    stats, _ = with_statistics(docs, text_col)
+    return stats.withColumn(out, model.column(F.col("_s_values"))).drop("_s_values")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
