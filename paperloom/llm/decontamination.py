@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -28,53 +29,80 @@ UNITS = {
     "mph", "kmh", "watt", "watts", "volt", "volts", "degree", "degrees",
 }
 NUMBER, NAME, UNIT = 1, 2, 3
-_MARK = "<end>"
 
 
-def canonical(text: str | None) -> tuple[list[str], np.ndarray]:
-    """The tokens of a text in lower case without sentence marks, and the kind of each: 0 a word,
-    else ``NUMBER``, ``NAME`` (capitalised within a sentence, in a sentence that also has
-    lower-case words) or ``UNIT``."""
-    raw = _TOKEN.findall(text or "")
-    low = [w.lower() for w in raw]
-    tokens, kinds = [], []
-    first = True
-    for w, x in zip(raw, low, strict=True):
-        c = w[0]
+class Vocabulary(dict):
+    """Raw tokens to numbers, and what is fixed for each: lower case, template code, kind."""
+
+    END, CAPITALISED = 8, 9
+
+    def __init__(self):
+        super().__init__()
+        self.low: list[str] = []
+        self.code, self.kind = np.zeros(1024, np.uint64), np.zeros(1024, np.int8)
+
+    def __missing__(self, raw: str) -> int:
+        n = len(self.low)
+        if n == len(self.code):
+            self.code, self.kind = np.resize(self.code, 2 * n), np.resize(self.kind, 2 * n)
+        low = raw.lower()
+        b = low.encode("utf-8", "surrogatepass")
+        c = raw[0]
         if c in ".!?":
-            first = True
-            continue
-        if "0" <= c <= "9":
+            kind = self.END
+        elif "0" <= c <= "9":
             kind = NUMBER
-        elif x in UNITS:
+        elif low in UNITS:
             kind = UNIT
-        elif not first and w != x and w[1:] == x[1:] and len(w) > 1:
-            kind = NAME
         else:
-            kind = 0
-        first = False
-        tokens.append(x)
-        kinds.append(kind)
-    return tokens, np.array(kinds, dtype=np.int8)
+            kind = self.CAPITALISED if raw != low and raw[1:] == low[1:] and len(raw) > 1 else 0
+        self.code[n], self.kind[n] = (zlib.crc32(b) << 32) | zlib.crc32(b, 0x9E3779B9), kind
+        self.low.append(low)
+        self[raw] = n
+        return n
+
 
+_WORDS = Vocabulary()
+#: A worker's vocabulary starts anew beyond this size.
+_MOST_WORDS = 150_000
 
-_CODES: dict[str, int] = {}
 
+@dataclass
+class Template:
+    """Tokens of one text without sentence marks: numbers in ``words``, template codes, kinds."""
 
-def _codes(tokens: list[str], kinds: np.ndarray) -> np.ndarray:
-    """64-bit codes of template tokens; those of slots depend on the kind alone."""
-    out = np.empty(len(tokens), dtype=np.uint64)
-    for i, t in enumerate(tokens):
-        c = _CODES.get(t)
-        if c is None:
-            b = t.encode("utf-8", "surrogatepass")
-            c = (zlib.crc32(b) << 32) | zlib.crc32(b, 0x9E3779B9)
-            if len(_CODES) < 500_000:
-                _CODES[t] = c
-        out[i] = c
-    slots = kinds > 0
-    out[slots] = kinds[slots].astype(np.uint64)
-    return out
+    words: Vocabulary
+    numbers: np.ndarray
+    codes: np.ndarray
+    kinds: np.ndarray
+
+    def slots(self, at: int, width: int) -> list[str]:
+        """The values of the slots among ``width`` tokens, an empty string for other tokens."""
+        own = zip(self.numbers[at : at + width].tolist(), self.kinds[at : at + width].tolist(), strict=True)
+        return [self.words.low[n] if k else "" for n, k in own]
+
+    def tokens(self) -> list[str]:
+        return [self.words.low[n] for n in self.numbers.tolist()]
+
+
+def canonical(text: str | None) -> Template:
+    """A text as tokens in lower case, and the kind of each: 0 a word, else ``NUMBER``, ``NAME``
+    (capitalised, but not at the start of a sentence) or ``UNIT``. Codes of slots depend on the
+    kind alone."""
+    global _WORDS
+    if len(_WORDS) > _MOST_WORDS:
+        _WORDS = Vocabulary()
+    raw = _TOKEN.findall(text or "")
+    numbers = np.fromiter(map(_WORDS.__getitem__, raw), np.int64, len(raw))
+    kinds = _WORDS.kind[numbers]
+    ends = kinds == Vocabulary.END
+    first = np.ones(len(raw), dtype=bool)
+    first[1:] = ends[:-1]
+    capital = kinds == Vocabulary.CAPITALISED
+    kinds[capital] = np.where(first[capital], 0, NAME)
+    numbers, kinds = numbers[~ends], kinds[~ends]
+    codes = np.where(kinds > 0, kinds.astype(np.uint64), _WORDS.code[numbers])
+    return Template(_WORDS, numbers, codes, kinds)
 
 
 def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -146,12 +174,10 @@ def find_leaks(
         for f in frames:
             out = []
             for item, text in zip(f["_item"], f["_t"], strict=True):
-                tokens, kinds = canonical(text)
-                hashes = window_hashes(_codes(tokens, kinds), width)
-                w = min(width, len(tokens))
-                for i, h in enumerate(hashes.tolist()):
-                    own = [t if k else "" for t, k in zip(tokens[i : i + w], kinds[i : i + w], strict=True)]
-                    out.append((item, h, i, len(hashes), w, own))
+                found = canonical(text)
+                hashes = window_hashes(found.codes, width)
+                w = min(width, len(found.codes))
+                out += [(item, h, i, len(hashes), w, found.slots(i, w)) for i, h in enumerate(hashes.tolist())]
             yield pd.DataFrame(out, columns=["_item", "_h", "_ipos", "_n", "_w", "_islots"])
 
     items = benchmark.where(F.col(item_col).isNotNull()).select(
@@ -182,15 +208,13 @@ def find_leaks(
         for f in frames:
             out = []
             for doc, text in zip(f["_doc"], f["_t"], strict=True):
-                tokens, kinds = canonical(text)
-                codes = _codes(tokens, kinds)
+                template = canonical(text)
                 for w in sizes:
-                    if len(tokens) < w:
+                    if len(template.codes) < w:
                         continue
-                    hashes = window_hashes(codes, w)
+                    hashes = window_hashes(template.codes, w)
                     for i in np.flatnonzero(allowed[hashes.view(np.uint64) >> np.uint64(64 - filter_bits)]).tolist():
-                        own = [t if k else "" for t, k in zip(tokens[i : i + w], kinds[i : i + w], strict=True)]
-                        out.append((doc, int(hashes[i]), i, w, own))
+                        out.append((doc, int(hashes[i]), i, w, template.slots(i, w)))
             yield pd.DataFrame(out, columns=["_doc", "_h", "_dpos", "_w", "_dslots"])
 
     texts = docs.where(F.col(id_col).isNotNull()).select(
