@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from . import oracles
+from .queries import QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return {q.__name__: q for q in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for k, v in oracles.sql().items() if k in queries()}
