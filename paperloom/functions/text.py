@@ -144,7 +144,7 @@ def ends_address(line: Column) -> Column:
 
 def shipping_address(text: Column) -> Column:
     """Up to five lines below the first line with an address label, as far as none ends it."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), F.trim)
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x))
     start = F.array_position(F.transform(lines, lambda x: F.lower(x).rlike("|".join(ADDRESS_STARTS))), F.lit(True))
     below = F.slice(lines, (start + 1).cast("int"), F.lit(ADDRESS_LINES))
     stop = F.array_position(F.transform(below, ends_address), F.lit(True)).cast("int")

@@ -14,6 +14,7 @@ import pandas as pd
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PAGES = "doc_id long, page_number int, height int, width int, data binary, steps array<string>, error string"
 
@@ -114,7 +115,7 @@ def preprocess(pages: DataFrame, steps: Sequence[str] = DEFAULT_STEPS) -> DataFr
     return pages.select("doc_id", "page_number", "height", "width", "data").mapInPandas(run, PAGES)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _quality(height: pd.Series, width: pd.Series, data: pd.Series) -> pd.Series:
     out = []
     for h, w, d in zip(height, width, data, strict=True):
@@ -132,7 +133,7 @@ def quality_score() -> Column:
     return _quality("height", "width", "data")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _density(data: pd.Series) -> pd.Series:
     return pd.Series([0.0 if not d else float((np.frombuffer(d, np.uint8) <= 200).mean()) for d in data])
 

@@ -19,10 +19,13 @@ from ..functions.text import FORMATS, has_format
 
 TOLERANCE = Decimal("0.01")
 CENT = Decimal("0.01")
-_NONE = F.array().cast("array<string>")
 CHECK = ("doc_id", "check", "ordinal", "is_valid", "errors", "warnings")
 
 
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
 def _listed(*messages: Column) -> Column:
     return F.array_compact(F.array(*messages))
 
@@ -102,7 +105,7 @@ def check_subtotal(items: DataFrame, invoices: DataFrame, tolerance: Decimal = T
         F.lit(2).alias("ordinal"),
         error.isNull().alias("is_valid"),
         _listed(error).alias("errors"),
-        F.concat(F.when(F.col("n_unread") > 0, unread).otherwise(_NONE), _listed(minor, F.when(F.col("extracted").isNull(), F.lit("subtotal can't be read")))).alias("warnings"),
+        F.concat(F.when(F.col("n_unread") > 0, unread).otherwise(_none()), _listed(minor, F.when(F.col("extracted").isNull(), F.lit("subtotal can't be read")))).alias("warnings"),
         "calculated",
         "extracted",
         "difference",
@@ -149,7 +152,7 @@ def check_gst(items: DataFrame, invoices: DataFrame, tolerance: Decimal = TOLERA
     rows = rows.withColumn("difference", F.abs(F.col("calculated") - F.col("extracted")))
     error, _ = _band(F.col("difference"), tolerance, "GST")
     return rows.select(
-        "doc_id", F.lit("gst").alias("check"), F.lit(5).alias("ordinal"), error.isNull().alias("is_valid"), _listed(error).alias("errors"), _NONE.alias("warnings"),
+        "doc_id", F.lit("gst").alias("check"), F.lit(5).alias("ordinal"), error.isNull().alias("is_valid"), _listed(error).alias("errors"), _none().alias("warnings"),
         "calculated", "extracted", "difference",
     )
 
@@ -206,7 +209,7 @@ def all_checks(items: DataFrame, invoices: DataFrame, as_of: str) -> DataFrame:
     rows = items_check(items).select(*CHECK)
     blank = invoices.select("doc_id").distinct().join(rows, "doc_id", "left").select(
         "doc_id", F.lit("line_items").alias("check"), F.lit(1).alias("ordinal"), F.coalesce("is_valid", F.lit(True)).alias("is_valid"),
-        F.coalesce("errors", _NONE).alias("errors"), F.coalesce("warnings", _NONE).alias("warnings"),
+        F.coalesce("errors", _none()).alias("errors"), F.coalesce("warnings", _none()).alias("warnings"),
     )
     parts = [
         blank,
