@@ -52,6 +52,14 @@ def with_statistics(df: DataFrame, text_col: str, prefix: str = "_s_") -> tuple[
     return out.drop(f"{prefix}text", f"{prefix}words", f"{prefix}lines"), list(made)
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` starts with."""
+    prefix = "_s_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = f"_{prefix}"
+    return prefix
+
+
 @dataclass
 class RuleModel:
     """score = sigmoid(intercept + sum of the weights of the rules that hold).
@@ -215,16 +223,18 @@ def score(docs: DataFrame, model: RuleModel, text_col: str = "text", out: str =
     """``docs`` with column ``out``, the probability of good quality.
 
     Null and empty texts are scored by their statistics like any other; repeated rows stay;
-    an empty table stays empty. Names that start with ``_s_`` are for the statistics.
+    an empty table stays empty; a column named ``out`` is replaced, others stay as they are.
     """
-    stats, _ = with_statistics(docs, text_col)
-    return stats.withColumn(out, model.column(F.col("_s_values"))).drop("_s_values")
+    prefix = free_prefix(docs)
+    stats, _ = with_statistics(docs, text_col, prefix)
+    return stats.withColumn(out, model.column(F.col(f"{prefix}values"))).drop(f"{prefix}values")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The documents that the classifier does not reject, all columns as they were."""
-    scored = score(docs, fit(docs, labels, text_col=text_col), text_col, "_s_score")
-    return scored.where(F.col("_s_score") >= threshold).select(*docs.columns)
+    name = f"{free_prefix(docs)}score"
+    scored = score(docs, fit(docs, labels, text_col=text_col), text_col, name)
+    return scored.where(F.col(name) >= threshold).select(*docs.columns)
 
 
 def op6_quality_rules(spark, sf_dir):
