@@ -180,7 +180,7 @@ def fit(
     part: dict[bool, list] = {True: [], False: []}
     for r in got.mapInPandas(counted, "_p boolean, _n int, _x array<int>").collect():
         part[r["_p"]].append(np.bincount(np.array(r["_x"], dtype=np.int64), minlength=len(chosen)) / max(1, r["_n"]) ** 0.5)
-    p, u = (np.array(part[k], dtype=np.float32).reshape(-1, len(chosen)) for k in (True, False))
+    p, u = (np.array(part[k], dtype=np.float32).reshape(len(part[k]), len(chosen)) for k in (True, False))
     return fit_matrix(p, u, chosen, prior)
 
 

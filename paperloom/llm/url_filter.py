@@ -39,8 +39,8 @@ SEED_ALLOW = (
     "travel", "university", "weather", "wiki",
 )
 LONGEST_WORD = 20
-#: Count of a seed word in the unigram model, and in the naive Bayes.
-SEED_WEIGHT, SEED_COUNT = 50, 1
+#: Count of a seed word in the unigram model, and in the naive Bayes; what every word there gets for smoothing.
+SEED_WEIGHT, SEED_COUNT, SMOOTHING = 50, 0.1, 0.1
 BLOCK_PRIOR = 0.2
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -170,12 +170,12 @@ def judge(
         F.sum(F.when(F.col("_bad"), 0).otherwise(F.col("_n"))).alias("_allow"),
     )
     seeds = base.sparkSession.createDataFrame(
-        [(w, SEED_COUNT, 0) for w in SEED_BLOCK] + [(w, 0, SEED_COUNT) for w in SEED_ALLOW], "_word string, _block long, _allow long"
+        [(w, SEED_COUNT, 0.0) for w in SEED_BLOCK] + [(w, 0.0, SEED_COUNT) for w in SEED_ALLOW], "_word string, _block double, _allow double"
     )
     counts = words.join(taught, ["side", "value"]).select("_word", "_block", "_allow").unionByName(seeds)
     counts = counts.groupBy("_word").agg(F.sum("_block").alias("_b"), F.sum("_allow").alias("_a"))
     b, a, kinds = counts.agg(F.sum("_b"), F.sum("_a"), F.count(F.lit(1))).first()
-    odds = counts.select("_word", (F.log((F.col("_b") + 1) / (b + kinds)) - F.log((F.col("_a") + 1) / (a + kinds))).alias("_odds"))
+    odds = counts.select("_word", (F.log((F.col("_b") + SMOOTHING) / (b + SMOOTHING * kinds)) - F.log((F.col("_a") + SMOOTHING) / (a + SMOOTHING * kinds))).alias("_odds"))
     scores = words.join(odds, "_word").groupBy("side", "value").agg(F.sum("_odds").alias("_odds"))
     hosts = scores.where("side = 'host'").select(F.col("value").alias("_host"), F.col("_odds").alias("_host_odds"))
     shapes = scores.where("side = 'path'").select(F.col("value").alias("_shape"), F.col("_odds").alias("_path_odds"))
