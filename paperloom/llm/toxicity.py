@@ -79,7 +79,7 @@ def constant_model(share: float) -> Model:
 
 
 def fit_matrix(
-    p: np.ndarray, u: np.ndarray, buckets: list[int], prior: float, classifiers: int = 3, steps: int = 400, seed: int = 11
+    p: np.ndarray, u: np.ndarray, buckets: list[int], prior: float, classifiers: int = 3, steps: int = 250, seed: int = 11
 ) -> Model:
     """Classifiers, each fitted on four fifths of the positive rows ``p`` and of the unlabelled
     rows ``u``; their columns stand for ``buckets``."""
@@ -163,9 +163,9 @@ def fit(
 
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
     kind = docs.schema[id_col].dataType.simpleString()
-    # a sampled id may stand for several rows; the last bound is theirs
-    got = texts.join(F.broadcast(sample), "_id").mapInPandas(buckets, f"_id {kind}, _p boolean, _n int, _f array<int>")
-    got = cut_lineage(got.orderBy("_id", "_n", "_f").limit(2 * (POSITIVE_ROWS + UNLABELLED_ROWS)))
+    # a sampled id that stands for several texts counts with the first of them
+    once = texts.join(F.broadcast(sample), "_id").groupBy("_id", "_p").agg(F.min("_t").alias("_t"))
+    got = cut_lineage(once.mapInPandas(buckets, f"_id {kind}, _p boolean, _n int, _f array<int>"))
     n_p, n_u = got.agg(F.count_if("_p"), F.count_if(~F.col("_p"))).first()
     held = got.select("_p", F.explode(F.array_distinct("_f")).alias("_b")).groupBy("_b")
     held = held.agg(F.count_if("_p").alias("_a"), F.count_if(~F.col("_p")).alias("_c")).where("_a >= 3")
