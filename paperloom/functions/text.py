@@ -72,12 +72,25 @@ def matches(text: Column, patterns: Sequence[str]) -> Column:
     return F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in patterns])
 
 
-def first_match(text: Column, patterns: Sequence[str], guard: Callable[[Column], Column]) -> Column:
-    return F.get(F.filter(matches(text, patterns), guard), F.lit(0))
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def first_match(text: Column, patterns: Sequence[str], read: Callable[[Column], Column]) -> Column:
+    """The first match that ``read`` makes something of. Later patterns are tried only if earlier
+    ones give nothing."""
+    text = F.coalesce(text, F.lit(""))
+
+    def of(pattern: str) -> Column:
+        found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), read)
+        return F.get(F.filter(found, lambda x: x.isNotNull()), F.lit(0))
+
+    return F.coalesce(*[of(p) for p in patterns])
 
 
 def _long_enough(x: Column) -> Column:
-    return F.length(x) > 2
+    return F.when(F.length(x) > 2, x)
 
 
 def invoice_number(text: Column) -> Column:
@@ -90,8 +103,7 @@ def po_number(text: Column) -> Column:
 
 def total_amount(text: Column) -> Column:
     """The first amount after a total label, as text. "Subtotal" holds such a label too."""
-    cleaned = F.transform(matches(F.lower(text), AMOUNT), clean_amount)
-    return F.get(F.filter(cleaned, lambda x: x.isNotNull()), F.lit(0))
+    return first_match(F.lower(text), AMOUNT, clean_amount)
 
 
 def gstin_is_valid(value: Column) -> Column:
@@ -106,8 +118,7 @@ def gst_numbers(text: Column, distinct: bool = False) -> Column:
 
 def invoice_date(text: Column) -> Column:
     """The first date that can be read, as an ISO date string."""
-    found = F.transform(matches(F.lower(text), DATE), normalise_date)
-    return F.get(F.filter(found, lambda x: x.isNotNull()), F.lit(0))
+    return first_match(F.lower(text), DATE, normalise_date)
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
@@ -117,24 +128,26 @@ def _date(year: Column, month: Column, day: Column) -> Column:
 def normalise_date(text: Column) -> Column:
     """ISO date string of day-month-year, else month-day-year, else a date with an English month
     name; null for anything else. Years of two digits are 1969 to 2068."""
-    s = F.lower(F.regexp_replace(F.trim(text), r"\s+", " "))
-    numeric = r"^([0-9]{1,2})(?:/([0-9]{1,2})/|-([0-9]{1,2})-)([0-9]{4}|[0-9]{2})\z"
-    a = F.regexp_extract(s, numeric, 1)
-    b = F.concat(F.regexp_extract(s, numeric, 2), F.regexp_extract(s, numeric, 3))
-    y = F.regexp_extract(s, numeric, 4)
-    year = F.when(F.length(y) == 4, y).when(y >= "69", F.concat(F.lit("19"), y)).otherwise(F.concat(F.lit("20"), y))
-    day_first, name_first = r"^([0-9]{1,2}) ([a-z]+) ([0-9]{4})\z", r"^([a-z]+) ([0-9]{1,2}), ([0-9]{4})\z"
-
-    def named(pattern: str, day: int, name: int) -> Column:
-        word = F.regexp_extract(s, pattern, name)
+    part = lambda p, i: F.get(p, F.lit(i))
+
+    def numeric(p: Column) -> Column:
+        y = part(p, 2)
+        year = F.when(F.length(y) == 4, y).when(y >= "69", F.concat(F.lit("19"), y)).otherwise(F.concat(F.lit("20"), y))
+        return F.coalesce(_date(year, part(p, 1), part(p, 0)), _date(year, part(p, 0), part(p, 1)))
+
+    def named(p: Column, day: int, name: int) -> Column:
         full, short = F.array(*map(F.lit, MONTHS)), F.array(*[F.lit(m[:3]) for m in MONTHS])
-        month = F.greatest(F.array_position(full, word), F.array_position(short, word))
-        return F.when(month > 0, _date(F.regexp_extract(s, pattern, 3), month.cast("string"), F.regexp_extract(s, pattern, day)))
+        month = F.greatest(F.array_position(full, part(p, name)), F.array_position(short, part(p, name)))
+        return F.when(month > 0, _date(part(p, 2), month.cast("string"), part(p, day)))
+
+    def read(s: Column) -> Column:
+        return (
+            F.when(s.rlike(r"^[0-9]{1,2}(/[0-9]{1,2}/|-[0-9]{1,2}-)([0-9]{4}|[0-9]{2})\z"), let(F.split(s, "[-/]"), numeric))
+            .when(s.rlike(r"^[0-9]{1,2} [a-z]+ [0-9]{4}\z"), let(F.split(s, " "), lambda p: named(p, 0, 1)))
+            .when(s.rlike(r"^[a-z]+ [0-9]{1,2}, [0-9]{4}\z"), let(F.split(s, ",? "), lambda p: named(p, 1, 0)))
+        )
 
-    found = F.coalesce(
-        F.when(y != "", _date(year, b, a)), F.when(y != "", _date(year, a, b)), named(day_first, 1, 2), named(name_first, 2, 1)
-    )
-    return F.date_format(found, "yyyy-MM-dd")
+    return F.date_format(let(F.lower(F.regexp_replace(F.trim(text), r"\s+", " ")), read), "yyyy-MM-dd")
 
 
 def ends_address(line: Column) -> Column:
@@ -144,12 +157,18 @@ def ends_address(line: Column) -> Column:
 
 def shipping_address(text: Column) -> Column:
     """Up to five lines below the first line with an address label, as far as none ends it."""
+    first = lambda flags: F.array_position(flags, F.lit(True)).cast("int")
+
+    def below(lines: Column, start: Column) -> Column:
+        own = F.slice(lines, start + 1, F.lit(ADDRESS_LINES))
+        return let(own, lambda x: let(first(F.transform(x, ends_address)), lambda stop: F.when(stop > 0, F.slice(x, F.lit(1), stop - 1)).otherwise(x)))
+
+    def read(lines: Column) -> Column:
+        start = first(F.transform(lines, lambda x: F.lower(x).rlike("|".join(ADDRESS_STARTS))))
+        return let(start, lambda at: F.when(at > 0, below(lines, at)))
+
     lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x))
-    start = F.array_position(F.transform(lines, lambda x: F.lower(x).rlike("|".join(ADDRESS_STARTS))), F.lit(True))
-    below = F.slice(lines, (start + 1).cast("int"), F.lit(ADDRESS_LINES))
-    stop = F.array_position(F.transform(below, ends_address), F.lit(True)).cast("int")
-    kept = F.when(stop > 0, F.slice(below, F.lit(1), stop - 1)).otherwise(below)
-    return F.when((start > 0) & (F.size(kept) > 0), F.array_join(kept, "\n"))
+    return let(let(lines, read), lambda kept: F.when(F.size(kept) > 0, F.array_join(kept, "\n")))
 
 
 def clean_text(text: Column) -> Column:

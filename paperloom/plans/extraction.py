@@ -12,8 +12,8 @@ from ..operators import layout, output, verify
 def header_fields(texts: DataFrame) -> DataFrame:
     """The header fields of rows (doc_id, text)."""
     t = F.col("text")
-    gst = X.gst_numbers(t, distinct=True)
-    return texts.select(
+    gst = F.col("_gst")
+    return texts.withColumn("_gst", F.explode(F.array(X.gst_numbers(t, distinct=True)))).select(
         "doc_id",
         X.invoice_number(t).alias("invoice_number"),
         X.invoice_date(t).alias("invoice_date"),
