@@ -10,11 +10,11 @@ to one value of the document.
 from __future__ import annotations
 
 import re
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,24 +39,23 @@ class Vocabulary(dict):
     def __init__(self):
         super().__init__()
         self.low: list[str] = []
-        self.code, self.kind = np.zeros(1024, np.uint64), np.zeros(1024, np.int8)
+        self.code, self.kind = np.zeros(1 << 18, np.uint64), np.zeros(1 << 18, np.int8)
 
     def __missing__(self, raw: str) -> int:
         n = len(self.low)
         if n == len(self.code):
-            self.code, self.kind = np.resize(self.code, 2 * n), np.resize(self.kind, 2 * n)
+            self.code, self.kind = np.concatenate([self.code, np.zeros_like(self.code)]), np.concatenate([self.kind, np.zeros_like(self.kind)])
         low = raw.lower()
-        b = low.encode("utf-8", "surrogatepass")
         c = raw[0]
-        if c in ".!?":
-            kind = self.END
-        elif "0" <= c <= "9":
-            kind = NUMBER
-        elif low in UNITS:
+        if low in UNITS:
             kind = UNIT
+        elif c > "?":  # past digits and sentence marks
+            kind = self.CAPITALISED if c != low[0] and raw[1:] == low[1:] and len(raw) > 1 else 0
         else:
-            kind = self.CAPITALISED if raw != low and raw[1:] == low[1:] and len(raw) > 1 else 0
-        self.code[n], self.kind[n] = (zlib.crc32(b) << 32) | zlib.crc32(b, 0x9E3779B9), kind
+            kind = NUMBER if "0" <= c <= "9" else self.END
+        self.code[n] = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"))
+        if kind:
+            self.kind[n] = kind
         self.low.append(low)
         self[raw] = n
         return n

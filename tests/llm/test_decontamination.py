@@ -65,3 +65,9 @@ def test_query_equals_brute_force(spark, sf):
                 want.add((d, i))
     got = {(r.doc_id, r.item_id) for r in D.op5_decontamination(spark, sf).collect()}
     assert got <= want and all(items[i] not in (docs[d] or "") for d, i in want - got)
+
+
+def test_letters_beyond_the_alphabet_are_words():
+    t = D.canonical("x² Ⅷ end. Éa ß 1.5 mm?")
+    assert t.tokens() == ["x²", "ⅷ", "end", "éa", "ß", "1.5", "mm"]
+    assert t.kinds.tolist() == [0, 0, 0, 0, 0, D.NUMBER, D.UNIT]
