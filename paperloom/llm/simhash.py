@@ -7,6 +7,10 @@ members xor to 0: each 3 positions lie in exactly one of them and complements of
 sets, so whatever 3 bytes differ, one set is untouched. Per pair that meets in a posting list
 the shared positional bytes are tallied, pairs with the guaranteed 5 stay, and their
 distance is verified.
+
+A looser relation, the one that training data is cleared by, is the Jaccard similarity of sets of
+five-word shingles. ``near_duplicates`` finds candidates by bands of minimum hashes and verifies each
+by its exact similarity.
 """
 
 from __future__ import annotations
@@ -26,19 +30,32 @@ BITS = 3
 LEAST_BYTES = 8 - BITS
 POSITION_SETS = [c for c in itertools.combinations(range(8), 4) if c[0] ^ c[1] ^ c[2] ^ c[3] == 0]
 
+#: Near copies share this much of their sets of so many words. Bands of minimum hashes that propose
+#: them: two texts at 0.8 share one of 16 bands of 4 with probability 0.9998.
+WORDS, SIMILARITY, BANDS, ROWS, HUBS = 5, 0.8, 16, 4, 8
+_MASKS = np.random.default_rng(11).integers(0, 1 << 64, BANDS * ROWS, np.uint64)[:, None]
+_FACTORS = np.random.default_rng(13).integers(0, 1 << 64, BANDS * ROWS, np.uint64)[:, None] | np.uint64(1)
+
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """Unsigned SimHash of the shingles of ``words`` words, repeats included; 0 without words."""
+def _digests(text: str | None, words: int) -> bytes:
+    """Eight bytes for each shingle of ``words`` words (all words, if there are fewer)."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return b""
     if len(parts) <= words:
         shingles = [b" ".join(parts)]
     else:
         shingles = map(b" ".join, zip(*(parts[i:] for i in range(words)), strict=False))
-    digests = b"".join(map(xxhash.xxh64_digest, shingles, itertools.repeat(42)))
+    return b"".join(map(xxhash.xxh64_digest, shingles, itertools.repeat(42)))
+
+
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """Unsigned SimHash of the shingles of ``words`` words, repeats included; 0 without words."""
+    digests = _digests(text, words)
+    if not digests:
+        return 0
     n = len(digests) // 8
     # one histogram over (byte position, byte value), then bits per position
     at = np.frombuffer(digests, np.uint8).reshape(n, 8) + np.arange(0, 2048, 256, dtype=np.int16)
@@ -135,7 +152,8 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     for _ in range(most_rounds):
         state = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("_u", "_v").cast("decimal(38,0)"))).first()
         if state == seen or state[0] == 0:
-            return cur.select(F.col("_u").alias("_fp"), F.col("_v").alias("_root"))
+            found = cur.select(F.col("_u").alias("_fp"), F.col("_v").alias("_root"))
+            return found.unionByName(found.select(F.col("_root").alias("_fp"), "_root").distinct())
         seen = state
         both = cur.unionByName(cur.select(F.col("_v").alias("_u"), F.col("_u").alias("_v")))
         least = both.groupBy("_u").agg(F.min("_v").alias("_w")).withColumn("_w", F.least("_u", "_w"))
@@ -147,10 +165,25 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def near_duplicates(
+def _named(fps: DataFrame, classes: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
+    """Every row's id, fingerprint and component_id, from the rows (_id, _fp), their classes
+    (_fp, _least) and the roots of linked fingerprints."""
+    rooted = classes.join(roots, "_fp", "left").withColumn("_root", F.coalesce("_root", "_fp"))
+    named = rooted.groupBy("_root").agg(F.min("_least").alias("_component"))
+    linked = roots.join(named, "_root").select("_fp", "_component")
+    labels = classes.join(linked, "_fp", "left").select("_fp", F.coalesce("_component", "_least").alias("_component"))
+    labels = cut_lineage(labels)  # so both sides of the join are shuffled for it, and a frequent fingerprint can be split
+    return fps.join(labels, "_fp").select(
+        F.col("_id").alias(id_col),
+        F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
+        F.col("_component").alias("component_id"),
+    )
+
+
+def fingerprint_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, most_in_list: int = 256
 ) -> DataFrame:
-    """Every row's id, fingerprint (16 hex digits) and component_id.
+    """Every row's id, fingerprint (16 hex digits) and component_id, by bits alone.
 
     component_id is the smallest id reachable over links of at most 3 differing bits, the
     row's own included; null only if no reachable row has an id. Texts without words (null
@@ -160,17 +193,120 @@ def near_duplicates(
     """
     fps = cut_lineage(fingerprints(docs, id_col, text_col, words))
     classes = cut_lineage(fps.groupBy("_fp").agg(F.min("_id").alias("_least")))
-    roots = components(links(classes.select("_fp"), most_in_list))
-    rooted = classes.join(roots, "_fp", "left").withColumn("_root", F.coalesce("_root", "_fp"))
-    named = rooted.groupBy("_root").agg(F.min("_least").alias("_component"))
-    linked = roots.join(named, "_root").select("_fp", "_component")
-    labels = classes.join(linked, "_fp", "left").select("_fp", F.coalesce("_component", "_least").alias("_component"))
-    labels = cut_lineage(labels)  # so both sides of the join are shuffled for it, and a frequent fingerprint can be split
-    return fps.join(labels, "_fp").select(
-        F.col("_id").alias(id_col),
-        F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
-        F.col("_component").alias("component_id"),
+    return _named(fps, classes, components(links(classes.select("_fp"), most_in_list)), id_col)
+
+
+def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The distinct shingles' signed hashes, ascending."""
+    return np.unique(np.frombuffer(_digests(text, words), ">i8").astype(np.int64))
+
+
+def set_fingerprint(own: np.ndarray) -> int:
+    """Signed; equal for equal sets."""
+    return int(np.uint64(xxhash.xxh64_intdigest(own.tobytes())).view(np.int64))
+
+
+def band_keys(own: np.ndarray) -> np.ndarray:
+    """One signed key for each band of minimum hashes; none for an empty set."""
+    if not len(own):
+        return np.empty(0, dtype=np.int64)
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(own), 2048):
+        low = np.minimum(low, ((own[at : at + 2048].view(np.uint64) ^ _MASKS) * _FACTORS).min(axis=1))
+    out = np.arange(BANDS, dtype=np.uint64)
+    for i in range(ROWS):
+        out = (out ^ low[i::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
+def _candidates(posted: DataFrame, most_in_list: int, similarity: float) -> DataFrame:
+    """Distinct pairs (_a, _b) of sets that share a band and whose sizes allow ``similarity``.
+
+    Lists of up to ``most_in_list`` sets give all their pairs. A longer one is cut by each
+    other band in turn, so its members meet again where they share two bands; what is longer
+    still gives pairs with ``HUBS`` of its members, in proportion to its length; two of its
+    members that are near each other but near no hub of any list can stay apart.
+    """
+
+    def listed(rows: DataFrame) -> DataFrame:
+        lists = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        return cut_lineage(rows.join(lists, "_key"))
+
+    def pairs(met: DataFrame) -> DataFrame:
+        short = met.where(F.col("_n") <= most_in_list)
+        a = short.select("_key", F.col("_fp").alias("_a"), F.col("_size").alias("_na"))
+        b = short.select("_key", F.col("_fp").alias("_b"), F.col("_size").alias("_nb"))
+        return a.join(b, "_key").where("_a < _b").select("_a", "_b", "_na", "_nb")
+
+    once = listed(posted)
+    long = once.where(F.col("_n") > most_in_list).select("_key", "_fp", "_size")
+    other = posted.select("_fp", F.col("_key").alias("_with"))
+    again = long.join(other, "_fp").where("_key != _with").select(F.xxhash64("_key", "_with").alias("_key"), "_fp", "_size")
+    twice = listed(again)
+    crowd = twice.where(F.col("_n") > most_in_list)
+    chosen = [F.min(F.struct(F.xxhash64("_fp", F.lit(i)), "_fp", "_size")) for i in range(HUBS)]
+    hubs = crowd.groupBy("_key").agg(F.array(*chosen).alias("_hubs")).select("_key", F.explode("_hubs").alias("_hub"))
+    stars = crowd.join(hubs, "_key").where("_fp != _hub._fp").select(
+        F.least("_fp", "_hub._fp").alias("_a"), F.greatest("_fp", "_hub._fp").alias("_b"), F.col("_size").alias("_na"), F.col("_hub._size").alias("_nb")
     )
+    met = pairs(once).unionByName(pairs(twice)).unionByName(stars)
+    return met.where(F.least("_na", "_nb") >= F.lit(similarity) * F.greatest("_na", "_nb")).select("_a", "_b").distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets have a Jaccard similarity of at least ``similarity``."""
+    a = sets.select(F.col("_fp").alias("_a"), F.col("_set").alias("_sa"))
+    b = sets.select(F.col("_fp").alias("_b"), F.col("_set").alias("_sb"))
+    both = pairs.join(a, "_a").join(b, "_b").withColumn("_shared", F.size(F.array_intersect("_sa", "_sb")))
+    return both.where(F.col("_shared") / (F.size("_sa") + F.size("_sb") - F.col("_shared")) >= similarity).select("_a", "_b")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    most_in_list: int = 32,
+) -> DataFrame:
+    """Every row's id, fingerprint (16 hex digits) of its set of shingles, and component_id.
+
+    component_id is the smallest id reachable over links of at least ``similarity``, the row's
+    own included; null only if no reachable row has an id. Every link is verified by the exact
+    Jaccard similarity of the sets of ``words``-word shingles. Texts with equal sets are one
+    class (those without words another), so copies meet in no pairs. Repeated rows stay
+    repeated, an empty table gives no rows, other columns are ignored. Texts are hashed whole.
+    """
+
+    def keys(frames):
+        for f in frames:
+            own = [shingle_set(t, words) for t in f["_t"]]
+            fps = np.array([set_fingerprint(s) for s in own], dtype=np.int64)
+            yield pd.DataFrame({"_id": f["_id"], "_fp": fps, "_size": [len(s) for s in own], "_keys": [band_keys(s) for s in own]})
+
+    def sets(frames):
+        seen = set()  # a task gives a frequent set once
+        for f in frames:
+            out = []
+            for t in f["_t"]:
+                own = shingle_set(t, words)
+                fp = set_fingerprint(own)
+                if fp not in seen:
+                    seen.add(fp)
+                    out.append((fp, own))
+            yield pd.DataFrame(out, columns=["_fp", "_set"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    own = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
+    rows = cut_lineage(own.mapInPandas(keys, f"_id {kind}, _fp long, _size int, _keys array<long>"))
+    posted = rows.select("_fp", "_size", F.explode("_keys").alias("_key")).distinct()
+    pairs = cut_lineage(_candidates(posted, most_in_list, similarity))
+    wanted = pairs.select(F.explode(F.array("_a", "_b")).alias("_fp")).distinct()
+    found = own.select("_t").mapInPandas(sets, "_fp long, _set array<long>").join(wanted, "_fp", "left_semi")
+    found = cut_lineage(found.dropDuplicates(["_fp"]))
+    classes = cut_lineage(rows.groupBy("_fp").agg(F.min("_id").alias("_least")))
+    return _named(rows.select("_id", "_fp"), classes, components(_verified(pairs, found, similarity)), id_col)
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,4 +325,4 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def op2_simhash(spark, sf_dir):
     from .common import table
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return fingerprint_groups(table(spark, sf_dir, "documents"))

@@ -86,3 +86,58 @@ def test_one_of_each_stays(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((r.doc_id for r in simhash.keep_one_of_each(df).collect()), key=str) == sorted([1, 2, 5, None], key=str)
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def brute_similar(texts, least=0.8):
+    """Components over exact Jaccard similarities of the sets of five-word shingles."""
+    sets = {}
+    for i, t in texts.items():
+        words = (t or "").lower().split()
+        sets[i] = {" ".join(words[k : k + 5]) for k in range(max(len(words) - 4, 1))} if words else set()
+    holders = {}
+    for i, s in sets.items():
+        for x in s or {""}:
+            holders.setdefault(x, set()).add(i)
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    pairs = {(a, b) for own in holders.values() for a in own for b in own if a < b}
+    near = {(a, b) for a, b in pairs if sets[a] == sets[b] or len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])}
+    for a, b in near:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+def test_copies_with_a_few_edits_are_one_group_and_others_are_not(spark):
+    rng = random.Random(5)
+    texts = {}
+    for g in range(12):
+        base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+        for k in range(6):
+            own = list(base)
+            for _ in range(k):
+                own[rng.randrange(len(own))] = f"new{rng.randrange(4000)}"
+            texts[10 * g + k] = " ".join(own)
+        texts[10 * g + 9] = " ".join(base[:80] + [f"v{rng.randrange(4000)}" for _ in range(70)])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_similar(texts)
+    assert len(set(want.values())) < len(want)
+    for most in (32, 2):
+        assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, most_in_list=most).collect()} == want
+    assert sorted(r.doc_id for r in simhash.keep_one_of_each(df).collect()) == sorted(set(want.values()))
+
+
+def test_near_duplicates_of_the_table_equal_brute_force(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    want = brute_similar({r.doc_id: r.text for r in docs.collect()})
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()} == want
+
+
+def test_every_linked_fingerprint_has_a_root_the_root_too(spark):
+    edges = spark.createDataFrame([(1, 5), (5, 9), (20, 30)], "_a long, _b long")
+    assert sorted(map(tuple, simhash.components(edges).collect())) == [(1, 1), (5, 1), (9, 1), (20, 20), (30, 20)]
