@@ -68,26 +68,40 @@ _MOST_WORDS = 150_000
 
 @dataclass
 class Template:
-    """Tokens of one text without sentence marks: numbers in ``words``, template codes, kinds."""
+    """Tokens of one text without sentence marks: their numbers in ``words``; and where each token
+    or slot begins, template codes and kinds. A run of one kind of slot is one slot."""
 
     words: Vocabulary
     numbers: np.ndarray
+    starts: np.ndarray
     codes: np.ndarray
     kinds: np.ndarray
 
+    def value(self, i: int) -> str:
+        end = self.starts[i + 1] if i + 1 < len(self.starts) else len(self.numbers)
+        return " ".join([self.words.low[n] for n in self.numbers[self.starts[i] : end].tolist()])
+
     def slots(self, at: int, width: int) -> list[str]:
         """The values of the slots among ``width`` tokens, an empty string for other tokens."""
-        own = zip(self.numbers[at : at + width].tolist(), self.kinds[at : at + width].tolist(), strict=True)
-        return [self.words.low[n] if k else "" for n, k in own]
+        return [self.value(at + i) if k else "" for i, k in enumerate(self.kinds[at : at + width].tolist())]
 
     def tokens(self) -> list[str]:
-        return [self.words.low[n] for n in self.numbers.tolist()]
+        return [self.value(i) for i in range(len(self.starts))]
 
 
-def canonical(text: str | None) -> Template:
+def _template(numbers: np.ndarray, kinds: np.ndarray) -> Template:
+    begins = np.ones(len(kinds), dtype=bool)
+    begins[1:] = (kinds[1:] == 0) | (kinds[1:] != kinds[:-1])
+    starts = np.flatnonzero(begins)
+    kinds = kinds[starts]
+    codes = np.where(kinds > 0, kinds.astype(np.uint64), _WORDS.code[numbers[starts]])
+    return Template(_WORDS, numbers, starts, codes, kinds)
+
+
+def readings(text: str | None) -> list[Template]:
     """A text as tokens in lower case, and the kind of each: 0 a word, else ``NUMBER``, ``NAME``
     (capitalised, but not at the start of a sentence) or ``UNIT``. Codes of slots depend on the
-    kind alone."""
+    kind alone. If capitalised tokens start sentences, a second template has these as names."""
     global _WORDS
     if len(_WORDS) > _MOST_WORDS:
         _WORDS = Vocabulary()
@@ -98,10 +112,34 @@ def canonical(text: str | None) -> Template:
     first = np.ones(len(raw), dtype=bool)
     first[1:] = ends[:-1]
     capital = kinds == Vocabulary.CAPITALISED
+    named = np.where(capital, NAME, kinds)[~ends]
     kinds[capital] = np.where(first[capital], 0, NAME)
     numbers, kinds = numbers[~ends], kinds[~ends]
-    codes = np.where(kinds > 0, kinds.astype(np.uint64), _WORDS.code[numbers])
-    return Template(_WORDS, numbers, codes, kinds)
+    plain = _template(numbers, kinds)
+    return [plain] if np.array_equal(kinds, named) else [plain, _template(numbers, named)]
+
+
+def canonical(text: str | None) -> Template:
+    """The first of the ``readings``: a token at the start of a sentence is a word."""
+    return readings(text)[0]
+
+
+def read_windows(own: list[Template], width: int):
+    """(template, hashes, positions, indices) of each reading's windows. Positions count in the
+    first reading; a later one only gives full windows, and those that the first lacks."""
+    plain = own[0]
+    hashes = window_hashes(plain.codes, width)
+    at = np.arange(len(hashes))
+    yield plain, hashes, at, at
+    for other in own[1:]:
+        if len(other.codes) < width:
+            continue
+        more = window_hashes(other.codes, width)
+        place = np.searchsorted(plain.starts, other.starts[: len(more)])
+        known = np.zeros(len(plain.starts), dtype=np.int64)
+        known[: len(hashes)] = hashes
+        new = np.flatnonzero((more != known[place]) & (place < len(hashes)))
+        yield other, more[new], place[new], new
 
 
 def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -173,10 +211,11 @@ def find_leaks(
         for f in frames:
             out = []
             for item, text in zip(f["_item"], f["_t"], strict=True):
-                found = canonical(text)
-                hashes = window_hashes(found.codes, width)
-                w = min(width, len(found.codes))
-                out += [(item, h, i, len(hashes), w, found.slots(i, w)) for i, h in enumerate(hashes.tolist())]
+                own = readings(text)
+                w = min(width, len(own[0].codes))
+                n = len(own[0].codes) - w + 1
+                for found, hashes, places, at in read_windows(own, width):
+                    out += [(item, h, p, n, w, found.slots(i, w)) for h, p, i in zip(hashes.tolist(), places.tolist(), at.tolist(), strict=True)]
             yield pd.DataFrame(out, columns=["_item", "_h", "_ipos", "_n", "_w", "_islots"])
 
     items = benchmark.where(F.col(item_col).isNotNull()).select(
@@ -207,13 +246,13 @@ def find_leaks(
         for f in frames:
             out = []
             for doc, text in zip(f["_doc"], f["_t"], strict=True):
-                template = canonical(text)
+                own = readings(text)
                 for w in sizes:
-                    if len(template.codes) < w:
+                    if len(own[0].codes) < w:
                         continue
-                    hashes = window_hashes(template.codes, w)
-                    for i in np.flatnonzero(allowed[hashes.view(np.uint64) >> np.uint64(64 - filter_bits)]).tolist():
-                        out.append((doc, int(hashes[i]), i, w, template.slots(i, w)))
+                    for template, hashes, places, at in read_windows(own if w == width else own[:1], w):
+                        for i in np.flatnonzero(allowed[hashes.view(np.uint64) >> np.uint64(64 - filter_bits)]).tolist():
+                            out.append((doc, int(hashes[i]), int(places[i]), w, template.slots(int(at[i]), w)))
             yield pd.DataFrame(out, columns=["_doc", "_h", "_dpos", "_w", "_dslots"])
 
     texts = docs.where(F.col(id_col).isNotNull()).select(

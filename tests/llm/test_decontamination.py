@@ -71,3 +71,13 @@ def test_letters_beyond_the_alphabet_are_words():
     t = D.canonical("x² Ⅷ end. Éa ß 1.5 mm?")
     assert t.tokens() == ["x²", "ⅷ", "end", "éa", "ß", "1.5", "mm"]
     assert t.kinds.tolist() == [0, 0, 0, 0, 0, D.NUMBER, D.UNIT]
+
+
+def test_names_that_start_sentences_may_be_swapped(spark):
+    item = "Maria has 12 red apples. Peter has 5 green apples. Anna has 3 small apples. Julia has 9 large apples. How many apples are there?"
+    swapped = item
+    for a, b in (("Maria", "Susan"), ("Peter", "Robert"), ("Anna", "Clara"), ("Julia", "Helen"), ("12", "40"), ("5", "6"), ("3", "8"), ("9", "7")):
+        swapped = swapped.replace(a, b)
+    got = leaks(spark, [swapped, FILL + "Question: " + swapped, FILL, item.lower()], (item,))
+    assert {d for d, _ in got} == {0, 1, 3}
+    assert got[0, 0].share == got[3, 0].share == 1.0
