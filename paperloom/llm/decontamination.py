@@ -9,13 +9,14 @@ to one value of the document.
 
 from __future__ import annotations
 
+import bisect
 import re
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage
@@ -172,6 +173,20 @@ def consistent(theirs: list[str], ours: list[str], kinds: np.ndarray) -> float:
     return min(share)
 
 
+def _in_order(cells: list[tuple[int, int]]) -> list[int]:
+    """Indices of a longest run of (item position, document position) that rises in both."""
+    tails, last, before = [], [], [-1] * len(cells)
+    for k in sorted(range(len(cells)), key=lambda k: cells[k]):
+        j = bisect.bisect_left(tails, cells[k][1])
+        before[k] = last[j - 1] if j else -1
+        tails[j:j + 1], last[j:j + 1] = [cells[k][1]], [k]
+    out, k = [], last[-1] if last else -1
+    while k >= 0:
+        out.append(k)
+        k = before[k]
+    return out[::-1]
+
+
 def _filter_bits(hashes: np.ndarray, bits: int) -> np.ndarray:
     """A one-hash filter of ``2**bits`` bits."""
     flags = np.zeros(1 << bits, dtype=bool)
@@ -192,7 +207,8 @@ def find_leaks(
     filter_bits: int = 22,
 ) -> DataFrame:
     """One row for each document and item that the document leaks: id, item, share (of the
-    item's template windows found along one alignment), n_windows, n_slots, consistency.
+    item's template windows found along one alignment, or in order along alignments whose
+    shifts follow each other by at most ``width`` positions), n_windows, n_slots, consistency.
 
     An item of fewer than ``width`` tokens has one window, all of it, and is sought by its own
     width. Null and empty texts have no windows. Rows with a null id or a null item id take no
@@ -261,12 +277,35 @@ def find_leaks(
     found = texts.mapInPandas(doc_windows, f"_doc {doc_kind}, _h long, _dpos int, _w int, _dslots array<string>")
     met = found.join(known, ["_h", "_w"])
     # windows of one alignment have one difference of positions
-    along = met.groupBy("_doc", "_item", (F.col("_dpos") - F.col("_ipos")).alias("_shift")).agg(
+    along = cut_lineage(met.groupBy("_doc", "_item", (F.col("_dpos") - F.col("_ipos")).alias("_shift")).agg(
         F.countDistinct("_ipos").alias("_got"),
         F.max("_n").alias("_n"),
         F.collect_set(F.struct("_ipos", "_islots", "_dslots")).alias("_cells"),
+    ))
+    # an inserted word or sentence moves all that follows, so near shifts are also taken together
+    by_shift = Window.partitionBy("_doc", "_item").orderBy("_shift")
+    shifts = along.select("_doc", "_item", "_shift", "_got", "_n")
+    starts = F.coalesce(F.col("_shift") - F.lag("_shift").over(by_shift) > width, F.lit(True))
+    chains = shifts.withColumn("_new", starts.cast("int")).withColumn("_chain", F.sum("_new").over(by_shift))
+    reach = chains.groupBy("_doc", "_item", "_chain").agg(
+        F.min("_shift").alias("_low"), F.max("_shift").alias("_high"), F.sum("_got").alias("_sum"), F.max("_n").alias("_m")
+    )
+    need = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(least_share)))
+    reach = reach.where("_low < _high").where(F.col("_sum") >= F.greatest(F.lit(1), F.ceil(F.col("_m") * F.lit(least_share))))
+    member = along.join(reach, ["_doc", "_item"]).where("_shift between _low and _high")
+    cell = F.struct("_got", "_shift", "_c")  # a window's place along the alignment that has most
+    one = member.select("_doc", "_item", "_chain", "_n", "_got", "_shift", F.explode("_cells").alias("_c"))
+    one = one.groupBy("_doc", "_item", "_chain", "_n", F.col("_c._ipos").alias("_i")).agg(F.max(cell).alias("_x"))
+    joint = one.groupBy("_doc", "_item", "_chain", "_n").agg(F.collect_list(F.struct("_x._shift", "_x._c")).alias("_xs"))
+
+    @F.pandas_udf("array<int>")
+    def ordered(cells: pd.Series) -> pd.Series:
+        return pd.Series([_in_order([(x["_c"]["_ipos"], x["_c"]["_ipos"] + x["_shift"]) for x in own]) for own in cells])
+
+    joint = joint.withColumn("_xs", F.sort_array("_xs")).withColumn("_at", ordered("_xs")).select(
+        "_doc", "_item", F.size("_at").cast("long").alias("_got"), "_n", F.transform("_at", lambda k: F.col("_xs")[k]["_c"]).alias("_cells")
     )
-    enough = along.where(F.col("_got") >= F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(least_share))))
+    enough = along.select("_doc", "_item", "_got", "_n", "_cells").unionByName(joint).where(F.col("_got") >= need)
 
     @F.pandas_udf("struct<slots:int,consistency:double>")
     def slots(cells: pd.Series) -> pd.DataFrame:

@@ -81,3 +81,25 @@ def test_names_that_start_sentences_may_be_swapped(spark):
     got = leaks(spark, [swapped, FILL + "Question: " + swapped, FILL, item.lower()], (item,))
     assert {d for d, _ in got} == {0, 1, 3}
     assert got[0, 0].share == got[3, 0].share == 1.0
+
+
+def test_longer_names_and_inserted_words_do_not_split_a_leak(spark):
+    item = (
+        "On the first day old Maria sold 12 red apples to her friend at the market. In the same week old Peter sold 30 green pears to the "
+        "people of the town, and then young Anna bought 7 yellow plums from both of them for her mother. How much fruit was left?"
+    )
+    longer = item.replace("Maria", "Mary Ann").replace("Peter", "John Paul").replace("Anna", "Rosa Lee").replace("12", "41").replace("30", "52").replace("7", "9")
+    inserted = longer.replace("her friend", "her very good friend").replace("the same week", "the very same week").replace("people of", "good people of")
+    inserted = inserted.replace("from both", "again from both")
+    got = leaks(spark, [longer, FILL + inserted, FILL * 3], (item,))
+    assert {d for d, _ in got} == {0, 1}
+    assert got[0, 0].share == 1.0
+    plain = D.canonical(item)
+    known = set(D.window_hashes(plain.codes, D.WINDOW).tolist())
+    along = [i - j for i, h in enumerate(D.window_hashes(D.canonical(inserted).codes, D.WINDOW).tolist()) if h in known for j, g in enumerate(D.window_hashes(plain.codes, D.WINDOW).tolist()) if g == h]
+    assert max(along.count(x) for x in along) < 0.3 * (len(plain.codes) - D.WINDOW + 1)
+
+
+def test_windows_in_order():
+    assert D._in_order([(0, 5), (1, 2), (2, 6), (3, 3), (4, 7)]) in ([0, 2, 4], [1, 3, 4])
+    assert D._in_order([]) == []
