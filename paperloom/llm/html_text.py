@@ -12,6 +12,8 @@ from __future__ import annotations
 import html as html_module
 import re
 import zlib
+from bisect import bisect_right
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,84 +30,160 @@ INLINE = {
     "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = "script|style|noscript|template|textarea|svg|iframe"
+RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe"}
 #: An opening tag ends an open element of the second kind within the nearest of its containers.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 _CLOSING_P = {
     "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
     "header", "hr", "main", "nav", "ol", "pre", "section", "table", "ul", "figure",
 }
+CLOSES |= {t: {"p"} for t in _CLOSING_P}
 _BOUND = {"html", "body", "article", "aside", "div", "section", "main", "nav", "header", "footer", "form", "table", "ul", "ol", "dl", "blockquote", "td", "th", "li", "dd"}
-_PIECE = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+_NAME = re.compile(r"/?[A-Za-z][A-Za-z0-9:-]*")
+_QUOTED_END = re.compile(r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>")
+_RAW_END = {t: re.compile(rf"</{t}\s*+>", re.I) for t in RAW}
+_LONG_NUMBER = re.compile(r"&#([0-9]{100,})")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 
 
-def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
-    """(path, text, link characters) of every text block of a page in page order.
+def pieces(page: str) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, name, attributes) of every piece of markup, in page order and in one pass.
+
+    The name is that of the tag in lower case, with a slash before it for a closing tag, or
+    empty for what only goes: comments, declarations, and scripts and the like with what they
+    hold. Those without an end go to the page's end. A ``<`` that begins no tag, or that no
+    ``>`` follows, is text. A quoted attribute may hold ``>``; from the first tag on whose
+    quotes leave it without an end, quotes are ordinary characters.
+    """
+    at, quotes, last = page.find("<"), True, page.rfind(">")
+    while at >= 0:
+        end = -1
+        name = rest = ""
+        follows = page[at + 1 : at + 2]
+        if page.startswith("<!--", at):
+            close = page.find("-->", at + 4)
+            end = close + 3 if close >= 0 else len(page)
+        elif at > last:
+            return
+        elif follows in ("!", "?"):
+            end = page.find(">", at) + 1
+        elif m := _NAME.match(page, at + 1):
+            close = _QUOTED_END.match(page, m.end()) if quotes else None
+            quotes = close is not None
+            end = close.end() if close else page.find(">", m.end()) + 1
+            name, rest = m[0].lower(), page[m.end() : end - 1]
+            if name in RAW:
+                if not (name == "svg" and rest.endswith("/")):
+                    stop = _RAW_END[name].search(page, end)
+                    end = stop.end() if stop else len(page)
+                name = ""
+        if end < 0:
+            at = page.find("<", at + 1)
+            continue
+        yield at, end, name, rest
+        at = page.find("<", end)
+
+
+class _Open:
+    """The open elements. What a block needs of its path is kept for each: the set of hashed path
+    tokens as the bits of a number, and the last token's own place."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self.paths: list[tuple[int, int]] = [(0, -1)]
+        self.places: dict[str, list[int]] = {}
+        self.bounds: list[int] = []
+
+    def push(self, tag: str, rest: str) -> None:
+        bits, last = _tokens(tag, rest) if len(rest) < 1000 else _tokens.__wrapped__(tag, rest)
+        self.places.setdefault(tag, []).append(len(self.tags))
+        if tag in _BOUND:
+            self.bounds.append(len(self.tags))
+        self.tags.append(tag)
+        self.paths.append((self.paths[-1][0] | bits, last))
+
+    def cut(self, depth: int) -> None:
+        """Closes all elements from ``depth`` on."""
+        while len(self.tags) > depth:
+            tag = self.tags.pop()
+            self.paths.pop()
+            self.places[tag].pop()
+            if tag in _BOUND:
+                self.bounds.pop()
+
+    def close(self, tag: str) -> None:
+        if self.places.get(tag):
+            self.cut(self.places[tag][-1])
+
+    def end_by(self, tag: str) -> None:
+        """Closes what an opening ``tag`` ends."""
+        ends = CLOSES.get(tag)
+        if not ends:
+            return
+        k = len(self.bounds) - 1
+        while k >= 0 and self.tags[self.bounds[k]] in ends:
+            k -= 1
+        bound = self.bounds[k] if k >= 0 else -1
+        first = len(self.tags)
+        for t in ends:
+            own = self.places.get(t)
+            if own and own[-1] > bound:
+                first = min(first, own[bisect_right(own, bound)])
+        self.cut(first)
+
+
+def blocks(page: str | None) -> list[tuple[tuple[int, int], str, int]]:
+    """(path, text, link characters) of every text block of a page in page order, in time
+    linear in the page.
 
     Character references are decoded, white space within a block is one space, empty blocks
-    are left out. Scripts, styles, comments and declarations hold no blocks; unclosed ones go
-    to the page's end.
+    are left out. ``pieces`` says what is markup. The path is the set of hashed tag, class, id
+    and role tokens of all open elements, as bits, and the place of the innermost one.
     """
     if not page:
         return []
     out: list = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    path: tuple[str, ...] = ()
+    opened = _Open()
     parts: list[str] = []
-    links = linked = 0
+    links = linked = at = 0
 
     def flush() -> None:
         nonlocal parts, linked
         if parts:
-            text = " ".join(html_module.unescape("".join(parts)).split())
+            raw = "".join(parts)
+            if "&#" in raw:  # numbers beyond all code points, before they are read as such
+                raw = _LONG_NUMBER.sub(lambda m: "&#" + (m[1].lstrip("0")[:8] or "0"), raw)
+            text = " ".join(html_module.unescape(raw).split())
             if text:
-                out.append((path, text, min(linked, len(text))))
+                out.append((opened.paths[-1], text, min(linked, len(text))))
             parts = []
         linked = 0
 
-    at = 0
-    for m in _PIECE.finditer(page):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
+    for start, end, name, rest in pieces(page):
+        if start > at:
+            parts.append(page[at:start])
             if links:
-                linked += m.start() - at
-        at = m.end()
-        tag = m["tag"]
-        if tag is None:
+                linked += start - at
+        at = end
+        closing = name.startswith("/")
+        tag = name[1:] if closing else name
+        if not tag:
             continue
-        tag = tag.lower()
         if tag in INLINE:
             if tag == "br":
                 parts.append(" ")
             elif tag == "a":
-                links = 0 if m["end"] else 1
+                links = 0 if closing else 1
             continue
         flush()
         links = 0
-        if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+        if closing:
+            opened.close(tag)
         else:
-            ends = CLOSES.get(tag) or ({"p"} if tag in _CLOSING_P else None)
-            if ends:
-                last = None
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in ends:
-                        last = i
-                    elif stack[i][0] in _BOUND:
-                        break
-                if last is not None:
-                    del stack[last:]
-            if tag not in VOID and not m["rest"].endswith("/"):
-                stack.append((tag, _tokens(tag, m["rest"])))
-        path = sum((t for _, t in stack), ())
+            opened.end_by(tag)
+            if tag not in VOID and not rest.endswith("/"):
+                opened.push(tag, rest)
     if at < len(page):
         parts.append(page[at:])
         linked += len(page) - at if links else 0
@@ -113,22 +191,28 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
     return out
 
 
+def _place(token: str) -> int:
+    return zlib.crc32(token.encode("utf-8", "surrogatepass")) % PATH_DIM
+
+
 @lru_cache(maxsize=20_000)
-def _tokens(tag: str, rest: str) -> tuple[str, ...]:
-    """The tag and the words of its class, id and role."""
+def _tokens(tag: str, rest: str) -> tuple[int, int]:
+    """The tag and the words of its class, id and role as bits, and the place of the last of them."""
     out = ["h" if re.fullmatch("h[1-6]", tag) else tag]
     for _, value in _ATTR.findall(rest):
         out += [f".{w}" for w in _SPLIT.split(value.lower()) if w]
-    return tuple(out)
+    bits = 0
+    for t in out:
+        bits |= 1 << _place(t)
+    return bits, _place(f"last:{out[-1]}")
 
 
 @lru_cache(maxsize=50_000)
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    v = np.zeros(PATH_DIM, dtype=np.float32)
-    for t in path:
-        v[zlib.crc32(t.encode("utf-8", "surrogatepass")) % PATH_DIM] = 1
-    if path:
-        v[zlib.crc32(b"last:" + path[-1].encode("utf-8", "surrogatepass")) % PATH_DIM] += 0.5
+def _path_vector(path: tuple[int, int]) -> np.ndarray:
+    bits, last = path
+    v = np.array([bits >> i & 1 for i in range(PATH_DIM)], dtype=np.float32)
+    if last >= 0:
+        v[last] += 0.5
     return v
 
 
@@ -143,10 +227,11 @@ class _Buckets(dict):
 _BUCKETS = _Buckets()
 
 
-def features(page_blocks: list) -> np.ndarray:
-    """One row of ``INPUTS`` numbers for each block."""
-    n = len(page_blocks)
-    x = np.zeros((n, INPUTS), dtype=np.float32)
+def features(page_blocks: list, first: int = 0, of: int | None = None) -> np.ndarray:
+    """One row of ``INPUTS`` numbers for each block; the blocks are those from number ``first`` on
+    of a page that has ``of``."""
+    n = len(page_blocks) if of is None else of
+    x = np.zeros((len(page_blocks), INPUTS), dtype=np.float32)
     for i, (path, text, linked) in enumerate(page_blocks):
         words = text.split(" ")
         x[i, :PATH_DIM] = _path_vector(path)
@@ -157,7 +242,7 @@ def features(page_blocks: list) -> np.ndarray:
             min(len(words), 50) / 50,
             linked / len(text),
             text.count(".") / len(words),
-            i / n,
+            (first + i) / n,
             text[-1] in ".!?",
         )
     return x
@@ -176,14 +261,14 @@ class Labeller:
             self.p |= {f"W{d}": rng.normal(0, 0.15, (INPUTS, 4 * h)), f"U{d}": rng.normal(0, 0.2, (h, 4 * h)), f"b{d}": bias}
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
-    def _run(self, x: np.ndarray, d: str, keep: bool) -> tuple[np.ndarray, list]:
-        """x is (time, pages, inputs); the hidden states, and what the way back needs."""
+    def _run(self, x: np.ndarray, d: str, keep: bool, state: tuple | None = None) -> tuple[np.ndarray, list, tuple]:
+        """x is (time, pages, inputs); the hidden states, what the way back needs, and the last state."""
         t, b, _ = x.shape
         n = self.hidden
         xw = x.reshape(t * b, -1) @ self.p[f"W{d}"] + self.p[f"b{d}"]
         xw = xw.reshape(t, b, 4 * n)
         u = self.p[f"U{d}"]
-        h, c = np.zeros((b, n), np.float32), np.zeros((b, n), np.float32)
+        h, c = state or (np.zeros((b, n), np.float32), np.zeros((b, n), np.float32))
         hs, saved = np.empty((t, b, n), np.float32), []
         for i in range(t):
             g = xw[i] + h @ u
@@ -197,7 +282,7 @@ class Labeller:
             hs[i] = h
             if keep:
                 saved.append((s, z, before, tc, last))
-        return hs, saved
+        return hs, saved, (h, c)
 
     @staticmethod
     def _flip(x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -208,8 +293,8 @@ class Labeller:
         return out
 
     def logits(self, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        f, _ = self._run(x, "f", False)
-        b, _ = self._run(self._flip(x, lengths), "b", False)
+        f = self._run(x, "f", False)[0]
+        b = self._run(self._flip(x, lengths), "b", False)[0]
         n = self.hidden
         return f @ self.p["V"][:n] + self._flip(b, lengths) @ self.p["V"][n:] + self.p["c"]
 
@@ -217,8 +302,8 @@ class Labeller:
         n, (t, b, _) = self.hidden, x.shape
         real = np.arange(t)[:, None] < lengths[None, :]
         flipped = self._flip(x, lengths)
-        f, kept_f = self._run(x, "f", True)
-        r, kept_b = self._run(flipped, "b", True)
+        f, kept_f, _ = self._run(x, "f", True)
+        r, kept_b, _ = self._run(flipped, "b", True)
         back = self._flip(r, lengths)
         z = f @ self.p["V"][:n] + back @ self.p["V"][n:] + self.p["c"]
         p = 1 / (1 + np.exp(-z))
@@ -269,6 +354,41 @@ class Labeller:
         return out
 
 
+    def label_long(self, page_blocks: list, cells: int = 16_384) -> np.ndarray:
+        """The same for one page of any length, whose features are made ``cells`` blocks at a time."""
+        n, h = len(page_blocks), self.hidden
+        z = np.full(n, self.p["c"][0], dtype=np.float32)
+        starts = range(0, n, cells)
+        for d, order, v, turn in (("f", starts, self.p["V"][:h], 1), ("b", reversed(starts), self.p["V"][h:], -1)):
+            state = None
+            for s in order:
+                x = features(page_blocks[s : s + cells], s, n)[::turn, None]
+                hs, _, state = self._run(np.ascontiguousarray(x), d, False, state)
+                z[s : s + cells] += (hs[:, 0] @ v)[::turn]
+        return z > 0
+
+    def label_pages(self, pages: list[list], cells: int = 16_384) -> list[np.ndarray]:
+        """For each page's blocks whether they are main text; features of about ``cells`` blocks are held at once."""
+        out: list = [None] * len(pages)
+        held: list[int] = []
+        size = 0
+        for i, own in enumerate(pages):
+            if len(own) > cells:
+                out[i] = self.label_long(own, cells)
+                continue
+            held.append(i)
+            size += len(own)
+            if size >= cells:
+                self._fill(out, pages, held, cells)
+                held, size = [], 0
+        self._fill(out, pages, held, cells)
+        return out
+
+    def _fill(self, out: list, pages: list[list], held: list[int], cells: int) -> None:
+        for j, keep in zip(held, self.label([features(pages[j]) for j in held], cells), strict=True):
+            out[j] = keep
+
+
 def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(p) for p in pages])
     x = np.zeros((lengths.max(), len(pages), INPUTS), dtype=np.float32)
@@ -321,6 +441,12 @@ def training_pages(count: int, seed: int) -> list[tuple[str, list[bool]]]:
 
         def menu(page=page, plain=plain) -> None:
             tag = pick("nav", "nav", "div", "header")
+            if tag == "div" and rng.random() < 0.5:
+                page.append(f"<div{attr('menu', 'nav', 'top-nav', 'navigation', 'topbar')}>")
+                for _ in range(int(rng.integers(2, 9))):
+                    plain('<div><a href="/x">{}</a></div>', a=1, b=2)
+                page.append("</div>")
+                return
             page.append(f"<{tag}{'' if tag == 'nav' and rng.random() < 0.6 else attr('menu', 'nav', 'navbar', 'navigation', 'topbar', 'breadcrumb')}><ul>")
             for _ in range(int(rng.integers(2, 9))):
                 plain('<li><a href="/x">{}</a></li>', a=1, b=2)
@@ -350,17 +476,28 @@ def training_pages(count: int, seed: int) -> list[tuple[str, list[bool]]]:
             page.append("</form>")
 
         def article(page=page, add=add) -> None:
-            tag = pick("article", "article", "article", "main", "div", "section")
+            tag = pick("article", "article", "article", "main", "div", "div", "section")
             known = attr("content", "article", "post", "entry", "main", "story", "article-body", "entry-content", "post-content")
             page.append(f"<{tag}{known if tag in ('div', 'section') or rng.random() < 0.3 else ''}>")
             if rng.random() < 0.15:
                 page.append(pick("<div>", "<section>", f"<div{attr('body', 'text', 'inner')}>"))
-            if rng.random() < 0.9:
+            soup = tag == "div" and rng.random() < 0.6  # paragraphs are divs too
+            if soup:
+                add(pick("<div>{}</div>", "<h1>{}</h1>", "<div class=\"title\">{}</div>"), words(1, 12).capitalize(), True)
+            elif rng.random() < 0.9:
                 add(pick("<h1>{}</h1>", "<h1>{}</h1>", "<h2>{}</h2>", "<header><h1>{}</h1></header>"), words(2, 12).capitalize(), True)
             for _ in range(int(rng.integers(1, 14))):
                 k = rng.random()
-                if k < 0.82:
-                    add(pick("<p>{}</p>", "<p>{}</p>", "<p>{}"), inline(sentences(1, 7)) if rng.random() < 0.9 else words(1, 3) + ".", True)
+                if k < 0.79:
+                    add("<div>{}</div>" if soup else pick("<p>{}</p>", "<p>{}</p>", "<p>{}"), inline(sentences(1, 7)) if rng.random() < 0.9 else words(1, 3) + ".", True)
+                elif k < 0.82:
+                    page.append("<table>")
+                    for row in range(int(rng.integers(2, 5))):
+                        page.append("<tr>")
+                        for _ in range(int(rng.integers(2, 4))):
+                            add(pick("<td>{}</td>", "<td>{}") if row else "<th>{}</th>", words(1, 4), True)
+                        page.append("</tr>")
+                    page.append("</table>")
                 elif k < 0.87:
                     add(pick("<h2>{}</h2>", "<h3>{}</h3>"), words(1, 8), True)
                 elif k < 0.91:
@@ -379,6 +516,8 @@ def training_pages(count: int, seed: int) -> list[tuple[str, list[bool]]]:
         page.append("<!DOCTYPE html><html><head>")
         plain("<title>{}</title>", a=2, b=12)
         page.append("</head><body>")
+        if rng.random() < 0.3:
+            page.append(f"<div{attr('wrap', 'page', 'container', 'site', 'outer')}>")
         order = [x for x, p in ((notice, 0.2), (header, 0.35), (menu, 0.85), (advert, 0.5), (form, 0.15), (sidebar, 0.15)) if rng.random() < p]
         if rng.random() < 0.3:
             order = [order[i] for i in rng.permutation(len(order))]
@@ -440,14 +579,14 @@ def extract(pages: DataFrame, labeller: Labeller, columns: tuple[str, ...] = ("p
 
     Null and empty pages, and pages without main text, give the empty text. Repeated rows
     stay, an empty table gives no rows, other columns are ignored. Every block of a page is
-    read, however long the page. The labeller's weights (some kilobytes) go with the tasks.
+    read, however long, deep or malformed the page. The labeller's weights (some kilobytes) go with the tasks.
     """
     names = [f"_c{i}" for i in range(len(columns))]
 
     def run(frames):
         for f in frames:
             found = [blocks(h) for h in f["_html"]]
-            keep = labeller.label([features(b) for b in found])
+            keep = labeller.label_pages(found)
             text = [main_text(b, k) for b, k in zip(found, keep, strict=True)]
             yield f[names].assign(text=text, n_chars=np.array([len(t) for t in text], dtype=np.int64))
 

@@ -1,7 +1,9 @@
 import html
 import re
+import time
 
 import numpy as np
+import pytest
 
 from paperloom.llm import html_text as H
 
@@ -63,3 +65,74 @@ def test_odd_rows(spark):
     got = H.extract(df, H.trained()).collect()
     assert sorted((r.n_chars for r in got)) == [0, 0, 0, max(r.n_chars for r in got)] and max(r.n_chars for r in got) > 100_000
     assert H.extract(df.limit(0), H.trained()).count() == 0
+
+
+def test_malformed_and_deep_pages_take_linear_time():
+    n = 1 << 20
+    for unit in ("<a ", "<script ", "<div>", '<a "', '<a ">"', "<a 'x\">\"", "<foo><p>", "<ul><li><td><dd>", "<!--", "<!x", "</x>", "<", "&#99", "<a href=\"x>"):
+        began = time.perf_counter()
+        H.blocks(unit * (n // len(unit)))
+        assert time.perf_counter() - began < 8, unit  # about 1 s; 8 kB took as long when every tag rescanned
+    assert H.blocks("&#" + "9" * 10_000 + ";x &#" + "0" * 10_000 + "65;")[0][1] == "�x A"
+    deep = H.blocks("<div>" * 5000 + "<p>x" + "</div>" * 4999 + "<p>y")
+    assert [b[1] for b in deep] == ["x", "y"] and deep[0][0][0] & deep[1][0][0]
+
+
+def test_quotes_and_ends():
+    texts = lambda page: [b[1] for b in H.blocks(page)]
+    assert texts('<p title="a>b">x</p><p>y') == ["x", "y"]
+    assert texts('<p>x<p title="never closed>y<p>z') == ["x", "y", "z"]
+    assert texts("x <svg/>y<svg><text>no</text></svg>z") == ["x yz"]
+    assert texts("<ul><li>a<ul><li>b<li>c</ul><li>d</ul><table><tr><td>1<td>2<tr><td>3</table>") == ["a", "b", "c", "d", "1", "2", "3"]
+
+
+A, B, C = (
+    "The river rose again last night, and by morning the lower fields were under water. Farmers moved their cattle to the hills before dawn.",
+    "Nobody was hurt, but three bridges are closed until engineers have looked at them. The council meets on Tuesday to decide about repairs.",
+    "Prices for hay have doubled since the spring. Several growers said that they would sell part of their herds before winter comes.",
+)
+R1, R2 = "ارتفع منسوب النهر مرة أخرى الليلة الماضية. نقل المزارعون ماشيتهم إلى التلال قبل الفجر.", "لم يصب أحد بأذى، لكن ثلاثة جسور مغلقة حتى يفحصها المهندسون. يجتمع المجلس يوم الثلاثاء."
+#: Written by hand, in other layouts than those made for training.
+HAND = {
+    "div soup": (
+        '<html><body><div class="top-nav"><div><a href="/">Home</a></div><div><a href="/n">News</a></div><div><a href="/s">Sport</a></div></div><div class="wrap"><div class="content">'
+        f'<div>River rises</div><div>{A}</div><div>{B}</div><div>{C}</div></div><div class="sidebar"><div>Most read</div><div><a href="/a">Ten tips for hay</a></div></div></div>'
+        '<div class="footer">Copyright 2020 Valley News</div></body></html>',
+        ["River rises", A, B, C],
+    ),
+    "no article": (
+        f'<html><body><ul><li><a href="/">Home</a><li><a href="/x">About us</a></ul><h1>River rises again</h1><p>{A}<p>{B}<p>{C}<form><p>Search<input name=q></form><footer>All rights reserved.</footer>',
+        ["River rises again", A, B, C],
+    ),
+    "nested comments": (
+        f'<html><head><title>River</title></head><body><nav><a href="/">Home</a></nav><main><h1>River rises</h1><p>{A}</p><p>{B}</p></main><section class="comments"><h2>Comments</h2><ol><li>'
+        '<div class="comment"><p>Great piece, thank you!</p><ol><li><div class="comment"><p>I agree with you.</p><ol><li><p>So do I, and my brother too.</p></li></ol></div></li></ol></div></li></ol>'
+        "</section><footer>Contact us</footer></body></html>",
+        ["River rises", A, B],
+    ),
+    "right to left": (
+        '<html dir="rtl" lang="ar"><body><header><a href="/">الرئيسية</a></header><nav><ul><li><a href="/a">أخبار</a></li><li><a href="/b">رياضة</a></li></ul></nav>'
+        f'<article><h1>النهر يرتفع</h1><p>{R1}</p><p>{R2}</p></article><aside class="related"><a href="/c">اقرأ أيضا</a></aside><footer>جميع الحقوق محفوظة</footer></body></html>',
+        ["النهر يرتفع", R1, R2],
+    ),
+    "tables": (
+        f"<html><body><header>Valley News</header><article><h1>River levels</h1><p>{A}</p><table><tr><th>Town</th><th>Level</th></tr><tr><td>Upper Ford</td><td>2.4 m</td></tr></table><p>{B}</p></article>"
+        '<div class="cookie-banner"><p>We use cookies.</p><button>Accept</button></div><footer>Imprint</footer></body></html>',
+        ["River levels", A, "Town", "Level", "Upper Ford", "2.4 m", B],
+    ),
+}
+
+
+@pytest.mark.parametrize("name", HAND)
+def test_hand_written_layouts(name):
+    page, want = HAND[name]
+    own = H.blocks(page)
+    assert H.main_text(own, H.trained().label_pages([own])[0]) == "\n\n".join(want)
+
+
+def test_long_pages_in_pieces_give_the_same_labels():
+    net = H.trained()
+    pages = [H.blocks(p) for p, _ in H.training_pages(12, 21)] + [[]]
+    whole = [net.label([H.features(p)])[0] for p in pages]
+    assert all((a == b).all() for p, a in zip(pages, whole, strict=True) for b in (net.label_long(p, 7), net.label_long(p, 1)))
+    assert all((a == b).all() for a, b in zip(whole, net.label_pages(pages, 40), strict=True))
