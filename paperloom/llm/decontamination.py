@@ -4,12 +4,14 @@ Texts become sequences of tokens in which numbers, names and units are typed pla
 so that a question with other parameters keeps its template. Windows of consecutive template
 tokens are hash-joined between documents and benchmark items. A run of windows that covers
 enough of an item is a leak if its slots are consistent: one value of the item always maps
-to one value of the document.
+to one value of the document. A window without any word has no template, so it counts by its
+values.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from dataclasses import dataclass
 
@@ -22,6 +24,11 @@ from pyspark.sql import functions as F
 from .common import cut_lineage
 
 WINDOW = 8
+#: Least and most bits (as powers of two) of the filter that documents' windows pass before the join;
+#: between them it has 16 for each window of an item.
+FILTER_BITS = (16, 28)
+#: Most pairs of positions that are listed to find the alignments of one document and one item; more are counted by transforms.
+LISTED_PAIRS = 1 << 20
 _TOKEN = re.compile(r"[0-9]+(?:[.,][0-9]+)*|[^\W\d_]+|[.!?]")
 UNITS = {
     "mm", "cm", "m", "km", "inch", "inches", "feet", "ft", "mile", "miles", "mg", "g", "kg", "lb", "lbs", "ounce", "ounces",
@@ -67,6 +74,9 @@ _WORDS = Vocabulary()
 _MOST_WORDS = 150_000
 
 
+MARK = "\x1f"
+
+
 @dataclass
 class Template:
     """Tokens of one text without sentence marks: their numbers in ``words``; and where each token
@@ -82,13 +92,28 @@ class Template:
         end = self.starts[i + 1] if i + 1 < len(self.starts) else len(self.numbers)
         return " ".join([self.words.low[n] for n in self.numbers[self.starts[i] : end].tolist()])
 
-    def slots(self, at: int, width: int) -> list[str]:
-        """The values of the slots among ``width`` tokens, an empty string for other tokens."""
-        return [self.value(at + i) if k else "" for i, k in enumerate(self.kinds[at : at + width].tolist())]
+    def slots(self, at: int, width: int) -> str:
+        """The values of the slots among ``width`` tokens, nothing for other tokens, with marks between."""
+        return MARK.join([self.value(at + i) if k else "" for i, k in enumerate(self.kinds[at : at + width].tolist())])
 
     def tokens(self) -> list[str]:
         return [self.value(i) for i in range(len(self.starts))]
 
+    def hashes(self, width: int) -> np.ndarray:
+        """``window_hashes``; windows of slots alone are hashed by what stands in the slots."""
+        out = window_hashes(self.codes, width)
+        if not len(out):
+            return out
+        words = np.concatenate([[0], np.cumsum(self.kinds == 0)])
+        width = min(width, len(self.codes))
+        bare = np.flatnonzero(words[width:] == words[:-width])
+        if len(bare):
+            within = np.arange(len(self.numbers)) - np.repeat(self.starts, np.diff(self.starts, append=len(self.numbers)))
+            with np.errstate(over="ignore"):
+                values = np.add.reduceat(self.words.code[self.numbers] * (2 * within + 1).astype(np.uint64), self.starts)
+            out[bare] = window_hashes(values, width)[bare]
+        return out
+
 
 def _template(numbers: np.ndarray, kinds: np.ndarray) -> Template:
     begins = np.ones(len(kinds), dtype=bool)
@@ -129,13 +154,13 @@ def read_windows(own: list[Template], width: int):
     """(template, hashes, positions, indices) of each reading's windows. Positions count in the
     first reading; a later one only gives full windows, and those that the first lacks."""
     plain = own[0]
-    hashes = window_hashes(plain.codes, width)
+    hashes = plain.hashes(width)
     at = np.arange(len(hashes))
     yield plain, hashes, at, at
     for other in own[1:]:
         if len(other.codes) < width:
             continue
-        more = window_hashes(other.codes, width)
+        more = other.hashes(width)
         place = np.searchsorted(plain.starts, other.starts[: len(more)])
         known = np.zeros(len(plain.starts), dtype=np.int64)
         known[: len(hashes)] = hashes
@@ -157,20 +182,21 @@ def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def consistent(theirs: list[str], ours: list[str], kinds: np.ndarray) -> float:
-    """Share of the slots whose item value maps to the document value seen most for it, both
-    ways; 1.0 without slots."""
-    at = np.flatnonzero(kinds)
-    if not len(at):
+def consistency(theirs: np.ndarray, ours: np.ndarray) -> float:
+    """Share of the slots whose item value maps to the document value seen most for it, or the
+    other way if that is less; 1.0 without slots. Values are numbers."""
+    if not len(theirs):
         return 1.0
-    forth: dict[str, dict[str, int]] = {}
-    back: dict[str, dict[str, int]] = {}
-    for i in at:
-        a, b = theirs[i], ours[i]
-        forth.setdefault(a, {})[b] = forth.setdefault(a, {}).get(b, 0) + 1
-        back.setdefault(b, {})[a] = back.setdefault(b, {}).get(a, 0) + 1
-    share = [sum(max(x.values()) for x in m.values()) / len(at) for m in (forth, back)]
-    return min(share)
+
+    def most(a: np.ndarray, b: np.ndarray) -> int:
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        pair = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        counts = np.diff(pair, append=len(a))
+        value = np.flatnonzero(np.concatenate([[True], a[pair][1:] != a[pair][:-1]]))
+        return int(np.maximum.reduceat(counts, value).sum())
+
+    return min(most(theirs, ours), most(ours, theirs)) / len(theirs)
 
 
 def _in_order(cells: list[tuple[int, int]]) -> list[int]:
@@ -187,11 +213,128 @@ def _in_order(cells: list[tuple[int, int]]) -> list[int]:
     return out[::-1]
 
 
-def _filter_bits(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """A one-hash filter of ``2**bits`` bits."""
-    flags = np.zeros(1 << bits, dtype=bool)
-    flags[hashes.view(np.uint64) >> np.uint64(64 - bits)] = True
-    return np.packbits(flags)
+class Pair:
+    """The windows that one document and one item share. ``rows`` are (positions in the item,
+    slots there, positions in the document, slots there), one for each shared hash."""
+
+    def __init__(self, rows: list, width: int):
+        self.width = width
+        values: dict[str, int] = {"": 0}
+
+        def coded(slots) -> list[list[int]]:
+            return [[values.setdefault(v, len(values)) for v in x.split(MARK)] for x in slots]
+
+        self.rows = [(np.asarray(i), np.asarray(d)) for i, _, d, _ in rows]
+        self.ipos = np.concatenate([i for i, _ in self.rows])
+        self.code = np.repeat(np.arange(len(rows)), [len(i) for i, _ in self.rows])
+        self.islots = np.array([x for _, own, _, _ in rows for x in coded(own)], dtype=np.int64).reshape(len(self.ipos), -1)
+        dpos = np.concatenate([d for _, d in self.rows])
+        dcode = np.repeat(np.arange(len(rows)), [len(d) for _, d in self.rows])
+        self.dslots = np.array([x for *_, own in rows for x in coded(own)], dtype=np.int64).reshape(len(dpos), -1)
+        # a place of the document has at most two windows, one for each reading of the text
+        self.last = int(dpos.max())
+        self.at = np.full((2, self.last + 1), -1, dtype=np.int64)
+        order = np.argsort(dpos, kind="stable")
+        again = np.concatenate([[False], dpos[order][1:] == dpos[order][:-1]])
+        self.at[again.astype(int), dpos[order]] = order
+        self.dcode = np.append(dcode, -1)
+
+    def shifts(self) -> np.ndarray:
+        """All shifts (position in the document less that in the item) that may align windows."""
+        if sum(len(i) * len(d) for i, d in self.rows) <= LISTED_PAIRS:
+            return np.unique(np.concatenate([(d[None, :] - i[:, None]).ravel() for i, d in self.rows]))
+        last = int(self.ipos.max())
+        size = 1 << (self.last + last + 1).bit_length()
+        seen = np.zeros(size, dtype=bool)
+        for i, d in self.rows:
+            if len(i) * len(d) <= size:
+                seen[(d[None, :] - i[:, None]).ravel() + last] = True
+            else:
+                x, y = np.zeros(size), np.zeros(size)
+                x[last - i], y[d] = 1, 1
+                seen |= np.fft.irfft(np.fft.rfft(x) * np.fft.rfft(y), size) > 0.5
+        return np.flatnonzero(seen) - last
+
+    def along(self, shift: int) -> tuple[np.ndarray, np.ndarray]:
+        """Item windows found along one alignment, each place once: indices of theirs and of the document's."""
+        place = self.ipos + shift
+        inside = (place >= 0) & (place <= self.last)
+        place = np.where(inside, place, 0)
+        one, two = self.at[0, place], self.at[1, place]
+        first, second = inside & (self.dcode[one] == self.code), inside & (self.dcode[two] == self.code)
+        mine = np.flatnonzero(first | second)
+        _, once = np.unique(self.ipos[mine], return_index=True)
+        mine = mine[once]
+        return mine, np.where(first[mine], one[mine], two[mine])
+
+    def judged(self, mine: np.ndarray, other: np.ndarray) -> tuple[int, float]:
+        """Number of slots in these windows and their consistency; a place counts once."""
+        a, b = self.islots[mine].ravel(), self.dslots[other].ravel()
+        place = (self.ipos[mine][:, None] + np.arange(self.islots.shape[1])).ravel()
+        slot = np.flatnonzero((a > 0) | (b > 0))
+        _, once = np.unique(place[slot], return_index=True)
+        slot = slot[once]
+        return len(slot), consistency(a[slot], b[slot])
+
+    def best(self, need: int, least: float) -> tuple[int, int, float] | None:
+        """(windows, slots, consistency) of the alignment with the most windows, at least ``need``, whose slots
+        are consistent; at equals the first. Alignments whose shifts follow each other by at most the width
+        count as one as well: of each item window the place along the alignment that has most, in order."""
+        shifts = self.shifts()
+        found = np.array([len(self.along(s)[0]) for s in shifts.tolist()])
+        shifts, found = shifts[found > 0], found[found > 0]
+        out = None
+        for k in np.lexsort((shifts, -found)).tolist():
+            if found[k] < need:
+                break
+            slots, share = self.judged(*self.along(int(shifts[k])))
+            if share >= least:
+                out = (int(found[k]), slots, share)
+                break
+        starts = np.flatnonzero(np.diff(shifts, prepend=-(10**12)) > self.width).tolist()
+        for low, high in zip(starts, [*starts[1:], len(shifts)], strict=True):
+            if high - low > 1 and found[low:high].sum() >= max(need, (out[0] if out else 0) + 1):
+                mine, other = self._chained(shifts[low:high], found[low:high])
+                if len(mine) >= need and (out is None or len(mine) > out[0]):
+                    slots, share = self.judged(mine, other)
+                    if share >= least:
+                        out = (len(mine), slots, share)
+        return out
+
+    def _chained(self, shifts: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        taken = np.zeros(int(self.ipos.max()) + 1, dtype=bool)
+        left = len(np.unique(self.ipos))
+        mine, other, moved = [], [], []
+        for k in np.lexsort((-shifts, -found)).tolist():
+            a, b = self.along(int(shifts[k]))
+            new = ~taken[self.ipos[a]]
+            taken[self.ipos[a]] = True
+            mine.append(a[new])
+            other.append(b[new])
+            moved.append(np.full(int(new.sum()), shifts[k]))
+            left -= int(new.sum())
+            if not left:
+                break
+        a, b, s = np.concatenate(mine), np.concatenate(other), np.concatenate(moved)
+        order = _in_order(list(zip(self.ipos[a].tolist(), (self.ipos[a] + s).tolist(), strict=True)))
+        return a[order], b[order]
+
+
+def _bits(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Places of the hashes in a filter of ``2**bits`` bits."""
+    return (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _grouped(found) -> list[tuple[int, list[int], list[str]]]:
+    """(hash, positions, slots) once for each hash, from (hash, position, slots); a position once."""
+    own: dict[int, dict[int, str]] = {}
+    for h, p, slots in found:
+        own.setdefault(h, {}).setdefault(p, slots)
+    return [(h, list(x), list(x.values())) for h, x in own.items()]
+
+
+def _text_key(text: str) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))).view(np.int64))
 
 
 def find_leaks(
@@ -204,7 +347,7 @@ def find_leaks(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
-    filter_bits: int = 22,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """One row for each document and item that the document leaks: id, item, share (of the
     item's template windows found along one alignment, or in order along alignments whose
@@ -212,14 +355,18 @@ def find_leaks(
 
     An item of fewer than ``width`` tokens has one window, all of it, and is sought by its own
     width. Null and empty texts have no windows. Rows with a null id or a null item id take no
-    part. Repeated rows of a document or an item give one row. Empty tables give no rows;
-    other columns are ignored. Texts are cut into windows whole.
-
-    Item windows form a table that documents' windows are hash-joined to. Before the join each
-    document drops the windows that a bit filter of fixed size excludes; the filter is merged
-    from the item windows and only excludes windows that no item has. A window that many
-    documents share costs a row for each of them and each item that has it; the join can be
-    split, since only counts are gathered after it.
+    part. Repeated rows of a document or an item give one row; several texts of one id are each
+    compared, and the largest share counts. Empty tables give no rows; other columns are
+    ignored. Texts are cut into windows whole.
+
+    Item windows form a table that documents' windows are hash-joined to, both with one row for
+    each text and hash, so that a window that repeats in a text costs one row. Before the join
+    each document drops the windows that a bit filter excludes; the filter is merged from the
+    item windows, is sized by their number within ``FILTER_BITS`` (at most 32 MB) and only
+    excludes windows that no item has. The join proposes pairs by each item's rarest windows:
+    a leak has so many of an item's windows that it holds one of those, so a window that many
+    items and many documents share proposes nothing by itself. Positions and slots are fetched
+    for the proposed pairs alone, and stream through a task pair by pair.
     """
     item_kind, doc_kind = benchmark.schema[item_col].dataType.simpleString(), docs.schema[id_col].dataType.simpleString()
 
@@ -230,25 +377,37 @@ def find_leaks(
                 own = readings(text)
                 w = min(width, len(own[0].codes))
                 n = len(own[0].codes) - w + 1
-                for found, hashes, places, at in read_windows(own, width):
-                    out += [(item, h, p, n, w, found.slots(i, w)) for h, p, i in zip(hashes.tolist(), places.tolist(), at.tolist(), strict=True)]
-            yield pd.DataFrame(out, columns=["_item", "_h", "_ipos", "_n", "_w", "_islots"])
+                found = (
+                    (h, p, t.slots(i, w)) for t, hashes, places, at in read_windows(own, width) for h, p, i in zip(hashes.tolist(), places.tolist(), at.tolist(), strict=True)
+                )
+                key = _text_key(text)
+                out += [(item, key, h, w, n, at, slots) for h, at, slots in _grouped(found)]
+            yield pd.DataFrame(out, columns=["_item", "_ik", "_h", "_w", "_n", "_iat", "_islots"])
 
     items = benchmark.where(F.col(item_col).isNotNull()).select(
         F.col(item_col).alias("_item"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("_t")
     )
-    schema = f"_item {item_kind}, _h long, _ipos int, _n int, _w int, _islots array<string>"
-    known = cut_lineage(items.dropDuplicates(["_item"]).mapInPandas(item_windows, schema))
+    schema = f"_item {item_kind}, _ik long, _h long, _w int, _n int, _iat array<int>, _islots array<string>"
+    known = items.distinct().mapInPandas(item_windows, schema)
+    # an item's rows in order of how many items have them: of the last ceil(share * n) - 1 entries one alone proves nothing
+    often = F.count(F.lit(1)).over(Window.partitionBy("_h", "_w"))
+    rarest = Window.partitionBy("_item", "_ik").orderBy("_often", "_h").rowsBetween(Window.unboundedPreceding, -1)
+    entries = F.sum(F.size("_iat")).over(Window.partitionBy("_item", "_ik"))
+    known = known.withColumn("_need", F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(least_share))).cast("int")).withColumn("_often", often)
+    before = F.coalesce(F.sum(F.size("_iat")).over(rarest), F.lit(0))
+    known = cut_lineage(known.withColumn("_proposes", before <= entries - F.col("_need")).drop("_often"))
+    if filter_bits is None:
+        filter_bits = min(max(FILTER_BITS[0], math.ceil(math.log2(16 * known.count() + 1))), FILTER_BITS[1])
 
     def bits(frames):
-        merged = np.zeros(1 << (filter_bits - 3), dtype=np.uint8)
+        merged = np.zeros(1 << filter_bits, dtype=bool)
         widths = 0
         for f in frames:
             if len(f):
-                merged |= _filter_bits(f["_h"].to_numpy(np.int64), filter_bits)
+                merged[_bits(f["_h"].to_numpy(np.int64), filter_bits)] = True
                 for w in f["_w"].unique().tolist():
                     widths |= 1 << int(w)
-        yield pd.DataFrame({"_bits": [merged.tobytes()], "_widths": [widths]})
+        yield pd.DataFrame({"_bits": [np.packbits(merged).tobytes()], "_widths": [widths]})
 
     mask, widths = np.zeros(1 << (filter_bits - 3), dtype=np.uint8), 0
     for r in known.select("_h", "_w").coalesce(8).mapInPandas(bits, "_bits binary, _widths long").toLocalIterator():
@@ -258,77 +417,58 @@ def find_leaks(
 
     def doc_windows(frames):
         packed, sizes = held.value
-        allowed = np.unpackbits(np.frombuffer(packed, dtype=np.uint8)).astype(bool)
+        packed = np.frombuffer(packed, dtype=np.uint8)
+
+        def passing(own: list[Template], w: int):
+            for template, hashes, places, at in read_windows(own if w == width else own[:1], w):
+                spot = _bits(hashes, filter_bits)
+                for i in np.flatnonzero(packed[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8) & 1).tolist():
+                    yield int(hashes[i]), int(places[i]), template.slots(int(at[i]), w)
+
         for f in frames:
             out = []
             for doc, text in zip(f["_doc"], f["_t"], strict=True):
-                own = readings(text)
+                own, key = readings(text), None
                 for w in sizes:
-                    if len(own[0].codes) < w:
-                        continue
-                    for template, hashes, places, at in read_windows(own if w == width else own[:1], w):
-                        for i in np.flatnonzero(allowed[hashes.view(np.uint64) >> np.uint64(64 - filter_bits)]).tolist():
-                            out.append((doc, int(hashes[i]), int(places[i]), w, template.slots(int(at[i]), w)))
-            yield pd.DataFrame(out, columns=["_doc", "_h", "_dpos", "_w", "_dslots"])
+                    if len(own[0].codes) >= w and (found := _grouped(passing(own, w))):
+                        key = _text_key(text) if key is None else key
+                        out += [(doc, key, h, w, at, slots) for h, at, slots in found]
+            yield pd.DataFrame(out, columns=["_doc", "_dk", "_h", "_w", "_dat", "_dslots"])
 
     texts = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("_doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t")
     )
-    found = texts.mapInPandas(doc_windows, f"_doc {doc_kind}, _h long, _dpos int, _w int, _dslots array<string>")
-    met = found.join(known, ["_h", "_w"])
-    # windows of one alignment have one difference of positions
-    along = cut_lineage(met.groupBy("_doc", "_item", (F.col("_dpos") - F.col("_ipos")).alias("_shift")).agg(
-        F.countDistinct("_ipos").alias("_got"),
-        F.max("_n").alias("_n"),
-        F.collect_set(F.struct("_ipos", "_islots", "_dslots")).alias("_cells"),
-    ))
-    # an inserted word or sentence moves all that follows, so near shifts are also taken together
-    by_shift = Window.partitionBy("_doc", "_item").orderBy("_shift")
-    shifts = along.select("_doc", "_item", "_shift", "_got", "_n")
-    starts = F.coalesce(F.col("_shift") - F.lag("_shift").over(by_shift) > width, F.lit(True))
-    chains = shifts.withColumn("_new", starts.cast("int")).withColumn("_chain", F.sum("_new").over(by_shift))
-    reach = chains.groupBy("_doc", "_item", "_chain").agg(
-        F.min("_shift").alias("_low"), F.max("_shift").alias("_high"), F.sum("_got").alias("_sum"), F.max("_n").alias("_m")
-    )
-    need = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(least_share)))
-    reach = reach.where("_low < _high").where(F.col("_sum") >= F.greatest(F.lit(1), F.ceil(F.col("_m") * F.lit(least_share))))
-    member = along.join(reach, ["_doc", "_item"]).where("_shift between _low and _high")
-    cell = F.struct("_got", "_shift", "_c")  # a window's place along the alignment that has most
-    one = member.select("_doc", "_item", "_chain", "_n", "_got", "_shift", F.explode("_cells").alias("_c"))
-    one = one.groupBy("_doc", "_item", "_chain", "_n", F.col("_c._ipos").alias("_i")).agg(F.max(cell).alias("_x"))
-    joint = one.groupBy("_doc", "_item", "_chain", "_n").agg(F.collect_list(F.struct("_x._shift", "_x._c")).alias("_xs"))
-
-    @F.pandas_udf("array<int>")
-    def ordered(cells: pd.Series) -> pd.Series:
-        return pd.Series([_in_order([(x["_c"]["_ipos"], x["_c"]["_ipos"] + x["_shift"]) for x in own]) for own in cells])
-
-    joint = joint.withColumn("_xs", F.sort_array("_xs")).withColumn("_at", ordered("_xs")).select(
-        "_doc", "_item", F.size("_at").cast("long").alias("_got"), "_n", F.transform("_at", lambda k: F.col("_xs")[k]["_c"]).alias("_cells")
-    )
-    enough = along.select("_doc", "_item", "_got", "_n", "_cells").unionByName(joint).where(F.col("_got") >= need)
-
-    @F.pandas_udf("struct<slots:int,consistency:double>")
-    def slots(cells: pd.Series) -> pd.DataFrame:
-        out = []
-        for own in cells:
-            pairs = {}
-            for c in own:
-                for i, (a, b) in enumerate(zip(c["_islots"], c["_dslots"], strict=True)):
-                    if a or b:
-                        pairs[c["_ipos"] + i] = (a, b)
-            a, b = [p[0] for p in pairs.values()], [p[1] for p in pairs.values()]
-            out.append((len(pairs), consistent(a, b, np.ones(len(pairs), dtype=np.int8))))
-        return pd.DataFrame(out, columns=["slots", "consistency"])
-
-    judged = enough.withColumn("_s", slots("_cells")).where(F.col("_s.consistency") >= least_consistency)
-    best = F.struct((F.col("_got") / F.col("_n")).alias("share"), F.col("_s.consistency").alias("consistency"), "_got", F.col("_s.slots").alias("slots"))
+    found = cut_lineage(texts.mapInPandas(doc_windows, f"_doc {doc_kind}, _dk long, _h long, _w int, _dat array<int>, _dslots array<string>"))
+    pair = ["_doc", "_dk", "_item", "_ik"]
+    proposed = found.select("_doc", "_dk", "_h", "_w").join(known.where("_proposes").select("_item", "_ik", "_h", "_w"), ["_h", "_w"]).select(*pair).distinct()
+    shared = proposed.join(known, ["_item", "_ik"]).join(found.dropDuplicates(["_doc", "_dk", "_h", "_w"]), ["_doc", "_dk", "_h", "_w"])
+    enough = F.sum(F.size("_iat")).over(Window.partitionBy(*pair)) >= F.col("_need")
+    cells = ["_w", "_n", "_need", "_iat", "_islots", "_dat", "_dslots"]
+    streamed = shared.select(*pair, *cells, enough.alias("_enough")).where("_enough").drop("_enough").sortWithinPartitions(*pair)
+
+    def judge(frames):
+        own, rows, size = None, [], (1, 1, 1)
+
+        def done():
+            w, n, need = size
+            got = Pair(rows, w).best(need, least_consistency)
+            return [] if got is None else [(own[0], own[2], got[0] / n, *got)]
+
+        for f in frames:
+            out = []
+            for doc, dk, item, ik, w, n, need, *row in zip(*(f[c] for c in (*pair, *cells)), strict=True):
+                if own != (doc, dk, item, ik):
+                    out += done() if rows else []
+                    own, rows, size = (doc, dk, item, ik), [], (w, n, need)
+                rows.append(row)
+            yield pd.DataFrame(out, columns=["_doc", "_item", "share", "n_windows", "n_slots", "consistency"])
+        if rows:
+            yield pd.DataFrame(done(), columns=["_doc", "_item", "share", "n_windows", "n_slots", "consistency"])
+
+    judged = streamed.mapInPandas(judge, f"_doc {doc_kind}, _item {item_kind}, share double, n_windows int, n_slots int, consistency double")
+    best = F.struct("share", "consistency", "n_windows", "n_slots")
     return judged.groupBy("_doc", "_item").agg(F.max(best).alias("_b")).select(
-        F.col("_doc").alias(id_col),
-        F.col("_item").alias(item_col),
-        F.col("_b.share").alias("share"),
-        F.col("_b._got").cast("int").alias("n_windows"),
-        F.col("_b.slots").alias("n_slots"),
-        F.col("_b.consistency").alias("consistency"),
+        F.col("_doc").alias(id_col), F.col("_item").alias(item_col), "_b.share", "_b.n_windows", "_b.n_slots", "_b.consistency"
     )
 
 
