@@ -93,6 +93,7 @@ def pack(
     text_col: str = "text",
     source_col: str | None = "source",
     cluster_col: str | None = None,
+    chunk: int = 10_000,
 ) -> DataFrame:
     """Places every document in sequences of ``capacity`` tokens (words of the text).
 
@@ -108,7 +109,7 @@ def pack(
     Rows are dealt by a hash of id and cluster into groups of about ``group_rows`` and each
     group is packed by itself; only lengths, a source and a cluster hash reach Python. Copies
     of one text that share an id too are spread by a second hash of their other columns; rows
-    equal in everything are counted first and unfolded into numbered copies.
+    equal in everything are counted first and unfolded into numbered copies, ``chunk`` at a time.
     """
     text = whole_text(text_col)
     level = F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
@@ -121,7 +122,8 @@ def pack(
         docs.select(F.col(id_col).alias("_id"), source.alias("_source"), cluster.alias("_cluster"), F.greatest(words, F.lit(1)).alias("_tokens"))
         .groupBy("_id", "_source", "_cluster", "_tokens")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n")))
+        .withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), "_n", F.lit(chunk).cast("long"))))
+        .withColumn("_copy", F.explode(F.sequence("_from", F.least(F.col("_from") + chunk - 1, "_n"))))
     )
     full = F.floor((F.col("_tokens") - 1) / capacity).cast("int")
     parts = F.transform(
