@@ -8,6 +8,7 @@ rules, and the rules that keep a weight are compiled into one Spark column expre
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -72,24 +73,17 @@ class RuleModel:
     rules: list[tuple[tuple[tuple[int, float, bool], ...], float]] = field(default_factory=list)
 
     def column(self, values: Column) -> Column:
-        """The score as one expression over the array of statistics. The rules are a literal that is folded over, so that the
-        code Spark generates doesn't grow with their number."""
-        if not self.rules:
-            total = F.lit(float(self.intercept))
-        else:
-            rules = F.array(*[
-                F.struct(
-                    F.lit(float(weight)).alias("weight"),
-                    F.array(*[
-                        F.struct(F.lit(f).alias("feature"), F.lit(float(t)).alias("threshold"), F.lit(bool(up)).alias("above"))
-                        for f, t, up in conditions
-                    ]).alias("conditions"),
-                )
-                for conditions, weight in self.rules
-            ])
-            holds = lambda r: F.forall(r["conditions"], lambda c: (F.get(values, c["feature"]) > c["threshold"]) == c["above"])
-            total = F.aggregate(rules, F.lit(float(self.intercept)), lambda acc, r: acc + F.when(holds(r), r["weight"]).otherwise(0.0))
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+        """The score as one expression over the array of statistics: each rule a conjunction of
+        comparisons, added where it holds."""
+
+        def holds(conditions) -> Column:
+            tests = [F.get(values, F.lit(f)) > F.lit(float(t)) if up else F.get(values, F.lit(f)) <= F.lit(float(t)) for f, t, up in conditions]
+            return reduce(lambda a, b: a & b, tests)
+
+        terms = [F.lit(float(self.intercept)), *[F.when(holds(c), F.lit(float(w))).otherwise(F.lit(0.0)) for c, w in self.rules]]
+        while len(terms) > 1:  # pairwise, so that the expression stays shallow
+            terms = [sum(terms[i + 1 : i + 2], terms[i]) for i in range(0, len(terms), 2)]
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-terms[0]))
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         total = np.full(len(x), self.intercept)
@@ -190,11 +184,13 @@ def fit_rules(
 
 
 def labelled_sample(labels: DataFrame, label: str, id_col: str, folds: int, held_out: int, rows: int) -> DataFrame:
-    """_id and _y of at most ``rows`` labelled ids outside the held-out fold, the first by hash."""
+    """_id and _y of at most ``rows`` labelled ids outside the held-out fold, the first by hash. An id
+    with several labels has the largest."""
     own = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (fold(F.col(id_col), folds) != held_out))
     return (
-        own.select(F.col(id_col).alias("_id"), F.col(label).cast("double").alias("_y"))
-        .orderBy(F.xxhash64("_id"), "_id", "_y")
+        own.groupBy(F.col(id_col).alias("_id"))
+        .agg(F.max(F.col(label).cast("double")).alias("_y"))
+        .orderBy(F.xxhash64("_id"), "_id")
         .limit(rows)
     )
 
@@ -210,11 +206,12 @@ def fit(
     rows: int = FIT_ROWS,
 ) -> RuleModel:
     """A model from at most ``rows`` labelled documents outside the held-out fold. The sample of
-    ids is bounded by ``rows``, so it is broadcast to the documents."""
+    ids is bounded by ``rows``, so it is broadcast to the documents. An id that stands for several
+    texts counts once, with the smallest of their statistics; null texts count as empty."""
     sample = labelled_sample(labels, label, id_col, folds, held_out, rows)
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(sample), "_id")
     stats, names = with_statistics(own, "_t")
-    got = stats.select("_id", "_y", "_s_values").orderBy("_id", "_y", "_s_values").limit(2 * rows).toPandas()
+    got = stats.groupBy("_id", "_y").agg(F.min("_s_values").alias("_s_values")).toPandas().sort_values("_id")
     x = np.array(got["_s_values"].tolist(), dtype=np.float64).reshape(-1, len(names))
     return fit_rules(x, got["_y"].to_numpy(np.float64), names)
 
