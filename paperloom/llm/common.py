@@ -16,14 +16,28 @@ def whole_text(name: str = "text") -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``, or a folder under /tmp where it names none (local tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    """The session's ``spark.checkpoint.dir``. A session that runs on this machine alone may name
+    none and gets a folder under /tmp; on a cluster that is an error, since executors would write to
+    disks of their own."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if spark.sparkContext.master.partition("[")[0] == "local":
+        return "/tmp/checkpoints"
+    raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of intermediate results, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back."""
     context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
+    if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
