@@ -2,10 +2,11 @@
 
 Concatenated names in hosts and paths are split into words by the most probable (Viterbi)
 segmentation under a unigram model whose counts come from the pages' titles. A multinomial
-naive Bayes scores the words. It learns from all urls, those that hold a seed word of the
-blocked kind as blocked and the others as allowed, and from the seed words themselves. The
-list rules are policy for parts of a site and say nothing about words, so it doesn't learn
-from them.
+naive Bayes scores the words. Nothing is labelled, so it learns from positive and unlabelled
+urls: those that hold a seed word, or whose pages' titles mostly hold one, are blocked; all
+others start as allowed, and those that the model blocks join the blocked ones for the next
+round, so that words that keep company with blocked ones become evidence too. The list rules are policy for
+parts of a site and say nothing about words, so it doesn't learn from them.
 """
 
 from __future__ import annotations
@@ -27,20 +28,18 @@ RULES = (
     ("net/es/", "block"),
     ("net/fr/", "block"),
 )
-SEED_BLOCK = (
-    "ad", "ads", "adult", "bet", "bets", "betting", "bonus", "casino", "cash", "cheap", "click", "crack", "deal", "download", "drug", "escort", "farm",
-    "free", "gamble", "hack", "jackpot", "keygen", "loan", "lottery", "nude", "pharmacy", "pill", "pills", "poker", "porn", "prize",
-    "replica", "scam", "sex", "slot", "slots", "spam", "torrent", "viagra", "warez", "win", "winner", "xxx",
-)
-SEED_ALLOW = (
-    "about", "academy", "archive", "article", "blog", "book", "books", "city", "college", "culture", "daily", "docs", "edu",
-    "education", "forum", "garden", "guide", "health", "help", "history", "home", "journal", "learn", "library", "magazine", "music",
-    "museum", "nature", "news", "post", "press", "recipe", "report", "research", "review", "school", "science", "story", "support",
-    "travel", "university", "weather", "wiki",
+#: Words that stand for blocked matter wherever they occur; they label, the model decides.
+SEED_BLOCK = ("ads", "adult", "bets", "betting", "casino", "escort", "gambling", "pills", "poker", "porn", "sex", "spam", "torrent", "viagra", "warez", "xxx")
+#: Words of names that titles may lack, for the segmentation alone.
+COMMON = (
+    "about", "academy", "archive", "article", "bet", "blog", "bonus", "book", "books", "cash", "cheap", "city", "click", "college", "culture", "daily", "deal", "docs",
+    "download", "education", "farm", "forum", "free", "garden", "guide", "health", "help", "history", "home", "journal", "learn", "library", "loan", "magazine", "music",
+    "museum", "nature", "news", "pharmacy", "pill", "post", "press", "prize", "recipe", "replica", "report", "research", "review", "school", "science", "slots", "story", "support",
+    "track", "travel", "university", "weather", "wiki", "win",
 )
 LONGEST_WORD = 20
-#: Count of a seed word in the unigram model, and in the naive Bayes; what every word there gets for smoothing.
-SEED_WEIGHT, SEED_COUNT, SMOOTHING = 50, 0.1, 0.1
+#: Count of a known word in the unigram model; counts that the classes borrow from all urls' words; rounds of learning.
+KNOWN_WEIGHT, BORROWED, ROUNDS = 50, 5.0, 4
 BLOCK_PRIOR = 0.2
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -89,17 +88,22 @@ def segment(name: str, arcs: Sequence[tuple[int, str, int]], total: int, kinds:
 
 
 def names_in(col: Column) -> Column:
-    """The distinct runs of letters in ``col``, and '#' if it holds digits."""
-    letters = F.regexp_extract_all(F.lower(col), F.lit(r"(\p{L}+)"), 1)
-    return F.array_distinct(F.concat(letters, F.when(col.rlike("[0-9]"), F.array(F.lit("#"))).otherwise(F.array().cast("array<string>"))))
+    """The runs of letters in ``col``, repeats included, and '#' for each run of digits."""
+    found = F.regexp_extract_all(F.lower(col), F.lit(r"(\p{L}+|[0-9]+)"), 1)
+    return F.transform(found, lambda x: F.when(x.rlike("^[0-9]"), "#").otherwise(x))
+
+
+def words_in(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), 1)
 
 
 def unigrams(titles: DataFrame) -> DataFrame:
-    """_word and _count over all words of column ``_title``, and over the seeds."""
-    words = titles.select(F.explode(F.regexp_extract_all(F.lower("_title"), F.lit(r"(\p{L}+)"), 1)).alias("_word"))
-    counted = words.where(F.length("_word") <= LONGEST_WORD).groupBy("_word").agg(F.count(F.lit(1)).alias("_count"))
-    seeds = titles.sparkSession.createDataFrame([(w, SEED_WEIGHT) for w in (*SEED_BLOCK, *SEED_ALLOW)], "_word string, _count long")
-    return counted.unionByName(seeds).groupBy("_word").agg(F.sum("_count").alias("_count"))
+    """_word and _count over all words of column ``_title``, and over the known words. Single
+    letters are no words: they would be in most names, and unknown stretches cover them."""
+    words = titles.select(F.explode(words_in(F.col("_title"))).alias("_word"))
+    counted = words.where(F.length("_word").between(2, LONGEST_WORD)).groupBy("_word").agg(F.count(F.lit(1)).alias("_count"))
+    known = titles.sparkSession.createDataFrame([(w, KNOWN_WEIGHT) for w in (*SEED_BLOCK, *COMMON)], "_word string, _count long")
+    return counted.unionByName(known).groupBy("_word").agg(F.sum("_count").alias("_count"))
 
 
 def segmented(names: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -109,7 +113,8 @@ def segmented(names: DataFrame, lexicon: DataFrame) -> DataFrame:
     names = names.select("_name").distinct()
     n = F.length("_name")
     starts = names.where(n > 0).withColumn("_start", F.explode(F.sequence(F.lit(0), n - 1)))
-    pieces = starts.withColumn("_size", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), n - F.col("_start")))))
+    starts = starts.where(F.col("_start") < n - 1)
+    pieces = starts.withColumn("_size", F.explode(F.sequence(F.lit(2), F.least(F.lit(LONGEST_WORD), n - F.col("_start")))))
     pieces = pieces.withColumn("_word", F.expr("substring(_name, _start + 1, _size)")).drop("_size")
     arcs = pieces.join(lexicon, "_word").groupBy("_name").agg(F.collect_list(F.struct("_start", "_word", "_count")).alias("_arcs"))
 
@@ -127,6 +132,21 @@ def segmented(names: DataFrame, lexicon: DataFrame) -> DataFrame:
     return names.join(arcs, "_name", "left").select("_name", split("_name", "_arcs").alias("_words"))
 
 
+def word_odds(words: DataFrame, shares: DataFrame) -> DataFrame:
+    """_word and _odds (log of its probability in the blocked class over that in the allowed one),
+    from (side, value, _word) and the share (0 to 1) of each (side, value) that is blocked.
+
+    Each value counts once for each of its words, however many pages have it. A class borrows
+    ``BORROWED`` counts, spread as the words of both classes are, so a word that one class
+    lacks counts against that class in proportion to how much of the class was seen.
+    """
+    shared = words.join(shares, ["side", "value"])
+    counts = shared.groupBy("_word").agg(F.sum("_share").alias("_b"), F.sum(1 - F.col("_share")).alias("_a"))
+    b, a = counts.agg(F.coalesce(F.sum("_b"), F.lit(0.0)), F.coalesce(F.sum("_a"), F.lit(0.0))).first()
+    pooled = F.lit(BORROWED / max(a + b, 1e-9)) * (F.col("_a") + F.col("_b"))
+    return counts.select("_word", (F.log((F.col("_b") + pooled) / (b + BORROWED)) - F.log((F.col("_a") + pooled) / (a + BORROWED))).alias("_odds"))
+
+
 def judge(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]] = RULES,
@@ -139,56 +159,56 @@ def judge(
 
     A null url, or one without ``://``, has an empty host and path, fits no rule and is judged
     by the prior alone. Verdict: the rule's, else ``block`` where the log odds are above 0,
-    else ``allow``. Null html adds no words to the unigram model. Repeated rows and null ids
-    stay, an empty table gives no rows, other columns are ignored. Words are counted over all
-    pages; hosts and paths (digits levelled) are scored once for each distinct value and
-    joined back, so a host of a third of all rows is scored once.
+    else ``allow``. Null html gives no title. Repeated rows and null ids stay, an empty table
+    gives no rows, other columns are ignored, whatever their names. Words are counted over all
+    pages; hosts and paths (digits levelled) are scored once for each distinct value, however
+    long, and joined back, so a host of a third of all rows is scored once.
     """
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
-    base = pages.select(F.col(id_col).alias("_id"), host.alias("_host"), path.alias("_path"))
+    title = F.regexp_extract(F.col(html_col), r"(?is)<title[^>]*>([^<]*)", 1)
+    told = F.coalesce(F.exists(words_in(title), lambda w: w.isin(*SEED_BLOCK)), F.lit(False))
+    base = pages.select(F.col(id_col).alias("_id"), host.alias("_host"), path.alias("_path"), told.alias("_told"))
     rule, verdict = rule_of(F.col("_host"), F.col("_path"), rules)
-    base = base.select("_id", "_host", "_path", rule.alias("_rule"), verdict.alias("_verdict"), F.regexp_replace("_path", "[0-9]+", "0").alias("_shape"))
-    titles = pages.select(F.regexp_extract(F.col(html_col), r"(?is)<title[^>]*>([^<]*)", 1).alias("_title"))
+    base = base.select("_id", "_host", "_path", "_told", rule.alias("_rule"), verdict.alias("_verdict"), F.regexp_replace("_path", "[0-9]+", "0").alias("_shape"))
 
-    urls = base.groupBy("_host", "_shape").agg(F.count(F.lit(1)).alias("_n"))
+    urls = cut_lineage(base.groupBy("_host", "_shape").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_told").alias("_told")))
     sides = F.array(
         F.struct(F.lit("host").alias("side"), F.col("_host").alias("value")),
         F.struct(F.lit("path").alias("side"), F.col("_shape").alias("value")),
     )
     values = urls.select(F.explode(sides).alias("_s")).select("_s.side", "_s.value").distinct()
     named = values.withColumn("_name", F.explode(names_in(F.col("value"))))
-    split = segmented(named, cut_lineage(unigrams(titles)))
+    split = segmented(named, cut_lineage(unigrams(pages.select(title.alias("_title")))))
     words = cut_lineage(named.join(split, "_name").select("side", "value", F.explode("_words").alias("_word")))
 
-    bad = words.where(F.col("_word").isin(*SEED_BLOCK)).select("side", "value").distinct()
-    bad_hosts = bad.where("side = 'host'").select(F.col("value").alias("_host"), F.lit(True).alias("_bad_host"))
-    bad_shapes = bad.where("side = 'path'").select(F.col("value").alias("_shape"), F.lit(True).alias("_bad_shape"))
-    taught = urls.join(bad_hosts, "_host", "left").join(bad_shapes, "_shape", "left")
-    blocked = F.col("_bad_host").isNotNull() | F.col("_bad_shape").isNotNull()
-    taught = taught.select(F.explode(sides).alias("_s"), blocked.alias("_bad"), "_n").groupBy("_s.side", "_s.value").agg(
-        F.sum(F.when(F.col("_bad"), F.col("_n")).otherwise(0)).alias("_block"),
-        F.sum(F.when(F.col("_bad"), 0).otherwise(F.col("_n"))).alias("_allow"),
-    )
-    seeds = base.sparkSession.createDataFrame(
-        [(w, SEED_COUNT, 0.0) for w in SEED_BLOCK] + [(w, 0.0, SEED_COUNT) for w in SEED_ALLOW], "_word string, _block double, _allow double"
-    )
-    counts = words.join(taught, ["side", "value"]).select("_word", "_block", "_allow").unionByName(seeds)
-    counts = counts.groupBy("_word").agg(F.sum("_block").alias("_b"), F.sum("_allow").alias("_a"))
-    b, a, kinds = counts.agg(F.sum("_b"), F.sum("_a"), F.count(F.lit(1))).first()
-    odds = counts.select("_word", (F.log((F.col("_b") + SMOOTHING) / (b + SMOOTHING * kinds)) - F.log((F.col("_a") + SMOOTHING) / (a + SMOOTHING * kinds))).alias("_odds"))
-    scores = words.join(odds, "_word").groupBy("side", "value").agg(F.sum("_odds").alias("_odds"))
-    hosts = scores.where("side = 'host'").select(F.col("value").alias("_host"), F.col("_odds").alias("_host_odds"))
-    shapes = scores.where("side = 'path'").select(F.col("value").alias("_shape"), F.col("_odds").alias("_path_odds"))
-
-    prior = math.log(block_prior / (1 - block_prior))
-    total = F.round(F.lit(prior) + F.coalesce("_host_odds", F.lit(0.0)) + F.coalesce("_path_odds", F.lit(0.0)), 9)
-    return base.join(hosts, "_host", "left").join(shapes, "_shape", "left").select(
+    def of_side(df: DataFrame, side: str, value: str, column: str, name: str) -> DataFrame:
+        return df.where(F.col("side") == side).select(F.col("value").alias(value), F.col(column).alias(name))
+
+    def scored(df: DataFrame, odds: DataFrame) -> DataFrame:
+        """``df`` with the log odds of its host and shape."""
+        sums = words.join(odds, "_word").groupBy("side", "value").agg(F.sum("_odds").alias("_odds"))
+        both = df.join(of_side(sums, "host", "_host", "_odds", "_host_odds"), "_host", "left").join(of_side(sums, "path", "_shape", "_odds", "_path_odds"), "_shape", "left")
+        prior = F.lit(math.log(block_prior / (1 - block_prior)))
+        return both.withColumn("_total", F.round(prior + F.coalesce("_host_odds", F.lit(0.0)) + F.coalesce("_path_odds", F.lit(0.0)), 9)).drop("_host_odds", "_path_odds")
+
+    seeded = words.where(F.col("_word").isin(*SEED_BLOCK)).select("side", "value").distinct().withColumn("_yes", F.lit(True))
+    known = urls.join(of_side(seeded, "host", "_host", "_yes", "_bad_host"), "_host", "left").join(of_side(seeded, "path", "_shape", "_yes", "_bad_shape"), "_shape", "left")
+    positive = F.col("_bad_host").isNotNull() | F.col("_bad_shape").isNotNull() | (F.col("_told") * 2 > F.col("_n"))
+    known = cut_lineage(known.select("_host", "_shape", "_n", positive.alias("_positive")))
+    weighed = known.withColumn("_p", F.col("_positive").cast("double"))
+    for i in range(ROUNDS):
+        shares = weighed.select(F.explode(sides).alias("_s"), "_n", "_p").groupBy("_s.side", "_s.value").agg((F.sum(F.col("_p") * F.col("_n")) / F.sum("_n")).alias("_share"))
+        odds = cut_lineage(word_odds(words, shares))
+        if i < ROUNDS - 1:
+            again = scored(known, odds)
+            weighed = again.withColumn("_p", (F.col("_positive") | (F.col("_total") > 0)).cast("double"))
+    return scored(base.drop("_told"), odds).select(
         F.col("_id").alias(id_col),
         F.col("_host").alias("host"),
         F.col("_path").alias("path"),
         F.col("_rule").alias("rule"),
-        F.coalesce("_verdict", F.when(total > 0, "block").otherwise("allow")).alias("verdict"),
-        total.alias("block_log_odds"),
+        F.coalesce("_verdict", F.when(F.col("_total") > 0, "block").otherwise("allow")).alias("verdict"),
+        F.col("_total").alias("block_log_odds"),
     )
 
 
