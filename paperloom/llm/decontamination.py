@@ -25,8 +25,8 @@ from .common import cut_lineage
 
 WINDOW = 8
 #: Least and most bits (as powers of two) of the filter that documents' windows pass before the join;
-#: between them it has 16 for each window of an item.
-FILTER_BITS = (16, 28)
+#: between them it has 64 for each window of an item, so that one in 1,000 others passes.
+FILTER_BITS = (22, 28)
 #: Most pairs of positions that are listed to find the alignments of one document and one item; more are counted by transforms.
 LISTED_PAIRS = 1 << 20
 _TOKEN = re.compile(r"[0-9]+(?:[.,][0-9]+)*|[^\W\d_]+|[.!?]")
@@ -320,9 +320,17 @@ class Pair:
         return a[order], b[order]
 
 
-def _bits(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Places of the hashes in a filter of ``2**bits`` bits."""
-    return (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of each hash in a filter of ``2**bits`` bits: its first and its last bits."""
+    return (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64), hashes & ((1 << bits) - 1)
+
+
+def _passing(hashes: np.ndarray, packed: np.ndarray, bits: int) -> np.ndarray:
+    """Indices of the hashes that the filter may hold."""
+    one, two = _places(hashes, bits)
+    held = lambda at: (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    kept = np.flatnonzero(held(one))
+    return kept[held(two[kept])]
 
 
 def _grouped(found) -> list[tuple[int, list[int], list[str]]]:
@@ -397,14 +405,15 @@ def find_leaks(
     before = F.coalesce(F.sum(F.size("_iat")).over(rarest), F.lit(0))
     known = cut_lineage(known.withColumn("_proposes", before <= entries - F.col("_need")).drop("_often"))
     if filter_bits is None:
-        filter_bits = min(max(FILTER_BITS[0], math.ceil(math.log2(16 * known.count() + 1))), FILTER_BITS[1])
+        filter_bits = min(max(FILTER_BITS[0], math.ceil(math.log2(64 * known.count() + 1))), FILTER_BITS[1])
 
     def bits(frames):
         merged = np.zeros(1 << filter_bits, dtype=bool)
         widths = 0
         for f in frames:
             if len(f):
-                merged[_bits(f["_h"].to_numpy(np.int64), filter_bits)] = True
+                for at in _places(f["_h"].to_numpy(np.int64), filter_bits):
+                    merged[at] = True
                 for w in f["_w"].unique().tolist():
                     widths |= 1 << int(w)
         yield pd.DataFrame({"_bits": [np.packbits(merged).tobytes()], "_widths": [widths]})
@@ -421,8 +430,7 @@ def find_leaks(
 
         def passing(own: list[Template], w: int):
             for template, hashes, places, at in read_windows(own if w == width else own[:1], w):
-                spot = _bits(hashes, filter_bits)
-                for i in np.flatnonzero(packed[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8) & 1).tolist():
+                for i in _passing(hashes, packed, filter_bits).tolist():
                     yield int(hashes[i]), int(places[i]), template.slots(int(at[i]), w)
 
         for f in frames:
