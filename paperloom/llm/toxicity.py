@@ -7,6 +7,7 @@ prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), and their scores are averaged.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from dataclasses import dataclass
@@ -118,14 +119,46 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float, steps: int, rate: float
     return w[:-1], float(w[-1])
 
 
-def _gain(a, c, n_p: int, n_u: int):
+def _gain(a: int, c: int, n_p: int, n_u: int) -> float:
     """G squared of a feature that ``a`` of ``n_p`` positives and ``c`` of ``n_u`` unlabelled have."""
-    share = (a + c) / F.lit(float(n_p + n_u))
+    share = (a + c) / (n_p + n_u)
+    part = lambda o, e: o * math.log(o / e) if o > 0 else 0.0
+    return 2 * (part(a, n_p * share) + part(c, n_u * share) + part(n_p - a, n_p * (1 - share)) + part(n_u - c, n_u * (1 - share)))
 
-    def part(o, n, e):
-        return F.when(o > 0, o * F.log(o / (e * F.lit(float(n))))).otherwise(F.lit(0.0))
 
-    return 2 * (part(a, n_p, share) + part(c, n_u, share) + part(n_p - a, n_p, 1 - share) + part(n_u - c, n_u, 1 - share))
+def first_ids(ids: DataFrame, rows: int) -> DataFrame:
+    """The ``rows`` distinct _id with the smallest hashes. Only ids with hashes below a bound that
+    about twice as many stay under are compared, so not all of them are shuffled; the bound is
+    doubled while it leaves too few."""
+    n = ids.agg(F.approx_count_distinct("_id")).first()[0]
+    hashed = F.xxhash64("_id")
+    share = min(1.0, 2 * rows / max(n, 1))
+    while True:
+        low = ids if share >= 1 else ids.where(hashed < int(-(2**63) + share * 2**64))
+        found = low.distinct().orderBy(hashed, "_id").limit(rows)
+        if share >= 1 or found.count() >= rows:
+            return found
+        share = min(1.0, 2 * share)
+
+
+def _marks(held: np.ndarray):
+    """A function from a text to the numbers of its features, repeats included, and the number of its
+    distinct words. ``held`` has a feature's number for each bucket, else -1."""
+    known: dict[str, list[int]] = {}
+
+    def of(text: str) -> tuple[list[int], int]:
+        words = words_of(text)
+        out: list[int] = []
+        for w in words:
+            own = known.get(w)
+            if own is None:
+                own = [k for b in word_buckets(w) if (k := int(held[b])) >= 0]
+                if len(known) < 500_000:
+                    known[w] = own
+            out += own
+        return out, len(words)
+
+    return of
 
 
 def fit(
@@ -142,44 +175,64 @@ def fit(
     of the held-out fold; the prior is the share of positives among the labelled ids there.
 
     Both samples are bounded, so their ids are broadcast. Features are the buckets that tell the
-    two sets apart best by document counts; Spark counts them, and only the counts of the chosen
-    ones in the sampled texts reach the driver.
+    positive sample from all documents outside the held-out fold best, by counts of documents:
+    Spark counts, over all those documents, the buckets that at least 3 positives have. Only the
+    counts of the chosen ones in the sampled texts reach the driver. Null labels and ids take no
+    part; null texts count as empty; of several texts of a sampled id the first counts; an id with
+    several labels is positive if one of them is; other columns are ignored.
     """
     own = F.coalesce(fold(F.col(id_col), folds), F.lit(held_out)) != held_out
-    named = labels.where(own & F.col(label).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label).alias("_y"))
-    n, hits = named.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("_y") == 1).cast("long")), F.lit(0))).first()
+    named = labels.where(own & F.col(label).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label) == 1).cast("int")).alias("_y"))
+    n, hits = named.agg(F.count(F.lit(1)), F.coalesce(F.sum("_y"), F.lit(0))).first()
     if not hits:
         return constant_model(0.0)
     prior = float(np.clip(hits / n, 0.005, 0.9))
-    hashed = F.xxhash64("_id")
-    positive = named.where("_y = 1").select("_id").distinct().orderBy(hashed, "_id").limit(POSITIVE_ROWS).withColumn("_p", F.lit(True))
-    others = docs.where(own).select(F.col(id_col).alias("_id")).distinct().orderBy(hashed, "_id").limit(UNLABELLED_ROWS)
-    sample = positive.unionByName(others.withColumn("_p", F.lit(False)))
+    positive = named.where("_y = 1").select("_id").orderBy(F.xxhash64("_id"), "_id").limit(POSITIVE_ROWS)
+    others = first_ids(docs.where(own).select(F.col(id_col).alias("_id")), UNLABELLED_ROWS)
+    sample = positive.withColumn("_p", F.lit(True)).unionByName(others.withColumn("_p", F.lit(False)))
+
+    texts = docs.where(own).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
+    # a sampled id that stands for several texts counts with the first of them
+    once = cut_lineage(texts.join(F.broadcast(sample), "_id").groupBy("_id", "_p").agg(F.min("_t").alias("_t")))
 
     def buckets(frames):
         for f in frames:
-            words = [words_of(t) for t in f["_t"]]
-            yield pd.DataFrame({"_id": f["_id"], "_p": f["_p"], "_n": [len(w) for w in words], "_f": [[b for x in sorted(w) for b in word_buckets(x)] for w in words]})
+            yield pd.DataFrame({"_f": [sorted({b for w in words_of(t) for b in word_buckets(w)}) for t in f["_t"]]})
 
-    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    # a sampled id that stands for several texts counts with the first of them
-    once = texts.join(F.broadcast(sample), "_id").groupBy("_id", "_p").agg(F.min("_t").alias("_t"))
-    got = cut_lineage(once.mapInPandas(buckets, f"_id {kind}, _p boolean, _n int, _f array<int>"))
-    n_p, n_u = got.agg(F.count_if("_p"), F.count_if(~F.col("_p"))).first()
-    held = got.select("_p", F.explode(F.array_distinct("_f")).alias("_b")).groupBy("_b")
-    held = held.agg(F.count_if("_p").alias("_a"), F.count_if(~F.col("_p")).alias("_c")).where("_a >= 3")
-    held = held.select("_b", _gain(F.col("_a").cast("double"), F.col("_c").cast("double"), n_p, max(1, n_u)).alias("_g"))
-    chosen = [r["_b"] for r in held.where(F.col("_g") >= LEAST_GAIN).orderBy(F.desc("_g"), "_b").limit(features).collect()]
-
-    def counted(frames):
-        place = {b: i for i, b in enumerate(chosen)}
+    frequent = once.where("_p").select("_t").mapInPandas(buckets, "_f array<int>").select(F.explode("_f").alias("_b"))
+    frequent = {r["_b"]: r["_a"] for r in frequent.groupBy("_b").agg(F.count(F.lit(1)).alias("_a")).where("_a >= 3").collect()}
+    numbers = np.full(BUCKETS, -1, dtype=np.int32)
+    numbers[sorted(frequent)] = np.arange(len(frequent))
+
+    def everywhere(frames):
+        of, counts, n = _marks(numbers), np.zeros(len(frequent), dtype=np.int64), 0
+        for f in frames:
+            for t in f["_t"]:
+                counts[list(set(of(t)[0]))] += 1
+            n += len(f)
+        at = np.flatnonzero(counts)
+        yield pd.DataFrame({"_k": np.append(at, -1), "_c": np.append(counts[at], n)})
+
+    counted = texts.select("_t").mapInPandas(everywhere, "_k int, _c long").groupBy("_k").agg(F.sum("_c").alias("_c"))
+    in_all = {r["_k"]: r["_c"] for r in counted.collect()}
+    n_p, n_u = once.where("_p").count(), max(1, in_all.get(-1, 0))
+    gains = sorted((-_gain(frequent[b], in_all.get(k, 0), n_p, n_u), b) for k, b in enumerate(sorted(frequent)))
+    chosen = [b for g, b in gains if -g >= LEAST_GAIN][:features]
+    place = np.full(BUCKETS, -1, dtype=np.int32)
+    place[chosen] = np.arange(len(chosen))
+
+    def sparse(frames):
+        of = _marks(place)
         for f in frames:
-            yield pd.DataFrame({"_p": f["_p"], "_n": f["_n"], "_x": [[place[b] for b in x.tolist() if b in place] for x in f["_f"]]})
+            rows = [of(t) for t in f["_t"]]
+            counts = [np.unique(np.array(x, dtype=np.int32), return_counts=True) for x, _ in rows]
+            yield pd.DataFrame({"_p": f["_p"], "_n": [n for _, n in rows], "_k": [k for k, _ in counts], "_c": [c for _, c in counts]})
 
     part: dict[bool, list] = {True: [], False: []}
-    for r in got.mapInPandas(counted, "_p boolean, _n int, _x array<int>").collect():
-        part[r["_p"]].append(np.bincount(np.array(r["_x"], dtype=np.int64), minlength=len(chosen)) / max(1, r["_n"]) ** 0.5)
+    for r in once.mapInPandas(sparse, "_p boolean, _n int, _k array<int>, _c array<long>").collect():
+        row = np.zeros(len(chosen), dtype=np.float32)
+        row[r["_k"]] = np.array(r["_c"]) / max(1, r["_n"]) ** 0.5
+        part[r["_p"]].append(row)
     p, u = (np.array(part[k], dtype=np.float32).reshape(len(part[k]), len(chosen)) for k in (True, False))
     return fit_matrix(p, u, chosen, prior)
 

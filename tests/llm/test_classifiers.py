@@ -2,10 +2,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from paperloom.llm import quality, toxicity
 
-BIG = "/root/testdata/sf0.01"
+BIG, LARGE = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 
 def measured(spark, rows, label, sf):
@@ -27,7 +28,42 @@ def test_toxicity_held_out(spark):
     rows = toxicity.op4_toxicity(spark, BIG).collect()
     assert len(rows) == 1000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
     accuracy, precision, recall = measured(spark, rows, "toxic", BIG)
-    assert accuracy > 0.9 and precision > 0.8 and recall > 0.5
+    # 37 positives teach no words of the languages that 5 of the 14 held-out positives are in
+    assert accuracy > 0.9 and precision > 0.95 and recall > 0.6
+
+
+def test_toxicity_recall_where_positives_allow_it(spark):
+    rows = toxicity.op4_toxicity(spark, LARGE).collect()
+    accuracy, precision, recall = measured(spark, rows, "toxic", LARGE)
+    assert accuracy > 0.97 and precision > 0.95 and recall > 0.9
+
+
+def test_first_ids_are_those_with_the_smallest_hashes(spark):
+    ids = spark.range(3000).withColumn("k", F.explode(F.sequence(F.lit(1), F.when(F.col("id") < 3, 2000).otherwise(1)))).select(F.col("id").alias("_id"))
+    want = [r._id for r in ids.distinct().orderBy(F.xxhash64("_id"), "_id").limit(40).collect()]
+    assert sorted(r._id for r in toxicity.first_ids(ids, 40).collect()) == sorted(want)
+    assert toxicity.first_ids(ids, 5000).count() == 3000 and toxicity.first_ids(ids.limit(0), 5).count() == 0
+
+
+def test_toxicity_odd_rows(spark):
+    rng = np.random.default_rng(6)
+    plain = [" ".join(f"w{chr(97 + int(i))}" for i in rng.integers(26, size=30)) for _ in range(120)]
+    rows = [(i, t + (" vile nasty" if i % 4 == 0 else ""), "x", 1, 0.5) for i, t in enumerate(plain)]
+    odd = [(1000, None, "x", 1, 0.5), (1001, "", "x", 1, 0.5), (None, "vile nasty wa", "x", 1, 0.5), (0, "another text of the same id", "x", 1, 0.5), (1002, "vile nasty " * 50_000, "x", 1, 0.5), (1003, "v" * 200_000, "x", 1, 0.5)]
+    docs = spark.createDataFrame([*rows, *rows[:8], *odd], "doc_id long, text string, _id string, _p int, score double")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0), "x") for i in range(120)] + [(0, 0, "x"), (None, 1, "x"), (5, None, "x"), (1000, 1, "x")], "doc_id long, toxic int, _y string")
+    got = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert len(got) == len(rows) + 8 + len(odd) and all(0 <= r.score <= 1 for r in got)
+    scores = {r.doc_id: r.score for r in got}
+    assert scores[None] > 0.5 > scores[1003] and scores[1002] > 0.5 and scores[1000] == scores[1001]
+    assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
+
+
+def test_quality_counts_an_id_once(spark):
+    docs = spark.createDataFrame([(i, "a fine sentence stands here. " * (1 + i % 3)) for i in range(60)] * 3 + [(i, "### !!! ###" * (1 + i % 3)) for i in range(60, 120)] + [(1, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(120)] * 2 + [(1, 0)], "doc_id long, quality int")
+    rows = {(r.doc_id, r.score > 0.5) for r in quality.score(docs.where("text IS NOT NULL"), quality.fit(docs, labels)).collect()}
+    assert rows == {(i, i < 60) for i in range(120)}
 
 
 def test_rules_as_expression_equal_numpy(spark):
