@@ -7,6 +7,7 @@ all patterns concatenated, filtered, and the first taken.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -56,6 +57,13 @@ ADDRESS_STARTS = ("ship to", "shipping address", "deliver to", "delivery address
 ADDRESS_ENDS = ("phone", "tel", "mobile", "email", "website", "gstin", "gst", "invoice", "bill", "date", "po number", "order")
 ADDRESS_LINES = 5
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+DATES_IN_TEXT = (
+    r"\b([0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{2,4})\b",
+    r"\b([0-9]{2,4}[/-][0-9]{1,2}[/-][0-9]{1,2})\b",
+    r"(?i)\b[0-9]{1,2}\s+(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+[0-9]{2,4}\b",
+    r"(?i)\b(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+[0-9]{1,2},?\s+[0-9]{2,4}\b",
+)
+GST_TO_NORMALISE = r"^[0-9]{2}[A-Z0-9]{10}[A-Z][0-9][A-Z][0-9A-Z]\z"
 FORMATS = {
     "invoice_number": r"^[A-Z0-9\-/]{3,20}\z",
     "gst_number": r"^[0-9]{2}[A-Z]{5}[0-9]{4}[A-Z][1-9A-Z]Z[0-9A-Z]\z",
@@ -66,10 +74,18 @@ FORMATS = {
 }
 
 
+def _found(text: Column, pattern: str) -> Column:
+    """Group 1 of all matches of one pattern, which has no alternatives outside of groups. A text
+    without the letters that the pattern begins with is not searched."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    start = re.match("(?:[A-Za-z](?![*?{]))*", pattern)[0]
+    return F.when(F.contains(text, F.lit(start)), found).otherwise(F.array().cast("array<string>")) if start else found
+
+
 def matches(text: Column, patterns: Sequence[str]) -> Column:
     """Group 1 of all matches, by pattern, then by position."""
     text = F.coalesce(text, F.lit(""))
-    return F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in patterns])
+    return F.concat(*[_found(text, p) for p in patterns])
 
 
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -83,7 +99,7 @@ def first_match(text: Column, patterns: Sequence[str], read: Callable[[Column],
     text = F.coalesce(text, F.lit(""))
 
     def of(pattern: str) -> Column:
-        found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), read)
+        found = F.transform(_found(text, pattern), read)
         return F.get(F.filter(found, lambda x: x.isNotNull()), F.lit(0))
 
     return F.coalesce(*[of(p) for p in patterns])
@@ -93,17 +109,18 @@ def _long_enough(x: Column) -> Column:
     return F.when(F.length(x) > 2, x)
 
 
-def invoice_number(text: Column) -> Column:
-    return F.upper(first_match(F.lower(text), INVOICE_NUMBER, _long_enough))
+def invoice_number(text: Column, low: Column | None = None) -> Column:
+    """``low`` is the text in lower case, where it is at hand; the same below."""
+    return F.upper(first_match(F.lower(text) if low is None else low, INVOICE_NUMBER, _long_enough))
 
 
-def po_number(text: Column) -> Column:
-    return F.upper(first_match(F.lower(text), PO_NUMBER, _long_enough))
+def po_number(text: Column, low: Column | None = None) -> Column:
+    return F.upper(first_match(F.lower(text) if low is None else low, PO_NUMBER, _long_enough))
 
 
-def total_amount(text: Column) -> Column:
+def total_amount(text: Column, low: Column | None = None) -> Column:
     """The first amount after a total label, as text. "Subtotal" holds such a label too."""
-    return first_match(F.lower(text), AMOUNT, clean_amount)
+    return first_match(F.lower(text) if low is None else low, AMOUNT, clean_amount)
 
 
 def gstin_is_valid(value: Column) -> Column:
@@ -112,13 +129,13 @@ def gstin_is_valid(value: Column) -> Column:
 
 def gst_numbers(text: Column, distinct: bool = False) -> Column:
     """All valid GST numbers; one behind a label is found by its label and by its form."""
-    found = F.filter(matches(F.upper(text), GST), gstin_is_valid)
+    found = let(F.upper(text), lambda up: F.filter(matches(up, GST), gstin_is_valid))
     return F.array_distinct(found) if distinct else found
 
 
-def invoice_date(text: Column) -> Column:
+def invoice_date(text: Column, low: Column | None = None) -> Column:
     """The first date that can be read, as an ISO date string."""
-    return first_match(F.lower(text), DATE, normalise_date)
+    return first_match(F.lower(text) if low is None else low, DATE, normalise_date)
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
@@ -212,3 +229,42 @@ def beside_label(text: Column, label: str) -> Column:
     rows = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.split(F.trim(x), r"\s{2,}|\t"))
     hit = F.filter(rows, lambda r: (F.lower(F.get(r, F.lit(0))) == label.lower()) & (F.size(r) > 1))
     return F.get(F.get(hit, F.lit(0)), F.lit(1))
+
+
+def dates_in(text: Column) -> Column:
+    """All dates of a text by four forms, form by form; of dates with a month's name the first three
+    letters of that name."""
+    text = F.coalesce(text, F.lit(""))
+    return F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in DATES_IN_TEXT])
+
+
+def normalise_gst(text: Column) -> Column:
+    """Upper case without white space where that has the form of 16 characters, else the text as it is;
+    empty for null."""
+    bare = F.regexp_replace(F.upper(text), r"\s+", "")
+    return F.coalesce(F.when(bare.rlike(GST_TO_NORMALISE), bare).otherwise(text), F.lit(""))
+
+
+def standard_date(text: Column) -> Column:
+    """dd/MM/yyyy of a date in one of the forms of ``normalise_date``, an ISO date, or one with a
+    month's name between hyphens; null for anything else."""
+    bare = F.trim(text)
+    iso = F.when(bare.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"), F.try_to_date(bare, "yyyy-M-d"))
+    named = F.regexp_replace(bare, r"^([0-9]{1,2})-([A-Za-z]+)-([0-9]{4})\z", "$1 $2 $3")
+    return F.date_format(F.coalesce(iso, F.try_to_date(normalise_date(named), "yyyy-MM-dd")), "dd/MM/yyyy")
+
+
+def pattern_strength(text: Column, pieces: Sequence[str]) -> Column:
+    """How far a text follows a pattern given in pieces: 1.0 for a whole match, else the share of
+    leading pieces that it begins with, one of them more being counted for what follows a whole match."""
+    n = len(pieces)
+    out = F.when(text.rlike("^" + "".join(pieces) + r"\z"), 1.0).when(text.rlike("^" + "".join(pieces)), n / (n + 1))
+    for k in range(n - 1, 0, -1):
+        out = out.when(text.rlike("^" + "".join(pieces[:k])), k / n)
+    return out.otherwise(0.0)
+
+
+def nested_get(json: Column, keys: Sequence[str], default: str | None = None) -> Column:
+    """The value at a path of keys in a JSON text, as text; the default where a key or its value is missing."""
+    path = "$" + "".join(f"['{k}']" for k in keys)
+    return F.coalesce(F.get_json_object(json, path), F.lit(default).cast("string"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import parse_number
+from ..functions.text import let
 
 # Header words, roles in the order they are tried, distances in pixels.
 HEADER_WORDS = (
@@ -59,27 +60,23 @@ def regions_from_headers(blocks: DataFrame, least: int = 2) -> DataFrame:
     return hull.where(F.col("n_blocks") >= least).withColumn("confidence", F.lit(0.8))
 
 
-def _anchored(cells: Column, tolerance: int) -> Column:
-    """Row number of each cell of an array sorted by y1: a cell joins the row while its y1 is
-    within the tolerance of the row's first cell."""
-    start = F.struct(
-        F.lit(-1).alias("row"), F.lit(None).cast("int").alias("anchor"), F.array().cast("array<int>").alias("rows")
-    )
-
-    def step(acc: Column, c: Column) -> Column:
-        same = acc["anchor"].isNotNull() & (F.abs(c["y1"] - acc["anchor"]) <= tolerance)
-        row = F.when(same, acc["row"]).otherwise(acc["row"] + 1)
-        return F.struct(row.alias("row"), F.when(same, acc["anchor"]).otherwise(c["y1"]).alias("anchor"), F.array_append(acc["rows"], row).alias("rows"))
-
-    return F.aggregate(cells, start, step, lambda acc: acc["rows"])
+def _anchors(ys: Column, tolerance: int) -> Column:
+    """The y1 of each row's first cell, of an array of ascending y1: a cell joins the row while its y1
+    is within the tolerance of the row's first."""
+    start = F.array().cast("array<int>")
+    joins = lambda acc, y: (F.size(acc) > 0) & (y - F.try_element_at(acc, F.lit(-1)) <= tolerance)
+    return F.aggregate(F.transform(ys, lambda y: y.cast("int")), start, lambda acc, y: F.when(joins(acc, y), acc).otherwise(F.array_append(acc, y)))
 
 
 def numbered_rows(blocks: DataFrame, keys: list[str] = PAGE, tolerance: int = ROW_TOLERANCE) -> DataFrame:
-    """Blocks with ``row_no`` (from 0, downwards) within their page or other key."""
-    cell = F.struct("y1", "block_pos", "x1", "x2", "y2", "text", "confidence")
-    pages = blocks.groupBy(*keys).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
-    zipped = F.arrays_zip("cells", _anchored(F.col("cells"), tolerance).alias("row_no"))
-    return pages.select(*keys, F.explode(zipped).alias("z")).select(*keys, "z.row_no", "z.cells.*")
+    """Blocks with ``row_no`` (from 0, downwards) within their page or other key. A page's cells meet
+    in one row; only its distinct heights are folded over."""
+    pages = blocks.groupBy(*keys).agg(
+        F.collect_list(F.struct("y1", "block_pos", "x1", "x2", "y2", "text", "confidence")).alias("cells"), _anchors(F.array_sort(F.collect_set("y1")), tolerance).alias("anchors")
+    )
+    cells = pages.select(*keys, "anchors", F.explode("cells").alias("c"))
+    row_no = F.size(F.filter("anchors", lambda a: a <= F.col("c.y1"))) - 1
+    return cells.select(*keys, row_no.alias("row_no"), "c.*")
 
 
 def table_rows(blocks: DataFrame, keys: list[str] = PAGE, tolerance: int = ROW_TOLERANCE) -> DataFrame:
@@ -133,8 +130,13 @@ def role(header: Column) -> Column:
 
 def role_index(header_row: Column, name: str) -> Column:
     """Index of the last cell of the row that has the role, null if none."""
-    hits = F.filter(F.transform(header_row, lambda h, i: F.when(role(h) == name, i)), lambda i: i.isNotNull())
-    return F.try_element_at(hits, F.lit(-1))
+    return last_index(F.transform(header_row, role), name)
+
+
+def last_index(values: Column, value: str) -> Column:
+    """Index (from 0) of the last occurrence of a value in an array, null if there is none."""
+    at = F.array_position(F.reverse(values), F.lit(value))
+    return F.when(at > 0, (F.size(values) - at).cast("int"))
 
 
 def _cell(row: Column, at: Column) -> Column:
@@ -149,9 +151,13 @@ def parse_items(rows: DataFrame, keys: list[str] = PAGE) -> DataFrame:
     to 1000, the least and the largest positive number. Rows of under 3 cells, and rows without
     a description or any number, give no item.
     """
-    heads = rows.where("row_no = 0").select(*keys, F.col("cells").alias("head"))
-    at = heads.select(*keys, *[role_index(F.col("head"), n).alias(f"at_{n}") for n in ("description", "hsn", "quantity", "unit_price", "total", "unit")])
-    body = rows.where("row_no > 0").where(F.size("cells") >= 3).join(at, keys)
+    # the header's roles are read once for each page and reach its other rows through a window over the page
+    names = ("description", "hsn", "quantity", "unit_price", "total", "unit")
+    places = lambda roles: F.struct(*[last_index(roles, n).alias(f"at_{n}") for n in names])
+    own = F.when(F.col("row_no") == 0, let(F.transform("cells", role), places))
+    page = Window.partitionBy(*keys).orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
+    at = F.first(own, ignorenulls=True).over(page)
+    body = rows.withColumn("_at", at).where(F.col("_at").isNotNull() & (F.col("row_no") > 0) & (F.size("cells") >= 3)).select("*", "_at.*")
     c = F.col("cells")
     body = body.withColumn("nums", F.transform(c, parse_number))
     positive = F.filter("nums", lambda n: n > 0)

@@ -88,3 +88,30 @@ def is_whole(blocks: DataFrame) -> DataFrame:
 def in_region(x1: int, y1: int, x2: int, y2: int) -> Column:
     """Strict overlap of a block with a fixed region."""
     return (F.col("x1") < x2) & (F.col("x2") > x1) & (F.col("y1") < y2) & (F.col("y2") > y1)
+
+
+def bucket_texts(blocks: DataFrame, high: float = 0.9, medium: float = 0.6) -> DataFrame:
+    """The texts of each page's blocks by bucket of confidence (``high``, ``medium``, ``low``), in block order."""
+    c = F.col("confidence")
+    of = lambda test: F.transform(F.array_sort(F.collect_list(F.when(test, F.struct("block_pos", "text")))), lambda s: s["text"])
+    return blocks.groupBy(*PAGE).agg(of(c >= high).alias("high"), of((c >= medium) & (c < high)).alias("medium"), of(c < medium).alias("low"))
+
+
+def text_in_region(blocks: DataFrame, regions: DataFrame) -> DataFrame:
+    """Per region (region_id) of a page the text, number and mean confidence of the blocks that overlap
+    it, in block order; empty regions give no row."""
+    f = F.col
+    over = (f("b.x1") < f("r.x2")) & (f("b.x2") > f("r.x1")) & (f("b.y1") < f("r.y2")) & (f("b.y2") > f("r.y1"))
+    pairs = blocks.alias("b").join(regions.alias("r"), PAGE).where(over)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b.block_pos", "b.text"))), lambda s: s["text"]), " ")
+    return pairs.groupBy(*PAGE, "r.region_id").agg(text.alias("text"), F.count(F.lit(1)).alias("n_blocks"), F.avg("b.confidence").alias("average_confidence"))
+
+
+def metrics(blocks: DataFrame, timings: DataFrame) -> DataFrame:
+    """Per page of ``timings`` (seconds): processing time, number of blocks, their mean confidence (0.0 for none) and blocks a second."""
+    per = blocks.groupBy(*PAGE).agg(F.count(F.lit(1)).alias("n"), F.avg("confidence").alias("c"))
+    n = F.coalesce("n", F.lit(0))
+    return timings.join(per, PAGE, "left").select(
+        *PAGE, F.col("seconds").alias("processing_time"), n.alias("text_blocks_detected"), F.coalesce("c", F.lit(0.0)).alias("average_confidence"),
+        F.coalesce(F.try_divide(n, F.col("seconds")), F.lit(0.0)).alias("blocks_a_second"),
+    )

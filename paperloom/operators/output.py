@@ -27,13 +27,18 @@ def invoice_documents(invoices: DataFrame, items: DataFrame, extracted_at: str =
     cell = F.struct("line_no", F.struct(*ITEM_COLUMNS).alias("item"))
     lists = item_rows(items).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(cell)), lambda s: s["item"]).alias("line_items"))
     kind = lists.schema["line_items"].dataType.simpleString()
-    d = invoices.join(lists, "doc_id", "left")
+    joined = invoice_heads(invoices, extracted_at).join(lists, "doc_id", "left")
+    return joined.select("doc_id", "invoice_info", F.coalesce("line_items", F.array().cast(kind)).alias("line_items"), "totals", "seals_signatures", "metadata")
+
+
+def invoice_heads(invoices: DataFrame, extracted_at: str = "") -> DataFrame:
+    """The nested records without their line items."""
+    d = invoices
     text = lambda *names: [_or_default(d, n, F.lit("")) for n in names]
     number = lambda n: (safe_float(F.col(n)) if n in d.columns else F.lit(0.0)).alias(n)
     return d.select(
         "doc_id",
         F.struct(*text("invoice_number", "invoice_date", "po_number", "vendor_name", "vendor_gst", "buyer_name", "buyer_gst", "shipping_address")).alias("invoice_info"),
-        F.coalesce("line_items", F.array().cast(kind)).alias("line_items"),
         F.struct(number("subtotal"), number("discount"), number("total_gst"), number("final_total")).alias("totals"),
         F.struct(
             _or_default(d, "seals_detected", F.lit(False)).alias("detected"), _or_default(d, "seal_count", F.lit(0)).alias("count"),
@@ -53,7 +58,7 @@ def _unpivot(df: DataFrame, rows: list[tuple]) -> DataFrame:
 
 
 def summary_sheet(documents: DataFrame) -> DataFrame:
-    """The field and value rows of the summary sheet, by position."""
+    """The field and value rows of the summary sheet, by position; ``invoice_heads`` are enough."""
     f, blank = F.col, F.lit("")
     i, t, m = "invoice_info", "totals", "metadata"
     rows = [

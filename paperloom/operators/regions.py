@@ -88,7 +88,7 @@ def seal_presence(documents: DataFrame, regions: DataFrame) -> DataFrame:
         (F.sum("sum") / F.sum("n")).alias("average_confidence"),
     )
     out = documents.select("doc_id").distinct().join(per, "doc_id", "left")
-    c = F.col("average_confidence")
+    c = F.round("average_confidence", 9)  # so that the order in which confidences are added can't decide
     status = F.when(c.isNull(), "no_seals_detected").when(c > 0.7, "high_confidence").when(c > 0.4, "medium_confidence").otherwise("low_confidence")
     return out.select(
         "doc_id",
@@ -96,7 +96,7 @@ def seal_presence(documents: DataFrame, regions: DataFrame) -> DataFrame:
         F.coalesce("total_detections", F.lit(0)).alias("total_detections"),
         F.coalesce("seal_types", F.create_map().cast("map<string,bigint>")).alias("seal_types"),
         F.coalesce("highest_confidence", F.lit(0.0)).alias("highest_confidence"),
-        F.coalesce(c, F.lit(0.0)).alias("average_confidence"),
+        F.coalesce("average_confidence", F.lit(0.0)).alias("average_confidence"),
         status.alias("validation_status"),
     )
 

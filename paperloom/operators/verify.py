@@ -2,7 +2,8 @@
 
 Every check ends as rows (doc_id, check, ordinal, is_valid, errors, warnings); flags aggregate
 them. Amounts are exact decimals. A difference above the tolerance is an error, one above half
-of it a warning.
+of it a warning. What a check finds is a pair of column expressions, errors and warnings; all
+checks of an invoice read one row, the invoice joined to one aggregate of its items.
 """
 
 from __future__ import annotations
@@ -74,63 +75,96 @@ def check_items(items: DataFrame, tolerance: Decimal = TOLERANCE) -> DataFrame:
     )
 
 
+def _item_findings(items: DataFrame, tolerance: Decimal) -> DataFrame:
+    numbered = lambda c: F.transform(F.col(c), lambda m: F.concat(F.lit("Item "), F.col("line_no"), F.lit(": "), m))
+    return check_items(items, tolerance).withColumns({"_e": numbered("errors"), "_w": numbered("warnings")})
+
+
+def _gathered(c: str) -> Column:
+    return F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("line_no", c))), lambda s: s[c]))
+
+
 def items_check(items: DataFrame, tolerance: Decimal = TOLERANCE) -> DataFrame:
     """The check of all items per document, with the numbers of rows and of valid rows."""
-    numbered = lambda c: F.transform(F.col(c), lambda m: F.concat(F.lit("Item "), F.col("line_no"), F.lit(": "), m))
-    rows = check_items(items, tolerance).select("doc_id", "line_no", "is_valid", numbered("errors").alias("e"), numbered("warnings").alias("w"))
-    gathered = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("line_no", c))), lambda s: s[c]))
-    return rows.groupBy("doc_id").agg(
+    return _item_findings(items, tolerance).groupBy("doc_id").agg(
         F.lit("line_items").alias("check"),
         F.lit(1).alias("ordinal"),
         F.bool_and("is_valid").alias("is_valid"),
-        gathered("e").alias("errors"),
-        gathered("w").alias("warnings"),
+        _gathered("_e").alias("errors"),
+        _gathered("_w").alias("warnings"),
         F.count(F.lit(1)).alias("n_items"),
         F.count_if("is_valid").alias("n_valid"),
     )
 
 
+def _read(name: str) -> Column:
+    """An amount of the invoice, null if it can't be read."""
+    return parse_decimal(F.col(name))
+
+
+def _or_zero(value: Column) -> Column:
+    return F.coalesce(value, F.lit(Decimal("0")))
+
+
+def _item_totals() -> list[Column]:
+    """Aggregates of an invoice's items: the sum of readable totals, how many can't be read, and the GST
+    of those whose rate can be read too."""
+    total, rate = _read("total_amount"), _read("gst_rate")
+    return [
+        F.sum(total).alias("items_total"),
+        F.count_if(total.isNull()).alias("n_unread"),
+        F.sum((total * rate * F.lit(CENT)).cast("decimal(28,6)")).alias("items_gst"),
+    ]
+
+
+def _subtotal_findings(calculated: Column, extracted: Column, n_unread: Column, tolerance: Decimal) -> tuple[Column, Column]:
+    error, minor = _band(F.abs(calculated - extracted), tolerance, "subtotal")
+    unread = F.transform(F.sequence(F.lit(1).cast("long"), n_unread), lambda i: F.lit("an item's total can't be read"))
+    return _listed(error), F.concat(F.when(n_unread > 0, unread).otherwise(_none()), _listed(minor, F.when(extracted.isNull(), F.lit("subtotal can't be read"))))
+
+
+def _total_findings(calculated: Column, extracted: Column, tolerance: Decimal) -> tuple[Column, Column]:
+    error, minor = _band(F.abs(calculated - extracted), tolerance, "final total")
+    return _listed(error), _listed(minor, F.when(extracted.isNull(), F.lit("final total can't be read")))
+
+
+def _gst_findings(calculated: Column, extracted: Column, tolerance: Decimal) -> tuple[Column, Column]:
+    """Only an error band."""
+    return _listed(_band(F.abs(calculated - extracted), tolerance, "GST")[0]), _none()
+
+
+def _check_rows(rows: DataFrame, name: str, ordinal: int, findings: tuple[Column, Column], *more: str) -> DataFrame:
+    found = rows.select("*", findings[0].alias("errors"), findings[1].alias("warnings"))
+    return found.select("doc_id", F.lit(name).alias("check"), F.lit(ordinal).alias("ordinal"), (F.size("errors") == 0).alias("is_valid"), "errors", "warnings", *more)
+
+
+def _compared(rows: DataFrame, calculated: Column, extracted: Column, *more: str) -> DataFrame:
+    own = rows.select("doc_id", calculated.alias("calculated"), extracted.alias("extracted"), *more)
+    return own.withColumn("difference", F.abs(F.col("calculated") - F.col("extracted")))
+
+
+_CALCULATED, _EXTRACTED = "calculated", "extracted"
+
+
 def check_subtotal(items: DataFrame, invoices: DataFrame, tolerance: Decimal = TOLERANCE) -> DataFrame:
     """Sum of readable item totals against the invoice's subtotal."""
-    total = parse_decimal(F.col("total_amount"))
-    sums = items.groupBy("doc_id").agg(F.sum(total).alias("calculated"), F.count_if(total.isNull()).alias("n_unread"))
-    rows = invoices.select("doc_id", parse_decimal(F.col("subtotal")).alias("extracted")).join(sums, "doc_id", "left")
-    rows = rows.withColumn("calculated", F.coalesce("calculated", F.lit(Decimal("0")))).withColumn("n_unread", F.coalesce("n_unread", F.lit(0)))
-    rows = rows.withColumn("difference", F.abs(F.col("calculated") - F.col("extracted")))
-    error, minor = _band(F.col("difference"), tolerance, "subtotal")
-    unread = F.transform(F.sequence(F.lit(1).cast("long"), F.col("n_unread")), lambda i: F.lit("an item's total can't be read"))
-    return rows.select(
-        "doc_id",
-        F.lit("subtotal").alias("check"),
-        F.lit(2).alias("ordinal"),
-        error.isNull().alias("is_valid"),
-        _listed(error).alias("errors"),
-        F.concat(F.when(F.col("n_unread") > 0, unread).otherwise(_none()), _listed(minor, F.when(F.col("extracted").isNull(), F.lit("subtotal can't be read")))).alias("warnings"),
-        "calculated",
-        "extracted",
-        "difference",
-    )
+    sums = items.groupBy("doc_id").agg(*_item_totals()[:2])
+    joined = invoices.select("doc_id", "subtotal").join(sums, "doc_id", "left").withColumn("n_unread", F.coalesce("n_unread", F.lit(0)))
+    rows = _compared(joined, _or_zero(F.col("items_total")), _read("subtotal"), "n_unread")
+    found = _subtotal_findings(F.col(_CALCULATED), F.col(_EXTRACTED), F.col("n_unread"), tolerance)
+    return _check_rows(rows, "subtotal", 2, found, "calculated", "extracted", "difference")
+
+
+def _final_total(other_charges: Decimal) -> Column:
+    return _or_zero(_read("subtotal")) - _or_zero(_read("total_discount")) + _or_zero(_read("total_gst")) + F.lit(other_charges)
 
 
 def check_final_total(invoices: DataFrame, tolerance: Decimal = TOLERANCE, other_charges: Decimal = Decimal("0")) -> DataFrame:
     """Subtotal less discount plus GST plus other charges against the final total; parts that
     can't be read count 0."""
-    part = lambda c: F.coalesce(parse_decimal(F.col(c)), F.lit(Decimal("0")))
-    calculated = part("subtotal") - part("total_discount") + part("total_gst") + F.lit(other_charges)
-    rows = invoices.select("doc_id", calculated.alias("calculated"), parse_decimal(F.col("total_amount")).alias("extracted"))
-    rows = rows.withColumn("difference", F.abs(F.col("calculated") - F.col("extracted")))
-    error, minor = _band(F.col("difference"), tolerance, "final total")
-    return rows.select(
-        "doc_id",
-        F.lit("final_total").alias("check"),
-        F.lit(3).alias("ordinal"),
-        error.isNull().alias("is_valid"),
-        _listed(error).alias("errors"),
-        _listed(minor, F.when(F.col("extracted").isNull(), F.lit("final total can't be read"))).alias("warnings"),
-        "calculated",
-        "extracted",
-        "difference",
-    )
+    rows = _compared(invoices, _final_total(other_charges), _read("total_amount"))
+    found = _total_findings(F.col(_CALCULATED), F.col(_EXTRACTED), tolerance)
+    return _check_rows(rows, "final_total", 3, found, "calculated", "extracted", "difference")
 
 
 def gst_by_rate(items: DataFrame) -> DataFrame:
@@ -146,15 +180,10 @@ def gst_by_rate(items: DataFrame) -> DataFrame:
 
 def check_gst(items: DataFrame, invoices: DataFrame, tolerance: Decimal = TOLERANCE) -> DataFrame:
     """GST over all rates against the invoice's; only an error band."""
-    sums = gst_by_rate(items).groupBy("doc_id").agg(F.sum("gst_amount").alias("calculated"))
-    rows = invoices.select("doc_id", F.coalesce(parse_decimal(F.col("total_gst")), F.lit(Decimal("0"))).alias("extracted")).join(sums, "doc_id", "left")
-    rows = rows.withColumn("calculated", F.coalesce("calculated", F.lit(Decimal("0"))))
-    rows = rows.withColumn("difference", F.abs(F.col("calculated") - F.col("extracted")))
-    error, _ = _band(F.col("difference"), tolerance, "GST")
-    return rows.select(
-        "doc_id", F.lit("gst").alias("check"), F.lit(5).alias("ordinal"), error.isNull().alias("is_valid"), _listed(error).alias("errors"), _none().alias("warnings"),
-        "calculated", "extracted", "difference",
-    )
+    sums = items.groupBy("doc_id").agg(_item_totals()[2])
+    joined = invoices.select("doc_id", "total_gst").join(sums, "doc_id", "left")
+    rows = _compared(joined, _or_zero(F.col("items_gst")), _or_zero(_read("total_gst")))
+    return _check_rows(rows, "gst", 5, _gst_findings(F.col(_CALCULATED), F.col(_EXTRACTED), tolerance), "calculated", "extracted", "difference")
 
 
 def gst_components(rows: DataFrame, tolerance: Decimal = TOLERANCE) -> DataFrame:
@@ -196,32 +225,34 @@ def amount_findings() -> list[Column]:
     ]
 
 
+def _format_findings(columns: list[str], as_of: str) -> tuple[Column, Column]:
+    wrong = [F.when(~has_format(F.col(c), c), F.concat(F.lit(f"{c} has a wrong form: "), F.col(c))) for c in FORMATS if c in columns]
+    errors, warnings = date_findings(as_of)
+    return _listed(*wrong, *errors), _listed(*warnings, *amount_findings())
+
+
 def check_formats(invoices: DataFrame, as_of: str) -> DataFrame:
     """Identifiers by their forms, dates and amounts by their logic."""
-    wrong = [F.when(~has_format(F.col(c), c), F.concat(F.lit(f"{c} has a wrong form: "), F.col(c))) for c in FORMATS if c in invoices.columns]
-    errors, warnings = date_findings(as_of)
-    rows = invoices.select("doc_id", _listed(*wrong, *errors).alias("errors"), _listed(*warnings, *amount_findings()).alias("warnings"))
-    return rows.select("doc_id", F.lit("formats").alias("check"), F.lit(4).alias("ordinal"), (F.size("errors") == 0).alias("is_valid"), "errors", "warnings")
+    return _check_rows(invoices, "formats", 4, _format_findings(invoices.columns, as_of))
 
 
-def all_checks(items: DataFrame, invoices: DataFrame, as_of: str) -> DataFrame:
-    """The five checks of every invoice as rows; without items there is nothing wrong with them."""
-    rows = items_check(items).select(*CHECK)
-    blank = invoices.select("doc_id").distinct().join(rows, "doc_id", "left").select(
-        "doc_id", F.lit("line_items").alias("check"), F.lit(1).alias("ordinal"), F.coalesce("is_valid", F.lit(True)).alias("is_valid"),
-        F.coalesce("errors", _none()).alias("errors"), F.coalesce("warnings", _none()).alias("warnings"),
-    )
-    parts = [
-        blank,
-        check_subtotal(items, invoices),
-        check_final_total(invoices),
-        check_formats(invoices, as_of),
-        check_gst(items, invoices),
-    ]
-    out = parts[0].select(*CHECK)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*CHECK))
-    return out
+def all_checks(items: DataFrame, invoices: DataFrame, as_of: str, tolerance: Decimal = TOLERANCE) -> DataFrame:
+    """The five checks of every invoice as rows; without items there is nothing wrong with them.
+
+    One aggregate over the items, one join to the invoices, and all checks as one array of structs."""
+    sums = _item_findings(items, tolerance).groupBy("doc_id").agg(_gathered("_e").alias("_errors"), _gathered("_w").alias("_warnings"), *_item_totals())
+    rows = invoices.join(sums, "doc_id", "left")
+    total = _final_total(Decimal("0"))
+    found = {
+        "line_items": (F.coalesce("_errors", _none()), F.coalesce("_warnings", _none())),
+        "subtotal": _subtotal_findings(_or_zero(F.col("items_total")), _read("subtotal"), F.coalesce("n_unread", F.lit(0).cast("long")), tolerance),
+        "final_total": _total_findings(total, _read("total_amount"), tolerance),
+        "formats": _format_findings(invoices.columns, as_of),
+        "gst": _gst_findings(_or_zero(F.col("items_gst")), _or_zero(_read("total_gst")), tolerance),
+    }
+    cells = [F.struct(F.lit(k).alias("check"), F.lit(i).alias("ordinal"), e.alias("errors"), w.alias("warnings")) for i, (k, (e, w)) in enumerate(found.items(), 1)]
+    out = rows.select("doc_id", F.explode(F.array(*cells)).alias("c")).select("doc_id", "c.*")
+    return out.withColumn("is_valid", F.size("errors") == 0).select(*CHECK)
 
 
 def flags(checks: DataFrame) -> DataFrame:
@@ -302,3 +333,56 @@ def integrity_score(checks: DataFrame) -> DataFrame:
 def verification_score(parts: Mapping[str, Column]) -> Column:
     """Mean of the given scores."""
     return sum(parts.values(), F.lit(0.0)) / len(parts)
+
+
+def passed_flags(checks: DataFrame) -> DataFrame:
+    """Per document which groups of checks passed, and the names of those that failed, in their order."""
+    of = lambda *names: F.bool_and(F.when(F.col("check").isin(*names), F.col("is_valid")))
+    failed = F.array_sort(F.collect_list(F.when(~F.col("is_valid"), F.struct("ordinal", "check"))))
+    return checks.groupBy("doc_id").agg(
+        F.coalesce(of("line_items"), F.lit(True)).alias("all_line_items_verified"),
+        F.coalesce(of("subtotal", "final_total"), F.lit(True)).alias("totals_verified"),
+        F.bool_and("is_valid").alias("overall_verification_passed"),
+        F.transform(failed, lambda s: s["check"]).alias("failed_checks"),
+    )
+
+
+def sectioned_report(fields: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
+    """Per document the sections of a confidence report. ``fields`` are (doc_id, field, value,
+    confidence), ``items`` are (doc_id, line_no, confidence).
+
+    field_verification maps each field to its confidence and presence, line_items_verification
+    lists the items' confidences, summary tells whether all fields reach ``least``, their mean, and
+    which do not."""
+    c = F.col("confidence")
+    cell = F.struct("field", F.struct(c.alias("confidence"), F.col("value").isNotNull().alias("present")).alias("v"))
+    own = fields.groupBy("doc_id").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(cell))).alias("field_verification"),
+        F.struct(
+            F.bool_and(c >= least).alias("all_fields_confident"),
+            F.avg(c).alias("average_field_confidence"),
+            F.sort_array(F.collect_list(F.when(c < least, F.col("field")))).alias("low_confidence_fields"),
+        ).alias("summary"),
+    )
+    rows = items.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "confidence"))).alias("line_items_verification"))
+    none = F.array().cast(rows.schema["line_items_verification"].dataType)
+    return own.join(rows, "doc_id", "left").select("doc_id", "field_verification", F.coalesce("line_items_verification", none).alias("line_items_verification"), "summary")
+
+
+def verification_summary(fields: DataFrame, checks: DataFrame, least: float = 0.8) -> DataFrame:
+    """Per document: mean confidence of its fields, whether all checks passed and all fields are
+    confident, how many of both are not, and what to do."""
+    c = F.col("confidence")
+    per = fields.groupBy("doc_id").agg(F.avg(c).alias("overall_confidence"), F.count_if(c < least).alias("_low"))
+    rows = per.join(passed_flags(checks), "doc_id", "left")
+    failed = F.coalesce(F.size("failed_checks"), F.lit(0))
+    return rows.select(
+        "doc_id",
+        "overall_confidence",
+        (F.coalesce("overall_verification_passed", F.lit(True)) & (F.col("_low") == 0)).alias("verification_passed"),
+        (failed + F.col("_low")).alias("issues_found"),
+        _listed(
+            F.when(failed > 0, F.concat(F.lit("Review failed checks: "), F.array_join("failed_checks", ", "))),
+            F.when(F.col("_low") > 0, F.lit("Review fields of low confidence.")),
+        ).alias("recommendations"),
+    )

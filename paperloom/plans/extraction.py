@@ -10,18 +10,19 @@ from ..operators import layout, output, verify
 
 
 def header_fields(texts: DataFrame) -> DataFrame:
-    """The header fields of rows (doc_id, text)."""
+    """The header fields of rows (doc_id, text). The text is lowered and its GST numbers are sought once."""
     t = F.col("text")
-    gst = F.col("_gst")
-    return texts.withColumn("_gst", F.explode(F.array(X.gst_numbers(t, distinct=True)))).select(
+    low, gst = F.col("_x.low"), F.col("_x.gst")
+    once = F.struct(F.lower(t).alias("low"), X.gst_numbers(t, distinct=True).alias("gst"))
+    return texts.withColumn("_x", F.explode(F.array(once))).select(
         "doc_id",
-        X.invoice_number(t).alias("invoice_number"),
-        X.invoice_date(t).alias("invoice_date"),
-        X.po_number(t).alias("po_number"),
+        X.invoice_number(t, low).alias("invoice_number"),
+        X.invoice_date(t, low).alias("invoice_date"),
+        X.po_number(t, low).alias("po_number"),
         F.get(gst, F.lit(0)).alias("vendor_gst"),
         F.get(gst, F.lit(1)).alias("buyer_gst"),
         X.shipping_address(t).alias("shipping_address"),
-        X.total_amount(t).alias("final_total"),
+        X.total_amount(t, low).alias("final_total"),
     )
 
 

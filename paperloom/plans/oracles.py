@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from ..functions import text as X
-
 AS_OF = "1998-12-01"
 
 _ITEMS = """
@@ -155,10 +153,26 @@ def _first(items: str) -> str:
     return f"list_filter({items}, lambda x: x IS NOT NULL)[1]"
 
 
-_ENDS, _STARTS = "|".join(X.ADDRESS_ENDS), "|".join(X.ADDRESS_STARTS)
+# The patterns, written out for RE2 on their own, so that a wrong one in the library shows.
+_ENDS = "phone|tel|mobile|email|website|gstin|gst|invoice|bill|date|po number|order"
+_STARTS = "ship to|shipping address|deliver to|delivery address|bill to|billing address|address|consignee"
+_DMY, _DMON = "[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{2,4}", "[0-9]{1,2}\\s+(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[\\p{L}\\p{N}_]*\\s+[0-9]{2,4}"
+_AFTER = {  # a field's labels, in order; what follows each label is the field
+    "invoice": ("invoice\\s*(?:no|number|#)", "inv\\s*(?:no|#)", "bill\\s*(?:no|number|#)", "receipt\\s*(?:no|number|#)"),
+    "po": ("po\\s*(?:no|number)", "purchase\\s*order", "order\\s*(?:no|number)", "ref\\s*(?:no|number)"),
+    "gst": ("GSTIN", "GST\\s*(?:NO|NUMBER)", "TAX\\s*(?:ID|NUMBER)"),
+    "date": ("date", "invoice\\s*date", "bill\\s*date"),
+    "amount": ("total[\\s:]*(?:amount)?[\\s:]*", "grand\\s*total[\\s:]*", "final\\s*amount[\\s:]*", "net\\s*amount[\\s:]*"),
+}
+_GSTIN15 = "[0-9]{2}[A-Z]{5}[0-9]{4}[A-Z][A-Z0-9]Z[A-Z0-9]"
+_P_INVOICE = tuple(x + "[\\s:]*([\\p{L}\\p{N}_\\-/]+)" for x in _AFTER["invoice"])
+_P_PO = tuple(x + "[\\s:]*([\\p{L}\\p{N}_\\-/]+)" for x in _AFTER["po"])
+_P_GST = (*(x + f"[\\s:]*({_GSTIN15}|[A-Z0-9]{{15}})" for x in _AFTER["gst"]), f"({_GSTIN15})")
+_P_DATE = (*(x + f"[\\s:]*({_DMY}|{_DMON})" for x in _AFTER["date"]), f"({_DMY})", f"({_DMON})")
+_P_AMOUNT = tuple(x + "(?:rs\\.?|₹)?\\s*([0-9,]+\\.?[0-9]*)" for x in _AFTER["amount"])
 _VALID_GST = "[0-9]{2}[A-Z]{5}[0-9]{4}[A-Z][A-Z0-9]Z[A-Z0-9]"
-_GSTS = f"list_filter({_all('upper(text)', X.GST)}, lambda x: regexp_full_match(x, '{_VALID_GST}'))"
-_DATES = _first(f"list_transform({_all('lower(text)', X.DATE)}, lambda s: {_iso('s')})")
+_GSTS = f"list_filter({_all('upper(text)', _P_GST)}, lambda x: regexp_full_match(x, '{_VALID_GST}'))"
+_DATES = _first(f"list_transform({_all('lower(text)', _P_DATE)}, lambda s: {_iso('s')})")
 _LONG = "lambda x: length(x) > 2"
 _HEADER_FIELDS = f"""{_TEXTS}, cut AS (
   SELECT *, list_transform(string_split(text, chr(10)), lambda x: trim(x)) AS lines FROM texts
@@ -171,10 +185,10 @@ _HEADER_FIELDS = f"""{_TEXTS}, cut AS (
 ), kept AS (
   SELECT *, CASE WHEN stop > 0 THEN own[1:stop - 1] ELSE own END AS address FROM stops
 ), found AS (
-  SELECT doc_id, upper(list_filter({_all('lower(text)', X.INVOICE_NUMBER)}, {_LONG})[1]) AS invoice_number, {_DATES} AS invoice_date,
-    upper(list_filter({_all('lower(text)', X.PO_NUMBER)}, {_LONG})[1]) AS po_number, list_distinct({_GSTS})[1] AS vendor_gst, CAST(NULL AS VARCHAR) AS buyer_gst,
+  SELECT doc_id, upper(list_filter({_all('lower(text)', _P_INVOICE)}, {_LONG})[1]) AS invoice_number, {_DATES} AS invoice_date,
+    upper(list_filter({_all('lower(text)', _P_PO)}, {_LONG})[1]) AS po_number, list_distinct({_GSTS})[1] AS vendor_gst, CAST(NULL AS VARCHAR) AS buyer_gst,
     CASE WHEN len(address) > 0 THEN array_to_string(address, chr(10)) END AS shipping_address,
-    list_filter(list_transform({_all('lower(text)', X.AMOUNT)}, lambda x: replace(x, ',', '')), lambda x: regexp_full_match(x, '[0-9]+\\.?[0-9]*'))[1] AS final_total
+    list_filter(list_transform({_all('lower(text)', _P_AMOUNT)}, lambda x: replace(x, ',', '')), lambda x: regexp_full_match(x, '[0-9]+\\.?[0-9]*'))[1] AS final_total
   FROM kept
 )"""
 
@@ -230,7 +244,7 @@ def sql() -> dict[str, str]:
             SELECT doc_id, round(m, 6) AS overall_confidence, n AS total_fields, h AS high_count, md AS medium_count, l AS low_count, low_fields, round(h / n * 100, 6) AS high_percentage,
               CASE WHEN round(m, 9) < 0.7 THEN 1 ELSE 0 END + CASE WHEN l > 0 THEN 1 ELSE 0 END + CASE WHEN h / n * 100 < 50 THEN 1 ELSE 0 END AS n_recommendations FROM r""",
         "confidence_categories": f"{w}{_FIELDS} SELECT field, {_CATEGORY} AS category, CASE WHEN confidence >= 0.9 THEN 'HIGH' WHEN confidence >= 0.7 THEN 'MEDIUM' WHEN confidence >= 0.5 THEN 'LOW' ELSE 'VERY_LOW' END AS grade, count(*) AS n FROM fields GROUP BY ALL",
-        "ocr_confidence_join": f"{w}{_FIELDS} SELECT doc_id, field, confidence, CASE WHEN doc_id % 3 = 0 THEN round(1 - confidence, 2) END AS ocr_confidence, {_CATEGORY} AS category FROM fields",
+        "ocr_confidence_join": f"{w}{_FIELDS} SELECT doc_id, field, confidence, CASE WHEN confidence >= 0.2 THEN round(1 - confidence, 2) END AS ocr_confidence, {_CATEGORY} AS category FROM fields",
         "missing_fields": f"""{w}{_HEADER_FIELDS} SELECT doc_id, array_to_string(list_filter([CASE WHEN invoice_number IS NULL THEN 'invoice_number' END, CASE WHEN invoice_date IS NULL THEN 'invoice_date' END, CASE WHEN po_number IS NULL THEN 'po_number' END,
             CASE WHEN vendor_gst IS NULL THEN 'vendor_gst' END, CASE WHEN shipping_address IS NULL THEN 'shipping_address' END, CASE WHEN final_total IS NULL THEN 'final_total' END], lambda x: x IS NOT NULL), ',') AS missing FROM found""",
         "likely_ocr_errors": f"""{w}{_ITEMS}, c AS (SELECT doc_id, line_no, unnest(['quantity', 'unit_price', 'total_amount']) AS f, unnest([(doc_id * 17 + line_no * 31 + i * 37) % 101 / 100 for i in [0, 1, 2]]) AS v FROM items)
@@ -269,15 +283,15 @@ def sql() -> dict[str, str]:
         "line_items_parsed": f"""{w}{_BLOCKS}, n AS (SELECT *, list_transform(c, lambda x: {_NUM}) AS nums FROM cells WHERE line_no > 0)
             SELECT doc_id, line_no AS row_no, c[1] AS description, c[2] AS hsn_code, coalesce(nullif(nums[3], 0), list_filter(nums, lambda x: x > 0 AND x <= 1000)[1], 0) AS quantity,
               coalesce(nullif(nums[4], 0), list_min(list_filter(nums, lambda x: x > 0)), 0) AS unit_price, coalesce(nullif(nums[5], 0), list_max(list_filter(nums, lambda x: x > 0)), 0) AS total_amount FROM n""",
-        "locate_field": f"""{w}{_BLOCKS}, f AS (SELECT doc_id, description AS value FROM items WHERE line_no = 1),
-            m AS (SELECT f.doc_id, value, b.confidence, b.x1, b.y1, b.text, row_number() OVER (PARTITION BY f.doc_id ORDER BY b.confidence DESC, b.block_pos) AS i FROM f JOIN blocks b USING (doc_id) WHERE contains(lower(trim(value)), lower(trim(b.text))) OR contains(lower(trim(b.text)), lower(trim(value))))
-            SELECT doc_id, value, confidence, x1, y1, text AS source_text FROM m WHERE i = 1""",
+        "locate_field": f"""{w}{_BLOCKS}, f AS (SELECT doc_id, line_no AS line, 'item_' || line_no AS field, description AS value FROM items),
+            m AS (SELECT f.doc_id, field, value, b.confidence, b.x1, b.y1, b.text, row_number() OVER (PARTITION BY f.doc_id, line ORDER BY b.confidence DESC, b.block_pos) AS i FROM f JOIN blocks b USING (doc_id) WHERE contains(lower(trim(value)), lower(trim(b.text))) OR contains(lower(trim(b.text)), lower(trim(value))))
+            SELECT doc_id, field, value, confidence, x1, y1, text AS source_text FROM m WHERE i = 1""",
         "nearest_block": f"""{w}{_BLOCKS}, k AS (SELECT doc_id, x1 AS kx, y1 AS ky, block_pos AS kp FROM blocks WHERE line_no = 0 AND col = 2),
             r AS (SELECT doc_id, text, row_number() OVER (PARTITION BY doc_id ORDER BY (x1 - kx) * (x1 - kx) + (y1 - ky) * (y1 - ky), block_pos) AS i FROM blocks JOIN k USING (doc_id) WHERE block_pos <> kp) SELECT doc_id, text FROM r WHERE i = 1""",
         "iou_pairs": f"""{w}{_REGIONS}, p AS (SELECT a.doc_id, a.region_id, b.region_id AS other_id, greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS i,
             (a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1) AS s FROM regions a JOIN regions b ON a.doc_id = b.doc_id AND a.region_id < b.region_id) SELECT doc_id, region_id, other_id, round(i / (s - i), 9) AS iou FROM p WHERE i > 0""",
-        "seal_presence": f"""{w}{_REGIONS}, r AS (SELECT * FROM regions WHERE region_id <= 2), t AS (SELECT doc_id, type, count(*) AS n FROM r GROUP BY ALL), l AS (SELECT doc_id, string_agg(type || '=' || n, ',' ORDER BY type) AS seal_types FROM t GROUP BY doc_id),
-            a AS (SELECT doc_id, count(*) AS n, max(confidence) AS top, avg(confidence) AS m FROM r GROUP BY doc_id)
+        "seal_presence": f"""{w}{_REGIONS}, r AS (SELECT * FROM regions), t AS (SELECT doc_id, type, count(*) AS n FROM r GROUP BY ALL), l AS (SELECT doc_id, string_agg(type || '=' || n, ',' ORDER BY type) AS seal_types FROM t GROUP BY doc_id),
+            a AS (SELECT doc_id, count(*) AS n, max(confidence) AS top, round(avg(confidence), 9) AS m FROM r GROUP BY doc_id)
             SELECT o_orderkey AS doc_id, n IS NOT NULL AS has_seals, coalesce(n, 0) AS total_detections, coalesce(seal_types, '') AS seal_types, coalesce(top, 0) AS highest_confidence, round(coalesce(m, 0), 6) AS average_confidence,
               CASE WHEN n IS NULL THEN 'no_seals_detected' WHEN m > 0.7 THEN 'high_confidence' WHEN m > 0.4 THEN 'medium_confidence' ELSE 'low_confidence' END AS validation_status
             FROM (SELECT DISTINCT o_orderkey FROM orders) LEFT JOIN a ON a.doc_id = o_orderkey LEFT JOIN l ON l.doc_id = o_orderkey""",

@@ -30,6 +30,11 @@ def _blocks(spark, d) -> DataFrame:
     return S.blocks(_t(spark, d, "lineitem"))
 
 
+def _texts(spark, d) -> DataFrame:
+    own = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return S.texts(S.spread(own))
+
+
 def _double(*names: str) -> list[Column]:
     return [F.col(n).cast("double").alias(n) for n in names]
 
@@ -102,12 +107,12 @@ def confidence_categories(spark, d):
 
 def ocr_confidence_join(spark, d):
     own = _fields(spark, d)
-    other = own.where("doc_id % 3 = 0").select("doc_id", "field", F.round(1 - F.col("confidence"), 2).alias("confidence"))
+    other = own.where("confidence >= 0.2").select("doc_id", "field", F.round(1 - F.col("confidence"), 2).alias("confidence"))  # OCR finds none of the rest
     return verify.with_ocr_confidence(own, other)
 
 
 def missing_fields(spark, d):
-    own = extraction.long_fields(extraction.header_fields(S.texts(_t(spark, d, "orders"))))
+    own = extraction.long_fields(extraction.header_fields(_texts(spark, d)))
     found = verify.missing_fields(own, ("invoice_number", "invoice_date", "po_number", "vendor_gst", "shipping_address", "final_total"))
     return found.select("doc_id", F.array_join("missing", ",").alias("missing"))
 
@@ -127,7 +132,7 @@ def weighted_confidence(spark, d):
 
 
 def field_confidence(spark, d):
-    own = S.texts(_t(spark, d, "orders"))
+    own = _texts(spark, d)
     found = X.invoice_number(F.col("text"))
     return own.select("doc_id", F.round(scores.field_confidence(found, F.col("doc_id") % 100 / 100), 6).alias("confidence"))
 
@@ -142,15 +147,15 @@ def amounts_parsed(spark, d):
 
 
 def extract_header(spark, d):
-    return extraction.header_fields(S.texts(_t(spark, d, "orders")))
+    return extraction.header_fields(_texts(spark, d))
 
 
 def extract_gst_all(spark, d):
-    return S.texts(_t(spark, d, "orders")).select("doc_id", F.posexplode(X.gst_numbers(F.col("text"))).alias("pos", "gst_number"))
+    return _texts(spark, d).select("doc_id", F.posexplode(X.gst_numbers(F.col("text"))).alias("pos", "gst_number"))
 
 
 def normalize_date(spark, d):
-    return S.texts(_t(spark, d, "orders")).select("doc_id", X.normalise_date(F.col("date_text")).alias("iso_date"))
+    return _texts(spark, d).select("doc_id", X.normalise_date(F.col("date_text")).alias("iso_date"))
 
 
 def clean_text(spark, d):
@@ -165,11 +170,11 @@ def numbers_from_text(spark, d):
 
 
 def contact_formats(spark, d):
-    return S.texts(_t(spark, d, "orders")).select("doc_id", X.is_email(F.col("email")).alias("email"), X.is_phone(F.col("phone")).alias("phone"), X.is_pincode(F.col("pincode")).alias("pincode"))
+    return _texts(spark, d).select("doc_id", X.is_email(F.col("email")).alias("email"), X.is_phone(F.col("phone")).alias("phone"), X.is_pincode(F.col("pincode")).alias("pincode"))
 
 
 def near_keyword(spark, d):
-    return S.texts(_t(spark, d, "orders")).select("doc_id", X.near_keyword(F.col("text"), "gstin", 20).alias("context"))
+    return _texts(spark, d).select("doc_id", X.near_keyword(F.col("text"), "gstin", 20).alias("context"))
 
 
 def _ocr_blocks(spark, d) -> DataFrame:
@@ -235,8 +240,8 @@ def line_items_parsed(spark, d):
 
 
 def locate_field(spark, d):
-    fields = _items(spark, d).where("line_no = 1").select("doc_id", F.lit("first_item").alias("field"), F.col("description").alias("value"))
-    return layout.locate_text(fields, _blocks(spark, d)).select("doc_id", "value", "confidence", "x1", "y1", "source_text")
+    fields = _items(spark, d).select("doc_id", F.concat(F.lit("item_"), "line_no").alias("field"), F.col("description").alias("value"))
+    return layout.locate_text(fields, _blocks(spark, d)).select("doc_id", "field", "value", "confidence", "x1", "y1", "source_text")
 
 
 def nearest_block(spark, d):
@@ -259,12 +264,8 @@ def iou_pairs(spark, d):
     return regions.overlapping_pairs(_regions(spark, d)).select("doc_id", "region_id", "other_id", F.round("iou", 9).alias("iou"))
 
 
-def suppress_overlaps(spark, d):
-    return regions.suppress_overlaps(_regions(spark, d))
-
-
 def seal_presence(spark, d):
-    own = _regions(spark, d).where("region_id <= 2")
+    own = _regions(spark, d)
     docs = _t(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"))
     out = regions.seal_presence(docs, own)
     listed = F.array_join(F.transform(F.map_entries("seal_types"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
@@ -296,9 +297,12 @@ def deskew_angle(spark, d):
     return imaging.deskew_angle(own, ["page"]).withColumn("angle", F.round("angle", 6))
 
 
+def _heads(spark, d) -> DataFrame:
+    return _invoices(spark, d).withColumnsRenamed({"gst_number": "vendor_gst", "total_discount": "discount", "total_amount": "final_total"})
+
+
 def _documents(spark, d) -> DataFrame:
-    heads = _invoices(spark, d).withColumnsRenamed({"gst_number": "vendor_gst", "total_discount": "discount", "total_amount": "final_total"})
-    return output.invoice_documents(heads, _items(spark, d))
+    return output.invoice_documents(_heads(spark, d), _items(spark, d))
 
 
 def invoice_json(spark, d):
@@ -310,7 +314,7 @@ def invoice_json(spark, d):
 
 
 def summary_sheet(spark, d):
-    rows = output.summary_sheet(_documents(spark, d))
+    rows = output.summary_sheet(output.invoice_heads(_heads(spark, d)))
     number = F.col("value").try_cast("double")
     return rows.select("doc_id", "pos", "field", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text"))
 
@@ -338,6 +342,6 @@ QUERIES = [
     extract_header, extract_gst_all, normalize_date, clean_text, numbers_from_text, contact_formats, near_keyword,
     filter_by_confidence, confidence_buckets, blocks_in_region, merge_blocks, best_engine, combine_pages,
     table_rows, table_regions_ocr, column_roles, line_items_parsed, locate_field, nearest_block,
-    iou_pairs, suppress_overlaps, seal_presence, seal_candidates, otsu_threshold, deskew_angle,
+    iou_pairs, seal_presence, seal_candidates, otsu_threshold, deskew_angle,
     invoice_json, summary_sheet, verification_sheet, verification_report, run_status,
 ]

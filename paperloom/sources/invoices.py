@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over as many partitions as the session has cores, if its scan has fewer: one small
+    file is one task, however much is done with each row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _pick(values: tuple[str, ...], at: Column) -> Column:
     return F.get(F.array(*[F.lit(Decimal(v)) for v in values]), at.cast("int"))
 

@@ -95,3 +95,32 @@ def test_text_helpers(spark):
     assert one(spark, X.beside_label(t, "Total"), t="Name   X\nTotal   12.50")[0] == "12.50"
     assert one(spark, X.near_keyword(t, "beta", 2), t="alpha beta gamma")[0] == "a beta g"
     assert one(spark, X.is_phone(t), X.is_email(t), X.is_pincode(t), t="+91 98765 43210")[:] == (True, False, False)
+
+
+def row_of(spark, **columns):
+    return spark.range(1).select(*[c.alias(k) for k, c in columns.items()]).first()
+
+
+def test_dates_and_gst_numbers(spark):
+    r = row_of(
+        spark,
+        a=X.dates_in(F.lit("on 15/05/2024, 2024-05-15, 3 March 2024 and May 15, 2024")), b=X.dates_in(F.lit(None).cast("string")),
+        c=X.normalise_gst(F.lit("07 abcde1234fq1z5")), d=X.normalise_gst(F.lit("07abcde")), e=X.normalise_gst(F.lit(None).cast("string")),
+    )
+    assert r.a == ["15/05/2024", "2024-05-15", "Mar", "May"] and r.b == []
+    assert (r.c, r.d, r.e) == ("07ABCDE1234FQ1Z5", "07abcde", "")
+
+
+def test_standard_date(spark):
+    given = ["15/05/2024", "15-May-2024", "2024-05-15", "May 15, 2024", "2024-15-05", "soon", None]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(given)], "i int, t string").select(X.standard_date(F.col("t")).alias("d"), "i").orderBy("i").collect()
+    assert [r.d for r in rows] == ["15/05/2024"] * 4 + [None] * 3
+
+
+def test_pattern_strength_and_nested_values(spark):
+    pieces = ("INV-", "[0-9]{4}", "-", "[0-9]{3}")
+    strength = lambda t: X.pattern_strength(F.lit(t), pieces)
+    json = F.lit('{"a": {"b": 3, "c.d": "x"}, "n": null}')
+    r = row_of(spark, a=strength("INV-2024-001"), b=strength("INV-2024"), c=strength("RANDOM-TEXT"), d=X.nested_get(json, ("a", "b")), e=X.nested_get(json, ("a", "c.d")), f=X.nested_get(json, ("n",), "none"), g=X.nested_get(json, ("a", "z")), h=X.nested_get(F.lit("no json"), ("a",), "?"))
+    assert (r.a, r.b, r.c) == (1.0, 0.5, 0.0)
+    assert (r.d, r.e, r.f, r.g, r.h) == ("3", "x", "none", None, "?")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from paperloom import config
 from paperloom.operators import imaging, layout, ocr, output, regions, verify
-from paperloom.plans import extraction, queries
+from paperloom.plans import extraction, queries, queries_more
 from paperloom.sources import documents
 from paperloom.streaming import files
 
@@ -138,7 +138,7 @@ def iou(a, b):
 
 
 def test_suppression_equals_a_loop(spark, data):
-    got = {(r.doc_id, r.region_id) for r in queries.suppress_overlaps(spark, data).collect()}
+    got = {(r.doc_id, r.region_id) for r in queries_more.suppress_overlaps(spark, data).collect()}
     rows: dict = {}
     for r in queries._regions(spark, data).collect():
         rows.setdefault(r.doc_id, []).append(r)
