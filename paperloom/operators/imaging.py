@@ -16,7 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PAGES = "doc_id long, page_number int, height int, width int, data binary, steps array<string>, error string"
+# Sizes, spreads, thresholds and factors of the kernels.
+BILATERAL_RADIUS, BILATERAL_SPREAD = 4, 75.0
+ADAPTIVE_SIZE, ADAPTIVE_LESS, FIXED_THRESHOLD = 11, 2, 127
+CONTRAST, BRIGHTNESS, SHARPNESS = 1.2, 1.1, 1.1
+EDGE_STRENGTH, LINE_VOTES, MOST_SKEW, LEAST_SKEW = 150, 100, 45.0, 0.5
+RULE_LENGTH = 40
 
 
 def otsu_threshold(histogram: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,14 +56,50 @@ def gaussian(image: np.ndarray) -> np.ndarray:
     return np.rint(np.einsum("ijkl,k,l->ij", _windows(image, 5), k, k)).astype(np.uint8)
 
 
-def binarise(image: np.ndarray) -> np.ndarray:
-    """255 above the image's own Otsu threshold, else 0."""
+def bilateral(image: np.ndarray) -> np.ndarray:
+    """Mean of the disc around each pixel, weighed by distance in place and in grey value."""
+    g, r = image.astype(np.float64), BILATERAL_RADIUS
+    h, w = g.shape
+    padded = np.pad(g, r, mode="edge")
+    total, weight = np.zeros_like(g), np.zeros_like(g)
+    for y in range(-r, r + 1):
+        for x in range(-r, r + 1):
+            if x * x + y * y <= r * r:
+                other = padded[r + y : r + y + h, r + x : r + x + w]
+                near = np.exp(-((other - g) ** 2 + x * x + y * y) / (2 * BILATERAL_SPREAD**2))
+                total += near * other
+                weight += near
+    return np.rint(total / weight).astype(np.uint8)
+
+
+def _otsu(image: np.ndarray) -> int:
     n = np.bincount(image.ravel(), minlength=256).astype(np.float64)
     w0, s0 = np.cumsum(n), np.cumsum(n * np.arange(256))
     w1 = w0[-1] - w0
     with np.errstate(divide="ignore", invalid="ignore"):
         between = np.nan_to_num(w0 * w1 * (s0 / w0 - (s0[-1] - s0) / w1) ** 2)
-    return np.where(image > int(np.argmax(between)), 255, 0).astype(np.uint8)
+    return int(np.argmax(between))
+
+
+def _two(bright: np.ndarray) -> np.ndarray:
+    return np.where(bright, 255, 0).astype(np.uint8)
+
+
+def binarise(image: np.ndarray) -> np.ndarray:
+    """255 above the image's own Otsu threshold, else 0."""
+    return _two(image > _otsu(image))
+
+
+def binarise_fixed(image: np.ndarray) -> np.ndarray:
+    return _two(image > FIXED_THRESHOLD)
+
+
+def binarise_adaptive(image: np.ndarray) -> np.ndarray:
+    """255 above the Gaussian mean of the pixel's surroundings less a constant, else 0."""
+    spread = 0.3 * ((ADAPTIVE_SIZE - 1) * 0.5 - 1) + 0.8
+    k = np.exp(-((np.arange(ADAPTIVE_SIZE) - ADAPTIVE_SIZE // 2) ** 2) / (2 * spread**2))
+    mean = np.einsum("ijkl,k,l->ij", _windows(image, ADAPTIVE_SIZE), k / k.sum(), k / k.sum())
+    return _two(image > np.rint(mean) - ADAPTIVE_LESS)
 
 
 def close_and_open(image: np.ndarray) -> np.ndarray:
@@ -68,51 +109,298 @@ def close_and_open(image: np.ndarray) -> np.ndarray:
     return high(low(low(high(image))))
 
 
-def contrast(image: np.ndarray, factor: float = 1.2, brightness: float = 1.1) -> np.ndarray:
-    x = (image.astype(np.float64) - image.mean()) * factor + image.mean()
-    return np.clip(np.rint(x * brightness), 0, 255).astype(np.uint8)
+def _blend(base: np.ndarray | float, image: np.ndarray, factor: float) -> np.ndarray:
+    return np.clip(base + (image.astype(np.float64) - base) * factor, 0, 255).astype(np.uint8)
+
+
+def sharpen(image: np.ndarray, factor: float = SHARPNESS) -> np.ndarray:
+    """Away from the smoothed image; the outermost pixels stay."""
+    if min(image.shape) < 3:
+        return image
+    smooth = image.astype(np.float64)
+    smooth[1:-1, 1:-1] = np.rint((sliding_window_view(image, (3, 3)).sum(axis=(2, 3)) + 4.0 * image[1:-1, 1:-1]) / 13)
+    return _blend(smooth, image, factor)
+
+
+def contrast(image: np.ndarray) -> np.ndarray:
+    """Away from the mean grey, then brighter, then sharper."""
+    if not image.size:
+        return image
+    return sharpen(_blend(0.0, _blend(float(int(image.mean() + 0.5)), image, CONTRAST), BRIGHTNESS))
+
+
+def _lanczos(old: int, new: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``new`` places the indices and weights of the six old ones around it."""
+    centre = (np.arange(new) + 0.5) * old / new - 0.5
+    at = np.floor(centre).astype(int)[:, None] + np.arange(-2, 4)
+    x = at - centre[:, None]
+    weight = np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0.0) * ((at >= 0) & (at < old))
+    return np.clip(at, 0, old - 1), weight / weight.sum(axis=1, keepdims=True)
 
 
 def enlarge(image: np.ndarray, least_height: int = 1200) -> np.ndarray:
-    """Bilinear to ``least_height`` if the page is lower; the width follows."""
+    """By windowed sinc to ``least_height`` if the page is lower; the width follows."""
     h, w = image.shape
     if h >= least_height or not h or not w:
         return image
-    new_w = max(1, w * least_height // h)
-    y, x = np.linspace(0, h - 1, least_height), np.linspace(0, w - 1, new_w)
-    y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
-    y1, x1 = np.minimum(y0 + 1, h - 1), np.minimum(x0 + 1, w - 1)
-    fy, fx = (y - y0)[:, None], (x - x0)[None, :]
     g = image.astype(np.float64)
-    top, low = g[y0][:, x0] * (1 - fx) + g[y0][:, x1] * fx, g[y1][:, x0] * (1 - fx) + g[y1][:, x1] * fx
-    return np.rint(top * (1 - fy) + low * fy).astype(np.uint8)
+    for axis, new in ((1, max(1, w * least_height // h)), (0, least_height)):
+        at, weight = _lanczos(g.shape[axis], new)
+        taps = [np.take(g, at[:, k], axis) * (weight[:, k] if axis else weight[:, k, None]) for k in range(6)]
+        g = sum(taps[1:], taps[0])
+    return np.clip(np.rint(g), 0, 255).astype(np.uint8)
+
+
+def line_angles(image: np.ndarray) -> np.ndarray:
+    """Degrees from level of the straight lines that at least ``LINE_VOTES`` edge pixels lie on, by
+    votes over whole degrees and distances."""
+    if min(image.shape, default=0) < 3:
+        return np.empty(0)
+    g = image.astype(np.int64)
+    dx = g[:-2, 2:] + 2 * g[1:-1, 2:] + g[2:, 2:] - g[:-2, :-2] - 2 * g[1:-1, :-2] - g[2:, :-2]
+    dy = g[2:, :-2] + 2 * g[2:, 1:-1] + g[2:, 2:] - g[:-2, :-2] - 2 * g[:-2, 1:-1] - g[:-2, 2:]
+    y, x = np.nonzero(np.abs(dx) + np.abs(dy) > EDGE_STRENGTH)
+    out = []
+    for degrees in range(180):
+        t = np.radians(degrees)
+        distance = np.rint(x * np.cos(t) + y * np.sin(t)).astype(int)
+        votes = np.bincount(distance - distance.min()) if len(distance) else np.empty(0, int)
+        out += [degrees - 90.0] * int((votes >= LINE_VOTES).sum())
+    return np.array([a for a in out if abs(a) <= MOST_SKEW])
+
+
+def rotate(image: np.ndarray, degrees: float) -> np.ndarray:
+    """Counter-clockwise by the nearest pixel, on a page large enough, white where nothing was."""
+    t = np.radians(degrees)
+    c, s = np.cos(t), np.sin(t)
+    h, w = image.shape
+    new_h, new_w = int(np.ceil(abs(w * s) + abs(h * c) - 1e-9)), int(np.ceil(abs(w * c) + abs(h * s) - 1e-9))
+    y, x = np.mgrid[0:new_h, 0:new_w]
+    y, x = y + 0.5 - new_h / 2, x + 0.5 - new_w / 2
+    old_x, old_y = np.floor(c * x - s * y + w / 2).astype(int), np.floor(s * x + c * y + h / 2).astype(int)
+    inside = (old_x >= 0) & (old_x < w) & (old_y >= 0) & (old_y < h)
+    return np.where(inside, image[np.clip(old_y, 0, h - 1), np.clip(old_x, 0, w - 1)], 255).astype(np.uint8)
+
+
+def deskew(image: np.ndarray) -> np.ndarray:
+    """Turned back by the median angle of its lines, if that is beyond ``LEAST_SKEW``."""
+    angles = line_angles(image)
+    skew = float(np.median(angles)) if len(angles) else 0.0
+    return rotate(image, skew) if abs(skew) > LEAST_SKEW else image
 
 
 STEPS: dict[str, Callable[[np.ndarray], np.ndarray]] = {
-    "resize": enlarge, "denoise": median, "smooth": gaussian, "enhance_contrast": contrast, "remove_borders": close_and_open, "binarize": binarise,
+    "resize": enlarge, "denoise": bilateral, "median": median, "smooth": gaussian, "enhance_contrast": contrast, "sharpen": sharpen, "deskew": deskew,
+    "remove_borders": close_and_open, "binarize": binarise, "binarize_adaptive": binarise_adaptive, "binarize_fixed": binarise_fixed,
 }
-DEFAULT_STEPS = ("resize", "denoise", "enhance_contrast", "remove_borders", "binarize")
+DEFAULT_STEPS = ("resize", "denoise", "enhance_contrast", "deskew", "remove_borders", "binarize")
 
 
 def preprocess(pages: DataFrame, steps: Sequence[str] = DEFAULT_STEPS) -> DataFrame:
-    """Pages after the named steps, with the steps done. Unknown steps are passed over; a page
-    that fails keeps its pixels and carries the error."""
+    """Pages after the named steps, with the steps done. Unknown steps are passed over; a page that
+    fails keeps its pixels and carries the error, as does one that comes with an error."""
     known = [s for s in steps if s in STEPS]
 
     def run(frames):
         for f in frames:
             rows = []
             for r in f.itertuples(index=False):
-                try:
-                    image = _grey(r.data, r.height, r.width)
-                    for s in known:
-                        image = STEPS[s](image)
-                    rows.append((r.doc_id, r.page_number, *image.shape, image.tobytes(), known, None))
-                except ValueError as e:
-                    rows.append((r.doc_id, r.page_number, r.height, r.width, r.data, [], str(e)))
+                done, error, image = [], r.error, None
+                if not error:
+                    try:
+                        image = _grey(r.data, r.height, r.width)
+                        for s in known:
+                            image = STEPS[s](image)
+                        done = known
+                    except ValueError as e:
+                        error = str(e)
+                if error:
+                    rows.append((r.doc_id, r.page_number, r.height, r.width, r.data, [], error))
+                else:
+                    rows.append((r.doc_id, r.page_number, *image.shape, image.tobytes(), done, None))
             yield pd.DataFrame(rows, columns=["doc_id", "page_number", "height", "width", "data", "steps", "error"])
 
-    return pages.select("doc_id", "page_number", "height", "width", "data").mapInPandas(run, PAGES)
+    kind = pages.schema["doc_id"].dataType.simpleString()
+    error = F.col("error") if "error" in pages.columns else F.lit(None).cast("string").alias("error")
+    schema = f"doc_id {kind}, page_number int, height int, width int, data binary, steps array<string>, error string"
+    return pages.select("doc_id", "page_number", "height", "width", "data", error).mapInPandas(run, schema)
+
+
+def components(dark: np.ndarray) -> list[tuple[int, int, int, int, np.ndarray]]:
+    """(x1, y1, x2, y2, mask) of each group of true pixels that touch, corners included, in the order of
+    their first pixels. Runs of a row are joined to those of the row above."""
+    parent: list[int] = []
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    runs, above = [], []
+    for y, row in enumerate(dark):
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], row.astype(np.int8), [0]])))
+        own = []
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            k = len(parent)
+            parent.append(k)
+            for a2, b2, other in above:
+                if a2 <= b and a <= b2:
+                    low, high = sorted((root(k), root(other)))
+                    parent[high] = low
+            own.append((a, b, k))
+            runs.append((y, a, b, k))
+        above = own
+    groups: dict[int, list] = {}
+    for y, a, b, k in runs:
+        groups.setdefault(root(k), []).append((y, a, b))
+    out = []
+    for own in groups.values():
+        x1, y1, x2, y2 = min(a for _, a, _ in own), own[0][0], max(b for _, _, b in own), own[-1][0] + 1
+        mask = np.zeros((y2 - y1, x2 - x1), dtype=bool)
+        for y, a, b in own:
+            mask[y - y1, a - x1 : b - x1] = True
+        out.append((x1, y1, x2, y2, mask))
+    return out
+
+
+def outline(mask: np.ndarray) -> np.ndarray:
+    """Points (x, y) of the outer border of a component, walked once around with the component on the right."""
+    steps = ((1, 0), (1, 1), (0, 1), (-1, 1), (-1, 0), (-1, -1), (0, -1), (1, -1))
+    h, w = mask.shape
+    x = x0 = int(np.argmax(mask[0]))
+    y, facing, out = 0, 0, [(x0, 0)]
+    first = None
+    while True:
+        for turn in range(8):
+            k = (facing + 6 + turn) % 8
+            nx, ny = x + steps[k][0], y + steps[k][1]
+            if 0 <= nx < w and 0 <= ny < h and mask[ny, nx]:
+                break
+        else:
+            return np.array(out)
+        if (x, y) == (x0, 0) and k == first:
+            return np.array(out[:-1])
+        if first is None:
+            first = k
+        x, y, facing = nx, ny, k
+        out.append((x, y))
+
+
+def _area(points: np.ndarray) -> float:
+    x, y = points[:, 0].astype(np.float64), points[:, 1].astype(np.float64)
+    return abs(float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum())) / 2
+
+
+def hull(points: np.ndarray) -> np.ndarray:
+    """Corners of the convex hull."""
+    ordered = sorted(set(map(tuple, points.tolist())))
+    if len(ordered) < 3:
+        return np.array(ordered)
+
+    def half(own):
+        out: list = []
+        for p in own:
+            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]) <= 0:
+                out.pop()
+            out.append(p)
+        return out[:-1]
+
+    return np.array(half(ordered) + half(ordered[::-1]))
+
+
+def corners(points: np.ndarray, share: float = 0.02) -> int:
+    """Number of corners left when an outline is simplified to within ``share`` of its length."""
+    most = share * perimeter(points)
+
+    def kept(a: int, b: int) -> int:
+        if b - a < 2:
+            return 0
+        p, q, own = points[a].astype(float), points[b % len(points)].astype(float), points[a + 1 : b].astype(float)
+        d = q - p
+        length = np.hypot(*d)
+        away = np.abs(d[0] * (own[:, 1] - p[1]) - d[1] * (own[:, 0] - p[0])) / length if length else np.hypot(*(own - p).T)
+        k = int(np.argmax(away))
+        return 1 + kept(a, a + 1 + k) + kept(a + 1 + k, b) if away[k] > most else 0
+
+    if len(points) < 3:
+        return len(points)
+    far = int(np.argmax(np.hypot(*(points - points[0]).T)))
+    return 2 + kept(0, far) + kept(far, len(points))
+
+
+def perimeter(points: np.ndarray) -> float:
+    return float(np.hypot(*(points - np.roll(points, -1, axis=0)).T).sum())
+
+
+CONTOURS = "page_number int, region_id int, x1 int, y1 int, x2 int, y2 int, area double, perimeter double, vertices int, width int, height int, content_density double, stroke_density double, solidity double"
+
+
+def contours(pages: DataFrame) -> DataFrame:
+    """Components of each page's dark pixels (below the mean of their surroundings) with what the seal
+    gates measure: area and length of the outline, its corners, the box, the share of dark pixels in
+    the box (by the page's Otsu threshold) and of the component's own, and area over that of the hull.
+    Components of a single row or column are left out, as are pages with an error."""
+
+    def run(frames):
+        for f in frames:
+            rows = []
+            for r in f.itertuples(index=False):
+                image = _grey(r.data, r.height, r.width)
+                ink = image <= _otsu(image)
+                for i, (x1, y1, x2, y2, mask) in enumerate(components(binarise_adaptive(gaussian(image)) == 0)):
+                    if min(mask.shape) > 1:
+                        line = outline(mask)
+                        area, whole = _area(line), _area(hull(line))
+                        rows.append((
+                            r.doc_id, r.page_number, i, x1, y1, x2, y2, area, perimeter(line), corners(line), x2 - x1, y2 - y1,
+                            float(ink[y1:y2, x1:x2].mean()), float(mask.mean()), area / whole if whole else 0.0,
+                        ))
+            yield pd.DataFrame(rows, columns=["doc_id", *(c.split()[0] for c in CONTOURS.split(", "))])
+
+    kind = pages.schema["doc_id"].dataType.simpleString()
+    own = pages.where("error IS NULL") if "error" in pages.columns else pages
+    return own.select("doc_id", "page_number", "height", "width", "data").mapInPandas(run, f"doc_id {kind}, {CONTOURS}")
+
+
+def ruled_boxes(pages: DataFrame) -> DataFrame:
+    """Boxes (box_id) of the groups of ruled lines on each page: dark runs of at least ``RULE_LENGTH``
+    pixels along a row or a column."""
+
+    def runs(dark: np.ndarray) -> np.ndarray:
+        if dark.shape[1] < RULE_LENGTH:
+            return np.zeros_like(dark)
+        whole = sliding_window_view(dark, RULE_LENGTH, axis=1).all(axis=2)
+        out = np.zeros_like(dark)
+        for k in range(RULE_LENGTH):
+            out[:, k : k + whole.shape[1]] |= whole
+        return out
+
+    def run(frames):
+        for f in frames:
+            rows = []
+            for r in f.itertuples(index=False):
+                image = _grey(r.data, r.height, r.width)
+                dark = image <= min(_otsu(image), 254)
+                found = components(runs(dark) | runs(dark.T).T)
+                rows += [(r.doc_id, r.page_number, i, *box) for i, (*box, _) in enumerate(found)]
+            yield pd.DataFrame(rows, columns=["doc_id", "page_number", "box_id", "x1", "y1", "x2", "y2"])
+
+    kind = pages.schema["doc_id"].dataType.simpleString()
+    own = pages.where("error IS NULL") if "error" in pages.columns else pages
+    return own.select("doc_id", "page_number", "height", "width", "data").mapInPandas(run, f"doc_id {kind}, page_number int, box_id int, x1 int, y1 int, x2 int, y2 int")
+
+
+def crops(pages: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Pixels of boxes (as from ``regions.crop_boxes``) cut from their pages: boxes' columns, and data."""
+
+    @F.pandas_udf("binary")
+    def cut(height: pd.Series, width: pd.Series, data: pd.Series, x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series) -> pd.Series:
+        return pd.Series([_grey(d, h, w)[b:e, a:c].tobytes() for h, w, d, a, b, c, e in zip(height, width, data, x1, y1, x2, y2, strict=True)])
+
+    own = pages.select("doc_id", "page_number", F.col("height").alias("_h"), F.col("width").alias("_w"), F.col("data").alias("_d"))
+    joined = boxes.join(own, ["doc_id", "page_number"])
+    return joined.withColumn("data", cut("_h", "_w", "_d", "x1", "y1", "x2", "y2")).drop("_h", "_w", "_d")
 
 
 @F.pandas_udf(T.DoubleType())

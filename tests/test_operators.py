@@ -238,7 +238,9 @@ def test_files_to_blocks(spark, tmp_path):
     assert sorted(r.doc_id for r in scanned.select("doc_id").collect()) == ["a", "b", "c"]
     pages = documents.rasterise(scanned, fake_pages)
     assert sorted((r.doc_id, r.page_number, r.error) for r in pages.select("doc_id", "page_number", "error").collect()) == [("a", 1, None), ("a", 2, None), ("b", 0, "broken file"), ("c", 0, "no pages")]
-    got = documents.recognise(pages, weak_engine, strong_engine).orderBy("page_number").collect()
+    words = documents.recognise(pages, weak_engine, strong_engine).orderBy("page_number")
+    assert sorted((r.doc_id, r.error) for r in words.where("error IS NOT NULL").collect()) == [("b", "broken file"), ("c", "no pages")]
+    got = words.where("error IS NULL").collect()
     assert [(r.doc_id, r.page_number, r.text, r.fallback_used) for r in got] == [("a", 1, "strong", True), ("a", 2, "strong", True)]
     assert documents.recognise(pages, strong_engine, weak_engine).where("fallback_used").count() == 0
 
@@ -266,3 +268,140 @@ def test_config(tmp_path):
     s = config.load(str(tmp_path / "c.json"), {"PAPERLOOM_PDF_DPI": "150"})
     assert (s.ocr.threshold, s.pdf.dpi, s.issues()) == (0.7, 150, [])
     assert len(config.Settings().update({"ocr": {"threshold": 2.0}, "pdf": {"dpi": 0, "page_format": "GIF"}}).issues()) == 3
+
+
+def plain_components(dark):
+    seen, out = np.zeros(dark.shape, bool), []
+    for y, x in zip(*np.nonzero(dark), strict=True):
+        if not seen[y, x]:
+            stack, own = [(y, x)], []
+            seen[y, x] = True
+            while stack:
+                a, b = stack.pop()
+                own.append((a, b))
+                for c in range(max(0, a - 1), min(dark.shape[0], a + 2)):
+                    for d in range(max(0, b - 1), min(dark.shape[1], b + 2)):
+                        if dark[c, d] and not seen[c, d]:
+                            seen[c, d] = True
+                            stack.append((c, d))
+            ys, xs = zip(*own, strict=True)
+            out.append((min(xs), min(ys), max(xs) + 1, max(ys) + 1, len(own)))
+    return sorted(out)
+
+
+def test_components_equal_a_flood_fill():
+    rng = np.random.default_rng(4)
+    for share in (0.1, 0.3, 0.5, 0.7):
+        dark = rng.random((25, 31)) < share
+        assert sorted((a, b, c, d, int(m.sum())) for a, b, c, d, m in imaging.components(dark)) == plain_components(dark)
+    assert imaging.components(np.zeros((3, 3), bool)) == []
+
+
+def test_outlines_and_hulls():
+    square = np.zeros((30, 40), bool)
+    square[3:23, 5:35] = True
+    (x1, y1, x2, y2, mask), = imaging.components(square)
+    line = imaging.outline(mask)
+    assert (x1, y1, x2, y2) == (5, 3, 35, 23) and imaging._area(line) == 29 * 19 and imaging.perimeter(line) == 2 * (29 + 19)
+    assert imaging.corners(line) == 4 and len(imaging.hull(line)) == 4
+    y, x = np.mgrid[0:101, 0:101]
+    (*_, disc), = imaging.components((x - 50) ** 2 + (y - 50) ** 2 <= 45**2)
+    line = imaging.outline(disc)
+    assert 0.85 < 4 * np.pi * imaging._area(line) / imaging.perimeter(line) ** 2 <= 1 and imaging._area(imaging.hull(line)) >= imaging._area(line)
+    assert len(imaging.outline(np.ones((1, 1), bool))) == 1
+
+
+def test_kernels_equal_plain_loops():
+    rng = np.random.default_rng(8)
+    image = rng.integers(0, 256, (12, 14)).astype(np.uint8)
+    padded, r = np.pad(image.astype(float), 4, mode="edge"), range(-4, 5)
+    want = np.zeros_like(image)
+    for i in range(12):
+        for j in range(14):
+            cells = [(padded[i + 4 + y, j + 4 + x], x * x + y * y) for y in r for x in r if x * x + y * y <= 16]
+            w = [np.exp(-((v - float(image[i, j])) ** 2 + d) / (2 * 75**2)) for v, d in cells]
+            want[i, j] = round(sum(a * v for a, (v, _) in zip(w, cells, strict=True)) / sum(w))
+    assert (imaging.bilateral(image) == want).all()
+    assert (imaging.binarise_fixed(image) == np.where(image > 127, 255, 0)).all()
+    step = np.repeat(np.array([[40, 200]], np.uint8), 20, axis=0).repeat(20, axis=1)
+    assert (imaging.binarise_adaptive(np.full((15, 15), 90, np.uint8)) == 255).all() and 0 in imaging.binarise_adaptive(step)
+    assert (imaging.sharpen(np.full((5, 5), 9, np.uint8)) == 9).all() and imaging.sharpen(step)[10].max() > 200
+    assert (imaging.enlarge(np.full((10, 8), 77, np.uint8), 40) == 77).all() and imaging.enlarge(step, 40).shape == (40, 80)
+
+
+def test_deskew():
+    page_ = np.full((200, 300), 255, np.uint8)
+    page_[40:160:20, 20:280] = 0
+    assert imaging.deskew(page_) is page_
+    tilted = imaging.rotate(page_, -5)
+    assert abs(np.median(imaging.line_angles(tilted)) - 5) <= 1
+    straight = imaging.deskew(tilted)
+    assert abs(np.median(imaging.line_angles(straight))) <= 1
+    assert (imaging.rotate(page_, 90) == np.rot90(page_)).all()
+
+
+def test_contours_boxes_and_crops(spark):
+    image = np.full((260, 420), 255, np.uint8)
+    y, x = np.mgrid[0:260, 0:420]
+    ring = np.abs(np.hypot(x - 80, y - 80) - 40) < 3
+    image[ring] = 0
+    for at in (130, 180, 240):
+        image[at : at + 2, 150:400] = 0
+    for at in (150, 398):
+        image[130:242, at : at + 2] = 0
+    df = spark.createDataFrame([page(image)], PAGE)
+    found = imaging.contours(df)
+    seals = regions.circular_seals(found).orderBy(F.desc("circularity")).collect()
+    assert [(abs(r.x1 - 37) < 4 and abs(r.y2 - 123) < 4) for r in seals] == [True, False]  # a box of lines is round enough for the gate
+    assert seals[0].circularity > 0.85 > 0.7 > seals[1].circularity
+    boxes = [(r.x1, r.y1, r.x2, r.y2) for r in imaging.ruled_boxes(df).where("x2 - x1 > 200 AND y2 - y1 > 100").collect()]
+    assert boxes == [(150, 130, 400, 242)]
+    cut = imaging.crops(df, regions.crop_boxes(found.where("region_id = 0").withColumns({"type": F.lit("circular_seal"), "confidence": F.lit(0.9), "width": F.lit(420), "height": F.lit(260)}))).first()
+    assert len(cut.data) == (cut.x2 - cut.x1) * (cut.y2 - cut.y1) and cut.file_name == "circular_seal_0_conf_0.90.png"
+
+
+def document_engines():
+    """Files are text, a page for each form feed; its bytes are the pixels of one row, and words are cut from them."""
+
+    def pages(content):
+        if content.startswith(b"broken"):
+            raise OSError("broken file")
+        for part in content.split(b"\f"):
+            yield np.frombuffer(part, np.uint8).reshape(1, -1)
+
+    def engine(image):
+        text = image.tobytes().decode()
+        if "unreadable" in text:
+            raise RuntimeError("engine failed")
+        at = 0
+        for n, line in enumerate(text.split("\n")):
+            for k, cell in enumerate(line.split("|")):
+                yield (cell, 0.9, 100 * k, 260 * (n > 5) + 30 * n, 100 * k + 90, 260 * (n > 5) + 30 * n + 20)
+                at += 1
+
+    return pages, engine
+
+
+def test_files_to_verified_invoices(spark, tmp_path):
+    pages, engine = document_engines()
+    table = "Description|HSN|Qty|Rate|Amount\nLaptop|8471|2|45000|90000\nMouse|8471|3|100|300"
+    good = f"TAX INVOICE\nInvoice Number: INV-2024-001\nDate: 15/05/2024\nGSTIN: 07AABCU9603R1ZV\nPO Number: PO-7\nGrand Total: 90300\n{table}"
+    for name, content in (("a/x", good), ("b/x", good.replace("INV-2024-001", "INV-2024-002")), ("c", "broken"), ("d", "unreadable\ftext")):
+        path = tmp_path / "in" / f"{name}.pdf"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(content.encode())
+    scanned = documents.scan_files(spark, str(tmp_path / "in"))
+    assert sorted(r.doc_id for r in scanned.select("doc_id").collect()) == ["a/x", "b/x", "c", "d"]
+    assert {r.doc_id: (r.n_pages, r.error) for r in documents.page_counts(documents.rasterise(scanned, pages)).collect()} == {"a/x": (1, None), "b/x": (1, None), "c": (0, "broken file"), "d": (2, None)}
+    assert imaging.preprocess(documents.rasterise(scanned, pages), ("median",)).where("error IS NULL").count() == 4
+    out = extraction.process_files(scanned, str(tmp_path / "out"), "2024-06-01", pages, engine)
+    got = {r.doc_id: r for r in spark.read.json(out["json"]).collect()}
+    assert set(got) == {"a/x", "b/x", "d"} and got["b/x"].invoice_info.invoice_number == "INV-2024-002" and got["a/x"].totals.final_total == 90300.0
+    assert [(i.description, i.quantity, i.total_amount) for i in got["a/x"].line_items] == [("Laptop", 2.0, 90000.0), ("Mouse", 3.0, 300.0)]
+    assert sorted((r.doc_id, r.page_number, r.error) for r in spark.read.json(out["failures"]).collect()) == [("c", 0, "broken file"), ("d", 1, "engine failed")]
+    flags = {r.doc_id: r for r in spark.read.parquet(out["flags"]).collect()}
+    assert set(flags) == {"a/x", "b/x", "d"} and flags["a/x"].line_items_valid
+    assert spark.read.option("header", True).csv(out["verification"]).count() == 15
+    documents.write_page_images(documents.rasterise(scanned, pages), str(tmp_path / "images"))
+    images = spark.read.parquet(str(tmp_path / "images")).collect()
+    assert sorted(r.file_name for r in images) == ["a/x/page_001.pgm", "b/x/page_001.pgm", "d/page_001.pgm", "d/page_002.pgm"] and all(bytes(r.content).startswith(b"P5\n") for r in images)
