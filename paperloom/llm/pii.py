@@ -1,12 +1,14 @@
 """Personal data: patterns propose spans, checksums confirm them, context words move the score.
 
-Base kinds are email, ip, card and phone; iban and national_id are added by the method.
+Base kinds are email, ip, card and phone; iban, national_id and secret (keys and tokens) are added
+by the method. Base spans stay whatever their score; an added kind without a checksum counts only
+with a context word.
 Offsets are code points, ends exclusive. A null text counts as empty and has no spans.
 """
 
 from __future__ import annotations
 
-import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -15,15 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban", "national_id")
+KINDS = (*BASE, "iban", "national_id", "secret")
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,200}+={0,2}(?![A-Za-z0-9_-])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 #: Words that raise a kind's score when they stand within ``REACH`` code points of a span.
@@ -34,14 +37,15 @@ CONTEXT = {
     "phone": {"phone", "tel", "call", "mobile", "fax", "telefon", "teléfono"},
     "iban": {"iban", "account", "bank", "transfer", "konto", "cuenta", "compte"},
     "national_id": {"ssn", "social", "security", "id", "tax"},
+    "secret": {"token", "secret", "key", "apikey", "password", "passwd", "bearer", "credential", "authorization"},
 }
 #: Words that lower a score: the digits are likely something else.
 AGAINST = {"example", "sample", "version", "order", "isbn", "build", "test"}
 REACH = 40
-START = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "national_id": 0.3}
+START = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "national_id": 0.3, "secret": 0.3}
 STEP = 0.2
 #: An added kind without a checksum counts only at this score, that is, with a context word.
-LEAST = 0.5
+LEAST, UNCHECKED = 0.5, ("national_id", "secret")
 
 
 def luhn(digits: str) -> bool:
@@ -63,6 +67,27 @@ def mod97(iban: str) -> bool:
     return rest == 1
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Accounts in one piece or in groups of four; groups at the end that the checksum does not cover
+    (a word in capitals that follows) are left out."""
+    for m in _IBAN.finditer(text):
+        ends = [m.end(), *(m.start() + i for i in range(len(m[0]) - 1, 0, -1) if m[0][i] == " ")]
+        for end in ends:
+            bare = text[m.start() : end].replace(" ", "")
+            if len(bare) >= 15 and mod97(bare):
+                yield m.start(), end
+                break
+
+
+def is_random(s: str) -> bool:
+    """Whether a run of characters looks drawn rather than written: letters and at least two digits,
+    and over 3 bits for each character."""
+    if sum(map(str.isdigit, s)) < 2 or not any(map(str.isalpha, s)):
+        return False
+    counts = [s.count(c) for c in set(s)]
+    return -sum(n / len(s) * math.log2(n / len(s)) for n in counts) > 3
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost non-overlapping matches, in time linear in the text: a match holds one @, and
     of the starts before it the first of the run of local characters is the leftmost."""
@@ -95,16 +120,17 @@ def spans(text: str | None) -> list[tuple[str, int, int, float]]:
                     found.append(("card", *m.span()))
         if "+" in text:
             found += [("phone", *m.span()) for m in _PHONE.finditer(text) if 8 <= sum(map(m[0].count, "0123456789")) <= 15]
-        found += [("iban", *m.span()) for m in _IBAN.finditer(text) if mod97(m[0])]
+        found += [("iban", a, b) for a, b in ibans(text)]
         if "-" in text:
             found += [("national_id", *m.span()) for m in _NATIONAL.finditer(text)]
+        found += [("secret", *m.span()) for m in _SECRET.finditer(text) if is_random(m[0])]
     out = []
     for kind, a, b in found:
         near = {w.lower() for w in _WORD.findall(text[max(0, a - REACH) : a])} | {
             w.lower() for w in _WORD.findall(text[b : b + REACH])
         }
         score = START[kind] + STEP * bool(near & CONTEXT[kind]) - STEP * bool(near & AGAINST)
-        if kind != "national_id" or score >= LEAST - 1e-9:
+        if kind not in UNCHECKED or score >= LEAST - 1e-9:
             out.append((kind, a, b, round(min(1.0, max(0.0, score)), 3)))
     return out
 
@@ -160,7 +186,7 @@ def joined(spans_: list[tuple[str, int, int, float]], kinds: tuple[str, ...]) ->
 
 
 def op1_pii(spark, sf_dir):
-    """Counts, digest and span list of every document, from what ``detect`` finds."""
+    """Counts, digest, span list and the spans' scores of every document, from what ``detect`` finds."""
     from .common import table
 
     found = detect(table(spark, sf_dir, "documents"))
@@ -177,4 +203,5 @@ def op1_pii(spark, sf_dir):
         *[count(k) for k in BASE],
         F.sha2(listed(BASE).cast("binary"), 256).alias("base_sha256"),
         listed(KINDS).alias("spans"),
+        F.array_join(F.transform("found", lambda x: x["score"].cast("string")), ",").alias("scores"),
     )

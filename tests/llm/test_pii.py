@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from paperloom.llm import pii
 
@@ -49,8 +50,30 @@ def test_known_spans():
     assert pii.redact("a@1.2.3.4") == "<EMAIL>"
 
 
+def test_spaced_accounts_and_secrets():
+    found = lambda t: [(k, t[a:b]) for k, a, b, _ in pii.spans(t) if k not in pii.BASE]
+    assert found("pay DE89 3704 0044 0532 0130 00 NOW") == [("iban", "DE89 3704 0044 0532 0130 00")]
+    assert found("GB82 WEST 1234 5698 7654 32, DE89 3704 0044 0532 0130 01") == [("iban", "GB82 WEST 1234 5698 7654 32")]
+    token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2"
+    assert found(f'token = "{token}"') == found(f"api_key token={token}") == [("secret", token)]
+    assert found(f"commit {token}") == found("secret " + "a" * 40) == found("key word-after-word-after-word-after") == found("key " + "9a" * 150) == []
+    assert pii.redact(f'my token = "{token}".') == 'my token = "<SECRET>".'
+
+
+def test_odd_rows(spark):
+    rows = [(1, None), (1, None), (None, "a@b.co"), (2, ""), (3, "x" * 400_000 + " +1 555 010 9999")]
+    df = spark.createDataFrame([(*r, "f", 1, 0.5) for r in rows], "doc_id long, text string, found string, _t int, score double")
+    got = sorted((str(r.doc_id), [f.kind for f in r.found]) for r in pii.detect(df).collect())
+    assert got == [("1", []), ("1", []), ("2", []), ("3", ["phone"]), ("None", ["email"])]
+    assert pii.detect(df.limit(0)).count() == 0 and pii.redact_documents(df.limit(0)).count() == 0
+
+
 def test_long_text_is_linear():
     assert base("a" * 300_000 + "@" * 3 + "1" * 300_000) == []
+    for unit in ("AB12 ", "AB12 3456 ", "ab1-", "token 1a", "+1 ", "1."):
+        began = time.perf_counter()
+        pii.spans(unit * (300_000 // len(unit)))
+        assert time.perf_counter() - began < 20, unit
 
 
 def test_query_equals_brute_force(spark, data):
@@ -62,6 +85,7 @@ def test_query_equals_brute_force(spark, data):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in want) for k in pii.BASE)
         joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert len(r.scores.split(",")) == len(r.spans.split(","))
         assert [s for s in r.spans.split(",") if s.split(":")[0] in pii.BASE] == joined.split(",") or not want
 
 
