@@ -51,3 +51,10 @@ def test_odd_rows(spark):
     same = [(r.bin_group, r.bin) for r in got.where("doc_id = 1 OR doc_id = 4").collect()]
     assert len(same) == len(set(same))  # copies don't share a sequence
     assert P.pack(df.limit(0)).count() == 0
+
+
+def test_many_equal_rows_are_unfolded_in_chunks(spark):
+    df = spark.range(30_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit(None).cast("string").alias("source"))
+    got = P.pack(df, capacity=10, group_rows=2_000, chunk=1_000)
+    r = got.agg(F.count(F.lit(1)), F.sum("tokens"), F.max("bin_fill"), F.count_distinct("bin_group", "bin")).first()
+    assert tuple(r) == (30_000, 90_000, 3, 30_000)  # copies share no sequence
