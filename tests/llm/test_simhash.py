@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import xxhash
 
 from paperloom.llm import simhash
@@ -141,3 +142,42 @@ def test_near_duplicates_of_the_table_equal_brute_force(spark, data):
 def test_every_linked_fingerprint_has_a_root_the_root_too(spark):
     edges = spark.createDataFrame([(1, 5), (5, 9), (20, 30)], "_a long, _b long")
     assert sorted(map(tuple, simhash.components(edges).collect())) == [(1, 1), (5, 1), (9, 1), (20, 20), (30, 20)]
+
+
+def test_crowded_lists_lose_no_link(spark, monkeypatch):
+    """Chains of near copies, in which no member is near all others, in lists that give one hub."""
+    rng = random.Random(11)
+    texts, n = {}, 0
+    for _ in range(4):
+        own = [f"w{rng.randrange(9000)}" for _ in range(120)]
+        for k in range(40):
+            texts[n] = " ".join(own)
+            n += 1
+            own = list(own)
+            own[(k * 7) % 120] = f"n{rng.randrange(9000)}"
+    monkeypatch.setattr(simhash, "HUBS", 1)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_similar(texts)
+    rows, roots = simhash._similar(df, "doc_id", "text", 5, 0.8, 2)
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, most_in_list=2).collect()} == want
+    assert rows.count() == n and roots.count() > 0
+
+
+def test_pairs_across_components_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    sets = {i: sorted(set(rng.integers(0, 40, size=int(rng.integers(3, 30))).tolist())) for i in range(60)}
+    sets |= {100 + i: sorted({*s[1:], 99}) for i, s in sets.items() if len(s) > 12}
+    crowd = spark.createDataFrame([(1, i, len(s)) for i, s in sets.items()], "_key long, _fp long, _size int")
+    apart = simhash._apart(crowd, spark.createDataFrame([(i, i % 3) for i in sets], "_fp long, _root long"))
+    assert 0 < apart.where("_minor").count() < apart.count() == len(sets)
+    table = spark.createDataFrame(list(sets.items()), "_fp long, _set array<long>")
+    near = lambda a, b: len({*sets[a]} & {*sets[b]}) >= 0.8 * len({*sets[a]} | {*sets[b]})
+    want = {(a, b) for a in sets for b in sets if a < b and a % 3 != b % 3 and near(a, b)}
+    got = {tuple(r) for r in simhash._verified(simhash._pairs_across(apart, table, 0.8), table, 0.8).collect()}
+    assert got == want and want
+
+
+def test_texts_that_share_an_id_are_kept_each(spark):
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    df = spark.createDataFrame([(5, one, "x"), (5, two, "y"), (5, one, "x"), (7, two + " end", "z"), (None, one, "n")], "doc_id long, text string, _k_th string")
+    assert sorted((str(r.doc_id), r._k_th) for r in simhash.keep_one_of_each(df).collect()) == [("5", "x"), ("5", "y"), ("None", "n")]
