@@ -262,10 +262,10 @@ def _pairs_across(apart: DataFrame, sets: DataFrame, similarity: float) -> DataF
     its first ninth or so, the larger its first fifth, and what follows in both bounds the overlap."""
     shingles = apart.join(sets, "_fp").select("_fp", "_size", "_root", "_minor", F.explode("_set").alias("_s"))
     often = shingles.groupBy("_s").agg(F.count(F.lit(1)).alias("_often")).where("_often > 1")
-    order = F.row_number().over(Window.partitionBy("_fp").orderBy("_often", "_s"))
-    counted = shingles.join(often, "_s", "left").withColumn("_i", order)  # the null of a shingle that one set has comes first
+    own = Window.partitionBy("_fp")
+    alone = F.col("_size") - F.count(F.lit(1)).over(own)  # shingles that no other set has come before all these
+    known = shingles.join(often, "_s").withColumn("_i", alone + F.row_number().over(own.orderBy("_often", "_s")))
     early = lambda share: F.col("_i") <= F.col("_size") - F.ceil(F.col("_size") * F.lit(share) - 1e-9) + 1
-    known = counted.where(F.col("_often").isNotNull())
     share = similarity / (1 + similarity)  # two sets' overlap is at least this part of their sizes' sum
     side = lambda df, n: df.select("_s", *[F.col(c).alias(f"{c}_{n}") for c in ("_fp", "_size", "_root", "_minor", "_i")])
     small, large = side(known.where(early(2 * share)), "a"), side(known.where(early(similarity)), "b")
