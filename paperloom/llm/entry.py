@@ -10,6 +10,7 @@ from .pii import op1_pii
 from .quality import op6_quality_rules
 from .sharding import op8_sharding
 from .simhash import op2_simhash
+from .token_counts import op11_token_counts
 from .toxicity import op4_toxicity
 from .url_filter import op3_url_filter
 
@@ -26,6 +27,7 @@ def queries() -> dict:
         "op8_sharding": op8_sharding,
         "op9_html_extraction": op9_html_extraction,
         "op10_packing": op10_packing,
+        "op11_token_counts": op11_token_counts,
     }
 
 
