@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 VOCABULARY = "word_bpe_49k.json"
 END = "</w>"
@@ -225,25 +225,23 @@ def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", to: str =
     a character otherwise than the tables here (another Unicode version), it cuts that text itself.
     """
     kept = [c for c in docs.columns if c.lower() != to.lower()]
-    schema = docs.select(*[f"`{c}`" for c in kept]).schema.add(to, ArrayType(IntegerType()))
+    rows = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")), *[f"`{c}`" for c in kept]).toDF(*map(str, range(len(kept) + 1)))
+    schema = StructType([*rows.schema.fields[1:], StructField("counts", ArrayType(IntegerType()))])
 
     def count(batches):
         counter = PrefixCounter(path)
         for batch in batches:
-            texts = batch.column(text_col)
-            sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            sizes = pc.utf8_length(batch.column(0)).to_numpy(zero_copy_only=False).astype(np.int64)
             group = np.cumsum(sizes) // BATCH_CHARS
-            starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)] if len(sizes) else [0, 0]
+            starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
             for a, b in zip(starts, starts[1:], strict=False):
-                found = [counter.prefix_counts(t or "") for t in texts.slice(a, b - a).to_pylist()]
-                offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                values = np.concatenate(found).astype(np.int32) if found else np.zeros(0, np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-                yield pa.RecordBatch.from_arrays([batch.column(c).slice(a, b - a) for c in kept] + [lists], names=[*kept, to])
-
-    source = docs.withColumn(text_col, F.col(text_col).cast("string")) if dict(docs.dtypes)[text_col] != "string" else docs
-    schema[text_col].dataType = source.schema[text_col].dataType
-    return source.select(*[f"`{c}`" for c in kept]).mapInArrow(count, schema)
+                found = [counter.prefix_counts(t) for t in batch.column(0).slice(a, b - a).to_pylist()]
+                offsets = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+                values = pa.array(np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(offsets, values)
+                yield pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in batch.columns[1:]] + [lists], names=schema.names)
+
+    return rows.mapInArrow(count, schema).toDF(*kept, to)
 
 
 def tokens_of(counts: Column, chars: Column | int) -> Column:
