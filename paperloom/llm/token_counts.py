@@ -225,21 +225,23 @@ def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", to: str =
     a character otherwise than the tables here (another Unicode version), it cuts that text itself.
     """
     kept = [c for c in docs.columns if c.lower() != to.lower()]
-    rows = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")), *[f"`{c}`" for c in kept]).toDF(*map(str, range(len(kept) + 1)))
-    schema = StructType([*rows.schema.fields[1:], StructField("counts", ArrayType(IntegerType()))])
+    place = [c.lower() for c in kept].index(text_col.lower())
+    rows = docs.select(*[f"`{c}`" for c in kept]).toDF(*map(str, range(len(kept))))
+    schema = StructType([*rows.schema.fields, StructField("counts", ArrayType(IntegerType()))])
 
     def count(batches):
         counter = PrefixCounter(path)
         for batch in batches:
-            sizes = pc.utf8_length(batch.column(0)).to_numpy(zero_copy_only=False).astype(np.int64)
+            texts = pc.fill_null(pc.cast(batch.column(place), pa.string()), "")
+            sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
             group = np.cumsum(sizes) // BATCH_CHARS
             starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
             for a, b in zip(starts, starts[1:], strict=False):
-                found = [counter.prefix_counts(t) for t in batch.column(0).slice(a, b - a).to_pylist()]
+                found = [counter.prefix_counts(t) for t in texts.slice(a, b - a).to_pylist()]
                 offsets = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
                 values = pa.array(np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, values)
-                yield pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in batch.columns[1:]] + [lists], names=schema.names)
+                yield pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in batch.columns] + [lists], names=schema.names)
 
     return rows.mapInArrow(count, schema).toDF(*kept, to)
 
