@@ -6,6 +6,7 @@ from .bit_sliced import OP7_SQL, op7_bit_sliced_topk
 from .decontamination import op5_decontamination
 from .html_text import op9_html_extraction
 from .packing import op10_packing
+from .phrases import OP12_SQL, op12_collocations
 from .pii import op1_pii
 from .quality import op6_quality_rules
 from .sharding import op8_sharding
@@ -28,8 +29,9 @@ def queries() -> dict:
         "op9_html_extraction": op9_html_extraction,
         "op10_packing": op10_packing,
         "op11_token_counts": op11_token_counts,
+        "op12_collocations": op12_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_bit_sliced_topk": OP7_SQL}
+    return {"op7_bit_sliced_topk": OP7_SQL, "op12_collocations": OP12_SQL}
