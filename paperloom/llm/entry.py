@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bit_sliced import OP7_SQL, op7_bit_sliced_topk
 from .decontamination import op5_decontamination
+from .hard_negatives import OP13_SQL, op13_hard_negatives
 from .html_text import op9_html_extraction
 from .packing import op10_packing
 from .phrases import OP12_SQL, op12_collocations
@@ -30,8 +31,9 @@ def queries() -> dict:
         "op10_packing": op10_packing,
         "op11_token_counts": op11_token_counts,
         "op12_collocations": op12_collocations,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_bit_sliced_topk": OP7_SQL, "op12_collocations": OP12_SQL}
+    return {"op7_bit_sliced_topk": OP7_SQL, "op12_collocations": OP12_SQL, "op13_hard_negatives": OP13_SQL}
