@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import string
 import time
 
 from paperloom.llm import pii
@@ -56,6 +57,9 @@ def test_spaced_accounts_and_secrets():
     assert found("GB82 WEST 1234 5698 7654 32, DE89 3704 0044 0532 0130 01") == [("iban", "GB82 WEST 1234 5698 7654 32")]
     token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2"
     assert found(f'token = "{token}"') == found(f"api_key token={token}") == [("secret", token)]
+    for n in (200, 201, 2_000, 1_000_000):  # no upper length
+        long = "".join(random.Random(n).choices(string.ascii_letters + string.digits, k=n))
+        assert found(f"password {long}.") == [("secret", long)]
     assert found(f"commit {token}") == found("secret " + "a" * 40) == found("key word-after-word-after-word-after") == found("key " + "9a" * 150) == []
     assert pii.redact(f'my token = "{token}".') == 'my token = "<SECRET>".'
 
