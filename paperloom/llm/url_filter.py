@@ -37,6 +37,8 @@ COMMON = (
     "museum", "nature", "news", "pharmacy", "pill", "post", "press", "prize", "recipe", "replica", "report", "research", "review", "school", "science", "slots", "story", "support",
     "track", "travel", "university", "weather", "wiki", "win",
 )
+#: Substrings of names that a task hands on at once.
+PIECES_AT_ONCE = 100_000
 LONGEST_WORD = 20
 #: Count of a known word in the unigram model; counts that the classes borrow from all urls' words; rounds of learning.
 KNOWN_WEIGHT, BORROWED, ROUNDS = 50, 5.0, 4
@@ -110,13 +112,24 @@ def segmented(names: DataFrame, lexicon: DataFrame) -> DataFrame:
     """_name and _words for the distinct values of column ``_name``. Every name's substrings of at
     most ``LONGEST_WORD`` letters are joined to the lexicon; no lexicon is collected."""
     total, kinds = lexicon.agg(F.coalesce(F.sum("_count"), F.lit(0)), F.count(F.lit(1))).first()
-    names = names.select("_name").distinct()
-    n = F.length("_name")
-    starts = names.where(n > 0).withColumn("_start", F.explode(F.sequence(F.lit(0), n - 1)))
-    starts = starts.where(F.col("_start") < n - 1)
-    pieces = starts.withColumn("_size", F.explode(F.sequence(F.lit(2), F.least(F.lit(LONGEST_WORD), n - F.col("_start")))))
-    pieces = pieces.withColumn("_word", F.expr("substring(_name, _start + 1, _size)")).drop("_size")
-    arcs = pieces.join(lexicon, "_word").groupBy("_name").agg(F.collect_list(F.struct("_start", "_word", "_count")).alias("_arcs"))
+    names = names.select("_name", F.sha2("_name", 256).alias("_key")).distinct()
+
+    def pieces(frames):
+        rows: list = []
+        for frame in frames:
+            for key, name in zip(frame["_key"], frame["_name"], strict=True):
+                n = len(name)
+                for start in range(n - 1):
+                    rows += [(key, start, name[start:end]) for end in range(start + 2, min(n, start + LONGEST_WORD) + 1)]
+                    if len(rows) >= PIECES_AT_ONCE:
+                        yield pd.DataFrame(rows, columns=["_key", "_start", "_word"])
+                        rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=["_key", "_start", "_word"])
+
+    # a piece carries its name's hash, not the name: what a name costs grows with its length alone
+    found = names.mapInPandas(pieces, "_key string, _start int, _word string").join(lexicon, "_word")
+    arcs = found.groupBy("_key").agg(F.collect_list(F.struct("_start", "_word", "_count")).alias("_arcs"))
 
     @F.pandas_udf("array<string>")
     def split(name: pd.Series, arcs: pd.Series) -> pd.Series:
@@ -129,7 +142,7 @@ def segmented(names: DataFrame, lexicon: DataFrame) -> DataFrame:
             dtype=object,
         )
 
-    return names.join(arcs, "_name", "left").select("_name", split("_name", "_arcs").alias("_words"))
+    return names.join(arcs, "_key", "left").select("_name", split("_name", "_arcs").alias("_words"))
 
 
 def word_odds(words: DataFrame, shares: DataFrame) -> DataFrame:

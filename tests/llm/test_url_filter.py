@@ -1,6 +1,7 @@
 import itertools
 import math
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -165,3 +166,12 @@ def test_query(spark, data):
         assert (r.rule, r.verdict if r.rule else None) == brute_rule(r.host, r.path)
     assert U.judge(spark.createDataFrame([], PAGE)).count() == 0
     assert got.where(F.col("verdict").isNull()).count() == 0
+
+
+def test_cost_of_a_name_grows_with_its_length_alone(spark):
+    lexicon = spark.createDataFrame([("casino", 5), ("royal", 3), ("no", 2)], "_word string, _count long")
+    name = "casinoroyal" * 18_182
+    began = time.perf_counter()
+    got = {r._name: r._words for r in U.segmented(spark.createDataFrame([(name,), ("royalcasino",), ("x",), ("",)], "_name string"), lexicon).collect()}
+    assert time.perf_counter() - began < 60
+    assert got[name] == ["casino", "royal"] * 18_182 and got["royalcasino"] == ["royal", "casino"] and got["x"] == ["x"] and got[""] == []
