@@ -11,8 +11,12 @@ encoded twice.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
+from array import array
+from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,7 +34,9 @@ REMEMBERED, LONGEST = 400_000, 64
 
 #: Fixed values of the vocabulary's format: pieces of a text (the rest is white space), and parts of a
 #: contraction that are pieces of their own while its end is missing.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+", regex.V1)
+PIECES = regex.compile(r"(?:'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+) ?|\p{White_Space}+", regex.V1)
+LATIN_PIECES = re.compile(r"(?:'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+) ?|[\t-\r ]+")
+BLANK = regex.compile(r"\p{White_Space}")
 CONTRACTION = regex.compile(r"'(?:s|t|re|ve|m|ll|d)")
 #: What may melt into the character before it: marks, and the later letters of a Korean syllable.
 SEQUENCE = regex.compile(r"(?s).[\p{M}ᅡ-ᅵᆨ-ᇂ]*")
@@ -43,8 +49,25 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+class Remembered(dict):
+    """Results by piece, made when missing. Holds ``most`` of them, and the ``most`` before those."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        held = self.older.get(piece) or self.make(piece)
+        if len(piece) <= LONGEST:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = held
+        return held
+
+
 class PrefixCounter:
-    """Counts of one vocabulary file. Holds no more than its tables and ``REMEMBERED`` pieces."""
+    """Counts of one vocabulary file. Holds no more than its tables and ``REMEMBERED`` pieces and pairs,
+    twice. Tokens are numbered by the order in which merges make them, letters first."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -53,100 +76,136 @@ class PrefixCounter:
             spec = json.load(f)
         self.library = Tokenizer.from_file(path)
         model = spec["model"]
-        if model["type"] != "BPE" or model.get("end_of_word_suffix") != END:
-            raise ValueError(f"{path} is no BPE vocabulary with word ends")
-        self.vocabulary = frozenset(model["vocab"])
-        self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
-        self.longest = max(map(len, self.vocabulary))
-        self.letters = byte_letters()
+        merges = [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        letters = byte_letters()
+        names = [*letters, *(x + END for x in letters), *(a + b for a, b in merges)]
+        if model["type"] != "BPE" or model.get("end_of_word_suffix") != END or len({*names}) != len(names) or not model["vocab"].keys() >= {*names}:
+            raise ValueError(f"{path} is no BPE vocabulary of bytes with word ends")
+        self.number = {x: i for i, x in enumerate(names)}
+        self.parts = [(i, i) for i in range(512)] + [(self.number[a], self.number[b]) for a, b in merges]
+        self.joined = {self.key(*self.parts[i]): i for i in range(512, len(names))}
+        self.table = str.maketrans({i: x for i, x in enumerate(letters)})
+        stems: dict[str, list[int]] = {}
+        for name, i in self.number.items():
+            if self.whole(i):
+                ended = name.endswith(END) and len(name) > len(END)
+                stems.setdefault(name[: -len(END)] if ended else name, [-1, -1])[ended] = i
+        self.stems = ahocorasick.Automaton()
+        for stem, (inner, final) in stems.items():
+            self.stems.add_word(stem, (inner, final, len(stem)))
+        self.stems.make_automaton()
         special = sorted((t["content"] for t in spec["added_tokens"] if t["special"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
-        self.known: dict[str, bool] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.apart: dict[int, bool] = {}
+        self.known: dict[str, int] = {}
+        self.pieces = Remembered(self.steps, REMEMBERED)
+        self.cores = Remembered(self.counted, REMEMBERED)
 
     # -- one piece
 
-    def merged(self, *tokens: str) -> list[str]:
-        """The encoding of the symbols of ``tokens``, by merging the pair of least rank, leftmost first."""
-        symbols = []
-        for t in tokens:
-            ended = t.endswith(END) and len(t) > len(END)
-            letters = list(t[: -len(END)] if ended else t)
-            if ended:
-                letters[-1] += END
-            symbols += letters
-        while len(symbols) > 1:
-            rank, at = min((self.ranks.get(pair, len(self.ranks)), i) for i, pair in enumerate(zip(symbols, symbols[1:], strict=False)))
-            if rank == len(self.ranks):
-                break
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-        return symbols
-
-    def stays(self, before: str, token: str) -> bool:
-        """Whether ``token`` can follow ``before``: the two, merged anew, are themselves."""
-        if not before:
-            if token not in self.whole:
-                self.whole[token] = self.merged(token) == [token]
-            return self.whole[token]
-        key = (before, token)
-        if key not in self.apart:
-            if len(self.apart) >= 4 * REMEMBERED:
-                self.apart.clear()
-            self.apart[key] = self.merged(before, token) == [before, token]
-        return self.apart[key]
-
-    def counted(self, piece: str) -> list[int]:
-        """Tokens of the first 1, 2, ... code points of one piece, each taken as a text of its own."""
+    @staticmethod
+    def key(before: int, token: int) -> int:
+        return before << 24 | token
+
+    def whole(self, token: int) -> bool:
+        """Whether the token's own symbols, merged anew, give it: its two parts are whole, and nothing
+        at their border merges before they do."""
+        if token < 512:
+            return True
+        a, b = self.parts[token]
+        return self.whole(a) and self.whole(b) and self.stays(a, b, token)
+
+    def stays(self, before: int, token: int, until: int | None = None) -> bool:
+        """Whether no merge joins the two tokens (before the merge ``until``). The tokens are taken apart
+        again, the later merge first, at equal ones the right; a pair at the border that has a merge of
+        its own joins if that one comes before the merges that the pair's tokens went into."""
+        a, b, limit = before, token, until if until is not None else len(self.parts)
+        while True:
+            made = self.joined.get(self.key(a, b))
+            if made is not None and made < limit:
+                return False
+            if a < 512 and b < 512:
+                return True
+            if a > b:
+                limit, a = min(limit, a), self.parts[a][1]
+            else:
+                limit, b = min(limit, b + 1), self.parts[b][0]
+
+    def follows(self, key: int) -> bool:
+        if len(self.apart) >= 2 * REMEMBERED:
+            self.apart.clear()
+        held = self.apart[key] = self.stays(key >> 24, key & 0xFFFFFF)
+        return held
+
+    def counted(self, piece: str) -> bytes:
+        """How the count changes with each code point of one piece, each prefix taken as a text of its own, as int32."""
         if CONTRACTION.fullmatch(piece):
             parts = [[piece[:1], piece[1:n]] for n in range(1, len(piece))]
-            return [sum(self.ended(p) for p in x if p) for x in parts] + [self.ended(piece)]
-        return self.ends(piece)
-
-    def ended(self, piece: str) -> int:
-        return self.ends(piece)[-1]
+            counts = [sum(self.ends(p)[-1] for p in x if p) for x in parts] + [self.ends(piece)[-1]]
+        else:
+            counts = self.ends(piece)
+        return array("i", map(int.__sub__, counts, [0, *counts[:-1]])).tobytes()
 
     def ends(self, piece: str) -> list[int]:
         """The dynamic programme over the bytes of a piece. ``last`` and ``count`` are of prefixes
-        that go on; what ends a prefix carries the word end and is found from them."""
-        out, letters, at = [], "", 0
-        last, count = [""], [0]
+        that go on; the token that ends a prefix carries the word end and is found from them."""
+        plain = piece.isascii() and piece.isprintable()
+        letters = piece if plain else piece.encode().decode("latin-1").translate(self.table)
+        room = [0] if len(letters) < 1 << 16 else array("i", [0])
+        last, count, out = room * (len(letters) + 1), room * (len(letters) + 1), room * (len(letters) + 1)
+        known, follows = self.apart.get, self.follows
+        for end, (inner, final, size) in self.stems.iter(letters):
+            at = end + 1
+            j = at - size
+            if inner >= 0 and not count[at]:
+                if j:
+                    key = last[j] << 24 | inner
+                    stays = known(key)
+                    if stays is None:
+                        stays = follows(key)
+                if not j or stays:
+                    last[at] = inner
+                    count[at] = count[j] + 1
+            if final >= 0 and not out[at]:
+                if j:
+                    key = last[j] << 24 | final
+                    stays = known(key)
+                    if stays is None:
+                        stays = follows(key)
+                if not j or stays:
+                    out[at] = count[j] + 1
+        if plain:
+            return list(out[1:])
+        ends, at = [], 0
         for c in piece:
-            letters += "".join(self.letters[b] for b in c.encode())
-            while at < len(letters):
-                at += 1
-                token, j = self.found(letters, at, last, "")
-                last.append(token)
-                count.append(count[j] + 1)
-            out.append(count[self.found(letters, at, last, END)[1]] + 1)
-            if len(letters) > 4 * self.longest:  # what lies further back is never read again
-                cut = len(letters) - 2 * self.longest
-                letters, last, count, at = letters[cut:], last[cut:], count[cut:], at - cut
-        return out
-
-    def found(self, letters: str, at: int, last: list[str], end: str) -> tuple[str, int]:
-        for j in range(at - 1, max(-1, at - 1 - self.longest), -1):
-            token = letters[j:at] + end
-            if token in self.vocabulary and self.stays(last[j], token):
-                return token, j
-        raise ValueError("the vocabulary lacks a byte")
+            at += len(c.encode())
+            ends.append(out[at])
+        return ends
+
+    def steps(self, piece: str) -> bytes:
+        """How the count changes with each code point of a piece and the blank behind it, as int32."""
+        core = piece.rstrip(" ")
+        if not core or core[0].isspace() and BLANK.match(core):
+            return bytes(4 * len(piece))
+        return self.cores[core] + bytes(4 * (len(piece) - len(core)))
 
     # -- one text
 
     def normalised(self, text: str) -> str:
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # letter by letter: no final sigma
 
-    def agrees(self, c: str) -> bool:
-        """Whether the tables here and the library's, which may be of another Unicode version, read ``c`` alike."""
+    def reading(self, c: str) -> int:
+        """0 if the tables here and the library's, which may be of another Unicode version, read ``c``
+        otherwise; else 2 for what ``LATIN_PIECES`` reads rightly, and 1 for the rest."""
         if c not in self.known:
             own = self.normalised(c)
-            same = own == self.library.normalizer.normalize_str(c) or bool(regex.fullmatch(r"\p{White_Space}", c))
+            same, simple = own == self.library.normalizer.normalize_str(c) or bool(BLANK.fullmatch(c)), True
             for x in own if same else "":
-                kind = "letter" if regex.match(r"\p{L}", x) else "number" if regex.match(r"\p{N}", x) else "space" if regex.match(r"\p{White_Space}", x) else "other"
+                kind = "letter" if regex.match(r"\p{L}", x) else "number" if regex.match(r"\p{N}", x) else "space" if BLANK.match(x) else "other"
                 cuts = tuple(len(self.library.pre_tokenizer.pre_tokenize_str(f"{e}{x}{e}")) for e in "a!")
                 same = same and cuts == {"letter": (1, 3), "number": (3, 3), "space": (2, 2), "other": (3, 1)}[kind]
-            self.known[c] = same
+                simple = simple and (x.isascii() or kind == ("letter" if LATIN_PIECES.match(x + "a").end() == 2 else "other"))
+            self.known[c] = same + (same and simple)
         return self.known[c]
 
     def prefix_counts(self, text: str) -> np.ndarray:
@@ -166,18 +225,18 @@ class PrefixCounter:
 
     def ordinary(self, text: str) -> np.ndarray:
         if text.isascii():
-            return self.by_letter(text.lower(), True)
-        agreed = all(map(self.agrees, set(text)))
+            return self.by_letter(text.lower(), 2)
+        agreed = min(map(self.reading, set(text)))
         whole = self.normalised(text)
         if agreed and len(whole) == len(text) and unicodedata.is_normalized("NFC", text):
-            return self.by_letter(whole, True)
+            return self.by_letter(whole, agreed)
         parts = SEQUENCE.findall(text)
         levelled = [self.normalised(p) if agreed else self.library.normalizer.normalize_str(p) for p in parts]
         counts = self.by_letter("".join(levelled), agreed)
         ends = np.cumsum([len(x) for x in levelled])
         return np.repeat(np.concatenate([[0], counts])[ends], [len(p) for p in parts])
 
-    def by_letter(self, text: str, agreed: bool) -> np.ndarray:
+    def by_letter(self, text: str, agreed: int) -> np.ndarray:
         """Counts at every code point of a normalised text."""
         steps = []
         at = 0
@@ -186,30 +245,24 @@ class PrefixCounter:
             if end < len(text):  # pieces never hold white space, so it is a safe place to cut
                 m = regex.search(r"\p{White_Space}", text, pos=end)
                 end = m.start() if m else len(text)
-            steps.append(np.frombuffer(b"".join(map(self.steps, self.cut(text[at:end], agreed))), np.int32))
+            steps.append(np.frombuffer(b"".join(map(self.pieces.__getitem__, self.cut(text[at:end], agreed))), np.int32))
             at = end
         return np.cumsum(np.concatenate(steps), dtype=np.int64) if steps else np.zeros(0, np.int64)
 
-    def cut(self, text: str, agreed: bool) -> list[str]:
+    def cut(self, text: str, agreed: int) -> list[str]:
         if agreed:
-            return PIECES.findall(text)
+            return (LATIN_PIECES if agreed > 1 else PIECES).findall(text)
         out, at = [], 0
         for _, (start, end) in self.library.pre_tokenizer.pre_tokenize_str(text):
             out += [text[at:start]] * (start > at) + [text[start:end]]
             at = end
         return out + [text[at:]] * (at < len(text))
 
-    def steps(self, piece: str) -> bytes:
-        """How the count changes with each code point of a piece, as int32."""
-        held = self.pieces.get(piece)
-        if held is None:
-            blank = regex.fullmatch(r"\p{White_Space}+", piece)
-            held = np.diff([0] * (len(piece) + 1) if blank else [0, *self.counted(piece)]).astype(np.int32).tobytes()
-            if len(piece) <= LONGEST:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[piece] = held
-        return held
+
+@lru_cache(maxsize=2)
+def counter_of(path: str) -> PrefixCounter:
+    """One for each Python process: what a task has learnt about pieces helps the next one there."""
+    return PrefixCounter(path)
 
 
 def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", to: str = "prefix_tokens") -> DataFrame:
@@ -230,7 +283,7 @@ def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", to: str =
     schema = StructType([*rows.schema.fields, StructField("counts", ArrayType(IntegerType()))])
 
     def count(batches):
-        counter = PrefixCounter(path)
+        counter = counter_of(path)
         for batch in batches:
             texts = pc.fill_null(pc.cast(batch.column(place), pa.string()), "")
             sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)

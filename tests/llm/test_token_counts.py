@@ -69,8 +69,39 @@ def test_random_characters_of_all_planes_give_the_library_total(counter, library
         assert counter.prefix_counts(text)[-1] == len(library.encode(text, add_special_tokens=False).ids), ascii(text)
 
 
+def test_tokens_stay_apart_as_merging_anew_says(counter):
+    names = list(counter.number)
+    ranks = {counter.parts[i]: i for i in range(512, len(names))}
+
+    def merged(*tokens):
+        symbols = []
+        for t in tokens:
+            stack = [t]
+            while stack:
+                x = stack.pop()
+                if x < 512:
+                    symbols.append(x)
+                else:
+                    stack += [counter.parts[x][1], counter.parts[x][0]]
+        while len(symbols) > 1:
+            made, at = min((ranks.get(p, 1 << 30), i) for i, p in enumerate(zip(symbols, symbols[1:])))
+            if made == 1 << 30:
+                break
+            symbols[at : at + 2] = [made]
+        return symbols
+
+    rng = random.Random(3)
+    inner = [i for i, x in enumerate(names) if not x.endswith(T.END) and i < 9000]
+    every = [i for i in range(9000) if counter.whole(i)]
+    assert all((merged(i) == [i]) == counter.whole(i) for i in rng.sample(range(len(names)), 3000))
+    for _ in range(20_000):
+        a, b = rng.choice(inner), rng.choice(every)
+        if counter.whole(a):
+            assert counter.stays(a, b) == (merged(a, b) == [a, b]), (names[a], names[b])
+
+
 def test_characters_the_library_reads_otherwise(counter, library, monkeypatch):
-    monkeypatch.setattr(counter, "agrees", lambda c: False)
+    monkeypatch.setattr(counter, "reading", lambda c: 0)
     for text in ("Straße ΑΣ Σας naïve 東京都!", "x İ é"):
         assert counter.prefix_counts(text)[-1] == len(library.encode(text, add_special_tokens=False).ids)
 
