@@ -22,6 +22,7 @@ ADAPTIVE_SIZE, ADAPTIVE_LESS, FIXED_THRESHOLD = 11, 2, 127
 CONTRAST, BRIGHTNESS, SHARPNESS = 1.2, 1.1, 1.1
 EDGE_STRENGTH, LINE_VOTES, MOST_SKEW, LEAST_SKEW = 150, 100, 45.0, 0.5
 RULE_LENGTH = 40
+GREY_WEIGHTS = (0.299, 0.587, 0.114)
 
 
 def otsu_threshold(histogram: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -43,6 +44,19 @@ def _grey(data: bytes, height: int, width: int) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(height, width)
 
 
+def pixels(data: bytes, height: int, width: int, channels: int | None = 1) -> np.ndarray:
+    """A page's pixels: height x width, with a third axis of red, green and blue if it has colours."""
+    flat = np.frombuffer(data, np.uint8)
+    return flat.reshape(height, width) if channels in (None, 1) else flat.reshape(height, width, channels)
+
+
+def to_grey(image: np.ndarray) -> np.ndarray:
+    """Luma of a colour page; a grey one as it is."""
+    if image.ndim == 2:
+        return image
+    return np.rint(image[..., :3].astype(np.float64) @ np.array(GREY_WEIGHTS)).astype(np.uint8)
+
+
 def _windows(image: np.ndarray, size: int) -> np.ndarray:
     return sliding_window_view(np.pad(image, size // 2, mode="edge"), (size, size))
 

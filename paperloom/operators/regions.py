@@ -12,28 +12,45 @@ MIN_AREA, MAX_AREA, LEAST_CIRCULARITY = 500, 50000, 0.4
 LEAST_IOU = 0.3
 
 
+def seal_gate() -> tuple[Column, Column]:
+    """Whether a contour (area, perimeter) is a round one of middling area, and the confidence."""
+    circularity = 4 * math.pi * F.col("area") / (F.col("perimeter") * F.col("perimeter"))
+    sized = (F.col("area") > MIN_AREA) & (F.col("area") < MAX_AREA) & (F.col("perimeter") > 0)
+    return sized & (circularity > LEAST_CIRCULARITY), F.least(circularity * 2, F.lit(1.0))
+
+
+def box_gate() -> tuple[Column, Column]:
+    """Whether a contour (area, vertices, width, height, content_density) is a box with something in it."""
+    aspect = F.col("width") / F.col("height")
+    sized = (F.col("area") > MIN_AREA) & (F.col("area") < MAX_AREA) & F.col("vertices").between(4, 8) & (F.col("height") > 0)
+    return sized & (aspect > 0.2) & (aspect < 5) & (F.col("content_density") > 0.1), F.least(F.col("content_density") * 2, F.lit(1.0))
+
+
+def handwriting_gate() -> tuple[Column, Column]:
+    """Whether a contour (area, width, height, stroke_density, solidity) is wide, sparse and ragged."""
+    aspect, d, s = F.col("width") / F.col("height"), F.col("stroke_density"), F.col("solidity")
+    sized = (F.col("area") > 200) & (F.col("area") < 20000) & (F.col("height") > 0) & (aspect > 1.5) & (aspect < 8)
+    return sized & (d > 0.05) & (d < 0.4) & (s < 0.8), F.least((1 - s) * d * 3, F.lit(1.0))
+
+
+def _gated(contours: DataFrame, gate: tuple[Column, Column], name: str) -> DataFrame:
+    return contours.where(gate[0]).withColumn("type", F.lit(name)).withColumn("confidence", gate[1])
+
+
 def circular_seals(contours: DataFrame) -> DataFrame:
     """From area and perimeter: round contours of middling area."""
-    c = 4 * math.pi * F.col("area") / (F.col("perimeter") * F.col("perimeter"))
-    own = contours.where((F.col("area") > MIN_AREA) & (F.col("area") < MAX_AREA) & (F.col("perimeter") > 0))
-    kept = own.withColumn("circularity", c).where(F.col("circularity") > LEAST_CIRCULARITY)
-    return kept.withColumn("type", F.lit("circular_seal")).withColumn("confidence", F.least(F.col("circularity") * 2, F.lit(1.0)))
+    circularity = 4 * math.pi * F.col("area") / (F.col("perimeter") * F.col("perimeter"))
+    return _gated(contours, seal_gate(), "circular_seal").withColumn("circularity", circularity)
 
 
 def signature_boxes(contours: DataFrame) -> DataFrame:
     """From area, vertices, width, height and content density: boxes with something in them."""
-    aspect = F.col("width") / F.col("height")
-    own = contours.where((F.col("area") > MIN_AREA) & (F.col("area") < MAX_AREA) & F.col("vertices").between(4, 8) & (F.col("height") > 0))
-    kept = own.where((aspect > 0.2) & (aspect < 5) & (F.col("content_density") > 0.1))
-    return kept.withColumn("type", F.lit("signature_box")).withColumn("confidence", F.least(F.col("content_density") * 2, F.lit(1.0)))
+    return _gated(contours, box_gate(), "signature_box")
 
 
 def handwriting(contours: DataFrame) -> DataFrame:
     """From area, width, height, stroke density and solidity: wide, sparse, ragged contours."""
-    aspect, d, s = F.col("width") / F.col("height"), F.col("stroke_density"), F.col("solidity")
-    own = contours.where((F.col("area") > 200) & (F.col("area") < 20000) & (F.col("height") > 0) & (aspect > 1.5) & (aspect < 8))
-    kept = own.where((d > 0.05) & (d < 0.4) & (s < 0.8))
-    return kept.withColumn("type", F.lit("handwritten_signature")).withColumn("confidence", F.least((1 - s) * d * 3, F.lit(1.0)))
+    return _gated(contours, handwriting_gate(), "handwritten_signature")
 
 
 def iou(a: Column, b: Column) -> Column:
