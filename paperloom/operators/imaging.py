@@ -1,6 +1,7 @@
 """Page images: thresholds, denoising, morphology, quality.
 
-A page is a row (doc_id, page_number, height, width, data) of 8-bit grey values, row by row.
+A page is a row (doc_id, page_number, height, width, data) of 8-bit values, row by row; with a column
+``channels`` of 3, each pixel has its red, green and blue value one after another.
 Kernels run on one page at a time inside Arrow batches; what counts over pixels of many pages
 (histograms, thresholds) is relational.
 """
@@ -22,7 +23,10 @@ ADAPTIVE_SIZE, ADAPTIVE_LESS, FIXED_THRESHOLD = 11, 2, 127
 CONTRAST, BRIGHTNESS, SHARPNESS = 1.2, 1.1, 1.1
 EDGE_STRENGTH, LINE_VOTES, MOST_SKEW, LEAST_SKEW = 150, 100, 45.0, 0.5
 RULE_LENGTH = 40
-GREY_WEIGHTS = (0.299, 0.587, 0.114)
+NLM_STRENGTH, NLM_PATCH, NLM_SEARCH = 10.0, 7, 21
+#: Bytes of page pixels that a task gathers before it hands them on; rows that non-local means take at once.
+BATCH_BYTES, NLM_STRIP = 32 << 20, 128
+GREY_WEIGHTS = (19595, 38470, 7471)  # red, green and blue, of 65536
 
 
 def otsu_threshold(histogram: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,10 +55,11 @@ def pixels(data: bytes, height: int, width: int, channels: int | None = 1) -> np
 
 
 def to_grey(image: np.ndarray) -> np.ndarray:
-    """Luma of a colour page; a grey one as it is."""
+    """Luma of a colour page, in whole numbers and rounded; a grey one as it is."""
     if image.ndim == 2:
         return image
-    return np.rint(image[..., :3].astype(np.float64) @ np.array(GREY_WEIGHTS)).astype(np.uint8)
+    weighed = sum(w * image[..., c].astype(np.int64) for c, w in enumerate(GREY_WEIGHTS))
+    return ((weighed + (1 << 15)) >> 16).astype(np.uint8)
 
 
 def _windows(image: np.ndarray, size: int) -> np.ndarray:
@@ -86,6 +91,54 @@ def bilateral(image: np.ndarray) -> np.ndarray:
     return np.rint(total / weight).astype(np.uint8)
 
 
+def bilateral_colour(image: np.ndarray) -> np.ndarray:
+    """As ``bilateral``, all channels with one weight, by the sum of their differences."""
+    g, r = image.astype(np.float64), BILATERAL_RADIUS
+    h, w, _ = g.shape
+    padded = np.pad(g, ((r, r), (r, r), (0, 0)), mode="edge")
+    total, weight = np.zeros_like(g), np.zeros((h, w, 1))
+    for y in range(-r, r + 1):
+        for x in range(-r, r + 1):
+            if x * x + y * y <= r * r:
+                other = padded[r + y : r + y + h, r + x : r + x + w]
+                apart = np.abs(other - g).sum(axis=2, keepdims=True)
+                near = np.exp(-(apart * apart + x * x + y * y) / (2 * BILATERAL_SPREAD**2))
+                total += near * other
+                weight += near
+    return np.rint(total / weight).astype(np.uint8)
+
+
+def non_local_means(image: np.ndarray, strength: float = NLM_STRENGTH, patch: int = NLM_PATCH, search: int = NLM_SEARCH) -> np.ndarray:
+    """Mean of the pixels around each, weighed by how alike the patches about them are: exp of minus
+    their mean squared difference (over the channels too) by ``strength`` squared. For each of the shifts the
+    patch distances of a strip of rows come from one summed-area table, so the cost is that of the
+    shifts alone, whatever the patch, and memory that of a strip. Outside the page is its mirror image."""
+    g = image if image.ndim == 3 else image[:, :, None]
+    h, w, channels = g.shape
+    if not g.size:
+        return image
+    p, r = patch // 2, search // 2
+    columns, rows = (np.pad(np.arange(n), p + r, mode="reflect" if n > 1 else "edge") for n in (w, h))
+    out = np.empty_like(g)
+    for top in range(0, h, NLM_STRIP):
+        n = min(NLM_STRIP, h - top)
+        own = g[rows[top : top + n + 2 * (p + r)]][:, columns].astype(np.float32)
+        centre = own[r : r + n + 2 * p, r : r + w + 2 * p]
+        total, weight = np.zeros((n, w, channels), np.float32), np.zeros((n, w, 1), np.float32)
+        for y in range(search):
+            for x in range(search):
+                other = own[y : y + n + 2 * p, x : x + w + 2 * p]
+                apart = np.square(other - centre).sum(axis=2, dtype=np.float64)
+                table = np.zeros((n + patch, w + patch))
+                np.cumsum(np.cumsum(apart, axis=0), axis=1, out=table[1:, 1:])
+                mean = (table[patch:, patch:] - table[:-patch, patch:] - table[patch:, :-patch] + table[:-patch, :-patch]) / (patch * patch * channels)
+                near = np.exp(-np.maximum(mean, 0) / (strength * strength)).astype(np.float32)[:, :, None]
+                total += near * other[p : p + n, p : p + w]
+                weight += near
+        out[top : top + n] = np.rint(total / weight)
+    return out.reshape(image.shape)
+
+
 def _otsu(image: np.ndarray) -> int:
     n = np.bincount(image.ravel(), minlength=256).astype(np.float64)
     w0, s0 = np.cumsum(n), np.cumsum(n * np.arange(256))
@@ -203,41 +256,76 @@ def deskew(image: np.ndarray) -> np.ndarray:
     return rotate(image, skew) if abs(skew) > LEAST_SKEW else image
 
 
+def per_channel(step: Callable[[np.ndarray], np.ndarray]) -> Callable[[np.ndarray], np.ndarray]:
+    """The step on a grey page, or on each channel of a colour page."""
+    return lambda image: step(image) if image.ndim == 2 else np.stack([step(image[:, :, c]) for c in range(image.shape[2])], axis=2)
+
+
+def contrast_any(image: np.ndarray) -> np.ndarray:
+    """As ``contrast``; a colour page goes away from the mean of its greys."""
+    if image.ndim == 2 or not image.size:
+        return contrast(image)
+    return per_channel(sharpen)(_blend(0.0, _blend(float(int(to_grey(image).mean() + 0.5)), image, CONTRAST), BRIGHTNESS))
+
+
+def deskew_any(image: np.ndarray) -> np.ndarray:
+    """As ``deskew``; a colour page is turned by the lines of its greys."""
+    if image.ndim == 2:
+        return deskew(image)
+    angles = line_angles(to_grey(image))
+    skew = float(np.median(angles)) if len(angles) else 0.0
+    return per_channel(lambda c: rotate(c, skew))(image) if abs(skew) > LEAST_SKEW else image
+
+
+def on_grey(step: Callable[[np.ndarray], np.ndarray], colours: bool = False) -> Callable[[np.ndarray], np.ndarray]:
+    """The step on the greys of a page; with ``colours`` a colour page keeps three (equal) channels."""
+    return lambda image: np.repeat(step(to_grey(image))[:, :, None], 3, axis=2) if colours and image.ndim == 3 else step(to_grey(image))
+
+
 STEPS: dict[str, Callable[[np.ndarray], np.ndarray]] = {
-    "resize": enlarge, "denoise": bilateral, "median": median, "smooth": gaussian, "enhance_contrast": contrast, "sharpen": sharpen, "deskew": deskew,
-    "remove_borders": close_and_open, "binarize": binarise, "binarize_adaptive": binarise_adaptive, "binarize_fixed": binarise_fixed,
+    "resize": per_channel(enlarge), "denoise": lambda image: bilateral(image) if image.ndim == 2 else bilateral_colour(image), "median": per_channel(median),
+    "smooth": per_channel(gaussian), "nlm": non_local_means, "enhance_contrast": contrast_any, "sharpen": per_channel(sharpen), "deskew": deskew_any,
+    "remove_borders": on_grey(close_and_open, True), "grey": to_grey, "binarize": on_grey(binarise), "binarize_adaptive": on_grey(binarise_adaptive), "binarize_fixed": on_grey(binarise_fixed),
 }
 DEFAULT_STEPS = ("resize", "denoise", "enhance_contrast", "deskew", "remove_borders", "binarize")
 
 
 def preprocess(pages: DataFrame, steps: Sequence[str] = DEFAULT_STEPS) -> DataFrame:
     """Pages after the named steps, with the steps done. Unknown steps are passed over; a page that
-    fails keeps its pixels and carries the error, as does one that comes with an error."""
+    fails keeps its pixels and carries the error, as does one that comes with an error. Colour pages
+    (``channels`` 3) stay so until a step makes them grey. Pages leave a task by ``BATCH_BYTES`` of pixels."""
     known = [s for s in steps if s in STEPS]
+    columns = ["doc_id", "page_number", "height", "width", "channels", "data", "steps", "error"]
 
     def run(frames):
+        rows, size = [], 0
         for f in frames:
-            rows = []
             for r in f.itertuples(index=False):
                 done, error, image = [], r.error, None
                 if not error:
                     try:
-                        image = _grey(r.data, r.height, r.width)
+                        image = pixels(r.data, r.height, r.width, r.channels)
                         for s in known:
                             image = STEPS[s](image)
                         done = known
                     except ValueError as e:
                         error = str(e)
                 if error:
-                    rows.append((r.doc_id, r.page_number, r.height, r.width, r.data, [], error))
+                    rows.append((r.doc_id, r.page_number, r.height, r.width, r.channels, r.data, [], error))
                 else:
-                    rows.append((r.doc_id, r.page_number, *image.shape, image.tobytes(), done, None))
-            yield pd.DataFrame(rows, columns=["doc_id", "page_number", "height", "width", "data", "steps", "error"])
+                    rows.append((r.doc_id, r.page_number, *image.shape[:2], 1 if image.ndim == 2 else 3, image.tobytes(), done, None))
+                size += len(rows[-1][5] or b"")
+                if size >= BATCH_BYTES:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     kind = pages.schema["doc_id"].dataType.simpleString()
     error = F.col("error") if "error" in pages.columns else F.lit(None).cast("string").alias("error")
-    schema = f"doc_id {kind}, page_number int, height int, width int, data binary, steps array<string>, error string"
-    return pages.select("doc_id", "page_number", "height", "width", "data", error).mapInPandas(run, schema)
+    channels = F.coalesce("channels", F.lit(1)) if "channels" in pages.columns else F.lit(1)
+    schema = f"doc_id {kind}, page_number int, height int, width int, channels int, data binary, steps array<string>, error string"
+    return pages.select("doc_id", "page_number", "height", "width", channels.cast("int").alias("channels"), "data", error).mapInPandas(run, schema)
 
 
 def components(dark: np.ndarray) -> list[tuple[int, int, int, int, np.ndarray]]:

@@ -9,9 +9,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import regions, seals
+from ..operators import imaging, regions, seals, workbook
 from ..sources import documents, pages, scans
 from ..sources import invoices as S
+from . import oracles
+from . import queries as Q
 
 
 @F.pandas_udf(T.LongType())
@@ -41,7 +43,35 @@ def seals_by_document(spark, d):
     return out.select("doc_id", "has_seals", "total_detections", F.to_json("seal_types").alias("seal_types"), "validation_status")
 
 
-QUERIES = (page_files, seals_on_pages, seals_by_document)
+def colour_pages(spark, d):
+    """Colour files turned to grey by the preprocessing; the page itself gives the channels' sums."""
+    folder = f"{scans.shared_folder(spark)}/colour_pages-{uuid.uuid4().hex}"
+    pages.write_files(scans.coloured_files(S.table(spark, d, "supplier")), folder)
+    grey = imaging.preprocess(pages.read_pages(spark, folder), ("grey",))
+    return grey.select("doc_id", "height", "width", "channels", _sum("data").alias("total"))
+
+
+def ink_engine(image: np.ndarray) -> list[tuple]:
+    """Reads a picture as one word: the number of its dark pixels, in their box."""
+    y, x = np.nonzero(image < 128)
+    return [(str(len(x)), len(x) / image.size, int(x.min()), int(y.min()), int(x.max()) + 1, int(y.max()) + 1)] if len(x) else []
+
+
+def region_ocr(spark, d):
+    suppliers = S.table(spark, d, "supplier")
+    read = documents.recognise_regions(scans.marked_pages(suppliers), scans.box_regions(suppliers), ink_engine)
+    return read.select("doc_id", "region_id", "text", F.round("confidence", 9).alias("confidence"), "x1", "y1", "x2", "y2", "error")
+
+
+def workbook_cells(spark, d):
+    """Workbooks of all invoices, and the cells that are read back from their bytes."""
+    found = workbook.cells(workbook.invoice_workbooks(Q._documents(spark, d)))
+    at = lambda row, name: F.max(F.when((F.col("sheet") == "Invoice Summary") & (F.col("row") == row) & (F.col("column") == 2), F.col(name)))
+    items = F.count_if((F.col("sheet") == "Line Items") & (F.col("row") > 1) & (F.col("column") == 1))
+    return found.groupBy("doc_id").agg(at(2, "text").alias("invoice_number"), at(14, "number").alias("final_total"), at(19, "number").alias("pages"), items.alias("n_items"))
+
+
+QUERIES = (page_files, seals_on_pages, seals_by_document, colour_pages, region_ocr, workbook_cells)
 
 _MARKS = """
 WITH marks AS (
@@ -63,6 +93,22 @@ SQL = {
 SELECT format('S{:06d}_page_{:03d}', s_suppkey, p) AS doc_id, CAST(6 + s_suppkey % 5 AS INTEGER) AS height, CAST(5 + s_suppkey % 7 AS INTEGER) AS width,
        CAST(list_sum(list_transform(range((6 + s_suppkey % 5) * (5 + s_suppkey % 7)), lambda i: (s_suppkey * 31 + p * 17 + i * 7) % 256)) AS BIGINT) AS total
 FROM supplier, range(1, 4) AS r(p) WHERE p <= 1 + s_suppkey % 3
+""",
+    "colour_pages": """
+WITH p AS (SELECT s_suppkey AS s, unnest(range((4 + s_suppkey % 3) * (6 + s_suppkey % 4))) AS i FROM supplier),
+v AS (SELECT s, (s * 53 + 3 * i * 37) % 256 AS r, (s * 53 + (3 * i + 1) * 37 + 11) % 256 AS g, (s * 53 + (3 * i + 2) * 37 + 22) % 256 AS b FROM p)
+SELECT format('C{:06d}', s) AS doc_id, CAST(4 + s % 3 AS INTEGER) AS height, CAST(6 + s % 4 AS INTEGER) AS width, CAST(1 AS INTEGER) AS channels,
+       CAST(sum((19595 * r + 38470 * g + 7471 * b + 32768) // 65536) AS BIGINT) AS total
+FROM v GROUP BY s
+""",
+    "workbook_cells": f"""WITH {oracles._INVOICES}, l AS (SELECT doc_id, count(*) AS n FROM items GROUP BY doc_id)
+SELECT doc_id, nullif(invoice_number, '') AS invoice_number, CAST(final AS DOUBLE) AS final_total, CAST(1 AS DOUBLE) AS pages, coalesce(n, 0) AS n_items FROM inv LEFT JOIN l USING (doc_id)""",
+    "region_ocr": """
+SELECT s_suppkey AS doc_id, CAST(0 AS INTEGER) AS region_id, '2640' AS text, round(2640 / 4080.0, 9) AS confidence, CAST(20 + s_suppkey % 40 AS INTEGER) AS x1,
+       CAST(100 + s_suppkey % 11 AS INTEGER) AS y1, CAST(130 + s_suppkey % 40 AS INTEGER) AS x2, CAST(124 + s_suppkey % 11 AS INTEGER) AS y2, CAST(NULL AS VARCHAR) AS error
+FROM supplier WHERE s_suppkey % 7 <> 0
+UNION ALL
+SELECT s_suppkey, 1, NULL, NULL, NULL, NULL, NULL, NULL, 'the region lies outside its page' FROM supplier WHERE s_suppkey % 9 = 0
 """,
     "seals_on_pages": _MARKS + "SELECT * FROM found",
     "seals_by_document": _MARKS + """

@@ -1,7 +1,7 @@
 """Scanned documents: files, their pages and their text, with pluggable engines.
 
 No rasteriser or OCR engine is part of this package. A rasteriser is a function from the bytes
-of a file to grey pages (2-d uint8 arrays), an engine one from such a page to words
+of a file to pages (uint8 arrays: 2-d for grey, with a third axis of three for colour), an engine one from such a page to words
 (text, confidence 0 to 1, x1, y1, x2, y2). Both run once per file or page inside Arrow batches;
 a file that fails becomes a row with its error, it doesn't end the job.
 """
@@ -13,14 +13,16 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.imaging import pixels
+
 Rasteriser = Callable[[bytes], Iterable[np.ndarray]]
 Engine = Callable[[np.ndarray], Iterable[tuple[str, float, int, int, int, int]]]
 #: Bytes of page pixels that a task gathers before it hands them on.
 BATCH_BYTES = 32 << 20
-PAGE_COLUMNS = ["doc_id", "page_number", "height", "width", "data", "error"]
+PAGE_COLUMNS = ["doc_id", "page_number", "height", "width", "channels", "data", "error"]
 WORD_COLUMNS = ["doc_id", "page_number", "block_pos", "text", "confidence", "x1", "y1", "x2", "y2", "fallback_used", "error"]
 
 
@@ -34,7 +36,7 @@ def scan_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> Data
 
 
 def rasterise(files: DataFrame, engine: Rasteriser) -> DataFrame:
-    """Pages (page_number from 1, height, width, data) of each file; one row with an error for a
+    """Pages (page_number from 1, height, width, channels, data) of each file; one row with an error for a
     file that fails or has no pages. Pages that come before a failure stay."""
 
     def run(frames):
@@ -45,7 +47,7 @@ def rasterise(files: DataFrame, engine: Rasteriser) -> DataFrame:
                     n = 0
                     for n, image in enumerate(engine(content), 1):
                         data = np.ascontiguousarray(image).astype(np.uint8).tobytes()
-                        rows.append((doc, n, *image.shape, data, None))
+                        rows.append((doc, n, *image.shape[:2], 1 if image.ndim == 2 else image.shape[2], data, None))
                         size += len(data)
                         if size >= BATCH_BYTES:
                             yield pd.DataFrame(rows, columns=PAGE_COLUMNS)
@@ -53,42 +55,50 @@ def rasterise(files: DataFrame, engine: Rasteriser) -> DataFrame:
                     if not n:
                         raise ValueError("no pages")
                 except Exception as e:  # an engine may raise anything; the file is reported, the job goes on
-                    rows.append((doc, 0, 0, 0, b"", str(e) or type(e).__name__))
+                    rows.append((doc, 0, 0, 0, 1, b"", str(e) or type(e).__name__))
         if rows:
             yield pd.DataFrame(rows, columns=PAGE_COLUMNS)
 
     kind = files.schema["doc_id"].dataType.simpleString()
-    return files.select("doc_id", "content").mapInPandas(run, f"doc_id {kind}, page_number int, height int, width int, data binary, error string")
+    return files.select("doc_id", "content").mapInPandas(run, f"doc_id {kind}, page_number int, height int, width int, channels int, data binary, error string")
+
+
+def mean_confidence(words: list) -> float:
+    return sum(w[1] for w in words) / len(words) if words else 0.0
+
+
+def engine_words(engine: Engine, image: np.ndarray) -> tuple[list, str | None]:
+    """The words with a text and a confidence above 0, or the error."""
+    try:
+        return [w for w in engine(image) if w[0].strip() and w[1] > 0], None
+    except Exception as e:  # an engine may raise anything; the page is reported, the job goes on
+        return [], str(e) or type(e).__name__
+
+
+def words_or_fallback(image: np.ndarray, primary: Engine, fallback: Engine | None, threshold: float) -> tuple[list, str | None, bool]:
+    """Words, error, and whether they are the fallback's: it runs only where the primary fails, finds nothing or
+    has a mean confidence below the threshold; the better of the two counts, the primary at equals."""
+    words, error = engine_words(primary, image)
+    if fallback and (error or mean_confidence(words) < threshold):
+        other, failed = engine_words(fallback, image)
+        if not failed and (error or mean_confidence(other) > mean_confidence(words)):
+            return other, None, True
+    return words, error, False
 
 
 def recognise(pages: DataFrame, primary: Engine, fallback: Engine | None = None, threshold: float = 0.6) -> DataFrame:
-    """Blocks of each page. The fallback runs only where the primary fails, finds nothing or has a
-    mean confidence below the threshold; the better of the two counts, the primary at equals.
+    """Blocks of each page, by ``words_or_fallback``.
 
     A page that comes with an error, or on which every engine that ran fails, becomes one row with
     the error, block_pos -1 and no text. A page without words gives no row."""
 
-    def mean(words: list) -> float:
-        return sum(w[1] for w in words) / len(words) if words else 0.0
-
-    def read(engine: Engine, image: np.ndarray) -> tuple[list, str | None]:
-        try:
-            return [w for w in engine(image) if w[0].strip() and w[1] > 0], None
-        except Exception as e:  # as above
-            return [], str(e) or type(e).__name__
-
     def run(frames):
         for f in frames:
             rows = []
             for r in f.itertuples(index=False):
                 words, error, used = [], r.error, False
                 if not error:
-                    image = np.frombuffer(r.data, np.uint8).reshape(r.height, r.width)
-                    words, error = read(primary, image)
-                    if fallback and (error or mean(words) < threshold):
-                        other, failed = read(fallback, image)
-                        if not failed and (error or mean(other) > mean(words)):
-                            words, error, used = other, None, True
+                    words, error, used = words_or_fallback(pixels(r.data, r.height, r.width, r.channels), primary, fallback, threshold)
                 if error:
                     rows.append((r.doc_id, r.page_number, -1, None, None, None, None, None, None, used, error))
                 rows += [(r.doc_id, r.page_number, i, *w, used, None) for i, w in enumerate(words)]
@@ -97,7 +107,47 @@ def recognise(pages: DataFrame, primary: Engine, fallback: Engine | None = None,
 
     kind = pages.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, page_number int, block_pos int, text string, confidence double, x1 int, y1 int, x2 int, y2 int, fallback_used boolean, error string"
-    return pages.select("doc_id", "page_number", "height", "width", "data", "error").mapInPandas(run, schema)
+    return pages.select("doc_id", "page_number", "height", "width", channels_of(pages), "data", "error").mapInPandas(run, schema)
+
+
+def channels_of(pages: DataFrame) -> Column:
+    return (F.coalesce("channels", F.lit(1)) if "channels" in pages.columns else F.lit(1)).cast("int").alias("channels")
+
+
+def recognise_regions(pages: DataFrame, boxes: DataFrame, primary: Engine, fallback: Engine | None = None, threshold: float = 0.6) -> DataFrame:
+    """Blocks of regions of pages: ``boxes`` (doc_id, page_number, region_id, x1, y1, x2, y2) are cut from their
+    page and each is read as ``recognise`` reads a page. Rows have the region's id, its box (region_x1 ...),
+    and the block's box in the page's pixels.
+
+    A region is clamped to its page; one with nothing left, one on which every engine fails, and one whose page
+    carries an error or is missing is a row with the error and block_pos -1. A region without words gives no row.
+    The regions of a page travel in its row, so its pixels are sent and decoded once."""
+    per_page = boxes.groupBy("doc_id", "page_number").agg(F.collect_list(F.struct("region_id", "x1", "y1", "x2", "y2")).alias("regions"))
+    own = per_page.join(pages.select("doc_id", "page_number", "height", "width", channels_of(pages), "data", "error"), ["doc_id", "page_number"], "left")
+    columns = ["doc_id", "page_number", "region_id", "region_x1", "region_y1", "region_x2", "region_y2", *WORD_COLUMNS[2:]]
+
+    def run(frames):
+        for f in frames:
+            rows = []
+            for r in f.itertuples(index=False):
+                gone = r.data is None
+                image = None if gone or r.error else pixels(r.data, int(r.height), int(r.width), int(r.channels))
+                for g in r.regions:
+                    x1, y1 = max(0, g["x1"]), max(0, g["y1"])
+                    error, used, words = r.error or ("no such page" if gone else None), False, []
+                    if not error:
+                        cut = image[y1 : max(0, g["y2"]), x1 : max(0, g["x2"])]
+                        words, error, used = words_or_fallback(cut, primary, fallback, threshold) if cut.size else ([], "the region lies outside its page", False)
+                    head = (r.doc_id, r.page_number, g["region_id"], g["x1"], g["y1"], g["x2"], g["y2"])
+                    if error:
+                        rows.append((*head, -1, None, None, None, None, None, None, used, error))
+                    rows += [(*head, i, t, c, a + x1, b + y1, d + x1, e + y1, used, None) for i, (t, c, a, b, d, e) in enumerate(words)]
+            yield pd.DataFrame(rows, columns=columns, dtype=object)
+
+    kind, region = pages.schema["doc_id"].dataType.simpleString(), boxes.schema["region_id"].dataType.simpleString()
+    box = ", ".join(f"region_{c} int" for c in ("x1", "y1", "x2", "y2"))
+    schema = f"doc_id {kind}, page_number int, region_id {region}, {box}, block_pos int, text string, confidence double, x1 int, y1 int, x2 int, y2 int, fallback_used boolean, error string"
+    return own.select("doc_id", "page_number", "height", "width", "channels", "data", "error", "regions").mapInPandas(run, schema)
 
 
 def page_counts(pages: DataFrame) -> DataFrame:

@@ -62,3 +62,22 @@ def numbered_files(suppliers: DataFrame) -> DataFrame:
 
     pages = F.transform(F.sequence(F.lit(1), (1 + s % 3).cast("int")), page)
     return suppliers.select(F.format_string("scans/S%06d.pgm", s).alias("file_name"), F.aggregate(pages, F.lit(b""), lambda acc, x: F.concat(acc, x)).alias("content"))
+
+
+def coloured_files(suppliers: DataFrame) -> DataFrame:
+    """One file with one colour page for each supplier: file_name and content."""
+    s = F.col("s_suppkey")
+    height, width = 4 + s % 3, 6 + s % 4
+    value = lambda i: F.lpad(F.hex((s * 53 + i * 37 + (i % 3) * 11) % 256), 2, "0")
+    data = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), (height * width * 3 - 1).cast("int")), value), ""))
+    head = F.encode(F.format_string("P6\n%d %d\n255\n", width, height), "US-ASCII")
+    return suppliers.select(F.format_string("C%06d.ppm", s).alias("file_name"), F.concat(head, data).alias("content"))
+
+
+def box_regions(suppliers: DataFrame, pad: int = 5) -> DataFrame:
+    """The padded boxes of the marked pages as regions, and for every ninth supplier one outside its page."""
+    own = marks(suppliers).where("bx IS NOT NULL").select(
+        "doc_id", F.lit(1).alias("page_number"), F.lit(0).alias("region_id"), (F.col("bx") - pad).alias("x1"), (F.col("by") - pad).alias("y1"), (F.col("bx") + BOX_WIDTH + pad).alias("x2"), (F.col("by") + BOX_HEIGHT + pad).alias("y2")
+    )
+    outside = suppliers.where("s_suppkey % 9 = 0").select(F.col("s_suppkey").alias("doc_id"), F.lit(1).alias("page_number"), F.lit(1).alias("region_id"), F.lit(WIDTH).alias("x1"), F.lit(0).alias("y1"), F.lit(WIDTH + 9).alias("x2"), F.lit(9).alias("y2"))
+    return own.unionByName(outside)
