@@ -24,7 +24,7 @@ from .common import cut_lineage, whole_text
 #: Bits of the filter of frequent phrases, which every executor gets (32 MB), and tests of each phrase in it.
 FILTER_BITS, PROBES = 1 << 28, 2
 #: Bytes of text that a task cuts into n-grams at once.
-BATCH_BYTES = 1 << 23
+BATCH_BYTES = 1 << 22
 #: Parts in which a language's phrases are ranked before all of its best ones meet.
 SALTS = 64
 
