@@ -53,6 +53,18 @@ AMOUNT = (
     r"final\s*amount[\s:]*(?:rs\.?|₹)?\s*([0-9,]+\.?[0-9]*)",
     r"net\s*amount[\s:]*(?:rs\.?|₹)?\s*([0-9,]+\.?[0-9]*)",
 )
+_AMOUNT = r"[\s:]*(?:rs\.?|₹|inr)?\s*([0-9][0-9,]*\.?[0-9]*)"
+_RATE = r"\s*(?:\(?@?\s*[0-9]+\.?[0-9]*\s*%\s*\)?)?"
+SUMS = {
+    "subtotal": (rf"sub\s*-?\s*total(?:\s*amount)?{_AMOUNT}", rf"taxable\s*(?:amount|value){_AMOUNT}"),
+    "total_discount": (rf"discount{_RATE}{_AMOUNT}",),
+    "total_gst": (rf"total\s*gst{_RATE}{_AMOUNT}", rf"gst\s*amount{_AMOUNT}", rf"total\s*tax{_AMOUNT}", rf"tax\s*amount{_AMOUNT}"),
+}
+GST_PARTS = tuple(rf"{p}gst{_RATE}{_AMOUNT}" for p in ("c", "s", "i"))
+_STATED = r"\s*\(?\s*@?\s*([0-9]+\.?[0-9]*)\s*%"
+GST_RATES = (rf"(?:^|[^csi])gst{_STATED}", rf"igst{_STATED}", rf"cgst{_STATED}", rf"sgst{_STATED}")
+#: Labels of other sums that hold the word total.
+NOT_THE_TOTAL = r"sub\s*-?\s*total|total\s*(?:discount|gst|tax)"
 ADDRESS_STARTS = ("ship to", "shipping address", "deliver to", "delivery address", "bill to", "billing address", "address", "consignee")
 ADDRESS_ENDS = ("phone", "tel", "mobile", "email", "website", "gstin", "gst", "invoice", "bill", "date", "po number", "order")
 ADDRESS_LINES = 5
@@ -123,6 +135,29 @@ def total_amount(text: Column, low: Column | None = None) -> Column:
     return first_match(F.lower(text) if low is None else low, AMOUNT, clean_amount)
 
 
+def final_total(text: Column, low: Column | None = None) -> Column:
+    """As ``total_amount``, but labels of other sums (a subtotal, a total of discounts or taxes) are no total labels."""
+    return first_match(F.regexp_replace(F.lower(text) if low is None else low, NOT_THE_TOTAL, "#"), AMOUNT, clean_amount)
+
+
+def sums(text: Column, low: Column | None = None) -> dict[str, Column]:
+    """subtotal, total_discount and total_gst, each the first amount after one of its labels, as text, and gst_rate, the
+    percentage that stands with a GST label. Without labels of their own, GST and its rate are the sums of their parts."""
+    low = F.lower(text) if low is None else low
+    out = {name: first_match(low, patterns, clean_amount) for name, patterns in SUMS.items()}
+
+    def from_parts(own: Column) -> Column:
+        parts = [first_match(own, (p,), clean_amount).try_cast("decimal(18,4)") for p in GST_PARTS]
+        zero = F.lit(0).cast("decimal(18,4)")
+        added = sum((F.coalesce(p, zero) for p in parts[1:]), F.coalesce(parts[0], zero))
+        return F.when(F.coalesce(*parts).isNotNull(), added.cast("string"))
+
+    whole, *parts = [first_match(low, (p,), clean_amount).try_cast("decimal(8,4)") for p in GST_RATES]
+    zero = F.lit(0).cast("decimal(8,4)")
+    added = F.when(F.coalesce(*parts).isNotNull(), sum((F.coalesce(p, zero) for p in parts[1:]), F.coalesce(parts[0], zero)))
+    return out | {"total_gst": F.coalesce(out["total_gst"], from_parts(low)), "gst_rate": F.coalesce(whole, added).cast("string")}
+
+
 def gstin_is_valid(value: Column) -> Column:
     return value.rlike(rf"^{_GSTIN}\z")
 

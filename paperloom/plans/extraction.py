@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.money import parse_decimal
 from ..operators import imaging, layout, output, verify
 from ..sources import documents
 
 
-def header_fields(texts: DataFrame, *keep: str) -> DataFrame:
-    """The header fields of rows (doc_id, text), and the columns to ``keep``. The text is lowered and its GST numbers are sought once."""
+def header_fields(texts: DataFrame, *keep: str, with_sums: bool = False) -> DataFrame:
+    """The header fields of rows (doc_id, text), and the columns to ``keep``. The text is lowered and its GST numbers are
+    sought once. ``with_sums`` adds subtotal, total_discount, total_gst and gst_rate; labels that hold the word total
+    but belong to these are then no labels of the final total."""
     t = F.col("text")
     low, gst = F.col("_x.low"), F.col("_x.gst")
     once = F.struct(F.lower(t).alias("low"), X.gst_numbers(t, distinct=True).alias("gst"))
@@ -23,7 +26,8 @@ def header_fields(texts: DataFrame, *keep: str) -> DataFrame:
         F.get(gst, F.lit(0)).alias("vendor_gst"),
         F.get(gst, F.lit(1)).alias("buyer_gst"),
         X.shipping_address(t).alias("shipping_address"),
-        X.total_amount(t, low).alias("final_total"),
+        (X.final_total if with_sums else X.total_amount)(t, low).alias("final_total"),
+        *[c.alias(n) for n, c in (X.sums(t, low) if with_sums else {}).items()],
         *keep,
     )
 
@@ -66,20 +70,29 @@ def process_files(files: DataFrame, folder: str, as_of: str, rasteriser: documen
     """Files to written results: words, nested documents, verification flags and reports, sheets, and
     what failed. OCR runs once: its words are written first, and all that follows reads them.
 
-    Sums that the header cascade doesn't read (subtotal, discount, GST) are left empty, and the
-    checks say so."""
+    Subtotal, discount, GST and its rate are read by their labels. A subtotal that the text lacks is taken from
+    the lines. The GST of the lines is compared only where a rate is stated and no discount lies between: what a
+    document doesn't say is not held against it."""
     spark = files.sparkSession
     paths = {k: f"{folder}/{k}" for k in ("words", "flags", "failures")}
     read_files(files, rasteriser, primary, fallback, steps).write.mode("overwrite").parquet(paths["words"])
     words = spark.read.parquet(paths["words"])
     blocks, texts = words.where("error IS NULL"), document_texts(words)
-    heads = header_fields(texts.where("text IS NOT NULL"))
+    heads = header_fields(texts.where("text IS NOT NULL"), with_sums=True)
     items = layout.parse_items(layout.item_rows(layout.table_rows(blocks)))
     items = items.withColumns({"line_no": F.row_number().over(Window.partitionBy("doc_id").orderBy("page_number", "row_no")), **{c: F.col(c).cast("string") for c in ("quantity", "unit_price", "total_amount")}})
-    items = items.select("doc_id", "line_no", "description", "hsn_code", "quantity", "unit_price", "total_amount", F.lit("0").alias("discount"), F.lit("amount").alias("discount_type"), F.lit(None).cast("string").alias("gst_rate"))
-    none = {c: F.lit(None).cast("string") for c in ("due_date", "subtotal", "total_discount", "total_gst")}
-    invoices = heads.withColumns({**none, "gst_number": F.col("vendor_gst"), "total_amount": F.col("final_total")})
-    flags = verify_invoices(items, invoices, as_of)
+    items = items.select("doc_id", "line_no", "description", "hsn_code", "quantity", "unit_price", "total_amount", F.lit("0").alias("discount"), F.lit("amount").alias("discount_type"))
+    lines = items.groupBy("doc_id").agg(F.sum(F.col("total_amount").try_cast("decimal(18,4)")).cast("string").alias("_lines"))
+    known = heads.join(lines, "doc_id", "left").withColumn("subtotal", F.coalesce("subtotal", "_lines")).drop("_lines")
+    invoices = known.withColumns({"due_date": F.lit(None).cast("string"), "gst_number": F.col("vendor_gst"), "total_amount": F.col("final_total")})
+    heads = known.withColumnRenamed("total_discount", "discount")
+    rates = known.select("doc_id", F.when(parse_decimal(F.col("total_discount")).isNull() | (parse_decimal(F.col("total_discount")) == 0), F.col("gst_rate")).alias("gst_rate"))
+    items = items.join(rates, "doc_id", "left")
+    checks = verify.all_checks(items, invoices, as_of).join(rates, "doc_id", "left")
+    silent = (F.col("check") == "gst") & F.col("gst_rate").isNull()
+    none = F.array().cast("array<string>")
+    checks = checks.withColumns({"is_valid": silent | F.col("is_valid"), "errors": F.when(silent, none).otherwise(F.col("errors"))}).drop("gst_rate")
+    flags = verify.flags(checks)
     flags.write.mode("overwrite").parquet(paths["flags"])
     words.where("error IS NOT NULL").select("doc_id", "page_number", "error").write.mode("overwrite").json(paths["failures"])
     judged = spark.read.parquet(paths["flags"]).select("doc_id", F.col("confidence_score").alias("overall_confidence"), F.col("overall_status").alias("verification_status"), F.col("line_items_valid").alias("line_item_calc_valid"), F.col("calculations_valid").alias("total_valid"), F.col("gst_valid").alias("gst_calc_valid"))

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import text as X
 from ..operators import imaging, regions, seals, workbook
 from ..sources import documents, pages, scans
 from ..sources import invoices as S
@@ -71,7 +72,26 @@ def workbook_cells(spark, d):
     return found.groupBy("doc_id").agg(at(2, "text").alias("invoice_number"), at(14, "number").alias("final_total"), at(19, "number").alias("pages"), items.alias("n_items"))
 
 
-QUERIES = (page_files, seals_on_pages, seals_by_document, colour_pages, region_ocr, workbook_cells)
+def sums_in_text(spark, d):
+    """Sums and rate of texts that state them in four ways, or not at all."""
+    k = F.col("o_orderkey")
+    money = lambda c: F.format_number(c.cast("decimal(18,2)"), 2)
+    sub, off, part, total = 1000 + k % 9000, k % 50, k % 700 + F.lit(0.5), 5000 + k % 99000
+    form = k % 5
+    lines = [
+        F.when(form == 0, F.concat(F.lit("Subtotal: Rs. "), money(sub))).when(form == 1, F.concat(F.lit("Sub - Total "), sub.cast("string"))).when(form == 2, F.concat(F.lit("Taxable Value: ₹"), money(sub))).otherwise("Items"),
+        F.when(form.isin(0, 2), F.concat(F.lit("Discount (5%): "), money(off))).when(form == 1, F.concat(F.lit("Total Discount "), off.cast("string"))).otherwise("-"),
+        F.when(form == 0, F.concat(F.lit("CGST @ 9%: "), money(part), F.lit("\nSGST @ 9%: "), money(part))).when(form == 1, F.concat(F.lit("IGST 12% "), money(part)))
+        .when(form == 2, F.concat(F.lit("Total GST @ 18%: "), money(part))).when(form == 3, F.concat(F.lit("GST Amount: Rs "), money(part))).otherwise("-"),
+        F.when(form == 4, F.concat(F.lit("Net Amount: "), money(total))).otherwise(F.concat(F.lit("Grand Total: ₹"), money(total))),
+    ]
+    text = F.concat_ws("\n", *lines)
+    low = F.lower(text)
+    found = X.sums(text, low) | {"final_total": X.final_total(text, low)}
+    return S.table(spark, d, "orders").select(k.alias("doc_id"), *[c.try_cast("decimal(18,2)").cast("double").alias(n) for n, c in found.items()])
+
+
+QUERIES = (page_files, seals_on_pages, seals_by_document, colour_pages, region_ocr, workbook_cells, sums_in_text)
 
 _MARKS = """
 WITH marks AS (
@@ -103,6 +123,12 @@ FROM v GROUP BY s
 """,
     "workbook_cells": f"""WITH {oracles._INVOICES}, l AS (SELECT doc_id, count(*) AS n FROM items GROUP BY doc_id)
 SELECT doc_id, nullif(invoice_number, '') AS invoice_number, CAST(final AS DOUBLE) AS final_total, CAST(1 AS DOUBLE) AS pages, coalesce(n, 0) AS n_items FROM inv LEFT JOIN l USING (doc_id)""",
+    "sums_in_text": """
+SELECT o_orderkey AS doc_id, CASE WHEN f < 3 THEN CAST(1000 + o_orderkey % 9000 AS DOUBLE) END AS subtotal, CASE WHEN f < 3 THEN CAST(o_orderkey % 50 AS DOUBLE) END AS total_discount,
+       CASE WHEN f = 0 THEN 2 * (o_orderkey % 700 + CAST(0.5 AS DOUBLE)) WHEN f < 4 THEN o_orderkey % 700 + CAST(0.5 AS DOUBLE) END AS total_gst,
+       CASE f WHEN 0 THEN CAST(18 AS DOUBLE) WHEN 1 THEN 12 WHEN 2 THEN 18 END AS gst_rate, CAST(5000 + o_orderkey % 99000 AS DOUBLE) AS final_total
+FROM (SELECT *, o_orderkey % 5 AS f FROM orders)
+""",
     "region_ocr": """
 SELECT s_suppkey AS doc_id, CAST(0 AS INTEGER) AS region_id, '2640' AS text, round(2640 / 4080.0, 9) AS confidence, CAST(20 + s_suppkey % 40 AS INTEGER) AS x1,
        CAST(100 + s_suppkey % 11 AS INTEGER) AS y1, CAST(130 + s_suppkey % 40 AS INTEGER) AS x2, CAST(124 + s_suppkey % 11 AS INTEGER) AS y2, CAST(NULL AS VARCHAR) AS error

@@ -386,22 +386,29 @@ def test_files_to_verified_invoices(spark, tmp_path):
     pages, engine = document_engines()
     table = "Description|HSN|Qty|Rate|Amount\nLaptop|8471|2|45000|90000\nMouse|8471|3|100|300"
     good = f"TAX INVOICE\nInvoice Number: INV-2024-001\nDate: 15/05/2024\nGSTIN: 07AABCU9603R1ZV\nPO Number: PO-7\nGrand Total: 90300\n{table}"
-    for name, content in (("a/x", good), ("b/x", good.replace("INV-2024-001", "INV-2024-002")), ("c", "broken"), ("d", "unreadable\ftext")):
+    summed = good.replace("Grand Total: 90300", "Subtotal: {}\nCGST @ 9%: {}\nSGST @ 9%: 8127\nGrand Total: 106554")
+    more = {"e": summed.format(90300, 8127), "f": summed.format(90000, 8127), "g": summed.format(90300, 9127), "h": good.replace("Grand Total: 90300", "Sub-Total: 90300\nDiscount (10%): 9,030\nTotal GST: 14628.60\nGrand Total: 95898.60")}
+    for name, content in (("a/x", good), ("b/x", good.replace("INV-2024-001", "INV-2024-002")), ("c", "broken"), ("d", "unreadable\ftext"), *more.items()):
         path = tmp_path / "in" / f"{name}.pdf"
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_bytes(content.encode())
     scanned = documents.scan_files(spark, str(tmp_path / "in"))
-    assert sorted(r.doc_id for r in scanned.select("doc_id").collect()) == ["a/x", "b/x", "c", "d"]
-    assert {r.doc_id: (r.n_pages, r.error) for r in documents.page_counts(documents.rasterise(scanned, pages)).collect()} == {"a/x": (1, None), "b/x": (1, None), "c": (0, "broken file"), "d": (2, None)}
-    assert imaging.preprocess(documents.rasterise(scanned, pages), ("median",)).where("error IS NULL").count() == 4
+    assert sorted(r.doc_id for r in scanned.select("doc_id").collect()) == ["a/x", "b/x", "c", "d", *more]
+    assert {r.doc_id: (r.n_pages, r.error) for r in documents.page_counts(documents.rasterise(scanned, pages)).collect()} == {"a/x": (1, None), "b/x": (1, None), "c": (0, "broken file"), "d": (2, None), **dict.fromkeys(more, (1, None))}
+    assert imaging.preprocess(documents.rasterise(scanned, pages), ("median",)).where("error IS NULL").count() == 8
     out = extraction.process_files(scanned, str(tmp_path / "out"), "2024-06-01", pages, engine)
     got = {r.doc_id: r for r in spark.read.json(out["json"]).collect()}
-    assert set(got) == {"a/x", "b/x", "d"} and got["b/x"].invoice_info.invoice_number == "INV-2024-002" and got["a/x"].totals.final_total == 90300.0
+    assert set(got) == {"a/x", "b/x", "d", *more} and got["b/x"].invoice_info.invoice_number == "INV-2024-002" and got["a/x"].totals.final_total == 90300.0
     assert [(i.description, i.quantity, i.total_amount) for i in got["a/x"].line_items] == [("Laptop", 2.0, 90000.0), ("Mouse", 3.0, 300.0)]
     assert sorted((r.doc_id, r.page_number, r.error) for r in spark.read.json(out["failures"]).collect()) == [("c", 0, "broken file"), ("d", 1, "engine failed")]
     flags = {r.doc_id: r for r in spark.read.parquet(out["flags"]).collect()}
-    assert set(flags) == {"a/x", "b/x", "d"} and flags["a/x"].line_items_valid
-    assert spark.read.option("header", True).csv(out["verification"]).count() == 15
+    assert set(flags) == {"a/x", "b/x", "d", *more} and flags["a/x"].line_items_valid
+    judged = {k: (r.overall_status, r.calculations_valid, r.gst_valid, r.n_errors) for k, r in flags.items()}
+    assert judged["a/x"][1:] == judged["e"][1:] == judged["h"][1:] == (True, True, 0)
+    assert judged["f"][3] == 2 and not judged["f"][1]  # the subtotal is not that of the lines, and the total not its sum
+    assert judged["g"][3] == 2 and not judged["g"][2]  # the GST is not that of its rate, nor the total its sum
+    assert (got["h"].totals.subtotal, got["h"].totals.discount, got["h"].totals.total_gst, got["h"].totals.final_total) == (90300.0, 9030.0, 14628.6, 95898.6)
+    assert spark.read.option("header", True).csv(out["verification"]).count() == 35
     documents.write_page_images(documents.rasterise(scanned, pages), str(tmp_path / "images"))
     images = spark.read.parquet(str(tmp_path / "images")).collect()
-    assert sorted(r.file_name for r in images) == ["a/x/page_001.pgm", "b/x/page_001.pgm", "d/page_001.pgm", "d/page_002.pgm"] and all(bytes(r.content).startswith(b"P5\n") for r in images)
+    assert sorted(r.file_name for r in images) == sorted(["a/x/page_001.pgm", "b/x/page_001.pgm", "d/page_001.pgm", "d/page_002.pgm", *(f"{k}/page_001.pgm" for k in more)]) and all(bytes(r.content).startswith(b"P5\n") for r in images)
