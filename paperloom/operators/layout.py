@@ -128,15 +128,46 @@ def regions_from_boxes(boxes: DataFrame, blocks: DataFrame, least: int = 2) -> D
     return rows.where(F.col("n_blocks") >= least).withColumn("confidence", F.lit(0.7))
 
 
-def table_regions(blocks: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
-    """Per page the regions of the first method that finds any: headers, ruled boxes, grid."""
-    cols = [*PAGE, "x1", "y1", "x2", "y2", "confidence"]
-    found = regions_from_headers(blocks).select(*cols, F.lit(1).alias("method"))
+def _hull(cells: Column) -> Column:
+    """The box around an array of boxes, and how many these are."""
+    side = lambda name, of: of(F.transform(cells, lambda c: c[name])).alias(name)
+    return F.struct(side("x1", F.array_min), side("y1", F.array_min), side("x2", F.array_max), side("y2", F.array_max), F.size(cells).alias("n"))
+
+
+def table_regions(blocks: DataFrame, boxes: DataFrame | None = None, least: int = 2, least_cells: int = 3, least_rows: int = 2) -> DataFrame:
+    """Per page the regions of the first method that finds any: headers, ruled boxes, grid.
+
+    As ``regions_from_headers``, ``regions_from_boxes`` and ``regions_from_grid``, from one aggregate over a
+    page's blocks (and one over its boxes): blocks are dealt once, and only the method that counts is computed."""
+    head = F.coalesce(F.lower("text").rlike("|".join(HEADER_WORDS)), F.lit(False))
+    pages = blocks.groupBy(*PAGE).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2", head.alias("head"))).alias("_cells"))
+    cells = F.col("_cells")
+    near = lambda h: F.filter(cells, lambda b: (F.abs(b["y1"] - h["y2"]) < NEAR_Y) & (F.abs(b["x1"] - h["x1"]) < NEAR_X))
+    by_header = F.filter(F.transform(F.filter(cells, lambda c: c["head"]), lambda h: let(near(h), _hull)), lambda r: r["n"] >= least)
+
+    anchors = _anchors(F.array_sort(F.array_distinct(F.transform(cells, lambda c: c["y1"]))), GRID_TOLERANCE)
+
+    def grid(tops: Column) -> Column:
+        row = lambda y, i: F.filter(cells, lambda c: (c["y1"] >= y) & F.coalesce(c["y1"] < F.get(tops, i + 1), F.lit(True)))
+        full = F.filter(F.transform(tops, row), lambda r: F.size(r) >= least_cells)
+        return let(full, lambda rows: F.when(F.size(rows) >= least_rows, F.array(_hull(F.flatten(rows)))).otherwise(F.array()))
+
+    by_grid = let(anchors, grid)
+    methods = [(by_header, 0.8, 1), (by_grid, 0.6, 3)]
     if boxes is not None:
-        found = found.unionByName(regions_from_boxes(boxes, blocks).select(*cols, F.lit(2).alias("method")))
-    found = found.unionByName(regions_from_grid(blocks).select(*cols, F.lit(3).alias("method")))
-    first = F.min("method").over(Window.partitionBy(*PAGE))
-    return found.withColumn("first", first).where("method = first").drop("first")
+        large = boxes.where((F.col("x2") - F.col("x1") > 200) & (F.col("y2") - F.col("y1") > 100))
+        ruled = large.groupBy(*PAGE).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_boxes"))
+        pages = pages.join(ruled, PAGE, "left")
+        held = lambda r: F.size(F.filter(cells, lambda b: (b["x1"] >= r["x1"]) & (b["x2"] <= r["x2"]) & (b["y1"] >= r["y1"]) & (b["y2"] <= r["y2"])))
+        boxed = F.transform(F.coalesce("_boxes", F.array()), lambda r: F.struct(*[r[c].alias(c) for c in ("x1", "y1", "x2", "y2")], held(r).alias("n")))
+        methods.insert(1, (F.filter(boxed, lambda r: r["n"] >= least), 0.7, 2))
+
+    def first(rest: list) -> Column:
+        found, confidence, method = rest[0]
+        named = lambda r: F.transform(r, lambda x: F.struct(*[x[c].alias(c) for c in ("x1", "y1", "x2", "y2")], F.lit(confidence).alias("confidence"), F.lit(method).alias("method")))
+        return let(found, lambda r: F.when(F.size(r) > 0, named(r)).otherwise(first(rest[1:]))) if len(rest) > 1 else named(found)
+
+    return pages.select(*PAGE, F.explode(first(methods)).alias("r")).select(*PAGE, "r.*")
 
 
 def role(header: Column) -> Column:
