@@ -88,3 +88,29 @@ def load(path: str | None = None, environ: dict[str, str] | None = None) -> Sett
             else:
                 out.update({key.removeprefix(PREFIX).lower(): value})
     return out
+
+
+def save(settings: Settings, path: str) -> None:
+    """Writes settings as YAML (.yaml, .yml) or JSON, so that ``load`` gives them back."""
+    values = settings.to_dict()
+    if path.endswith((".yaml", ".yml")):
+        import yaml
+
+        text = yaml.safe_dump(values, sort_keys=False, allow_unicode=True)
+    else:
+        text = json.dumps(values, indent=2, ensure_ascii=False)
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(text, encoding="utf-8")
+
+
+def folders(settings: Settings) -> dict[str, str]:
+    """The folders of the results below the output folder: paths alone, Spark makes them when it writes."""
+    return {name: f"{settings.output_dir.rstrip('/')}/{name}" for name in ("json", "report", "workbooks", "words", "pages", "seals", "failures")}
+
+
+def summary(settings: Settings) -> str:
+    """One line for each setting."""
+    lines = []
+    for section, value in settings.to_dict().items():
+        lines += [f"{section}.{k}: {v}" for k, v in value.items()] if isinstance(value, dict) else [f"{section}: {value}"]
+    return "\n".join(lines)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.fields import json_text
+
 PAGE = ["doc_id", "page_number"]
 
 
@@ -115,3 +117,24 @@ def metrics(blocks: DataFrame, timings: DataFrame) -> DataFrame:
         *PAGE, F.col("seconds").alias("processing_time"), n.alias("text_blocks_detected"), F.coalesce("c", F.lit(0.0)).alias("average_confidence"),
         F.coalesce(F.try_divide(n, F.col("seconds")), F.lit(0.0)).alias("blocks_a_second"),
     )
+
+
+def heights(blocks: DataFrame) -> DataFrame:
+    """The distinct upper edges of each page's blocks, ascending."""
+    return blocks.groupBy(*PAGE).agg(F.array_sort(F.collect_set("y1")).alias("heights"))
+
+
+def result_files(words: DataFrame) -> DataFrame:
+    """OCR results (as from ``sources.documents.recognise``) as one JSON file for each document: file_name
+    (``<doc_id>_ocr.json``) and content, for the file sink. Pages are in order, each with its blocks, their number
+    and mean confidence, and its error; a document's pages meet in one row."""
+    boxes = F.struct("block_pos", "text", "confidence", F.array("x1", "y1", "x2", "y2").alias("bbox"))
+    read = F.when(F.col("error").isNull(), boxes)
+    per_page = words.groupBy(*PAGE).agg(
+        F.array_sort(F.collect_list(read)).alias("text_blocks"), F.count(read).alias("n_blocks"), F.coalesce(F.avg(F.when(F.col("error").isNull(), F.col("confidence"))), F.lit(0.0)).alias("average_confidence"),
+        F.bool_or("fallback_used").alias("fallback_used"), F.max("error").alias("error"),
+    )
+    page = F.struct("page_number", "text_blocks", "n_blocks", "average_confidence", "fallback_used", "error")
+    per_document = per_page.groupBy("doc_id").agg(F.array_sort(F.collect_list(page), lambda a, b: a["page_number"] - b["page_number"]).alias("pages"))
+    record = F.struct(F.col("doc_id"), F.size("pages").alias("total_pages"), F.col("pages"))
+    return per_document.select(F.concat(F.col("doc_id").cast("string"), F.lit("_ocr.json")).alias("file_name"), F.encode(json_text(record), "UTF-8").alias("content"))

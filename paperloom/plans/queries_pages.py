@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import fields
 from ..functions import text as X
-from ..operators import imaging, regions, seals, workbook
+from ..operators import imaging, ocr, regions, seals, workbook
 from ..sources import documents, pages, scans
 from ..sources import invoices as S
 from . import oracles
@@ -91,7 +92,54 @@ def sums_in_text(spark, d):
     return S.table(spark, d, "orders").select(k.alias("doc_id"), *[c.try_cast("decimal(18,2)").cast("double").alias(n) for n, c in found.items()])
 
 
-QUERIES = (page_files, seals_on_pages, seals_by_document, colour_pages, region_ocr, workbook_cells, sums_in_text)
+def field_verdicts(spark, d):
+    """Forms of numbers, GST numbers and dates, some of them broken by rule."""
+    k = F.col("o_orderkey")
+    number = F.when(k % 6 == 0, "INV").when(k % 6 == 1, F.concat(F.lit("INV@"), k)).when(k % 6 == 2, "").otherwise(F.concat(F.lit("INV-2024/"), k % 1000000))
+    gst = F.concat(F.lpad((k % 37).cast("string"), 2, "0"), F.lit("AABCU9603R1Z"), F.when(k % 4 == 0, "").otherwise("V"))
+    day, month = k % 33 + 1, k % 14
+    date = F.when(k % 3 == 0, F.concat_ws("/", day, month, F.lit("2024"))).when(k % 3 == 1, F.concat_ws("-", F.lit("2023"), month, day)).otherwise(F.concat(day, F.lit("-May-2024")))
+    return S.table(spark, d, "orders").select(k.alias("doc_id"), fields.has_form(number, "invoice_number").alias("number"), fields.has_form(gst, "gst_number").alias("gst"), fields.has_form(date, "date").alias("date"))
+
+
+def fields_in_context(spark, d):
+    """Fields far from and near to their keywords, and the texts with their white space levelled."""
+    k = F.col("o_orderkey")
+    far = F.repeat(F.lit("x "), (k % 60).cast("int"))
+    text = F.concat(F.lit("Order No: AB-1  \n"), F.lit(" Invoice Number "), far, F.lit(" Invoice Number INV-"), k, F.lit(" for\t services "), F.when(k % 2 == 0, F.concat(F.lit("Total: "), k % 1000, F.lit(".50"))).otherwise(""))
+    return S.table(spark, d, "orders").select(k.alias("doc_id"), fields.in_context(text, "po_number").alias("po"), fields.in_context(text, "final_total").alias("total"), F.length(fields.collapsed(text)).alias("n_chars"))
+
+
+def confident_fields(spark, d):
+    k = F.col("o_orderkey")
+    cells = [x for i, n in enumerate(("invoice_number", "invoice_date", "vendor_gst")) for x in (F.lit(n), F.struct(F.lit("v").alias("value"), F.when((k + i) % 11 > 0, (k * (i + 3) % 101) / 100).alias("confidence")))]
+    return S.table(spark, d, "orders").select(k.alias("doc_id"), F.array_join(F.array_sort(F.map_keys(fields.confident(F.create_map(*cells)))), ",").alias("kept"))
+
+
+def row_heights(spark, d):
+    return ocr.heights(Q._blocks(spark, d)).select("doc_id", F.array_join("heights", ",").alias("heights"))
+
+
+def file_names(spark, d):
+    k = F.col("s_suppkey")
+    path = F.concat(F.lit("/in/v1.2/"), F.when(k % 5 == 0, ".hidden").otherwise(F.concat(F.lit("Scan."), k)), F.element_at(F.array(*map(F.lit, (".PDF", ".pdf", "", ".tar.gz"))), (k % 4 + 1).cast("int")))
+    return S.table(spark, d, "supplier").select(k.alias("doc_id"), fields.extension(path).alias("extension"), fields.is_pdf(path).alias("is_pdf"), fields.output_name(path, "out", "json").alias("name"))
+
+
+def ocr_result_files(spark, d):
+    """OCR results of made pages as a JSON file for each document, written by the file sink and read back."""
+    suppliers = S.table(spark, d, "supplier")
+    words = documents.recognise(scans.marked_pages(suppliers), ink_engine)
+    folder = f"{scans.shared_folder(spark)}/ocr_results-{uuid.uuid4().hex}"
+    pages.write_files(ocr.result_files(words), folder)
+    block = "struct<text: string, confidence: double, bbox: array<int>>"
+    kind = f"doc_id long, total_pages int, pages array<struct<page_number: int, n_blocks: int, text_blocks: array<{block}>>>"
+    read = spark.read.schema(kind).option("multiLine", True).option("pathGlobFilter", "*_ocr.json").json(folder)
+    page = F.get("pages", F.lit(0))
+    return read.select("doc_id", "total_pages", page["n_blocks"].alias("n_blocks"), F.get(page["text_blocks"], F.lit(0))["text"].alias("text"), F.array_join(F.get(page["text_blocks"], F.lit(0))["bbox"], ",").alias("bbox"))
+
+
+QUERIES = (page_files, seals_on_pages, seals_by_document, colour_pages, region_ocr, workbook_cells, sums_in_text, field_verdicts, fields_in_context, confident_fields, row_heights, file_names, ocr_result_files)
 
 _MARKS = """
 WITH marks AS (
@@ -128,6 +176,36 @@ SELECT o_orderkey AS doc_id, CASE WHEN f < 3 THEN CAST(1000 + o_orderkey % 9000
        CASE WHEN f = 0 THEN 2 * (o_orderkey % 700 + CAST(0.5 AS DOUBLE)) WHEN f < 4 THEN o_orderkey % 700 + CAST(0.5 AS DOUBLE) END AS total_gst,
        CASE f WHEN 0 THEN CAST(18 AS DOUBLE) WHEN 1 THEN 12 WHEN 2 THEN 18 END AS gst_rate, CAST(5000 + o_orderkey % 99000 AS DOUBLE) AS final_total
 FROM (SELECT *, o_orderkey % 5 AS f FROM orders)
+""",
+    "field_verdicts": """
+SELECT o_orderkey AS doc_id, o_orderkey % 6 > 2 AS number, o_orderkey % 4 <> 0 AS gst,
+       CASE WHEN o_orderkey % 3 = 2 THEN day <= 31 ELSE month BETWEEN 1 AND 12 AND
+         day <= CASE WHEN month IN (4, 6, 9, 11) THEN 30 WHEN month = 2 THEN CASE WHEN o_orderkey % 3 = 0 THEN 29 ELSE 28 END ELSE 31 END END AS date
+FROM (SELECT *, o_orderkey % 33 + 1 AS day, o_orderkey % 14 AS month FROM orders)
+""",
+    "fields_in_context": """
+SELECT o_orderkey AS doc_id, 'AB-1' AS po, CASE WHEN o_orderkey % 2 = 0 THEN (o_orderkey % 1000)::VARCHAR || '.50' END AS total,
+       CAST(len('Order No: AB-1 Invoice Number ') + 2 * (o_orderkey % 60) + len('Invoice Number INV-' || o_orderkey || ' for services')
+         + CASE WHEN o_orderkey % 2 = 0 THEN len(' Total: .50') + len((o_orderkey % 1000)::VARCHAR) ELSE 0 END AS INTEGER) AS n_chars
+FROM orders
+""",
+    "confident_fields": """
+SELECT o_orderkey AS doc_id, concat_ws(',', CASE WHEN (o_orderkey + 1) % 11 > 0 AND o_orderkey * 4 % 101 >= 50 THEN 'invoice_date' END, CASE WHEN o_orderkey % 11 > 0 AND o_orderkey * 3 % 101 >= 50 THEN 'invoice_number' END,
+       CASE WHEN (o_orderkey + 2) % 11 > 0 AND o_orderkey * 5 % 101 >= 50 THEN 'vendor_gst' END) AS kept FROM orders
+""",
+    "row_heights": f"""WITH {oracles._BLOCKS} SELECT doc_id, array_to_string(list_sort(list(DISTINCT y1)), ',') AS heights FROM blocks GROUP BY doc_id""",
+    "file_names": """
+WITH p AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 5 = 0 THEN '.hidden' ELSE 'Scan.' || s_suppkey END AS stem, ['.PDF', '.pdf', '', '.tar.gz'][s_suppkey % 4 + 1] AS more FROM supplier),
+e AS (SELECT *, CASE WHEN more = '.tar.gz' THEN '.gz' WHEN more <> '' THEN more WHEN k % 5 = 0 THEN '' ELSE '.' || k END AS ext FROM p)
+SELECT k AS doc_id, lower(ext) AS extension, lower(ext) = '.pdf' AS is_pdf, left(stem || more, len(stem || more) - len(ext)) || '_out.json' AS name FROM e
+""",
+    "ocr_result_files": """
+WITH m AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 5 <> 0 THEN 15 + 3 * (s_suppkey % 3) END AS r, s_suppkey % 7 <> 0 AS boxed FROM supplier WHERE s_suppkey % 35 <> 0),
+a AS (SELECT k, coalesce(r, 0) AS r, boxed, coalesce((SELECT CAST(sum(2 * CAST(floor(sqrt(CAST(m.r * m.r - y * y AS DOUBLE))) AS BIGINT) + 1) AS BIGINT) FROM range(-21, 22) AS t(y) WHERE abs(y) <= m.r), 0) AS disc FROM m)
+SELECT k AS doc_id, CAST(1 AS INTEGER) AS total_pages, CAST(1 AS INTEGER) AS n_blocks, (disc + CASE WHEN boxed THEN 2640 ELSE 0 END)::VARCHAR AS text,
+  concat_ws(',', CASE WHEN r = 0 THEN 20 + k % 40 WHEN boxed THEN least(40 + k % 50 - r, 20 + k % 40) ELSE 40 + k % 50 - r END, CASE WHEN r = 0 THEN 100 + k % 11 ELSE 45 + k % 7 - r END,
+    CASE WHEN r = 0 THEN 130 + k % 40 WHEN boxed THEN greatest(41 + k % 50 + r, 130 + k % 40) ELSE 41 + k % 50 + r END, CASE WHEN boxed THEN 124 + k % 11 ELSE 46 + k % 7 + r END) AS bbox
+FROM a
 """,
     "region_ocr": """
 SELECT s_suppkey AS doc_id, CAST(0 AS INTEGER) AS region_id, '2640' AS text, round(2640 / 4080.0, 9) AS confidence, CAST(20 + s_suppkey % 40 AS INTEGER) AS x1,
