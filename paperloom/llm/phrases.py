@@ -12,6 +12,8 @@ adds up the n-grams of a batch before they leave it, so a line that repeats is o
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,7 +26,7 @@ from .common import cut_lineage, whole_text
 #: Bits of the filter of frequent phrases, which every executor gets (32 MB), and tests of each phrase in it.
 FILTER_BITS, PROBES = 1 << 28, 2
 #: Bytes of text that a task cuts into n-grams at once.
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 21
 #: Parts in which a language's phrases are ranked before all of its best ones meet.
 SALTS = 64
 
@@ -46,7 +48,7 @@ def words_of(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
     inside = kind == 0
     edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
     starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    piece = np.cumsum(kind == 2, dtype=np.int64)[starts] if len(starts) else np.zeros(0, np.int64)
+    piece = np.cumsum(kind == 2, dtype=np.int32)[starts] if len(starts) else np.zeros(0, np.int64)
     offsets = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int64)
     data = _LOW[raw[inside]]
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
@@ -102,13 +104,13 @@ def grams(texts: list[bytes], lang: str, n: int, bits: np.ndarray | None) -> tup
     return out, count
 
 
-def stretches(texts: list[bytes]):
-    """The texts in lots of about ``BATCH_BYTES``; a longer one is cut where a piece ends."""
+def stretches(texts: Iterable[bytes], most: int) -> Iterator[list[bytes]]:
+    """The texts in lots of about ``most`` bytes; a longer one is cut where a piece ends."""
     lot, size = [], 0
     for t in texts:
         at = 0
-        while len(t) - at > BATCH_BYTES:
-            ends = (t.find(bytes([e]), at + BATCH_BYTES, at + 2 * BATCH_BYTES) for e in ENDS)
+        while len(t) - at > most:
+            ends = (t.find(bytes([e]), at + most, at + 2 * most) for e in ENDS)
             end = min((e for e in ends if e >= 0), default=-1)
             if end < 0:  # a piece beyond all measure goes whole
                 break
@@ -116,29 +118,47 @@ def stretches(texts: list[bytes]):
             at = end + 1
         lot.append(t[at:] if at else t)
         size += len(lot[-1])
-        if size >= BATCH_BYTES:
+        if size >= most:
             yield lot
             lot, size = [], 0
     if lot:
         yield lot
 
 
+def lots(batches, most: int) -> Iterator[tuple[str, list[bytes]]]:
+    """The texts of each language in lots of about ``most`` bytes. What waits for its lot to fill is at most
+    four lots, however many languages there are: beyond that the largest goes as it is."""
+    waiting: dict[str, list[bytes]] = {}
+    size: dict[str, int] = {}
+    for batch in batches:
+        for start in range(0, len(batch), 256):
+            part = batch.slice(start, 256)
+            for lang, text in zip(part.column(0).to_pylist(), pc.cast(part.column(1), pa.binary()).to_pylist(), strict=True):
+                waiting.setdefault(lang, []).append(text)
+                size[lang] = size.get(lang, 0) + len(text) + 64
+            while size and (max(size.values()) >= most or sum(size.values()) >= 4 * most):
+                lang = max(size, key=size.__getitem__)
+                del size[lang]
+                for lot in stretches(waiting.pop(lang), most):
+                    yield lang, lot
+    for lang, texts in waiting.items():
+        for lot in stretches(texts, most):
+            yield lang, lot
+
+
 def exploded(docs: DataFrame, n: int, bits=None) -> DataFrame:
     """lang, phrase and f of the n-grams of each lot of texts; for n = 1 also the number of all words,
     under a null phrase."""
 
     def explode(batches):
-        for batch in batches:
-            table = pa.table({"lang": batch.column(0), "text": pc.cast(batch.column(1), pa.binary())})
-            for lang in pc.unique(table["lang"]).to_pylist():
-                for lot in stretches(table.filter(pc.equal(table["lang"], lang))["text"].to_pylist()):
-                    phrases, counts = grams(lot, lang, n, bits.value if bits else None)
-                    phrases = pc.cast(pc.cast(phrases, pa.large_string()), pa.string())
-                    if n == 1:
-                        phrases, counts = pa.concat_arrays([phrases, pa.nulls(1, pa.string())]), np.append(counts, counts.sum())
-                    for i in range(0, len(phrases), 1 << 16):
-                        own = phrases[i : i + (1 << 16)]
-                        yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(own)), own, pa.array(counts[i : i + (1 << 16)].astype(np.int64))], names=["lang", "phrase", "f"])
+        for lang, lot in lots(batches, BATCH_BYTES):
+            phrases, counts = grams(lot, lang, n, bits.value if bits else None)
+            phrases = pc.cast(pc.cast(phrases, pa.large_string()), pa.string())
+            if n == 1:
+                phrases, counts = pa.concat_arrays([phrases, pa.nulls(1, pa.string())]), np.append(counts, counts.sum())
+            for i in range(0, len(phrases), 1 << 15):
+                own = phrases[i : i + (1 << 15)]
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(own)), own, pa.array(counts[i : i + (1 << 15)].astype(np.int64))], names=["lang", "phrase", "f"])
 
     return docs.mapInArrow(explode, "lang string, phrase string, f long")
 

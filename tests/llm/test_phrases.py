@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,14 +51,21 @@ def test_equals_brute_force(spark, more):
     assert run(spark, rows, **more) == brute(rows, **more)
 
 
-def test_small_lots_and_a_crowded_filter_change_nothing(spark, monkeypatch):
-    rows = made(200, 2)
-    want = brute(rows, min_count=4)
-    texts = [(t or "").encode() for _, t in rows]
-    monkeypatch.setattr(P, "BATCH_BYTES", 5)
+def test_lots_lose_no_word():
+    rows = [(lang or "", (t or "").encode()) for lang, t in made(300, 2)] + [(f"l{i}", b"many languages. " * 3) for i in range(200)]
     words = lambda texts: sorted(tuple(p.split(b" ")) for t in texts for p in re.split(b"[.,;:!?\n\x0b\x0c\r]", t.replace(b"\t", b" ")) if p.strip())
-    assert words(t for lot in P.stretches(texts) for t in lot) == words(texts)
-    assert run(spark, rows, min_count=4, filter_bits=64) == want  # a filter that holds everything: all n-grams are emitted
+    for most in (5, 300, 10**6):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[i : i + 90]]), pa.array([r[1].decode() for r in rows[i : i + 90]])], names=["lang", "text"]) for i in range(0, len(rows), 90)]
+        got: dict = {}
+        for lang, lot in P.lots(batches, most):
+            got.setdefault(lang, []).extend(lot)
+        assert set(got) == {r[0] for r in rows}
+        assert all(words(got[lang]) == words(t for x, t in rows if x == lang) for lang in got)
+
+
+def test_a_crowded_filter_changes_nothing(spark):
+    rows = made(200, 2)
+    assert run(spark, rows, min_count=4, filter_bits=64) == brute(rows, min_count=4)  # a filter that holds everything: all n-grams are emitted
 
 
 def test_filter_holds_what_is_frequent_and_little_else(spark):
