@@ -7,10 +7,6 @@ members xor to 0: each 3 positions lie in exactly one of them and complements of
 sets, so whatever 3 bytes differ, one set is untouched. Per pair that meets in a posting list
 the shared positional bytes are tallied, pairs with the guaranteed 5 stay, and their
 distance is verified.
-
-A looser relation, the one that training data is cleared by, is the Jaccard similarity of sets of
-five-word shingles. ``near_duplicates`` finds candidates by bands of minimum hashes and verifies each
-by its exact similarity.
 """
 
 from __future__ import annotations
@@ -21,7 +17,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage
@@ -30,16 +26,10 @@ BITS = 3
 LEAST_BYTES = 8 - BITS
 POSITION_SETS = [c for c in itertools.combinations(range(8), 4) if c[0] ^ c[1] ^ c[2] ^ c[3] == 0]
 
-#: Near copies share this much of their sets of so many words. Bands of minimum hashes that propose
-#: them: two texts at 0.8 share one of 16 bands of 4 with probability 0.9998.
-WORDS, SIMILARITY, BANDS, ROWS, HUBS = 5, 0.8, 16, 4, 8
-_MASKS = np.random.default_rng(11).integers(0, 1 << 64, BANDS * ROWS, np.uint64)[:, None]
-_FACTORS = np.random.default_rng(13).integers(0, 1 << 64, BANDS * ROWS, np.uint64)[:, None] | np.uint64(1)
-
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
-def _digests(text: str | None, words: int) -> bytes:
+def digests(text: str | None, words: int) -> bytes:
     """Eight bytes for each shingle of ``words`` words (all words, if there are fewer)."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
@@ -53,12 +43,12 @@ def _digests(text: str | None, words: int) -> bytes:
 
 def fingerprint(text: str | None, words: int = 3) -> int:
     """Unsigned SimHash of the shingles of ``words`` words, repeats included; 0 without words."""
-    digests = _digests(text, words)
-    if not digests:
+    found = digests(text, words)
+    if not found:
         return 0
-    n = len(digests) // 8
+    n = len(found) // 8
     # one histogram over (byte position, byte value), then bits per position
-    at = np.frombuffer(digests, np.uint8).reshape(n, 8) + np.arange(0, 2048, 256, dtype=np.int16)
+    at = np.frombuffer(found, np.uint8).reshape(n, 8) + np.arange(0, 2048, 256, dtype=np.int16)
     counts = np.bincount(at.ravel(), minlength=2048).reshape(8, 256) @ _BYTE_BITS
     return int.from_bytes(np.packbits(counts.ravel() * 2 > n).tobytes(), "big")
 
@@ -165,7 +155,7 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def _named(fps: DataFrame, classes: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
+def named(fps: DataFrame, classes: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
     """Every row's id, fingerprint and component_id, from the rows (_id, _fp), their classes
     (_fp, _least) and the roots of linked fingerprints."""
     rooted = classes.join(roots, "_fp", "left").withColumn("_root", F.coalesce("_root", "_fp"))
@@ -193,176 +183,7 @@ def fingerprint_groups(
     """
     fps = cut_lineage(fingerprints(docs, id_col, text_col, words))
     classes = cut_lineage(fps.groupBy("_fp").agg(F.min("_id").alias("_least")))
-    return _named(fps, classes, components(links(classes.select("_fp"), most_in_list)), id_col)
-
-
-def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
-    """The distinct shingles' signed hashes, ascending."""
-    return np.unique(np.frombuffer(_digests(text, words), ">i8").astype(np.int64))
-
-
-def set_fingerprint(own: np.ndarray) -> int:
-    """Signed; equal for equal sets."""
-    return int(np.uint64(xxhash.xxh64_intdigest(own.tobytes())).view(np.int64))
-
-
-def band_keys(own: np.ndarray) -> np.ndarray:
-    """One signed key for each band of minimum hashes; none for an empty set."""
-    if not len(own):
-        return np.empty(0, dtype=np.int64)
-    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(own), 2048):
-        low = np.minimum(low, ((own[at : at + 2048].view(np.uint64) ^ _MASKS) * _FACTORS).min(axis=1))
-    out = np.arange(BANDS, dtype=np.uint64)
-    for i in range(ROWS):
-        out = (out ^ low[i::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return out.view(np.int64)
-
-
-def _candidates(posted: DataFrame, most_in_list: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (_a, _b) of sets that share a band and whose sizes allow ``similarity``; and
-    the members (_key, _fp, _size) of lists that gave only some of their pairs.
-
-    Lists of up to ``most_in_list`` sets give all their pairs. A longer one gives those of
-    ``HUBS`` of its members, the first by hash, with all others; a set that is in several such
-    lists meets a hub once.
-    """
-    lists = posted.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    met = cut_lineage(posted.join(lists, "_key"))
-    short = met.where(F.col("_n") <= most_in_list)
-    a = short.select("_key", F.col("_fp").alias("_a"), F.col("_size").alias("_na"))
-    b = short.select("_key", F.col("_fp").alias("_b"), F.col("_size").alias("_nb"))
-    pairs = a.join(b, "_key").where("_a < _b").select("_a", "_b", "_na", "_nb")
-    crowd = met.where(F.col("_n") > most_in_list).select("_key", "_fp", "_size")
-    first = [F.min(F.struct(F.xxhash64("_fp", F.lit(i)), "_fp", "_size")) for i in range(HUBS)]
-    hubs = crowd.groupBy("_key").agg(F.array(*first).alias("_hubs"))
-    own = crowd.join(hubs, "_key").groupBy("_fp", "_size").agg(F.array_distinct(F.flatten(F.collect_set("_hubs"))).alias("_hubs"))
-    stars = own.withColumn("_hub", F.explode("_hubs")).where("_fp != _hub._fp").select(
-        F.least("_fp", "_hub._fp").alias("_a"), F.greatest("_fp", "_hub._fp").alias("_b"), F.col("_size").alias("_na"), F.col("_hub._size").alias("_nb")
-    )
-    fits = F.least("_na", "_nb") >= F.lit(similarity) * F.greatest("_na", "_nb")
-    return pairs.unionByName(stars).where(fits).select("_a", "_b").distinct(), crowd
-
-
-def _apart(crowd: DataFrame, roots: DataFrame) -> DataFrame:
-    """The sets of crowded lists that span several components: (_fp, _size, _root, _minor). Of two sets of
-    one list in different components at least one is minor, that is, outside some list's largest component."""
-    known = crowd.join(roots, "_fp", "left").withColumn("_root", F.coalesce("_root", "_fp"))
-    parts = known.groupBy("_key", "_root").agg(F.count(F.lit(1)).alias("_n"))
-    spanning = parts.groupBy("_key").agg(F.max(F.struct("_n", "_root")).alias("_main"), F.count(F.lit(1)).alias("_parts")).where("_parts > 1")
-    held = known.join(spanning.select("_key", F.col("_main._root").alias("_main")), "_key")
-    return held.groupBy("_fp", "_size", "_root").agg(F.bool_or(F.col("_root") != F.col("_main")).alias("_minor"))
-
-
-def _pairs_across(apart: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The rest of the pairs of crowded lists: minor sets with sets of other components that can
-    reach ``similarity``, exactly. With shingles in one order, the rarest first, the first one that two
-    such sets share comes so early in both that enough can follow; so the smaller set gives only
-    its first ninth or so, the larger its first fifth, and what follows in both bounds the overlap."""
-    shingles = apart.join(sets, "_fp").select("_fp", "_size", "_root", "_minor", F.explode("_set").alias("_s"))
-    often = shingles.groupBy("_s").agg(F.count(F.lit(1)).alias("_often")).where("_often > 1")
-    own = Window.partitionBy("_fp")
-    alone = F.col("_size") - F.count(F.lit(1)).over(own)  # shingles that no other set has come before all these
-    known = shingles.join(often, "_s").withColumn("_i", alone + F.row_number().over(own.orderBy("_often", "_s")))
-    early = lambda share: F.col("_i") <= F.col("_size") - F.ceil(F.col("_size") * F.lit(share) - 1e-9) + 1
-    share = similarity / (1 + similarity)  # two sets' overlap is at least this part of their sizes' sum
-    side = lambda df, n: df.select("_s", *[F.col(c).alias(f"{c}_{n}") for c in ("_fp", "_size", "_root", "_minor", "_i")])
-    small, large = side(known.where(early(2 * share)), "a"), side(known.where(early(similarity)), "b")
-    least = F.lit(share) * (F.col("_size_a") + F.col("_size_b")) - 1e-9
-    follows = 1 + F.least(F.col("_size_a") - F.col("_i_a"), F.col("_size_b") - F.col("_i_b"))
-    met = small.join(large, "_s").where("_root_a != _root_b AND (_minor_a OR _minor_b) AND (_size_a < _size_b OR (_size_a = _size_b AND _fp_a < _fp_b))")
-    met = met.where((F.col("_size_a") >= F.lit(similarity) * F.col("_size_b")) & (follows >= least))
-    return met.select(F.least("_fp_a", "_fp_b").alias("_a"), F.greatest("_fp_a", "_fp_b").alias("_b")).distinct()
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sets have a Jaccard similarity of at least ``similarity``."""
-    a = sets.select(F.col("_fp").alias("_a"), F.col("_set").alias("_sa"))
-    b = sets.select(F.col("_fp").alias("_b"), F.col("_set").alias("_sb"))
-    both = pairs.join(a, "_a").join(b, "_b").withColumn("_shared", F.size(F.array_intersect("_sa", "_sb")))
-    return both.where(F.col("_shared") / (F.size("_sa") + F.size("_sb") - F.col("_shared")) >= similarity).select("_a", "_b")
-
-
-def _similar(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float, most_in_list: int) -> tuple[DataFrame, DataFrame]:
-    """Every row as (_id, _th: hash of its text, _fp: fingerprint of its set), and the roots of linked fingerprints."""
-
-    def keys(frames):
-        for f in frames:
-            own = [shingle_set(t, words) for t in f["_t"]]
-            fps = np.array([set_fingerprint(s) for s in own], dtype=np.int64)
-            yield pd.DataFrame({"_id": f["_id"], "_th": f["_th"], "_fp": fps, "_size": [len(s) for s in own], "_keys": [band_keys(s) for s in own]})
-
-    def sets(frames):
-        seen = set()  # a task gives a frequent set once
-        for f in frames:
-            out = []
-            for t in f["_t"]:
-                own = shingle_set(t, words)
-                fp = set_fingerprint(own)
-                if fp not in seen:
-                    seen.add(fp)
-                    out.append((fp, own))
-            yield pd.DataFrame(out, columns=["_fp", "_set"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    own = docs.select(F.col(id_col).alias("_id"), text.alias("_t"), F.xxhash64(text).alias("_th"))
-    rows = cut_lineage(own.mapInPandas(keys, f"_id {kind}, _th long, _fp long, _size int, _keys array<long>"))
-    posted = rows.select("_fp", "_size", F.explode("_keys").alias("_key")).distinct()
-    pairs, crowd = map(cut_lineage, _candidates(posted, most_in_list, similarity))
-    wanted = pairs.select(F.explode(F.array("_a", "_b")).alias("_fp")).unionByName(crowd.select("_fp")).distinct()
-    found = own.select("_t").mapInPandas(sets, "_fp long, _set array<long>").join(wanted, "_fp", "left_semi")
-    found = cut_lineage(found.dropDuplicates(["_fp"]))
-    linked = cut_lineage(_verified(pairs, found, similarity))
-    roots = components(linked)
-    apart = cut_lineage(_apart(crowd, roots))
-    if not apart.isEmpty():
-        roots = components(linked.unionByName(_verified(_pairs_across(apart, found, similarity), found, similarity)))
-    return rows.select("_id", "_th", "_fp"), roots
-
-
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    words: int = WORDS,
-    similarity: float = SIMILARITY,
-    most_in_list: int = 32,
-) -> DataFrame:
-    """Every row's id, fingerprint (16 hex digits) of its set of shingles, and component_id.
-
-    component_id is the smallest id reachable over links of at least ``similarity``, the row's
-    own included; null only if no reachable row has an id. Every link is verified by the exact
-    Jaccard similarity of the sets of ``words``-word shingles. A list of more than ``most_in_list``
-    sets is first linked through a few of its members; where that leaves it in several components,
-    its other pairs across them follow. Texts with equal sets are one
-    class (those without words another), so copies meet in no pairs. Repeated rows stay
-    repeated, an empty table gives no rows, other columns are ignored. Texts are hashed whole.
-    """
-    rows, roots = _similar(docs, id_col, text_col, words, similarity, most_in_list)
-    classes = cut_lineage(rows.groupBy("_fp").agg(F.min("_id").alias("_least")))
-    return _named(rows.select("_id", "_fp"), classes, roots, id_col)
-
-
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, once, with all its columns.
-
-    Of rows with one id but several texts each belongs to its own text's component. Rows with a
-    null id cannot be named in a group and stay.
-    """
-    with_id = docs.where(F.col(id_col).isNotNull())
-    rows, roots = _similar(with_id, id_col, text_col, WORDS, SIMILARITY, 32)
-    first = rows.groupBy("_fp").agg(F.min(F.struct("_id", "_th")).alias("_first")).join(roots, "_fp", "left")
-    kept = first.groupBy(F.coalesce("_root", "_fp").alias("_root")).agg(F.min("_first").alias("_first")).select("_first._id", "_first._th").distinct()
-    prefix = "_k"
-    while any(c.lower().startswith(prefix) for c in docs.columns):
-        prefix = f"_{prefix}"
-    marked = with_id.withColumn(f"{prefix}_th", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    own = [f"{prefix}_id", f"{prefix}_th"]
-    kept = kept.select(F.col("_id").alias(own[0]), F.col("_th").alias(own[1]))
-    joined = marked.withColumn(own[0], F.col(id_col)).join(kept, own, "left_semi").dropDuplicates(own)
-    return joined.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    return named(fps, classes, components(links(classes.select("_fp"), most_in_list)), id_col)
 
 
 def op2_simhash(spark, sf_dir):

@@ -1,7 +1,7 @@
 import corpus_pipeline
 import pytest
 
-from paperloom.llm import decontamination, entry, packing, pii, quality, simhash
+from paperloom.llm import decontamination, entry, near_duplicates, packing, pii, quality, simhash
 
 CONTRACT = {
     "op1_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans", "op2_simhash": "doc_id fingerprint component_id", "op3_url_filter": "page_id host path rule verdict",
@@ -23,7 +23,7 @@ def test_stages_keep_the_columns_and_their_decisions(spark, data):
     good = {r.doc_id for r in quality.score(docs, model).where("score >= 0.3").collect()}
     one = corpus_pipeline.STAGES[0][1](spark, docs, data)
     assert one.columns == docs.columns and ids(one) == good
-    groups = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(one).collect()}
+    groups = {(r.doc_id, r.component_id) for r in near_duplicates.near_duplicates(one).collect()}
     two = corpus_pipeline.STAGES[1][1](spark, one, data)
     assert two.columns == docs.columns and ids(two) == {c for _, c in groups}
     leaked = ids(decontamination.find_leaks(two, benchmark))
@@ -49,4 +49,4 @@ def test_odd_documents_pass_every_stage(spark, data):
         assert got.columns == docs.columns and got.count() <= len(rows)
         assert stage(spark, docs.limit(0), data).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, data).count() >= len(rows)
-    assert simhash.near_duplicates(docs).count() == pii.detect(docs).count() == len(rows)
+    assert near_duplicates.near_duplicates(docs).count() == pii.detect(docs).count() == len(rows)

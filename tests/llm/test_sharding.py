@@ -1,6 +1,8 @@
+import math
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
 from pyspark.sql import functions as F
 
 from paperloom.llm import sharding as S
@@ -58,3 +60,33 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert all(sorted(x) == list(range(len(x))) for x in per.values())
     assert {r.size for r in got if r.doc_id is None} == {1} and len({r.shard for r in got if r.doc_id is None}) == 1
     assert S.shard_documents(df.limit(0), S.balanced_tree(3)).count() == 0
+
+
+def brute_place(key, leaves):
+    """The tree walked level by level with draws of plain Python."""
+    own = [x for x in leaves if x.weight > 0]
+    for name in (lambda x: x.region, lambda x: f"{x.region}/{x.rack}", lambda x: f"{x.region}/{x.rack}/{x.shard}"):
+        weights = defaultdict(float)
+        for x in own:
+            weights[name(x)] += x.weight
+
+        def draw(child):
+            h = xxhash.xxh64_intdigest(child, seed=xxhash.xxh64_intdigest(key, seed=42))
+            return -math.log(((h >> 11) + 0.5) / 2**53) / weights[child]  # noqa: B023
+
+        best = min(weights, key=draw)
+        own = [x for x in own if name(x) == best]
+    return own[0].shard
+
+
+def test_draws_equal_plain_python(spark):
+    uneven = [S.Leaf(x.region, x.rack, x.shard, 0.5 + x.shard % 3) for x in S.balanced_tree(13)] + [S.Leaf("region0", "rack9", 99, 0.0)]
+    for leaves in (S.balanced_tree(16), S.add_shard(S.balanced_tree(16)), uneven):
+        assert placed(spark, leaves, 1500) == {i: brute_place(str(i), leaves) for i in range(1500)}
+    assert {r.s for r in spark.range(1).select(S.place(F.lit(None), uneven).alias("s")).collect()} == {brute_place("\x00", uneven)}
+
+
+def test_very_long_texts(spark):
+    df = spark.createDataFrame([(1, "é" * 3_000_000), (2, "x")], "doc_id long, text string")
+    got = {r.doc_id: (r.size, r.text_crc32) for r in S.shard_documents(df, S.balanced_tree(3)).collect()}
+    assert got == {1: (6_000_001, zlib.crc32(("é" * 3_000_000).encode())), 2: (2, zlib.crc32(b"x"))}

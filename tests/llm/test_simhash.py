@@ -4,7 +4,7 @@ import re
 import numpy as np
 import xxhash
 
-from paperloom.llm import simhash
+from paperloom.llm import near_duplicates, simhash
 
 
 def brute_fingerprint(text):
@@ -85,8 +85,8 @@ def test_one_of_each_stays(spark):
     text = "the same words again and again in one text"
     rows = [(3, text), (1, text), (1, text), (2, "quite another text with other words"), (None, text), (5, None), (6, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted((r.doc_id for r in simhash.keep_one_of_each(df).collect()), key=str) == sorted([1, 2, 5, None], key=str)
-    assert simhash.near_duplicates(df.limit(0)).count() == 0
+    assert sorted((r.doc_id for r in near_duplicates.keep_one_of_each(df).collect()), key=str) == sorted([1, 2, 5, None], key=str)
+    assert near_duplicates.near_duplicates(df.limit(0)).count() == 0
 
 
 def brute_similar(texts, least=0.8):
@@ -129,14 +129,14 @@ def test_copies_with_a_few_edits_are_one_group_and_others_are_not(spark):
     want = brute_similar(texts)
     assert len(set(want.values())) < len(want)
     for most in (32, 2):
-        assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, most_in_list=most).collect()} == want
-    assert sorted(r.doc_id for r in simhash.keep_one_of_each(df).collect()) == sorted(set(want.values()))
+        assert {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(df, most_in_list=most).collect()} == want
+    assert sorted(r.doc_id for r in near_duplicates.keep_one_of_each(df).collect()) == sorted(set(want.values()))
 
 
 def test_near_duplicates_of_the_table_equal_brute_force(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     want = brute_similar({r.doc_id: r.text for r in docs.collect()})
-    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()} == want
+    assert {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs).collect()} == want
 
 
 def test_every_linked_fingerprint_has_a_root_the_root_too(spark):
@@ -155,11 +155,11 @@ def test_crowded_lists_lose_no_link(spark, monkeypatch):
             n += 1
             own = list(own)
             own[(k * 7) % 120] = f"n{rng.randrange(9000)}"
-    monkeypatch.setattr(simhash, "HUBS", 1)
+    monkeypatch.setattr(near_duplicates, "HUBS", 1)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     want = brute_similar(texts)
-    rows, roots = simhash._similar(df, "doc_id", "text", 5, 0.8, 2)
-    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, most_in_list=2).collect()} == want
+    rows, roots = near_duplicates._similar(df, "doc_id", "text", 5, 0.8, 2)
+    assert {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(df, most_in_list=2).collect()} == want
     assert rows.count() == n and roots.count() > 0
 
 
@@ -168,16 +168,20 @@ def test_pairs_across_components_equal_brute_force(spark):
     sets = {i: sorted(set(rng.integers(0, 40, size=int(rng.integers(3, 30))).tolist())) for i in range(60)}
     sets |= {100 + i: sorted({*s[1:], 99}) for i, s in sets.items() if len(s) > 12}
     crowd = spark.createDataFrame([(1, i, len(s)) for i, s in sets.items()], "_key long, _fp long, _size int")
-    apart = simhash._apart(crowd, spark.createDataFrame([(i, i % 3) for i in sets], "_fp long, _root long"))
+    apart = near_duplicates._apart(crowd, spark.createDataFrame([(i, i % 3) for i in sets], "_fp long, _root long"))
     assert 0 < apart.where("_minor").count() < apart.count() == len(sets)
     table = spark.createDataFrame(list(sets.items()), "_fp long, _set array<long>")
     near = lambda a, b: len({*sets[a]} & {*sets[b]}) >= 0.8 * len({*sets[a]} | {*sets[b]})
     want = {(a, b) for a in sets for b in sets if a < b and a % 3 != b % 3 and near(a, b)}
-    got = {tuple(r) for r in simhash._verified(simhash._pairs_across(apart, table, 0.8), table, 0.8).collect()}
+    got = {tuple(r) for r in near_duplicates._verified(near_duplicates._pairs_across(apart, table, 0.8), table, 0.8).collect()}
     assert got == want and want
 
 
 def test_texts_that_share_an_id_are_kept_each(spark):
     one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
     df = spark.createDataFrame([(5, one, "x"), (5, two, "y"), (5, one, "x"), (7, two + " end", "z"), (None, one, "n")], "doc_id long, text string, _k_th string")
-    assert sorted((str(r.doc_id), r._k_th) for r in simhash.keep_one_of_each(df).collect()) == [("5", "x"), ("5", "y"), ("None", "n")]
+    assert sorted((str(r.doc_id), r._k_th) for r in near_duplicates.keep_one_of_each(df).collect()) == [("5", "x"), ("5", "y"), ("None", "n")]
+
+
+def test_fingerprints_of_an_empty_table(spark):
+    assert simhash.fingerprint_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
