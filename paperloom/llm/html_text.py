@@ -28,6 +28,7 @@ HIDDEN = 16
 INLINE = {
     "a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark",
     "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+    "acronym", "nobr", "picture", "rb", "rp", "rt", "rtc", "ruby", "math", "mfrac", "mi", "mn", "mo", "mroot", "mrow", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtext",
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe"}

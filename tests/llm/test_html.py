@@ -136,3 +136,8 @@ def test_long_pages_in_pieces_give_the_same_labels():
     whole = [net.label([H.features(p)])[0] for p in pages]
     assert all((a == b).all() for p, a in zip(pages, whole, strict=True) for b in (net.label_long(p, 7), net.label_long(p, 1)))
     assert all((a == b).all() for a, b in zip(whole, net.label_pages(pages, 40), strict=True))
+
+
+def test_ruby_and_formulas_stay_in_their_block():
+    page = "<p>the <ruby>漢<rp>(</rp><rt>kan</rt><rp>)</rp></ruby> sign, <acronym>etc</acronym> and <math><mi>x</mi><mo>=</mo><mn>1</mn></math> <nobr>no break</nobr></p><p>next</p>"
+    assert [b[1] for b in H.blocks(page)] == ["the 漢(kan) sign, etc and x=1 no break", "next"]
