@@ -1,14 +1,16 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic documents are the positives, a sample of all text is the unlabelled set. Linear
-numpy classifiers over hashed words and word beginnings minimise the class-prior-corrected risk
-prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), and their scores are averaged.
+Confirmed toxic documents are the positives, all text outside the held-out fold is the unlabelled set.
+Linear numpy classifiers over hashed words and word beginnings minimise the class-prior-corrected risk
+prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), and their scores are averaged. The unlabelled part of the
+risk and of its gradient is a sum over Spark partitions; the driver holds weights and sums alone.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -17,10 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, fold
+from .common import cut_lineage, fold, remove_folder, shared_folder
 
-#: Most positive and most unlabelled rows that a fit takes, the first by hash of their id.
-POSITIVE_ROWS, UNLABELLED_ROWS = 3_000, 6_000
+#: Most labelled positive rows that a fit takes, the first by hash of their id.
+POSITIVE_ROWS = 3_000
+#: Classifiers, each without one of so many parts of the rows; most steps of a descent, and what a weight costs.
+CLASSIFIERS, PARTS, STEPS, DECAY = 3, 5, 25, 2e-5
 BUCKETS = 1 << 20
 FEATURES = 600
 #: Lengths of the word beginnings that are features beside the whole word.
@@ -79,44 +83,103 @@ def constant_model(share: float) -> Model:
     return Model({}, np.array([np.log((share + 1e-3) / (1 - share + 1e-3))]))
 
 
-def fit_matrix(
-    p: np.ndarray, u: np.ndarray, buckets: list[int], prior: float, classifiers: int = 3, steps: int = 250, seed: int = 11
-) -> Model:
-    """Classifiers, each fitted on four fifths of the positive rows ``p`` and of the unlabelled
-    rows ``u``; their columns stand for ``buckets``."""
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def descent(x: np.ndarray, steps: int, memory: int = 8):
+    """A minimum by limited-memory quasi-Newton steps. A generator: gives points, takes the value and
+    gradient there, returns the last point that was accepted."""
+    value, slope = yield x
+    moves: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        d = slope.copy()
+        back = []
+        for s, y, r in reversed(moves):
+            back.append(r * (s @ d))
+            d -= back[-1] * y
+        d *= 1 / (moves[-1][2] * (moves[-1][1] @ moves[-1][1])) if moves else 1 / max(1.0, float(np.abs(slope).sum()))
+        for (s, y, r), a in zip(moves, reversed(back), strict=True):
+            d += s * (a - r * (y @ d))
+        along, size = -(slope @ d), 1.0
+        if along > -1e-12:
+            break
+        while True:
+            new = x - size * d
+            new_value, new_slope = yield new
+            if new_value <= value + 1e-4 * size * along or size < 1e-4:
+                break
+            size /= 2
+        if new_value >= value:
+            break
+        s, y = new - x, new_slope - slope
+        if s @ y > 1e-14:
+            moves = [*moves[1 - memory :], (s, y, 1 / (s @ y))]
+        done = value - new_value < 1e-5 * max(1.0, abs(value))
+        x, value, slope = new, new_value, new_slope
+        if done:
+            break
+    return x
+
+
+def risk(x: np.ndarray, positives: np.ndarray, prior: float, unlabelled: tuple[float, np.ndarray]) -> tuple[float, np.ndarray]:
+    """The non-negative risk at ``x`` (weights, then the bias) and its gradient, from rows of positives (with a last
+    column of ones) and the unlabelled rows' mean loss as negatives and its gradient. Where the corrected negative part is below
+    zero it counts zero."""
+    g = positives @ x
+    loss_u, slope_u = unlabelled
+    as_positive, as_negative = np.logaddexp(0, -g).mean(), np.logaddexp(0, g).mean()
+    p = _sigmoid(g)
+    slope = prior * (positives.T @ (p - 1)) / len(g)
+    value = prior * as_positive
+    if loss_u - prior * as_negative > 0:
+        value += loss_u - prior * as_negative
+        slope = slope + slope_u - prior * (positives.T @ p) / len(g)
+    w = np.append(x[:-1], 0)
+    return value + DECAY / 2 * (w @ w), slope + DECAY * w
+
+
+def classifiers(positives: list[np.ndarray], prior: float, means, width: int, steps: int = STEPS) -> list[np.ndarray]:
+    """The minima of several classifiers' risks. ``means`` gives the unlabelled rows' mean loss and gradient for
+    points by classifier; all that are still open are asked together, so a step is one pass."""
+    start = np.append(np.zeros(width), math.log(prior / (1 - prior)))
+    runs = {m: descent(start.copy(), steps) for m in range(len(positives))}
+    points = {m: next(run) for m, run in runs.items()}
+    out: dict[int, np.ndarray] = {}
+    while points:
+        found = means(points)
+        for m, x in list(points.items()):
+            try:
+                points[m] = runs[m].send(risk(x, positives[m], prior, found[m]))
+            except StopIteration as e:
+                out[m] = e.value
+                del points[m]
+    return [out[m] for m in range(len(positives))]
+
+
+def model_of(found: list[np.ndarray], buckets: list[int]) -> Model:
+    weights = np.stack([x[:-1] for x in found], axis=1)
+    return Model({int(c): weights[i] for i, c in enumerate(buckets)}, np.array([x[-1] for x in found]))
+
+
+def fit_matrix(p: np.ndarray, u: np.ndarray, buckets: list[int], prior: float, steps: int = STEPS) -> Model:
+    """Classifiers from positive rows ``p`` and unlabelled rows ``u`` in memory, whose columns stand for
+    ``buckets``; each goes without one part of both."""
     if not len(p) or not len(u):
         return constant_model(prior if len(p) or len(u) else 0.0)
-    rng = np.random.default_rng(seed)
-    all_w, all_b = [], []
-    for _ in range(classifiers):
-        own_p = p[rng.permutation(len(p))[: max(1, (4 * len(p)) // 5)]]
-        own_u = u[rng.permutation(len(u))[: max(1, (4 * len(u)) // 5)]]
-        w, b = _descend(own_p, own_u, prior, steps)
-        all_w.append(w)
-        all_b.append(b)
-    weights = np.stack(all_w, axis=1).astype(np.float64)
-    return Model({int(c): weights[i] for i, c in enumerate(buckets)}, np.array(all_b, dtype=np.float64))
-
-
-def _descend(p: np.ndarray, u: np.ndarray, prior: float, steps: int, rate: float = 0.08, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Adam on the non-negative risk with the logistic loss; where the corrected negative part
-    falls below zero the step goes against that part alone."""
-    w, b = np.zeros(p.shape[1] + 1), np.log(prior / (1 - prior))
-    w[-1] = b
-    p = np.hstack([p, np.ones((len(p), 1), np.float32)])
-    u = np.hstack([u, np.ones((len(u), 1), np.float32)])
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    for t in range(1, steps + 1):
-        gp, gu = p @ w, u @ w
-        sp, su = 1 / (1 + np.exp(-np.clip(gp, -30, 30))), 1 / (1 + np.exp(-np.clip(gu, -30, 30)))
-        plus = prior * (p.T @ (sp - 1)) / len(p)
-        minus_u, minus_p = (u.T @ su) / len(u), prior * (p.T @ sp) / len(p)
-        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        grad = plus + minus_u - minus_p if negative >= 0 else -(minus_u - minus_p)
-        grad = grad + decay * np.append(w[:-1], 0)
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w[:-1], float(w[-1])
+    wide = [np.hstack([x, np.ones((len(x), 1))]).astype(np.float64) for x in (p, u)]
+    own_p, own_u = ([_without(x, np.arange(len(x)) % PARTS, m) for m in range(CLASSIFIERS)] for x in wide)
+
+    def means(points: dict[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray]]:
+        return {m: (float(np.logaddexp(0, own_u[m] @ x).mean()), own_u[m].T @ _sigmoid(own_u[m] @ x) / len(own_u[m])) for m, x in points.items()}
+
+    return model_of(classifiers(own_p, prior, means, p.shape[1], steps), buckets)
+
+
+def _without(rows: np.ndarray, parts: np.ndarray, m: int) -> np.ndarray:
+    """The rows outside part ``m``; all, if that leaves none."""
+    kept = rows[parts != m]
+    return kept if len(kept) else rows
 
 
 def _gain(a: int, c: int, n_p: int, n_u: int) -> float:
@@ -126,21 +189,6 @@ def _gain(a: int, c: int, n_p: int, n_u: int) -> float:
     return 2 * (part(a, n_p * share) + part(c, n_u * share) + part(n_p - a, n_p * (1 - share)) + part(n_u - c, n_u * (1 - share)))
 
 
-def first_ids(ids: DataFrame, rows: int) -> DataFrame:
-    """The ``rows`` distinct _id with the smallest hashes. Only ids with hashes below a bound that
-    about twice as many stay under are compared, so not all of them are shuffled; the bound is
-    doubled while it leaves too few."""
-    n = ids.agg(F.approx_count_distinct("_id")).first()[0]
-    hashed = F.xxhash64("_id")
-    share = min(1.0, 2 * rows / max(n, 1))
-    while True:
-        low = ids if share >= 1 else ids.where(hashed < int(-(2**63) + share * 2**64))
-        found = low.distinct().orderBy(hashed, "_id").limit(rows)
-        if share >= 1 or found.count() >= rows:
-            return found
-        share = min(1.0, 2 * share)
-
-
 def _marks(held: np.ndarray):
     """A function from a text to the numbers of its features, repeats included, and the number of its
     distinct words. ``held`` has a feature's number for each bucket, else -1."""
@@ -171,15 +219,15 @@ def fit(
     held_out: int = 2,
     features: int = FEATURES,
 ) -> Model:
-    """Fits on at most ``POSITIVE_ROWS`` confirmed documents and ``UNLABELLED_ROWS`` of all, none
-    of the held-out fold; the prior is the share of positives among the labelled ids there.
-
-    Both samples are bounded, so their ids are broadcast. Features are the buckets that tell the
-    positive sample from all documents outside the held-out fold best, by counts of documents:
-    Spark counts, over all those documents, the buckets that at least 3 positives have. Only the
-    counts of the chosen ones in the sampled texts reach the driver. Null labels and ids take no
-    part; null texts count as empty; of several texts of a sampled id the first counts; an id with
-    several labels is positive if one of them is; other columns are ignored.
+    """Fits on at most ``POSITIVE_ROWS`` confirmed documents and on all documents as the unlabelled ones,
+    none of the held-out fold; the prior is the share of positives among the labelled ids there.
+
+    The positive sample is bounded, so its ids are broadcast. Features are the buckets that tell it from
+    all documents outside the held-out fold best, by counts of documents: Spark counts, over all those
+    documents, the buckets that at least 3 positives have. The chosen features of all those documents are written
+    once; each step of the descent is a pass over them that returns sums. Null labels and ids take no
+    part; null texts count as empty; of several texts of a positive id the first counts; an id with
+    several labels is positive if one of them is; a row that repeats counts each time; other columns are ignored.
     """
     own = F.coalesce(fold(F.col(id_col), folds), F.lit(held_out)) != held_out
     named = labels.where(own & F.col(label).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label) == 1).cast("int")).alias("_y"))
@@ -188,18 +236,15 @@ def fit(
         return constant_model(0.0)
     prior = float(np.clip(hits / n, 0.005, 0.9))
     positive = named.where("_y = 1").select("_id").orderBy(F.xxhash64("_id"), "_id").limit(POSITIVE_ROWS)
-    others = first_ids(docs.where(own).select(F.col(id_col).alias("_id")), UNLABELLED_ROWS)
-    sample = positive.withColumn("_p", F.lit(True)).unionByName(others.withColumn("_p", F.lit(False)))
-
     texts = docs.where(own).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
-    # a sampled id that stands for several texts counts with the first of them
-    once = cut_lineage(texts.join(F.broadcast(sample), "_id").groupBy("_id", "_p").agg(F.min("_t").alias("_t")))
+    # a positive id that stands for several texts counts with the first of them
+    once = cut_lineage(texts.join(F.broadcast(positive), "_id").groupBy("_id").agg(F.min("_t").alias("_t")))
 
     def buckets(frames):
         for f in frames:
             yield pd.DataFrame({"_f": [sorted({b for w in words_of(t) for b in word_buckets(w)}) for t in f["_t"]]})
 
-    frequent = once.where("_p").select("_t").mapInPandas(buckets, "_f array<int>").select(F.explode("_f").alias("_b"))
+    frequent = once.select("_t").mapInPandas(buckets, "_f array<int>").select(F.explode("_f").alias("_b"))
     frequent = {r["_b"]: r["_a"] for r in frequent.groupBy("_b").agg(F.count(F.lit(1)).alias("_a")).where("_a >= 3").collect()}
     numbers = np.full(BUCKETS, -1, dtype=np.int32)
     numbers[sorted(frequent)] = np.arange(len(frequent))
@@ -215,26 +260,90 @@ def fit(
 
     counted = texts.select("_t").mapInPandas(everywhere, "_k int, _c long").groupBy("_k").agg(F.sum("_c").alias("_c"))
     in_all = {r["_k"]: r["_c"] for r in counted.collect()}
-    n_p, n_u = once.where("_p").count(), max(1, in_all.get(-1, 0))
+    n_p, n_u = once.count(), max(1, in_all.get(-1, 0))
     gains = sorted((-_gain(frequent[b], in_all.get(k, 0), n_p, n_u), b) for k, b in enumerate(sorted(frequent)))
     chosen = [b for g, b in gains if -g >= LEAST_GAIN][:features]
     place = np.full(BUCKETS, -1, dtype=np.int32)
     place[chosen] = np.arange(len(chosen))
 
+    if not n_p or not chosen:
+        return constant_model(prior)
+
     def sparse(frames):
-        of = _marks(place)
+        """Features of each row; rows without any leave as their number, by part."""
+        of, bare = _marks(place), np.zeros(PARTS)
+        for f in frames:
+            rows = []
+            for t, part in zip(f["_t"], f["_part"], strict=True):
+                marks, n = of(t)
+                if not marks:
+                    bare[part] += 1
+                    continue
+                k, c = np.unique(np.array(marks, dtype=np.int32), return_counts=True)
+                rows.append((part, 1.0, k, (c / max(1, n) ** 0.5).astype(np.float32)))
+            yield pd.DataFrame(rows, columns=["_part", "_w", "_k", "_v"])
+        none = [np.zeros(0, np.int32)] * PARTS
+        yield pd.DataFrame({"_part": range(PARTS), "_w": bare, "_k": none, "_v": none})
+
+    part = F.pmod(F.xxhash64("_id"), F.lit(PARTS)).cast("int").alias("_part")
+    schema = "_part int, _w double, _k array<int>, _v array<float>"
+    p_rows, p_parts = [], []
+    for r in once.select("_t", part).mapInPandas(sparse, schema).where("size(_k) > 0").collect():  # POSITIVE_ROWS at most
+        row = np.zeros(len(chosen) + 1)
+        row[r["_k"]], row[-1] = r["_v"], 1.0
+        p_rows.append(row)
+        p_parts.append(r["_part"])
+    bare = np.zeros((n_p - len(p_rows), len(chosen) + 1))
+    bare[:, -1] = 1.0
+    p = np.vstack([np.array(p_rows).reshape(len(p_rows), len(chosen) + 1), bare])
+    parts = np.append(np.array(p_parts, int), np.arange(len(bare)) % PARTS)
+
+    folder = f"{shared_folder(docs.sparkSession)}/toxicity-{uuid.uuid4().hex}"
+    texts.select("_t", part).mapInPandas(sparse, schema).where("_w > 0").write.parquet(folder)
+    try:
+        rows = docs.sparkSession.read.parquet(folder)
+        means = lambda points: unlabelled_means(rows, points)
+        return model_of(classifiers([_without(p, parts, m) for m in range(CLASSIFIERS)], prior, means, len(chosen)), chosen)
+    finally:
+        remove_folder(docs.sparkSession, folder)
+
+
+def unlabelled_means(rows: DataFrame, points: dict[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray]]:
+    """For each classifier's point (weights, then the bias) the mean loss of sparse ``rows`` (_part, _w, _k, _v) as negatives,
+    and its gradient; the part of the classifier's number is left out, unless there is no other."""
+    width = len(next(iter(points.values())))
+
+    def sums(frames):
+        # by part, for each classifier: gradient, loss, weight
+        total = {m: np.zeros((PARTS, width + 2)) for m in points}
         for f in frames:
-            rows = [of(t) for t in f["_t"]]
-            counts = [np.unique(np.array(x, dtype=np.int32), return_counts=True) for x, _ in rows]
-            yield pd.DataFrame({"_p": f["_p"], "_n": [n for _, n in rows], "_k": [k for k, _ in counts], "_c": [c for _, c in counts]})
-
-    part: dict[bool, list] = {True: [], False: []}
-    for r in once.mapInPandas(sparse, "_p boolean, _n int, _k array<int>, _c array<long>").collect():
-        row = np.zeros(len(chosen), dtype=np.float32)
-        row[r["_k"]] = np.array(r["_c"]) / max(1, r["_n"]) ** 0.5
-        part[r["_p"]].append(row)
-    p, u = (np.array(part[k], dtype=np.float32).reshape(len(part[k]), len(chosen)) for k in (True, False))
-    return fit_matrix(p, u, chosen, prior)
+            if not len(f):
+                continue
+            sizes = np.array([len(k) for k in f["_k"]])
+            k, v = np.concatenate(list(f["_k"])).astype(np.int64), np.concatenate(list(f["_v"])).astype(np.float64)
+            row = np.repeat(np.arange(len(f)), sizes)
+            own, w = f["_part"].to_numpy(), f["_w"].to_numpy()
+            for m, x in points.items():
+                g = x[-1] + np.bincount(row, v * x[k], minlength=len(f))
+                s, loss = w * _sigmoid(g), w * np.logaddexp(0, g)
+                at = own[row] * (width + 2) + k
+                total[m] += np.bincount(at, v * s[row], minlength=PARTS * (width + 2)).reshape(PARTS, -1)
+                for i, what in ((width - 1, s), (width, loss), (width + 1, w)):
+                    total[m][:, i] += np.bincount(own, what, minlength=PARTS)
+        for m, t in total.items():
+            part, i = np.nonzero(t)
+            yield pd.DataFrame({"_m": m, "_part": part, "_i": i, "_s": t[part, i]})
+
+    found = rows.mapInPandas(sums, "_m int, _part int, _i int, _s double").groupBy("_m", "_part", "_i").agg(F.sum("_s").alias("_s")).collect()
+    by = {m: np.zeros((PARTS, width + 2)) for m in points}
+    for r in found:  # classifiers x parts x features at most
+        by[r["_m"]][r["_part"], r["_i"]] = r["_s"]
+    out = {}
+    for m, t in by.items():
+        kept = np.delete(t, m, axis=0).sum(axis=0)
+        kept = kept if kept[-1] else t.sum(axis=0)
+        out[m] = (kept[width] / kept[-1], kept[:width] / kept[-1])
+    return out
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

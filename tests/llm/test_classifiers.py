@@ -38,13 +38,6 @@ def test_toxicity_recall_where_positives_allow_it(spark):
     assert accuracy > 0.97 and precision > 0.95 and recall > 0.9
 
 
-def test_first_ids_are_those_with_the_smallest_hashes(spark):
-    ids = spark.range(3000).withColumn("k", F.explode(F.sequence(F.lit(1), F.when(F.col("id") < 3, 2000).otherwise(1)))).select(F.col("id").alias("_id"))
-    want = [r._id for r in ids.distinct().orderBy(F.xxhash64("_id"), "_id").limit(40).collect()]
-    assert sorted(r._id for r in toxicity.first_ids(ids, 40).collect()) == sorted(want)
-    assert toxicity.first_ids(ids, 5000).count() == 3000 and toxicity.first_ids(ids.limit(0), 5).count() == 0
-
-
 def test_toxicity_odd_rows(spark):
     rng = np.random.default_rng(6)
     plain = [" ".join(f"w{chr(97 + int(i))}" for i in rng.integers(26, size=30)) for _ in range(120)]
@@ -112,3 +105,53 @@ def test_risk_is_prior_corrected():
 def test_words_and_their_beginnings():
     model = toxicity.Model({toxicity._bucket("^nasty"): np.array([9.0])}, np.array([-4.0]))
     assert model.score("Nastyfoo") > 0.9 > 0.1 > model.score("nast y") and model.score(None) == model.score("") < 0.1
+
+
+def test_quality_of_an_empty_table_with_labels(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    none = spark.createDataFrame([], "doc_id long, text string")
+    model = quality.fit(none, labels)
+    assert quality.score(none, model).count() == 0
+    assert all(0 <= r.score <= 1 for r in quality.score(spark.createDataFrame([(1, "a text"), (2, None)], "doc_id long, text string"), model).collect())
+
+
+def test_descent_finds_the_minimum_of_the_risk():
+    rng = np.random.default_rng(3)
+    p, u = rng.random((40, 3)) < 0.6, rng.random((300, 3)) < 0.3
+    wide = lambda x: np.hstack([x.astype(float), np.ones((len(x), 1))])
+    p, u, prior = wide(p), wide(u), 0.2
+
+    def at(x):
+        return toxicity.risk(x, p, prior, (float(np.logaddexp(0, u @ x).mean()), u.T @ toxicity._sigmoid(u @ x) / len(u)))
+
+    run = toxicity.descent(np.zeros(4), 60)
+    x = next(run)
+    try:
+        while True:
+            x = run.send(at(x))
+    except StopIteration as e:
+        best = e.value
+    value = at(best)[0]
+    plain = np.zeros(4)
+    for _ in range(20_000):
+        plain = plain - 0.5 * at(plain)[1]
+    assert value <= at(plain)[0] + 1e-4
+    step = 1e-6
+    slope = [(at(best + step * e)[0] - at(best - step * e)[0]) / (2 * step) for e in np.eye(4)]
+    assert np.allclose(slope, at(best)[1], atol=1e-5)
+
+
+def test_sums_over_partitions_equal_the_matrix(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(rng.integers(5)), float(rng.integers(1, 4)), sorted(rng.choice(6, int(rng.integers(0, 5)), replace=False).tolist())) for _ in range(200)]
+    rows = [(a, w, k, [float(x) for x in np.float32(rng.random(len(k)))]) for a, w, k in rows]
+    df = spark.createDataFrame(rows, "_part int, _w double, _k array<int>, _v array<float>").repartition(7)
+    points = {m: rng.normal(size=7) for m in (0, 2)}
+    for m, (loss, slope) in toxicity.unlabelled_means(df, points).items():
+        x, own = points[m], [r for r in rows if r[0] != m]
+        dense = np.zeros((len(own), 7))
+        for i, (_, _, k, v) in enumerate(own):
+            dense[i, k], dense[i, -1] = v, 1.0
+        w = np.array([r[1] for r in own])
+        g = dense @ x
+        assert loss == pytest.approx((w * np.logaddexp(0, g)).sum() / w.sum()) and np.allclose(slope, dense.T @ (w * toxicity._sigmoid(g)) / w.sum())
