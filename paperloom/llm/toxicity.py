@@ -24,7 +24,7 @@ from .common import cut_lineage, fold, remove_folder, shared_folder
 #: Most labelled positive rows that a fit takes, the first by hash of their id.
 POSITIVE_ROWS = 3_000
 #: Classifiers, each without one of so many parts of the rows; most steps of a descent, and what a weight costs.
-CLASSIFIERS, PARTS, STEPS, DECAY = 3, 5, 25, 2e-5
+CLASSIFIERS, PARTS, STEPS, DECAY = 3, 5, 16, 2e-5
 BUCKETS = 1 << 20
 FEATURES = 600
 #: Lengths of the word beginnings that are features beside the whole word.
@@ -64,18 +64,16 @@ class Model:
 
     def score(self, text: str | None, known: dict | None = None) -> float:
         known = {} if known is None else known
-        total = np.zeros_like(self.bias)
-        words = words_of(text)
+        words, found = words_of(text), []
         for w in words:
-            if w in known:
-                v = known[w]
-            else:
+            v = known.get(w, known)
+            if v is known:
                 v = self.of_word(w)
                 if len(known) < 500_000:
                     known[w] = v
             if v is not None:
-                total += v
-        total = self.bias + total / max(1, len(words)) ** 0.5
+                found.append(v)
+        total = self.bias + np.sum(found, axis=0) / len(words) ** 0.5 if found else self.bias
         return float((1 / (1 + np.exp(-np.clip(total, -30, 30)))).mean())
 
 
@@ -224,8 +222,8 @@ def fit(
 
     The positive sample is bounded, so its ids are broadcast. Features are the buckets that tell it from
     all documents outside the held-out fold best, by counts of documents: Spark counts, over all those
-    documents, the buckets that at least 3 positives have. The chosen features of all those documents are written
-    once; each step of the descent is a pass over them that returns sums. Null labels and ids take no
+    documents, the buckets that at least 3 positives have. Those that a document has are written once, so that
+    texts are cut into words once for the fit; each step of the descent is a pass over them that returns sums. Null labels and ids take no
     part; null texts count as empty; of several texts of a positive id the first counts; an id with
     several labels is positive if one of them is; a row that repeats counts each time; other columns are ignored.
     """
@@ -249,46 +247,76 @@ def fit(
     numbers = np.full(BUCKETS, -1, dtype=np.int32)
     numbers[sorted(frequent)] = np.arange(len(frequent))
 
+    part = F.pmod(F.xxhash64("_id"), F.lit(PARTS)).cast("int").alias("_part")
+
+    def marked(frames):
+        """Of each row its part, the number of its distinct words, and its features among the frequent ones, repeats included."""
+        of = _marks(numbers)
+        for f in frames:
+            rows = [of(t) for t in f["_t"]]
+            yield pd.DataFrame({"_part": f["_part"], "_n": [n for _, n in rows], "_m": [np.array(m, np.int32) for m, _ in rows]})
+
+    def marks_of(rows: DataFrame) -> DataFrame:
+        return rows.select("_t", part).mapInPandas(marked, "_part int, _n int, _m array<int>")
+
+    folder = f"{shared_folder(docs.sparkSession)}/toxicity-{uuid.uuid4().hex}"
+    try:
+        marks_of(texts).write.parquet(f"{folder}/marks")  # the texts are read for the last time
+        marks = docs.sparkSession.read.parquet(f"{folder}/marks")
+        return _fitted(folder, once, marks_of(once), marks, frequent, prior, features)
+    finally:
+        remove_folder(docs.sparkSession, folder)
+
+
+def _in_rows(frame: pd.DataFrame, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, feature and count of the features of a frame's rows (_m), renumbered by ``number``; those below 0 are left out."""
+    row = np.repeat(np.arange(len(frame)), [len(m) for m in frame["_m"]])
+    k = number[np.concatenate(list(frame["_m"])).astype(np.int64)] if len(row) else np.zeros(0, np.int64)
+    width = max(1, len(number))
+    pair, count = np.unique((row * width + k)[k >= 0], return_counts=True)
+    return pair // width, pair % width, count
+
+
+def _fitted(folder: str, once: DataFrame, own: DataFrame, marks: DataFrame, frequent: dict[int, int], prior: float, features: int) -> Model:
+    """The model from the positives' and all rows' marks, which stand for the buckets of ``frequent`` in their order."""
+
     def everywhere(frames):
-        of, counts, n = _marks(numbers), np.zeros(len(frequent), dtype=np.int64), 0
+        same, counts, n = np.arange(len(frequent)), np.zeros(len(frequent), dtype=np.int64), 0
         for f in frames:
-            for t in f["_t"]:
-                counts[list(set(of(t)[0]))] += 1
+            counts += np.bincount(_in_rows(f, same)[1], minlength=len(frequent))
             n += len(f)
         at = np.flatnonzero(counts)
         yield pd.DataFrame({"_k": np.append(at, -1), "_c": np.append(counts[at], n)})
 
-    counted = texts.select("_t").mapInPandas(everywhere, "_k int, _c long").groupBy("_k").agg(F.sum("_c").alias("_c"))
+    counted = marks.mapInPandas(everywhere, "_k int, _c long").groupBy("_k").agg(F.sum("_c").alias("_c"))
     in_all = {r["_k"]: r["_c"] for r in counted.collect()}
     n_p, n_u = once.count(), max(1, in_all.get(-1, 0))
     gains = sorted((-_gain(frequent[b], in_all.get(k, 0), n_p, n_u), b) for k, b in enumerate(sorted(frequent)))
     chosen = [b for g, b in gains if -g >= LEAST_GAIN][:features]
-    place = np.full(BUCKETS, -1, dtype=np.int32)
-    place[chosen] = np.arange(len(chosen))
+    place = np.full(len(frequent), -1, dtype=np.int64)
+    at = {b: k for k, b in enumerate(sorted(frequent))}
+    place[[at[b] for b in chosen]] = np.arange(len(chosen))
 
     if not n_p or not chosen:
         return constant_model(prior)
 
     def sparse(frames):
         """Features of each row; rows without any leave as their number, by part."""
-        of, bare = _marks(place), np.zeros(PARTS)
+        bare = np.zeros(PARTS)
         for f in frames:
-            rows = []
-            for t, part in zip(f["_t"], f["_part"], strict=True):
-                marks, n = of(t)
-                if not marks:
-                    bare[part] += 1
-                    continue
-                k, c = np.unique(np.array(marks, dtype=np.int32), return_counts=True)
-                rows.append((part, 1.0, k, (c / max(1, n) ** 0.5).astype(np.float32)))
-            yield pd.DataFrame(rows, columns=["_part", "_w", "_k", "_v"])
+            row, k, count = _in_rows(f, place)
+            v = (count / np.maximum(1, f["_n"].to_numpy()[row]) ** 0.5).astype(np.float32)
+            sizes = np.bincount(row, minlength=len(f))
+            bare += np.bincount(f["_part"].to_numpy()[sizes == 0], minlength=PARTS)
+            cuts = np.cumsum(sizes[sizes > 0])[:-1]
+            full = np.flatnonzero(sizes)
+            yield pd.DataFrame({"_part": f["_part"].to_numpy()[full], "_w": 1.0, "_k": np.split(k.astype(np.int32), cuts) if len(full) else [], "_v": np.split(v, cuts) if len(full) else []})
         none = [np.zeros(0, np.int32)] * PARTS
         yield pd.DataFrame({"_part": range(PARTS), "_w": bare, "_k": none, "_v": none})
 
-    part = F.pmod(F.xxhash64("_id"), F.lit(PARTS)).cast("int").alias("_part")
     schema = "_part int, _w double, _k array<int>, _v array<float>"
     p_rows, p_parts = [], []
-    for r in once.select("_t", part).mapInPandas(sparse, schema).where("size(_k) > 0").collect():  # POSITIVE_ROWS at most
+    for r in own.mapInPandas(sparse, schema).where("size(_k) > 0").collect():  # POSITIVE_ROWS at most
         row = np.zeros(len(chosen) + 1)
         row[r["_k"]], row[-1] = r["_v"], 1.0
         p_rows.append(row)
@@ -298,14 +326,10 @@ def fit(
     p = np.vstack([np.array(p_rows).reshape(len(p_rows), len(chosen) + 1), bare])
     parts = np.append(np.array(p_parts, int), np.arange(len(bare)) % PARTS)
 
-    folder = f"{shared_folder(docs.sparkSession)}/toxicity-{uuid.uuid4().hex}"
-    texts.select("_t", part).mapInPandas(sparse, schema).where("_w > 0").write.parquet(folder)
-    try:
-        rows = docs.sparkSession.read.parquet(folder)
-        means = lambda points: unlabelled_means(rows, points)
-        return model_of(classifiers([_without(p, parts, m) for m in range(CLASSIFIERS)], prior, means, len(chosen)), chosen)
-    finally:
-        remove_folder(docs.sparkSession, folder)
+    marks.mapInPandas(sparse, schema).where("_w > 0").write.parquet(f"{folder}/rows")
+    rows = marks.sparkSession.read.parquet(f"{folder}/rows")
+    means = lambda points: unlabelled_means(rows, points)
+    return model_of(classifiers([_without(p, parts, m) for m in range(CLASSIFIERS)], prior, means, len(chosen)), chosen)
 
 
 def unlabelled_means(rows: DataFrame, points: dict[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray]]:
