@@ -497,12 +497,13 @@ def crops(pages: DataFrame, boxes: DataFrame) -> DataFrame:
     """Pixels of boxes (as from ``regions.crop_boxes``) cut from their pages: boxes' columns, and data."""
 
     @F.pandas_udf("binary")
-    def cut(height: pd.Series, width: pd.Series, data: pd.Series, x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series) -> pd.Series:
-        return pd.Series([_grey(d, h, w)[b:e, a:c].tobytes() for h, w, d, a, b, c, e in zip(height, width, data, x1, y1, x2, y2, strict=True)])
+    def cut(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.Series, x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series) -> pd.Series:
+        return pd.Series([pixels(d, h, w, n)[b:e, a:c].tobytes() for h, w, n, d, a, b, c, e in zip(height, width, channels, data, x1, y1, x2, y2, strict=True)])
 
-    own = pages.select("doc_id", "page_number", F.col("height").alias("_h"), F.col("width").alias("_w"), F.col("data").alias("_d"))
+    channels = F.coalesce("channels", F.lit(1)) if "channels" in pages.columns else F.lit(1)
+    own = pages.select("doc_id", "page_number", F.col("height").alias("_h"), F.col("width").alias("_w"), channels.cast("int").alias("_n"), F.col("data").alias("_d"))
     joined = boxes.join(own, ["doc_id", "page_number"])
-    return joined.withColumn("data", cut("_h", "_w", "_d", "x1", "y1", "x2", "y2")).drop("_h", "_w", "_d")
+    return joined.withColumn("data", cut("_h", "_w", "_n", "_d", "x1", "y1", "x2", "y2")).drop("_h", "_w", "_n", "_d")
 
 
 @F.pandas_udf(T.DoubleType())

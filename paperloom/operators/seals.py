@@ -255,3 +255,14 @@ def detect(pages: DataFrame) -> DataFrame:
         passes, confidence = F.when(own, gate).otherwise(passes), F.when(own, score).otherwise(confidence)
     found = outlines(pages).where(passes).withColumn("confidence", confidence).withColumnRenamed("detector", "type")
     return regions.suppress_overlaps(found)
+
+
+def crop_files(pages: DataFrame, found: DataFrame) -> DataFrame:
+    """The found regions, padded, as images for the file sink: doc_id, page_number, file_name (document, page,
+    then type, number and confidence), height, width, channels, data."""
+    sizes = pages.select("doc_id", "page_number", "height", "width", *(["channels"] if "channels" in pages.columns else []))
+    boxes = regions.crop_boxes(found.drop("height", "width").join(sizes, ["doc_id", "page_number"]))
+    place = F.format_string("%s/page_%03d/", F.col("doc_id").cast("string"), F.col("page_number"))
+    cut = imaging.crops(pages, boxes.withColumn("file_name", F.concat(place, "file_name")))
+    channels = F.coalesce("channels", F.lit(1)) if "channels" in cut.columns else F.lit(1)
+    return cut.select("doc_id", "page_number", "file_name", (F.col("y2") - F.col("y1")).alias("height"), (F.col("x2") - F.col("x1")).alias("width"), channels.alias("channels"), "data")

@@ -166,3 +166,9 @@ def write_page_images(pages: DataFrame, folder: str) -> None:
     head = F.encode(F.format_string("P5\n%d %d\n255\n", "width", "height"), "US-ASCII")
     name = F.concat_ws("/", "doc_id", page_file_name("page", "pgm"))
     pages.where("error IS NULL").select("doc_id", "page_number", name.alias("file_name"), F.concat(head, "data").alias("content")).write.mode("overwrite").parquet(folder)
+
+
+def page_files(pages: DataFrame, prefix: str = "page", extension: str = "png") -> DataFrame:
+    """Pages without errors as images for the file sink, each named below its document."""
+    name = F.concat(F.col("doc_id").cast("string"), F.lit("/"), page_file_name(prefix, extension))
+    return pages.where("error IS NULL").select(name.alias("file_name"), "height", "width", channels_of(pages), "data")
