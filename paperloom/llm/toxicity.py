@@ -12,6 +12,7 @@ import math
 import re
 import uuid
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,7 @@ POSITIVE_ROWS = 3_000
 #: Classifiers, each without one of so many parts of the rows; most steps of a descent, and what a weight costs.
 CLASSIFIERS, PARTS, STEPS, DECAY = 3, 5, 16, 2e-5
 BUCKETS = 1 << 20
+ROWS_AT_ONCE = 256
 FEATURES = 600
 #: Lengths of the word beginnings that are features beside the whole word.
 STARTS = (4, 5, 6, 7, 8)
@@ -252,7 +254,7 @@ def fit(
     def marked(frames):
         """Of each row its part, the number of its distinct words, and its features among the frequent ones, repeats included."""
         of = _marks(numbers)
-        for f in frames:
+        for f in sliced(frames):
             rows = [of(t) for t in f["_t"]]
             yield pd.DataFrame({"_part": f["_part"], "_n": [n for _, n in rows], "_m": [np.array(m, np.int32) for m, _ in rows]})
 
@@ -268,6 +270,13 @@ def fit(
         remove_folder(docs.sparkSession, folder)
 
 
+def sliced(frames) -> Iterator[pd.DataFrame]:
+    """The frames in parts of ``ROWS_AT_ONCE`` rows: a row has thousands of features."""
+    for f in frames:
+        for i in range(0, len(f), ROWS_AT_ONCE):
+            yield f.iloc[i : i + ROWS_AT_ONCE]
+
+
 def _in_rows(frame: pd.DataFrame, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, feature and count of the features of a frame's rows (_m), renumbered by ``number``; those below 0 are left out."""
     row = np.repeat(np.arange(len(frame)), [len(m) for m in frame["_m"]])
@@ -282,7 +291,7 @@ def _fitted(folder: str, once: DataFrame, own: DataFrame, marks: DataFrame, freq
 
     def everywhere(frames):
         same, counts, n = np.arange(len(frequent)), np.zeros(len(frequent), dtype=np.int64), 0
-        for f in frames:
+        for f in sliced(frames):
             counts += np.bincount(_in_rows(f, same)[1], minlength=len(frequent))
             n += len(f)
         at = np.flatnonzero(counts)
@@ -303,7 +312,7 @@ def _fitted(folder: str, once: DataFrame, own: DataFrame, marks: DataFrame, freq
     def sparse(frames):
         """Features of each row; rows without any leave as their number, by part."""
         bare = np.zeros(PARTS)
-        for f in frames:
+        for f in sliced(frames):
             row, k, count = _in_rows(f, place)
             v = (count / np.maximum(1, f["_n"].to_numpy()[row]) ** 0.5).astype(np.float32)
             sizes = np.bincount(row, minlength=len(f))
