@@ -1,12 +1,18 @@
-"""Near duplicates by the Jaccard similarity of sets of five-word shingles.
-
-The relation that training data is cleared by. SimHash can't give it: at a similarity of 0.8 two texts
-differ in about 10 of 64 bits, so in nearly all bytes, and the byte-position index has no guaranteed match
-left. Candidates come from bands of minimum hashes, and each is verified by its exact similarity.
+"""Near duplicates by SimHash fingerprints of samples over the inverted index of byte positions.
+
+Training data is cleared by the Jaccard similarity of sets of five-word shingles. One fingerprint of a whole
+text can't give that relation: at a similarity of 0.8 two texts differ in about 10 of 64 bits, so in nearly
+all bytes. So each set has several fingerprints, each the SimHash of three shingles that minimum hashes draw
+from it. Two sets at a similarity of 0.8 draw the same three, and so have equal fingerprints, with probability
+0.51 each. The index of ``simhash`` posts the distinct fingerprints by their bytes, counts shared bytes and
+verifies the bits; sets whose fingerprints it joins are candidates, and each pair of those is verified by its
+exact similarity.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -14,13 +20,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage
-from .simhash import components, digests, named
+from .simhash import components, digests, links, named
 
-#: Near copies share this much of their sets of so many words. Bands of minimum hashes that propose
-#: them: two texts at 0.8 share one of 16 bands of 4 with probability 0.9998.
-WORDS, SIMILARITY, BANDS, ROWS, HUBS = 5, 0.8, 16, 4, 8
-_MASKS = np.random.default_rng(11).integers(0, 1 << 64, BANDS * ROWS, np.uint64)[:, None]
-_FACTORS = np.random.default_rng(13).integers(0, 1 << 64, BANDS * ROWS, np.uint64)[:, None] | np.uint64(1)
+#: Near copies share this much of their sets of so many words. Two texts at 0.8 have one of 12 fingerprints of 3
+#: drawn shingles in common with probability 0.9998; fingerprints up to ``PRINT_BITS`` apart are joined.
+WORDS, SIMILARITY, PRINTS, DRAWN, PRINT_BITS, HUBS = 5, 0.8, 12, 3, 1, 8
+#: Least and most bits (as powers of two) of the filter of texts whose sets are asked for; between them it has 64 for each.
+FILTER_BITS = (16, 28)
+_MASKS = np.random.default_rng(11).integers(0, 1 << 64, PRINTS * DRAWN, np.uint64)[:, None]
+_FACTORS = np.random.default_rng(13).integers(0, 1 << 64, PRINTS * DRAWN, np.uint64)[:, None] | np.uint64(1)
+_INVERSES = np.array([pow(int(f), -1, 1 << 64) for f in _FACTORS[:, 0]], np.uint64)
 
 
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -33,22 +42,30 @@ def set_fingerprint(own: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(own.tobytes())).view(np.int64))
 
 
-def band_keys(own: np.ndarray) -> np.ndarray:
-    """One signed key for each band of minimum hashes; none for an empty set."""
+def prints(own: np.ndarray) -> np.ndarray:
+    """The signed SimHash of each sample of three shingles; none for an empty set."""
     if not len(own):
         return np.empty(0, dtype=np.int64)
-    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    low = np.full(PRINTS * DRAWN, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(own), 2048):
         low = np.minimum(low, ((own[at : at + 2048].view(np.uint64) ^ _MASKS) * _FACTORS).min(axis=1))
-    out = np.arange(BANDS, dtype=np.uint64)
-    for i in range(ROWS):
-        out = (out ^ low[i::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return out.view(np.int64)
+    a, b, c = ((low * _INVERSES) ^ _MASKS[:, 0]).reshape(DRAWN, PRINTS)  # the shingles that have these minima
+    return ((a & b) | (a & c) | (b & c)).view(np.int64)  # the bits set in over half of three
+
+
+def _posted(rows: DataFrame) -> DataFrame:
+    """The lists (_key) that sets (_fp, _size) stand in: one for each of a set's fingerprints (_prints), and
+    one for each component of fingerprints that the index of byte positions joins."""
+    own = rows.select("_fp", "_size", F.explode("_prints").alias("_key")).distinct()
+    joined = cut_lineage(links(own.select(F.col("_key").alias("_fp")).distinct(), bits=PRINT_BITS))
+    if joined.isEmpty():
+        return own
+    roots = components(joined).select(F.col("_fp").alias("_key"), "_root")
+    return own.join(roots, "_key", "left").select("_fp", "_size", F.coalesce("_root", "_key").alias("_key")).distinct()
 
 
 def _candidates(posted: DataFrame, most_in_list: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (_a, _b) of sets that share a band and whose sizes allow ``similarity``; and
+    """Distinct pairs (_a, _b) of sets that share a list and whose sizes allow ``similarity``; and
     the members (_key, _fp, _size) of lists that gave only some of their pairs.
 
     Lists of up to ``most_in_list`` sets give all their pairs. A longer one gives those of
@@ -111,6 +128,32 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.where(F.col("_shared") / (F.size("_sa") + F.size("_sb") - F.col("_shared")) >= similarity).select("_a", "_b")
 
 
+def _mask_of(keys: DataFrame, bits: int) -> np.ndarray:
+    """A filter of ``2**bits`` bits in bytes, that holds the keys (_th) by their first bits."""
+
+    def merged(frames):
+        mask = np.zeros(1 << (bits - 3), dtype=np.uint8)
+        for f in frames:
+            at = _place(f["_th"].to_numpy(np.int64), bits)
+            np.bitwise_or.at(mask, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        yield pd.DataFrame({"_mask": [mask.tobytes()]})
+
+    mask = np.zeros(1 << (bits - 3), dtype=np.uint8)
+    for r in keys.coalesce(8).mapInPandas(merged, "_mask binary").toLocalIterator():
+        mask |= np.frombuffer(r["_mask"], dtype=np.uint8)
+    return mask
+
+
+def _place(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _holds(mask: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
+    """Which keys the filter may hold."""
+    at = _place(keys, bits)
+    return (mask[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def _similar(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float, most_in_list: int) -> tuple[DataFrame, DataFrame]:
     """Every row as (_id, _th: hash of its text, _fp: fingerprint of its set), and the roots of linked fingerprints."""
 
@@ -118,13 +161,14 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, words: int, similarity
         for f in frames:
             own = [shingle_set(t, words) for t in f["_t"]]
             fps = np.array([set_fingerprint(s) for s in own], dtype=np.int64)
-            yield pd.DataFrame({"_id": f["_id"], "_th": f["_th"], "_fp": fps, "_size": [len(s) for s in own], "_keys": [band_keys(s) for s in own]})
+            yield pd.DataFrame({"_id": f["_id"], "_th": f["_th"], "_fp": fps, "_size": [len(s) for s in own], "_prints": [prints(s) for s in own]})
 
     def sets(frames):
         seen = set()  # a task gives a frequent set once
+        mask = np.frombuffer(held.value, dtype=np.uint8)
         for f in frames:
             out = []
-            for t in f["_t"]:
+            for t in f["_t"][_holds(mask, bits, f["_th"].to_numpy(np.int64))]:
                 own = shingle_set(t, words)
                 fp = set_fingerprint(own)
                 if fp not in seen:
@@ -135,11 +179,14 @@ def _similar(docs: DataFrame, id_col: str, text_col: str, words: int, similarity
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = docs.select(F.col(id_col).alias("_id"), text.alias("_t"), F.xxhash64(text).alias("_th"))
-    rows = cut_lineage(own.mapInPandas(keys, f"_id {kind}, _th long, _fp long, _size int, _keys array<long>"))
-    posted = rows.select("_fp", "_size", F.explode("_keys").alias("_key")).distinct()
-    pairs, crowd = map(cut_lineage, _candidates(posted, most_in_list, similarity))
+    rows = cut_lineage(own.mapInPandas(keys, f"_id {kind}, _th long, _fp long, _size int, _prints array<long>"))
+    pairs, crowd = map(cut_lineage, _candidates(_posted(rows), most_in_list, similarity))
     wanted = pairs.select(F.explode(F.array("_a", "_b")).alias("_fp")).unionByName(crowd.select("_fp")).distinct()
-    found = own.select("_t").mapInPandas(sets, "_fp long, _set array<long>").join(wanted, "_fp", "left_semi")
+    # the sets are built again for the texts of the candidates alone, as sets are many times larger than the rest
+    asked = cut_lineage(rows.join(wanted, "_fp", "left_semi").select("_th").distinct())
+    bits = min(max(FILTER_BITS[0], math.ceil(math.log2(64 * asked.count() + 1))), FILTER_BITS[1])
+    held = docs.sparkSession.sparkContext.broadcast(_mask_of(asked, bits).tobytes())
+    found = own.select("_th", "_t").mapInPandas(sets, "_fp long, _set array<long>").join(wanted, "_fp", "left_semi")
     found = cut_lineage(found.dropDuplicates(["_fp"]))
     linked = cut_lineage(_verified(pairs, found, similarity))
     roots = components(linked)

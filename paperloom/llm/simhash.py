@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from .common import cut_lineage
 
 BITS = 3
-LEAST_BYTES = 8 - BITS
 POSITION_SETS = [c for c in itertools.combinations(range(8), 4) if c[0] ^ c[1] ^ c[2] ^ c[3] == 0]
+#: The sets by the most bits that may differ: a single byte leaves one of the two halves untouched.
+SETS = {1: [(0, 1, 2, 3), (4, 5, 6, 7)], BITS: POSITION_SETS}
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -70,11 +71,11 @@ def _byte(fp: Column, position: int) -> Column:
     return F.shiftright(fp, 8 * position).bitwiseAND(F.lit(255))
 
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """_key (position set and its four byte values) and _fp, 14 rows for each fingerprint."""
+def _postings(classes: DataFrame, bits: int) -> DataFrame:
+    """_key (position set and its four byte values) and _fp, a row for each fingerprint and set."""
     fp = F.col("_fp")
     keys = []
-    for i, at in enumerate(POSITION_SETS):
+    for i, at in enumerate(SETS[bits]):
         value = reduce(lambda acc, p: F.shiftleft(acc, 8).bitwiseOR(_byte(fp, p)), at, F.lit(i).cast("long"))
         keys.append(value)
     return classes.select(F.explode(F.array(*keys)).alias("_key"), "_fp")
@@ -84,17 +85,18 @@ def _shared_bytes(a: Column, b: Column) -> Column:
     return reduce(lambda x, y: x + y, [(_byte(a.bitwiseXOR(b), p) == 0).cast("int") for p in range(8)])
 
 
-def links(classes: DataFrame, most_in_list: int = 256) -> DataFrame:
+def links(classes: DataFrame, most_in_list: int = 256, bits: int = BITS) -> DataFrame:
     """Links (_a, _b) between distinct fingerprints that keep every two fingerprints within
-    ``BITS`` bits connected; a link may join two that have a third within reach of both.
+    ``bits`` bits (1 or 3) connected; a link may join two that have a third within reach of both.
 
     Posting lists of up to ``most_in_list`` fingerprints give their pairs. A longer list gives
     a number of links in proportion to its length instead, exactly: within the list the
     fingerprints agree in four bytes, so two of them within 3 bits have some 32-bit word at
     most 1 bit from one's remaining bytes and at most 2 from the other's. Every word that some
     fingerprint reaches with 1 bit links all who reach it with 1 or 2 bits to one of the former.
+    Within 1 bit the word is one's own bytes, and the other reaches it with 1 bit.
     """
-    posted = _postings(classes)
+    posted = _postings(classes, bits)
     lists = posted.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     met = posted.join(lists, "_key")
     short = met.where(F.col("_n") <= most_in_list).select("_key", "_fp")
@@ -102,20 +104,20 @@ def links(classes: DataFrame, most_in_list: int = 256) -> DataFrame:
     pairs = (
         a.join(b, "_key")
         .where(F.col("_a") < F.col("_b"))
-        .where(_shared_bytes(F.col("_a"), F.col("_b")) >= LEAST_BYTES)
-        .where(F.bit_count(F.col("_a").bitwiseXOR(F.col("_b"))) <= BITS)
+        .where(_shared_bytes(F.col("_a"), F.col("_b")) >= 8 - bits)
+        .where(F.bit_count(F.col("_a").bitwiseXOR(F.col("_b"))) <= bits)
         .select("_a", "_b")
     )
     long = met.where(F.col("_n") > most_in_list).select("_key", "_fp")
-    return pairs.unionByName(_star_links(long)).distinct()
+    return pairs.unionByName(_star_links(long, bits)).distinct()
 
 
-def _star_links(long: DataFrame) -> DataFrame:
+def _star_links(long: DataFrame, bits: int) -> DataFrame:
     """Links within long posting lists through words near the bytes that the list leaves free."""
 
-    free = [[8 * p + k for p in range(8) if p not in at for k in range(8)] for at in POSITION_SETS]
-    bits = F.array(*[F.array(*map(F.lit, x)) for x in free])[F.shiftrightunsigned("_key", 32).cast("int")]
-    own = long.select("_key", "_fp", bits.alias("_bits"))
+    free = [[8 * p + k for p in range(8) if p not in at for k in range(8)] for at in SETS[bits]]
+    own_bits = F.array(*[F.array(*map(F.lit, x)) for x in free])[F.shiftrightunsigned("_key", 32).cast("int")]
+    own = long.select("_key", "_fp", own_bits.alias("_bits"))
 
     def words(picks: list[tuple[int, ...]]) -> DataFrame:
         """One row for each choice of free bits, with those bits flipped."""
@@ -123,11 +125,11 @@ def _star_links(long: DataFrame) -> DataFrame:
         flip = F.expr("aggregate(_pick, _fp, (w, i) -> w ^ shiftleft(1L, _bits[i]))")
         return own.withColumn("_pick", F.explode(flat)).select("_key", "_fp", flip.alias("_w"))
 
-    one = [(), *((x,) for x in range(32))]
-    two = list(itertools.combinations(range(32), 2))
-    near = words(one)
+    least = bits // 2
+    near = words([x for n in range(least + 1) for x in itertools.combinations(range(32), n)])
     hubs = near.groupBy("_key", "_w").agg(F.min("_fp").alias("_hub"))
-    reached = near.unionByName(words(two)).join(hubs, ["_key", "_w"]).where(F.col("_fp") != F.col("_hub"))
+    further = words(list(itertools.combinations(range(32), least + 1)))
+    reached = near.unionByName(further).join(hubs, ["_key", "_w"]).where(F.col("_fp") != F.col("_hub"))
     return reached.select(F.least("_fp", "_hub").alias("_a"), F.greatest("_fp", "_hub").alias("_b"))
 
 

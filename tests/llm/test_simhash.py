@@ -185,3 +185,52 @@ def test_texts_that_share_an_id_are_kept_each(spark):
 
 def test_fingerprints_of_an_empty_table(spark):
     assert simhash.fingerprint_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def brute_prints(text):
+    """SimHash of each three shingles that minimum hashes draw, bit by bit."""
+    own = {int(x) % 2**64 for x in near_duplicates.shingle_set(text)}
+    masks, factors = (x[:, 0].tolist() for x in (near_duplicates._MASKS, near_duplicates._FACTORS))
+    drawn = [min(own, key=lambda x: (x ^ m) * f % 2**64) for m, f in zip(masks, factors, strict=True)]
+    n = near_duplicates.PRINTS
+    return [sum(1 << b for b in range(64) if sum(drawn[i + k * n] >> b & 1 for k in range(3)) > 1) for i in range(n)]
+
+
+def test_prints_are_simhashes_of_drawn_shingles():
+    for text in ("one", "one two three", "a b c d e f g", " ".join(f"w{i % 97}" for i in range(3000))):
+        assert [int(x) % 2**64 for x in near_duplicates.prints(near_duplicates.shingle_set(text))] == brute_prints(text)
+    assert len(near_duplicates.prints(near_duplicates.shingle_set(None))) == 0
+
+
+def test_links_within_one_bit_in_short_and_long_lists(spark):
+    rng = random.Random(4)
+    seeds = [rng.getrandbits(64) for _ in range(6)]
+    seeds += [(seeds[0] & ~0xFFFFFFFF) | rng.getrandbits(32) for _ in range(20)]
+    values = sorted({s ^ flip for s in seeds for flip in (0, 1 << rng.randrange(64), 1 << rng.randrange(64), 7 << rng.randrange(60))})
+    near = {(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 1}
+    signed = [(v if v < 2**63 else v - 2**64,) for v in values]
+    for most in (256, 1):
+        got = simhash.links(spark.createDataFrame(signed, "_fp long"), most, bits=1).collect()
+        got = {tuple(sorted((a % 2**64, b % 2**64))) for a, b in got}
+        assert near <= got and all((a ^ b).bit_count() <= 2 for a, b in got)
+
+
+def test_the_byte_position_index_joins_the_lists_of_near_duplicates(spark):
+    """Sets whose fingerprints differ by one bit, in either half, stand in one list; others in their own."""
+    rows = [(1, 9, [5, 1 << 40]), (2, 9, [7, 77]), (3, 9, [(1 << 40) + (1 << 60), 99]), (4, 9, [4 + 3 * 256, 5])]
+    df = spark.createDataFrame(rows, "_fp long, _size int, _prints array<long>")
+    lists = {}
+    for r in near_duplicates._posted(df).collect():
+        lists.setdefault(r._key, set()).add(r._fp)
+    assert sorted(map(sorted, lists.values())) == [[1, 2, 4], [1, 3], [2], [3], [4]]
+    pairs, crowd = near_duplicates._candidates(near_duplicates._posted(df), 32, 0.8)
+    assert {tuple(r) for r in pairs.collect()} == {(1, 2), (1, 3), (1, 4), (2, 4)} and crowd.isEmpty()
+
+
+def test_filter_of_texts_holds_all_that_are_asked(spark):
+    keys = np.random.default_rng(9).integers(-(2**63), 2**63, 3000)
+    df = spark.createDataFrame([(int(k),) for k in keys[:1000]], "_th long").repartition(11)
+    for bits in (16, 22):
+        mask = near_duplicates._mask_of(df, bits)
+        assert len(mask) == 1 << (bits - 3) and near_duplicates._holds(mask, bits, keys[:1000]).all()
+        assert near_duplicates._holds(mask, bits, keys[1000:]).mean() < 0.03
