@@ -40,38 +40,49 @@ NUMBER, NAME, UNIT = 1, 2, 3
 
 
 class Vocabulary(dict):
-    """Raw tokens to numbers, and what is fixed for each: lower case, template code, kind."""
+    """Raw tokens to numbers, and what is fixed for each: template code of its lower case, kind."""
 
     END, CAPITALISED = 8, 9
 
     def __init__(self):
         super().__init__()
-        self.low: list[str] = []
+        self.raw: list[str] = []
         self.code, self.kind = np.zeros(1 << 18, np.uint64), np.zeros(1 << 18, np.int8)
 
     def __missing__(self, raw: str) -> int:
-        n = len(self.low)
-        if n == len(self.code):
-            self.code, self.kind = np.concatenate([self.code, np.zeros_like(self.code)]), np.concatenate([self.kind, np.zeros_like(self.kind)])
-        low = raw.lower()
-        c = raw[0]
-        if low in UNITS:
-            kind = UNIT
-        elif c > "?":  # past digits and sentence marks
-            kind = self.CAPITALISED if c != low[0] and raw[1:] == low[1:] and len(raw) > 1 else 0
-        else:
-            kind = NUMBER if "0" <= c <= "9" else self.END
-        self.code[n] = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"))
-        if kind:
-            self.kind[n] = kind
-        self.low.append(low)
-        self[raw] = n
+        n = self[raw] = len(self.raw)
+        self.raw.append(raw)
         return n
 
+    def numbers(self, raw: list[str]) -> np.ndarray:
+        """The tokens' numbers. Codes and kinds of new ones are found for all of them at once."""
+        known = len(self.raw)
+        out = np.fromiter(map(self.__getitem__, raw), np.int64, len(raw))
+        if new := self.raw[known:]:
+            n = len(self.raw)
+            while n > len(self.code):
+                self.code, self.kind = np.concatenate([self.code, np.zeros_like(self.code)]), np.concatenate([self.kind, np.zeros_like(self.kind)])
+            lines = "\n".join(new).lower()  # no token has a line break
+            self.kind[known:n] = list(map(self.kind_of, new, lines.split("\n")))
+            self.code[known:n] = list(map(xxhash.xxh64_intdigest, lines.encode("utf-8", "surrogatepass").split(b"\n")))
+        return out
+
+    def kind_of(self, raw: str, low: str) -> int:
+        if low in UNITS:
+            return UNIT
+        if (c := raw[0]) > "?":  # past digits and sentence marks
+            return self.CAPITALISED if raw != low and c != low[0] and raw[1:] == low[1:] and len(raw) > 1 else 0
+        return NUMBER if "0" <= c <= "9" else self.END
+
+    def low(self, n: int) -> str:
+        return self.raw[n].lower()
+
 
 _WORDS = Vocabulary()
 #: A worker's vocabulary starts anew beyond this size.
-_MOST_WORDS = 150_000
+_MOST_WORDS = 250_000
+#: Texts of so many characters, at least one, are read together.
+_CHARACTERS = 1 << 17
 
 
 MARK = "\x1f"
@@ -90,7 +101,7 @@ class Template:
 
     def value(self, i: int) -> str:
         end = self.starts[i + 1] if i + 1 < len(self.starts) else len(self.numbers)
-        return " ".join([self.words.low[n] for n in self.numbers[self.starts[i] : end].tolist()])
+        return " ".join([self.words.low(n) for n in self.numbers[self.starts[i] : end].tolist()])
 
     def slots(self, at: int, width: int) -> str:
         """The values of the slots among ``width`` tokens, nothing for other tokens, with marks between."""
@@ -115,9 +126,9 @@ class Template:
         return out
 
 
-def _template(numbers: np.ndarray, kinds: np.ndarray) -> Template:
+def _template(numbers: np.ndarray, kinds: np.ndarray, texts: np.ndarray) -> Template:
     begins = np.ones(len(kinds), dtype=bool)
-    begins[1:] = (kinds[1:] == 0) | (kinds[1:] != kinds[:-1])
+    begins[1:] = (kinds[1:] == 0) | (kinds[1:] != kinds[:-1]) | (texts[1:] != texts[:-1])
     starts = np.flatnonzero(begins)
     kinds = kinds[starts]
     codes = np.where(kinds > 0, kinds.astype(np.uint64), _WORDS.code[numbers[starts]])
@@ -128,21 +139,48 @@ def readings(text: str | None) -> list[Template]:
     """A text as tokens in lower case, and the kind of each: 0 a word, else ``NUMBER``, ``NAME``
     (capitalised, but not at the start of a sentence) or ``UNIT``. Codes of slots depend on the
     kind alone. If capitalised tokens start sentences, a second template has these as names."""
+    return joint_readings([text])[0]
+
+
+def joint_readings(texts: list[str | None]) -> tuple[list[Template], np.ndarray]:
+    """The ``readings`` of several texts, one after the other in one template, and the text of each token."""
     global _WORDS
     if len(_WORDS) > _MOST_WORDS:
         _WORDS = Vocabulary()
-    raw = _TOKEN.findall(text or "")
-    numbers = np.fromiter(map(_WORDS.__getitem__, raw), np.int64, len(raw))
+    tokens = [_TOKEN.findall(t or "") for t in texts]
+    numbers = _WORDS.numbers([x for own in tokens for x in own] if len(tokens) > 1 else tokens[0])
+    text = np.repeat(np.arange(len(texts)), [len(own) for own in tokens])
     kinds = _WORDS.kind[numbers]
     ends = kinds == Vocabulary.END
-    first = np.ones(len(raw), dtype=bool)
-    first[1:] = ends[:-1]
+    first = np.ones(len(numbers), dtype=bool)
+    first[1:] = ends[:-1] | (text[1:] != text[:-1])
     capital = kinds == Vocabulary.CAPITALISED
     named = np.where(capital, NAME, kinds)[~ends]
     kinds[capital] = np.where(first[capital], 0, NAME)
-    numbers, kinds = numbers[~ends], kinds[~ends]
-    plain = _template(numbers, kinds)
-    return [plain] if np.array_equal(kinds, named) else [plain, _template(numbers, named)]
+    numbers, kinds, text = numbers[~ends], kinds[~ends], text[~ends]
+    plain = _template(numbers, kinds, text)
+    return [plain] if np.array_equal(kinds, named) else [plain, _template(numbers, named, text)], text
+
+
+def joint_windows(texts: list[str | None], widths: list[int], width: int, passing):
+    """(text, window width, hash, position, slots) of all windows within one text whose hashes' indices ``passing``
+    gives, as ``read_windows`` has them for each text: later readings only give windows of ``width`` tokens."""
+    own, text = joint_readings(texts)
+    plain = own[0]
+    whose = text[plain.starts]
+    begin = np.searchsorted(whose, np.arange(len(texts)))
+    for w in widths:
+        if len(plain.codes) < w:
+            continue
+        for template, hashes, places, at in read_windows(own if w == width else own[:1], w):
+            there = text[template.starts]
+            kept = passing(hashes)
+            of = there[at[kept]]
+            # inside one text, in this reading and in the first, whose positions count
+            kept = kept[(there[at[kept] + w - 1] == of) & (whose[places[kept] + w - 1] == of)]
+            for i in kept.tolist():
+                t = int(there[at[i]])
+                yield t, w, int(hashes[i]), int(places[i] - begin[t]), template.slots(int(at[i]), w)
 
 
 def canonical(text: str | None) -> Template:
@@ -341,6 +379,18 @@ def _grouped(found) -> list[tuple[int, list[int], list[str]]]:
     return [(h, list(x), list(x.values())) for h, x in own.items()]
 
 
+def _lots(texts: pd.Series):
+    """(from, to) of runs of texts that have ``_CHARACTERS`` in all, the last text counted in."""
+    low = n = 0
+    for i, t in enumerate(texts):
+        n += len(t)
+        if n >= _CHARACTERS:
+            yield low, i + 1
+            low, n = i + 1, 0
+    if low < len(texts):
+        yield low, len(texts)
+
+
 def _text_key(text: str) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))).view(np.int64))
 
@@ -428,19 +478,18 @@ def find_leaks(
         packed, sizes = held.value
         packed = np.frombuffer(packed, dtype=np.uint8)
 
-        def passing(own: list[Template], w: int):
-            for template, hashes, places, at in read_windows(own if w == width else own[:1], w):
-                for i in _passing(hashes, packed, filter_bits).tolist():
-                    yield int(hashes[i]), int(places[i]), template.slots(int(at[i]), w)
+        def passing(hashes: np.ndarray) -> np.ndarray:
+            return _passing(hashes, packed, filter_bits)
 
         for f in frames:
             out = []
-            for doc, text in zip(f["_doc"], f["_t"], strict=True):
-                own, key = readings(text), None
-                for w in sizes:
-                    if len(own[0].codes) >= w and (found := _grouped(passing(own, w))):
-                        key = _text_key(text) if key is None else key
-                        out += [(doc, key, h, w, at, slots) for h, at, slots in found]
+            for low, high in _lots(f["_t"]):
+                found: dict[tuple[int, int], list] = {}
+                for t, w, *window in joint_windows(f["_t"].iloc[low:high].tolist(), sizes, width, passing):
+                    found.setdefault((low + t, w), []).append(window)
+                for (i, w), own in found.items():
+                    doc, key = f["_doc"].iloc[i], _text_key(f["_t"].iloc[i])
+                    out += [(doc, key, h, w, at, slots) for h, at, slots in _grouped(own)]
             yield pd.DataFrame(out, columns=["_doc", "_dk", "_h", "_w", "_dat", "_dslots"])
 
     texts = docs.where(F.col(id_col).isNotNull()).select(

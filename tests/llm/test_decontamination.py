@@ -4,6 +4,7 @@ from functools import cache
 
 import numpy as np
 import pytest
+import xxhash
 
 from paperloom.llm import decontamination as D
 
@@ -264,3 +265,28 @@ def test_longer_names_and_inserted_words_do_not_split_a_leak(spark):
 def test_windows_in_order():
     assert D._in_order([(0, 5), (1, 2), (2, 6), (3, 3), (4, 7)]) in ([0, 2, 4], [1, 3, 4])
     assert D._in_order([]) == []
+
+
+def test_texts_read_together_have_the_windows_of_each():
+    items = ["Tom buys 12 apples for 3 dollars. Then he sells 5 of them to Ann", "one. Two", "12 Ab 13 Cd kg 16 m 17 New York Paris ends here now", "ΑΣ. Σας και ΑΣ İstanbul Éa Ab cD 12.5 KG Kg", ""]
+    texts = [*items, None, "One", " ".join(items), "Of all. The same words and the same words again and again. The same"]
+    every = lambda hashes: np.arange(len(hashes))
+    together, alone = [], []
+    for t, w, *window in D.joint_windows(texts, [1, 3, 8], 8, every):
+        together.append((t, w, *window))
+    for t, text in enumerate(texts):
+        own = D.readings(text)
+        for w in (1, 3, 8):
+            if len(own[0].codes) >= w:
+                for template, hashes, places, at in D.read_windows(own if w == 8 else own[:1], w):
+                    alone += [(t, w, int(h), int(p), template.slots(int(i), w)) for h, p, i in zip(hashes, places, at, strict=True)]
+    assert sorted(together) == sorted(alone) and len({x[0] for x in alone}) == 7
+
+
+def test_codes_and_kinds_of_tokens_found_at_once_are_those_of_each():
+    words = D.Vocabulary()
+    raw = ["Ann", "ann", "KG", "12.5", ".", "X", "McCoy", "ΑΣ", "É", "ann", "Éa", "\ud800x"]
+    kinds = [words.CAPITALISED, 0, D.UNIT, D.NUMBER, words.END, 0, 0, 0, 0, 0, words.CAPITALISED, 0]
+    n = words.numbers(raw)
+    assert words.kind[n].tolist() == kinds and [words.low(x) for x in n] == [x.lower() for x in raw]
+    assert words.code[n].tolist() == [xxhash.xxh64_intdigest(x.lower().encode("utf-8", "surrogatepass")) for x in raw]
