@@ -28,6 +28,8 @@ POSITIVE_ROWS = 3_000
 CLASSIFIERS, PARTS, STEPS, DECAY = 3, 5, 16, 2e-5
 BUCKETS = 1 << 20
 ROWS_AT_ONCE = 256
+#: Words that a worker remembers; others are looked up again.
+KNOWN_WORDS = 100_000
 FEATURES = 600
 #: Lengths of the word beginnings that are features beside the whole word.
 STARTS = (4, 5, 6, 7, 8)
@@ -71,7 +73,7 @@ class Model:
             v = known.get(w, known)
             if v is known:
                 v = self.of_word(w)
-                if len(known) < 500_000:
+                if len(known) < KNOWN_WORDS:
                     known[w] = v
             if v is not None:
                 found.append(v)
@@ -192,7 +194,7 @@ def _gain(a: int, c: int, n_p: int, n_u: int) -> float:
 def _marks(held: np.ndarray):
     """A function from a text to the numbers of its features, repeats included, and the number of its
     distinct words. ``held`` has a feature's number for each bucket, else -1."""
-    known: dict[str, list[int]] = {}
+    known: dict[str, tuple[int, ...]] = {}
 
     def of(text: str) -> tuple[list[int], int]:
         words = words_of(text)
@@ -200,8 +202,8 @@ def _marks(held: np.ndarray):
         for w in words:
             own = known.get(w)
             if own is None:
-                own = [k for b in word_buckets(w) if (k := int(held[b])) >= 0]
-                if len(known) < 500_000:
+                own = tuple([k for b in word_buckets(w) if (k := int(held[b])) >= 0])  # one object stands for all empty ones
+                if len(known) < KNOWN_WORDS:
                     known[w] = own
             out += own
         return out, len(words)
@@ -265,7 +267,8 @@ def fit(
     try:
         marks_of(texts).write.parquet(f"{folder}/marks")  # the texts are read for the last time
         marks = docs.sparkSession.read.parquet(f"{folder}/marks")
-        return _fitted(folder, once, marks_of(once), marks, frequent, prior, features)
+        own = cut_lineage(marks_of(once))  # so no task has two Python workers
+        return _fitted(folder, once, own, marks, frequent, prior, features)
     finally:
         remove_folder(docs.sparkSession, folder)
 

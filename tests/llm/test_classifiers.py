@@ -155,3 +155,27 @@ def test_sums_over_partitions_equal_the_matrix(spark):
         w = np.array([r[1] for r in own])
         g = dense @ x
         assert loss == pytest.approx((w * np.logaddexp(0, g)).sum() / w.sum()) and np.allclose(slope, dense.T @ (w * toxicity._sigmoid(g)) / w.sum())
+
+
+def test_a_fit_keeps_few_words_and_one_worker_a_task(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i} plain{i % 7} text" + (" vile nasty" if i % 3 == 0 else "")) for i in range(90)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    plans, fitted = [], toxicity._fitted
+
+    def seen(folder, once, own, marks, *more):
+        plans.extend(x._jdf.queryExecution().executedPlan().toString() for x in (once, own, marks))
+        return fitted(folder, once, own, marks, *more)
+
+    monkeypatch.setattr(toxicity, "_fitted", seen)
+    scores = [[r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).orderBy("doc_id").collect()]]
+    assert len(plans) == 3 and not any("MapInPandas" in x for x in plans)
+    assert min(scores[0][::3]) > max(scores[0][1::3])
+    held = np.full(toxicity.BUCKETS, -1, np.int32)
+    held[toxicity._bucket("vile")] = 4
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", 2)
+    of = toxicity._marks(held)
+    known = dict(zip(of.__code__.co_freevars, (c.cell_contents for c in of.__closure__), strict=True))["known"]
+    assert [of(f"a{i} b{i} vile") for i in range(9)] == [([4], 3)] * 9 and len(known) == 2
+    cache: dict = {}
+    model = toxicity.Model({toxicity._bucket("vile"): np.array([3.0])}, np.array([-1.0]))
+    assert [model.score(f"c{i} vile", cache) for i in range(9)] == [model.score("c vile")] * 9 and len(cache) == 2
