@@ -34,14 +34,19 @@ def page_files(spark, d):
     return back.select("doc_id", "height", "width", _sum("data").alias("total"))
 
 
+def _suppliers(spark, d):
+    """The suppliers over all cores: their pages are a thousand times as large as their file, which is one task."""
+    return S.spread(S.table(spark, d, "supplier"))
+
+
 def seals_on_pages(spark, d):
-    found = seals.detect(scans.marked_pages(S.table(spark, d, "supplier")))
+    found = seals.detect(scans.marked_pages(_suppliers(spark, d)))
     return found.select("doc_id", "type", "x1", "y1", "x2", "y2")
 
 
 def seals_by_document(spark, d):
     suppliers = S.table(spark, d, "supplier")
-    out = regions.seal_presence(suppliers.select(F.col("s_suppkey").alias("doc_id")), seals.detect(scans.marked_pages(suppliers)))
+    out = regions.seal_presence(suppliers.select(F.col("s_suppkey").alias("doc_id")), seals.detect(scans.marked_pages(_suppliers(spark, d))))
     return out.select("doc_id", "has_seals", "total_detections", F.to_json("seal_types").alias("seal_types"), "validation_status")
 
 
@@ -61,7 +66,7 @@ def ink_engine(image: np.ndarray) -> list[tuple]:
 
 def region_ocr(spark, d):
     suppliers = S.table(spark, d, "supplier")
-    read = documents.recognise_regions(scans.marked_pages(suppliers), scans.box_regions(suppliers), ink_engine)
+    read = documents.recognise_regions(scans.marked_pages(S.spread(suppliers)), scans.box_regions(suppliers), ink_engine)
     return read.select("doc_id", "region_id", "text", F.round("confidence", 9).alias("confidence"), "x1", "y1", "x2", "y2", "error")
 
 

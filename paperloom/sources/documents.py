@@ -121,8 +121,9 @@ def recognise_regions(pages: DataFrame, boxes: DataFrame, primary: Engine, fallb
 
     A region is clamped to its page; one with nothing left, one on which every engine fails, and one whose page
     carries an error or is missing is a row with the error and block_pos -1. A region without words gives no row.
-    The regions of a page travel in its row, so its pixels are sent and decoded once."""
-    per_page = boxes.groupBy("doc_id", "page_number").agg(F.collect_list(F.struct("region_id", "x1", "y1", "x2", "y2")).alias("regions"))
+    The regions of a page travel in its row, so its pixels are sent and decoded once. The join hashes the regions and
+    streams the pages: pixels that an expression makes look small to the optimiser, which would broadcast them."""
+    per_page = boxes.groupBy("doc_id", "page_number").agg(F.collect_list(F.struct("region_id", "x1", "y1", "x2", "y2")).alias("regions")).hint("shuffle_hash")
     own = per_page.join(pages.select("doc_id", "page_number", "height", "width", channels_of(pages), "data", "error"), ["doc_id", "page_number"], "left")
     columns = ["doc_id", "page_number", "region_id", "region_x1", "region_y1", "region_x2", "region_y2", *WORD_COLUMNS[2:]]
 

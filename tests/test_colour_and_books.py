@@ -166,3 +166,11 @@ def test_workbooks_of_invoices(spark):
     bad = spark.createDataFrame([(7, b"no zip"), (8, None)], "doc_id long, content binary")
     assert {r.doc_id: bool(r.error) for r in workbook.cells(bad).collect()} == {7: True, 8: True}
     assert workbook.cells(books).where(F.col("error").isNotNull()).count() == 0
+
+
+def test_pixels_are_not_broadcast_for_their_regions(spark, data):
+    """Pages made by expressions look as small as the table of their keys."""
+    from paperloom.plans import queries_pages
+
+    plan = queries_pages.region_ocr(spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan and "BuildLeft" in plan
