@@ -172,3 +172,26 @@ def test_speckled_page_walks_few_outlines(monkeypatch):
     monkeypatch.setattr(imaging, "outline", lambda m: walked.append(m.shape) or own(m))
     seals.measured(image)
     assert len(walked) < 30  # hundreds of specks are passed over by their boxes
+
+
+def test_hulls_equal_those_of_all_points():
+    rng = np.random.default_rng(6)
+    for n, most in [(1, 3), (2, 2), (3, 9), (9, 3), (40, 8), (60, 40)] * 20:
+        points = rng.integers(0, most, (n, 2))
+        own = {tuple(p) for p in points.tolist()}
+        cross = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+        inside = lambda p: any(min(a, b) < p < max(a, b) and cross(a, b, p) == 0 for a in own for b in own) or any(
+            cross(a, b, p) > 0 and cross(b, c, p) > 0 and cross(c, a, p) > 0 for a in own for b in own for c in own)
+        if n < 12:
+            assert {tuple(p) for p in imaging.hull(points).tolist()} == {p for p in own if not inside(p)}
+        again = imaging.hull(imaging.hull(points))
+        assert np.array_equal(again, imaging.hull(points)) and {tuple(p) for p in again.tolist()} <= own
+
+
+def test_pages_of_a_small_table_are_dealt_over_the_cores(spark, data):
+    """One file of keys is one task, in which all pages were made and read."""
+    from paperloom.plans import queries_pages
+
+    assert spark.read.parquet(f"{data}/supplier.parquet").rdd.getNumPartitions() == 1
+    for query in (queries_pages.seals_on_pages, queries_pages.seals_by_document):
+        assert "RoundRobinPartitioning(4)" in query(spark, data)._jdf.queryExecution().executedPlan().toString()
