@@ -322,7 +322,8 @@ def _fitted(folder: str, once: DataFrame, own: DataFrame, marks: DataFrame, freq
             bare += np.bincount(f["_part"].to_numpy()[sizes == 0], minlength=PARTS)
             cuts = np.cumsum(sizes[sizes > 0])[:-1]
             full = np.flatnonzero(sizes)
-            yield pd.DataFrame({"_part": f["_part"].to_numpy()[full], "_w": 1.0, "_k": np.split(k.astype(np.int32), cuts) if len(full) else [], "_v": np.split(v, cuts) if len(full) else []})
+            if len(full):  # lists of no rows have no type
+                yield pd.DataFrame({"_part": f["_part"].to_numpy()[full], "_w": 1.0, "_k": np.split(k.astype(np.int32), cuts), "_v": np.split(v, cuts)})
         none = [np.zeros(0, np.int32)] * PARTS
         yield pd.DataFrame({"_part": range(PARTS), "_w": bare, "_k": none, "_v": none})
 

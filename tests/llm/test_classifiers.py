@@ -179,3 +179,11 @@ def test_a_fit_keeps_few_words_and_one_worker_a_task(spark, monkeypatch):
     cache: dict = {}
     model = toxicity.Model({toxicity._bucket("vile"): np.array([3.0])}, np.array([-1.0]))
     assert [model.score(f"c{i} vile", cache) for i in range(9)] == [model.score("c vile")] * 9 and len(cache) == 2
+
+
+def test_toxicity_fits_where_slices_of_rows_have_no_feature(spark):
+    """Rows are sliced in tasks; in a long table some slice has only rows without any of the chosen features."""
+    docs = [(i, f"good plain prose {i % 7}" if i % 9 else f"vile toxic insult words {i % 5}") for i in range(600)] + [(i, "") for i in range(600, 600 + 6 * toxicity.ROWS_AT_ONCE)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    model = toxicity.fit(table, spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(600)], "doc_id long, toxic int"))
+    assert model.score("vile toxic insult") > 0.5 > model.score("good plain prose") and model.score("") < 0.5
